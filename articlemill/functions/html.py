@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from articlemill.functions.text import squeeze
+
 NOISE = "(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
 INLINE_TAG = (
     "(?i)</?(?:a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|u)(?:[ \\t\\r\\n][^>]*)?>"
@@ -19,7 +21,7 @@ ATTRIBUTE = "([A-Za-z_:][A-Za-z0-9_:.-]*)[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|
 # Named character references, the ampersand last.
 ENTITIES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
     ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"),
     ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
     ("&hellip;", "…"), ("&bull;", "•"), ("&sect;", "§"),
@@ -53,8 +55,11 @@ def outer_html(html: Column, tag: str, attr: str | None = None, value: str | Non
     return F.regexp_extract(html, element_pattern(tag, attr, value), 0)
 
 
-def inner_html_all(html: Column, tag: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(element_pattern(tag)), F.lit(2))
+def paragraphs(html: Column) -> Column:
+    """Markup of every paragraph; one left open ends where the next begins."""
+    pieces = F.split(html, "(?i)<p(?:[ \\t\\r\\n][^>]*)?>")
+    opened = F.slice(pieces, F.lit(2), F.size(pieces))
+    return F.transform(opened, lambda p: F.regexp_replace(p, "(?is)</p[ \\t\\r\\n]*>.*", ""))
 
 
 def decode_numeric_entities(text: Column) -> Column:
@@ -80,7 +85,7 @@ def decode_entities(text: Column) -> Column:
 def markup_text(markup: Column) -> Column:
     """Visible text: inline tags vanish, other tags part words, blanks are squeezed."""
     flat = F.regexp_replace(F.regexp_replace(markup, INLINE_TAG, ""), ANY_TAG, " ")
-    return F.trim(F.regexp_replace(decode_entities(flat), "[ \\t\\r\\n ]+", " "))
+    return squeeze(decode_entities(flat))
 
 
 def element_text(html: Column, tag: str, attr: str | None = None, value: str | None = None) -> Column:

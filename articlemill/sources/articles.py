@@ -31,15 +31,16 @@ def decode_tolerant(
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     parsed = df.withColumn("_parsed", F.from_json(column, wide, options))
     fields = [F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields]
+    # A missing text and JSON that is no object leave no record either.
+    unread = F.when(F.col("_parsed").isNull(), F.coalesce(F.col(column), F.lit("")))
+    bad = F.coalesce(F.col(f"_parsed.{CORRUPT_COLUMN}"), unread)
     return parsed.select(
-        *df.columns,
-        F.struct(*fields).alias("article"),
-        F.col(f"_parsed.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN),
+        *df.columns, F.struct(*fields).alias("article"), bad.alias(CORRUPT_COLUMN)
     )
 
 
-def good_articles(decoded: DataFrame) -> DataFrame:
-    kept = [c for c in decoded.columns if c not in ("value", "article", CORRUPT_COLUMN)]
+def good_articles(decoded: DataFrame, column: str = "value") -> DataFrame:
+    kept = [c for c in decoded.columns if c not in (column, "article", CORRUPT_COLUMN)]
     return decoded.filter(F.col(CORRUPT_COLUMN).isNull()).select(*kept, "article.*")
 
 
