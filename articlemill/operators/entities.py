@@ -34,15 +34,19 @@ ENTITY_PATTERNS = {
 }
 
 
-def capitalised_gazetteer(
-    docs: DataFrame, text: str, n: int, types: list[str], min_length: int = 5
+# Words that start with a capital letter and have at least five letters.
+CAPITALISED = "^[A-Z][a-z]{4,}$"
+
+
+def frequent_gazetteer(
+    docs: DataFrame, text: str, n: int, types: list[str], pattern: str = CAPITALISED
 ) -> DataFrame:
-    """A gazetteer from the data: the `n` most frequent capitalised words.
+    """A gazetteer from the data: the `n` most frequent words that fit a pattern.
 
     Types are dealt out by word length, which keeps the table free of a ranking pass.
     """
     words = docs.select(F.explode(word_tokens(F.col(text))).alias("term"))
-    names = words.filter(F.col("term").rlike(f"^[A-Z][a-z]{{{min_length - 1},}}$"))
+    names = words.filter(F.col("term").rlike(pattern))
     counts = names.groupBy("term").agg(F.count(F.lit(1)).alias("cnt"))
     top = counts.orderBy(F.desc("cnt"), "term").limit(n)
     kind = F.element_at(

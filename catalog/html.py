@@ -179,6 +179,8 @@ def oracles() -> dict[str, str]:
     articles = f"""SELECT url, '{FETCH_TIME}' AS "fetchTime", '' AS time,
         {visible(inside('h1'))} AS title, {visible(inside('article'))} AS content,
         '{DEFAULT_LABEL}' AS label FROM {cleaned} WHERE {has_body}"""
+    span = H.element_pattern("span", "id", "parent-fieldname-releaseDate")
+    time = f"regexp_extract(clean, {quoted(span)}, 2)"
     opened = "(?i)<p(?:[ \\t\\r\\n][^>]*)?>"
     closed = "(?is)</p[ \\t\\r\\n]*>.*"
     fields = {"body": "article", "heading": "h1", "ad": "div", "footer": "footer"}
@@ -186,12 +188,13 @@ def oracles() -> dict[str, str]:
         "page_title": f"""SELECT page_id, {visible(inside('title'))} AS title,
             {visible(inside('h1'))} AS heading FROM {cleaned}""",
         "page_body_text": body,
-        "release_time": "SELECT page_id, '' AS time FROM pages",
+        "release_time": f"SELECT page_id, {visible(time)} AS time FROM {cleaned}",
         "page_links": links_sql(inside("nav")),
         "page_link_stats": f"""SELECT page_id, CAST(len(a) AS INTEGER) AS n_links, a[1] AS first_href
             FROM (SELECT page_id, {targets('clean')} AS a FROM {cleaned}) AS found""",
         "links_by_suffix": f"SELECT * FROM ({links_sql('clean')}) WHERE suffix(href, 'e')",
-        "links_by_attr": f"""SELECT page_id, pos, CAST(1 AS INTEGER) AS n_attrs FROM (
+        "links_by_attr": f"""SELECT page_id, pos,
+            CAST(len(regexp_extract_all(tag, {quoted(H.ATTRIBUTE)}, 1)) AS INTEGER) AS n_attrs FROM (
             SELECT page_id, CAST(unnest(range(len(a))) AS INTEGER) AS pos, unnest(a) AS tag
             FROM (SELECT page_id, regexp_extract_all(clean, '<div([^>]*)>', 1) AS a
                   FROM {cleaned}) AS t1) AS t2
