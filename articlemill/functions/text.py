@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 
 LETTERS = "A-Za-z"
 LETTERS_DIGITS = "A-Za-z0-9"
-WHITESPACE = "[ \\t\\r\\n]+"
 NON_SPACE = "[^ \\t\\r\\n]+"
 WORD_OR_MARK = "[\\p{L}\\p{N}]+|[^\\p{L}\\p{N} \\t\\r\\n]"
 SENTENCE = "[^.!?]+[.!?]*"
 
 
+def keep_only(text: Column, pattern: str, separator: str = "") -> Column:
+    """The matches of a pattern, joined; several times faster than deleting the rest."""
+    return F.array_join(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), separator)
+
+
 def squeeze(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, WHITESPACE, " "))
+    """Runs of whitespace become one blank; none is left at the ends."""
+    return keep_only(text, NON_SPACE, " ")
 
 
 def raw_tokens(text: Column, keep: str = LETTERS, separator: str = "") -> Column:
@@ -28,8 +33,7 @@ def raw_tokens(text: Column, keep: str = LETTERS, separator: str = "") -> Column
     Other characters are deleted, which joins what they stood between, unless
     `separator=" "` is given. For row form, explode and drop the empty tokens.
     """
-    cleaned = F.regexp_replace(text, f"[^{keep} ]+", separator)
-    return F.split(F.lower(cleaned), " ")
+    return F.split(F.lower(keep_only(text, f"[{keep} ]+", separator)), " ")
 
 
 def tokens(text: Column, keep: str = LETTERS, separator: str = "") -> Column:

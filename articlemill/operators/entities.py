@@ -33,6 +33,15 @@ ENTITY_PATTERNS = {
     "NUMBER": "[0-9]+",
 }
 
+# What a text with a match of each pattern must hold.
+PATTERN_NEEDS = {
+    "EMAIL": "@",
+    "IP": "[0-9]",
+    "MONEY": "[$€£]",
+    "TIME": "[0-9]",
+    "NUMBER": "[0-9]",
+}
+
 
 # Words that start with a capital letter and have at least five letters.
 CAPITALISED = "^[A-Z][a-z]{4,}$"
@@ -143,7 +152,7 @@ def entity_spans(
     docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str] | None = None
 ) -> DataFrame:
     """Spans of the pattern tagger with their probability, which rules set to 1."""
-    spans = pattern_spans(docs, keys, text, patterns or ENTITY_PATTERNS)
+    spans = _known_pattern_spans(docs, keys, text, patterns)
     return spans.withColumn("prob", F.lit(1.0))
 
 
@@ -172,41 +181,59 @@ def entities_by_sentence(
 ) -> DataFrame:
     """Rows `(keys, sent_id, type, begin, end, text)`, offsets within the sentence."""
     sentences = sentence_spans(docs, keys, text).select(*keys, "sent_id", "text")
-    return pattern_spans(sentences, keys + ["sent_id"], "text", patterns or ENTITY_PATTERNS)
+    return _known_pattern_spans(sentences, keys + ["sent_id"], "text", patterns)
+
+
+def _known_pattern_spans(
+    docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str] | None
+) -> DataFrame:
+    if patterns is None:
+        return pattern_spans(docs, keys, text, ENTITY_PATTERNS, PATTERN_NEEDS)
+    return pattern_spans(docs, keys, text, patterns)
 
 
-def add_without_overlap(spans: DataFrame, more: DataFrame, keys: list[str]) -> DataFrame:
-    """`spans`, and those of `more` that overlap none of them.
+def combine_ranked(spans: DataFrame, keys: list[str], rank: Column, levels: int) -> DataFrame:
+    """All spans of rank 0; of each later rank those that overlap none kept so far.
 
-    One window over each document compares a span with the furthest end before it and
-    the nearest begin after it, instead of pairing all spans of the document.
+    Windows over each document compare a span with the furthest end before it and the
+    nearest begin after it, instead of pairing all spans of the document. Every level
+    works on the same placed rows, so there is one scan and one shuffle in all.
     """
-    both = spans.withColumn("_first", F.lit(True)).unionByName(
-        more.withColumn("_first", F.lit(False))
-    )
+    ranked = spans.withColumn("_rank", rank).withColumn("_keep", F.col("_rank") == 0)
     # At an equal begin the kept spans count as before. Both frames grow by one row at a
     # time; a frame up to the end of the document would be read anew for every row.
-    forward = Window.partitionBy(*keys).orderBy("begin", F.desc("_first"))
-    backward = Window.partitionBy(*keys).orderBy(F.desc("begin"), "_first")
-    before = F.max(F.when(F.col("_first"), F.col("end"))).over(
+    forward = Window.partitionBy(*keys).orderBy("begin", F.desc("_keep"))
+    backward = Window.partitionBy(*keys).orderBy(F.desc("begin"), "_keep")
+    before = F.max(F.when(F.col("_keep"), F.col("end"))).over(
         forward.rowsBetween(Window.unboundedPreceding, 0)
     )
-    after = F.min(F.when(F.col("_first"), F.col("begin"))).over(
+    after = F.min(F.when(F.col("_keep"), F.col("begin"))).over(
         backward.rowsBetween(Window.unboundedPreceding, -1)
     )
-    marked = both.withColumn("_before", before).withColumn("_after", after)
-    clear = (F.coalesce(F.col("_before"), F.lit(-1)) <= F.col("begin")) & (
-        F.col("_after").isNull() | (F.col("_after") >= F.col("end"))
-    )
-    return marked.filter(F.col("_first") | clear).drop("_first", "_before", "_after")
+    for level in range(1, levels):
+        marked = ranked.withColumn("_before", before).withColumn("_after", after)
+        clear = (F.coalesce(F.col("_before"), F.lit(-1)) <= F.col("begin")) & (
+            F.col("_after").isNull() | (F.col("_after") >= F.col("end"))
+        )
+        keep = F.col("_keep") | ((F.col("_rank") == level) & clear)
+        ranked = marked.withColumn("_keep", keep).drop("_before", "_after")
+    return ranked.filter("_keep").drop("_rank", "_keep")
+
+
+def combine_types(spans: DataFrame, keys: list[str], order: list[list[str]]) -> DataFrame:
+    """Combines the types of one table of spans, the types of a list before the next list's."""
+    rank = F.coalesce(*[F.when(F.col("type").isin(kinds), i) for i, kinds in enumerate(order)])
+    wanted = [kind for kinds in order for kind in kinds]
+    return combine_ranked(spans.filter(F.col("type").isin(wanted)), keys, rank, len(order))
 
 
 def combine_taggers(taggers: list[DataFrame], keys: list[str]) -> DataFrame:
-    """All spans of the first tagger; of each later one those that overlap none so far."""
-    combined = taggers[0]
-    for more in taggers[1:]:
-        combined = add_without_overlap(combined, more, keys)
-    return combined
+    """Combines tables of spans from several taggers, the first the most trusted."""
+    ranked = [spans.withColumn("_tagger", F.lit(i)) for i, spans in enumerate(taggers)]
+    union = ranked[0]
+    for more in ranked[1:]:
+        union = union.unionByName(more)
+    return combine_ranked(union, keys, F.col("_tagger"), len(taggers)).drop("_tagger")
 
 
 def of_type(entities: DataFrame, kind: str) -> DataFrame:

@@ -21,34 +21,47 @@ def match_spans(
 
 
 def pattern_spans(
-    docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str]
+    docs: DataFrame,
+    keys: list[str],
+    text: str,
+    patterns: dict[str, str],
+    needs: dict[str, str] | None = None,
 ) -> DataFrame:
     """Rows `(keys, type, begin, end, text)` for every named pattern, in one scan.
 
-    Texts without a match of any pattern leave before the shuffle.
+    `needs` may give a cheap pattern that every text with a match also matches. Texts
+    that can hold no match of any pattern leave before the shuffle.
     """
+    cheap = {kind: (needs or {}).get(kind, pattern) for kind, pattern in patterns.items()}
     some = F.lit(False)
-    for pattern in patterns.values():
+    for pattern in dict.fromkeys(cheap.values()):
         some = some | F.col(text).rlike(pattern)
     candidates = by_document(docs.select(*keys, text).filter(some), *keys)
-    spans = _located(candidates, keys, text, patterns)
+    spans = _located(candidates, keys, text, patterns, cheap)
     return spans.select(*keys, "type", "begin", "end", "text")
 
 
-def _located(docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str]) -> DataFrame:
+def _located(
+    docs: DataFrame,
+    keys: list[str],
+    text: str,
+    patterns: dict[str, str],
+    cheap: dict[str, str] | None = None,
+) -> DataFrame:
     """Matches with offsets, for documents that are already placed by key.
 
     Splitting on a pattern gives the gaps between its matches, so an offset is a
     running sum of lengths. The window needs no shuffle beyond the placing.
     """
-    per_pattern = [
-        F.struct(
-            F.lit(kind).alias("type"),
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
-            F.split(text, pattern).alias("gaps"),
+    per_pattern = []
+    for kind, pattern in patterns.items():
+        hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern)
+        if cheap:
+            possible = F.col(text).rlike(cheap[kind])
+            hits, gaps = F.when(possible, hits), F.when(possible, gaps)
+        per_pattern.append(
+            F.struct(F.lit(kind).alias("type"), hits.alias("hits"), gaps.alias("gaps"))
         )
-        for kind, pattern in patterns.items()
-    ]
     matched = docs.select(*keys, F.inline(F.array(*per_pattern)))
     pieces = matched.select(
         *keys, "type", F.posexplode(F.arrays_zip(F.col("hits"), F.col("gaps"))).alias("pos", "piece")

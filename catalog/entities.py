@@ -73,11 +73,8 @@ def entity_per_sentence(spark, sf):
 
 
 def entity_ensemble(spark, sf):
-    docs = documents(spark, sf)
-    # One scan finds all patterns; the taggers are shares of its result.
-    spans = E.entity_spans(docs, KEYS, "text").drop("prob")
-    order = [["EMAIL"], ["IP", "TIME", "MONEY"], ["NUMBER"]]
-    return E.combine_taggers([spans.filter(F.col("type").isin(kinds)) for kinds in order], KEYS)
+    spans = E.entity_spans(documents(spark, sf), KEYS, "text").drop("prob")
+    return E.combine_types(spans, KEYS, [["EMAIL"], ["IP", "TIME", "MONEY"], ["NUMBER"]])
 
 
 def entity_compile(spark, sf):
