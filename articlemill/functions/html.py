@@ -68,8 +68,9 @@ def decode_numeric_entities(text: Column) -> Column:
 
     def replaced(acc: Column, number: Column) -> Column:
         code = F.lpad(F.hex(number.cast("bigint")), 8, "0")
+        # A coded ampersand becomes the named one, which is decoded last and once.
         known = (number.cast("bigint") <= 0x10FFFF) & (number.cast("bigint") > 0)
-        char = F.when(known, F.decode(F.unhex(code), "UTF-32")).otherwise(F.lit("�"))
+        char = F.when(number.cast("bigint") == 38, "&amp;").when(known, F.decode(F.unhex(code), "UTF-32")).otherwise(F.lit("�"))
         return F.replace(acc, F.concat(F.lit("&#"), number, F.lit(";")), char)
 
     return F.aggregate(digits, text, replaced)

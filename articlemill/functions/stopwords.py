@@ -7,6 +7,8 @@ is used.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,7 @@ SHORT_STOPWORDS = [
 CUSTOM_STOPWORDS = ["start", "starts", "period", "periods"] + SHORT_STOPWORDS
 
 
+@cache
 def english_stopwords() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from articlemill.operators.lookup import keyed_join
+from articlemill.sources.tables import by_document
 
 MAX_INLINE_WORDS = 10_000
 
@@ -66,7 +67,8 @@ def nth_word(counts: DataFrame, n: int) -> DataFrame:
 
 def document_counts(docs: DataFrame, key: str, token_array: Column) -> DataFrame:
     """Rows `(key, counts)` with the counts of each document as one array."""
-    words = exploded_tokens(docs, token_array, key)
+    # Placed by key, a document needs no shuffle for either grouping.
+    words = exploded_tokens(by_document(docs, key), token_array, key)
     counted = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("cnt"))
     pairs = F.sort_array(F.collect_list(F.struct("word", "cnt")))
     return counted.groupBy(key).agg(pairs.alias("counts"))

@@ -33,15 +33,9 @@ ENTITY_PATTERNS = {
     "NUMBER": "[0-9]+",
 }
 
-# What a text with a match of each pattern must hold.
-PATTERN_NEEDS = {
-    "EMAIL": "@",
-    "IP": "[0-9]",
-    "MONEY": "[$€£]",
-    "TIME": "[0-9]",
-    "NUMBER": "[0-9]",
-}
-
+# Characters of which a text with a match of each pattern holds at least one.
+DIGITS = "0123456789"
+PATTERN_NEEDS = {"EMAIL": "@", "IP": DIGITS, "MONEY": "$€£", "TIME": DIGITS, "NUMBER": DIGITS}
 
 # Words that start with a capital letter and have at least five letters.
 CAPITALISED = "^[A-Z][a-z]{4,}$"

@@ -10,8 +10,12 @@ SALTS = 32
 
 
 def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True if the table has at most `max_rows` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if the table has at most `max_rows` rows.
+
+    `take` reads a few partitions at a time and stops once it has enough rows. A limit
+    with a count would send that many rows of *every* partition to one task.
+    """
+    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
 def keyed_join(

@@ -8,37 +8,45 @@ from pyspark.sql import functions as F
 
 from articlemill.operators.lookup import keyed_join
 
-INDEX_BUCKETS = 256
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 10_000
 BROADCAST_CELLS = 200_000
 
 
-def with_row_index(df: DataFrame, key: str, name: str = "row_id") -> DataFrame:
-    """Numbers the rows from 0 in the order of a unique numeric or time column.
+def with_row_index(
+    df: DataFrame, key: str, name: str = "row_id", rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """Numbers the rows from 0 in the order of a unique numeric column.
 
-    Quantiles of the key cut the rows into buckets of like size; each bucket is
-    numbered on its own, and the counts of the buckets before it are added. No window
-    runs over the whole table, and the result does not depend on how a task reads it.
+    Quantiles of the key cut the rows into buckets of like size, more of them for a
+    larger table; each bucket is numbered on its own, and the sizes of the buckets before
+    it are added. No window runs over the whole table. The cuts are constants of the
+    plan, so a task that runs again places its rows alike.
     """
     numbered = df.withColumn("_number", F.col(key).cast("double"))
-    steps = [i / INDEX_BUCKETS for i in range(1, INDEX_BUCKETS)]
-    cuts = numbered.agg(F.percentile_approx("_number", steps, 10_000)).head()[0] or []
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    placed = (
-        Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket").transform(numbered)
-        if cuts
-        else numbered.withColumn("_bucket", F.lit(0.0))
-    )
+    buckets = min(MAX_BUCKETS, df.count() // rows_per_bucket + 1)
+    # A bucketizer wants two buckets at least.
+    edges = [float("-inf"), *(_cuts(numbered, buckets) or [0.0]), float("inf")]
+    placed = Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket").transform(numbered)
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     within = Window.partitionBy("_bucket").orderBy(key)
     ranked = placed.withColumn("_within", F.row_number().over(within) - 1)
-    # At most INDEX_BUCKETS rows of offsets, so they are broadcast.
+    # One row of offsets per bucket, so at most MAX_BUCKETS rows are broadcast.
     joined = ranked.join(F.broadcast(offsets), "_bucket")
     index = (F.col("_offset") + F.col("_within")).alias(name)
     return joined.select(index, *df.columns)
 
 
+def _cuts(numbered: DataFrame, buckets: int) -> list[float]:
+    steps = [i / buckets for i in range(1, buckets)]
+    if not steps:
+        return []
+    cuts = numbered.agg(F.percentile_approx("_number", steps, 10 * MAX_BUCKETS)).head()[0]
+    return sorted(set(cuts or []))
+
+
 def shape(matrix: DataFrame) -> DataFrame:
     return matrix.agg(
         F.count(F.lit(1)).alias("n_rows"), F.max(F.size("features")).alias("n_cols")

@@ -183,24 +183,28 @@ def select_elements(
 
 
 def articles_by_rules(
-    pages: DataFrame, url: str, html: str, rules: dict[str, str], required: str = "content"
+    pages: DataFrame,
+    keys: list[str],
+    html: str,
+    rules: dict[str, str],
+    required: str = "content",
 ) -> DataFrame:
     """One row per page with the text of each rule's elements.
 
     A field is the joined text of all elements its rule finds, empty if there are none;
-    a page without the required element is left out.
+    a page without the required element is left out. `keys` must identify a page, as the
+    same address may have been crawled many times.
     """
-    found = select_elements(pages, [url], html, list(rules.items()))
-    texts = F.array_sort(F.collect_list(F.struct("pos", "text")))
-    fields = found.groupBy(url, "field").agg(
-        F.array_join(F.transform(texts, lambda t: t["text"]), " ").alias("text")
-    )
-    wide = fields.groupBy(url).pivot("field", list(rules)).agg(F.first("text"))
-    filled = [
-        F.coalesce(F.col(f"`{field}`"), F.lit("")).alias(field) if field != required else F.col(field)
-        for field in rules
+    found = select_elements(pages, keys, html, list(rules.items()))
+
+    def texts(field: str):
+        return F.array_sort(F.collect_list(F.when(F.col("field") == field, F.struct("pos", "text"))))
+
+    fields = found.groupBy(*keys).agg(*[texts(field).alias(field) for field in rules])
+    joined = [
+        F.array_join(F.transform(field, lambda t: t["text"]), " ").alias(field) for field in rules
     ]
-    return wide.filter(F.col(required).isNotNull()).select(F.col(url).alias("url"), *filled)
+    return fields.filter(F.size(required) > 0).select(*keys, *joined)
 
 
 # Tasks carry this module along, so executors need no copy of the package.

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from articlemill.functions.text import NON_SPACE, SENTENCE, covered_text
@@ -29,15 +32,18 @@ def pattern_spans(
 ) -> DataFrame:
     """Rows `(keys, type, begin, end, text)` for every named pattern, in one scan.
 
-    `needs` may give a cheap pattern that every text with a match also matches. Texts
-    that can hold no match of any pattern leave before the shuffle.
+    `needs` may give characters of which a text with a match holds at least one; to look
+    for these is cheaper than to search for the pattern. Texts that can hold no match of
+    any pattern leave before the shuffle.
     """
-    cheap = {kind: (needs or {}).get(kind, pattern) for kind, pattern in patterns.items()}
-    some = F.lit(False)
-    for pattern in dict.fromkeys(cheap.values()):
-        some = some | F.col(text).rlike(pattern)
+    possible = {}
+    for kind, pattern in patterns.items():
+        chars = (needs or {}).get(kind)
+        tests = [F.col(text).contains(c) for c in chars] if chars else [F.col(text).rlike(pattern)]
+        possible[kind] = reduce(or_, tests)
+    some = reduce(or_, possible.values())
     candidates = by_document(docs.select(*keys, text).filter(some), *keys)
-    spans = _located(candidates, keys, text, patterns, cheap)
+    spans = _located(candidates, keys, text, patterns, possible)
     return spans.select(*keys, "type", "begin", "end", "text")
 
 
@@ -46,7 +52,7 @@ def _located(
     keys: list[str],
     text: str,
     patterns: dict[str, str],
-    cheap: dict[str, str] | None = None,
+    possible: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Matches with offsets, for documents that are already placed by key.
 
@@ -56,9 +62,8 @@ def _located(
     per_pattern = []
     for kind, pattern in patterns.items():
         hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern)
-        if cheap:
-            possible = F.col(text).rlike(cheap[kind])
-            hits, gaps = F.when(possible, hits), F.when(possible, gaps)
+        if possible:
+            hits, gaps = F.when(possible[kind], hits), F.when(possible[kind], gaps)
         per_pattern.append(
             F.struct(F.lit(kind).alias("type"), hits.alias("hits"), gaps.alias("gaps"))
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,13 +76,16 @@ def with_article_id(df: DataFrame, fields: list[str] | None = None) -> DataFrame
 
 def write_articles_json(
     df: DataFrame, path: str, mode: str = "overwrite", one_per_file: bool = False
-) -> None:
-    """JSON lines, or one article per file where a reader asks for it.
+) -> int:
+    """JSON lines, or one article per file where a reader asks for it; returns the count.
 
     `overwrite` replaces the folder; the output committer keeps only the files of
-    the task attempt that won, so a retry leaves no second copy.
+    the task attempt that won, so a retry leaves no second copy. The count is observed
+    on the rows as they are written, without a second pass.
     """
-    writer = df.write.mode(mode)
+    progress = Observation()
+    writer = df.observe(progress, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if one_per_file:
         writer = writer.option("maxRecordsPerFile", 1)
     writer.json(path)
+    return progress.get["n"]

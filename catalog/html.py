@@ -129,7 +129,7 @@ def rule_articles(spark, sf):
         "title": "article h1",
         "content": "article",
     }
-    return articles_by_rules(table, "url", "html", rules)
+    return articles_by_rules(table, ["page_id", "url"], "html", rules).drop("page_id")
 
 
 QUERIES = {

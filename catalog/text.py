@@ -108,7 +108,7 @@ def article_count(spark, sf):
 
 def merge_article_counts(spark, sf):
     per_document = C.document_counts(
-        spread_documents(spark, sf), "doc_id", X.raw_tokens(F.col("text"))
+        documents(spark, sf).select("doc_id", "text"), "doc_id", X.raw_tokens(F.col("text"))
     )
     return C.merge_counts(per_document)
 

@@ -1,0 +1,148 @@
+import random
+
+from pyspark.sql import functions as F
+
+from articlemill.operators import entities as E
+from articlemill.operators import relations as R
+
+KEYS = ["doc_id"]
+SPAN = "doc_id bigint, type string, begin int, end int, text string"
+
+
+def docs_of(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+
+def terms(spark, **types):
+    rows = [(term, kind) for kind, names in types.items() for term in names]
+    return spark.createDataFrame(rows, "term string, type string")
+
+
+def test_known_places_are_tagged(spark):
+    docs = docs_of(spark, "I am a good man in China.", "You are also good, but in America.")
+    gazetteer = terms(spark, LOCATION=["China", "America"])
+    tagged = E.token_tags(docs, KEYS, "text", gazetteer).filter("tag <> 'O'").collect()
+    assert sorted((r["doc_id"], r["token"], r["tag"]) for r in tagged) == [
+        (0, "China", "LOCATION"), (1, "America", "LOCATION"),
+    ]
+    spans = E.gazetteer_spans(docs, KEYS, "text", gazetteer).orderBy("doc_id").collect()
+    assert [(r["begin"], r["end"]) for r in spans] == [(19, 24), (26, 33)]
+
+
+def test_terms_of_several_words(spark):
+    docs = docs_of(spark, "From San Antonio to Antonio, San")
+    gazetteer = terms(spark, LOCATION=["San Antonio"], PERSON=["Antonio"])
+    rows = E.gazetteer_spans(docs, KEYS, "text", gazetteer, max_words=2).collect()
+    assert sorted((r["type"], r["begin"], r["end"], r["text"]) for r in rows) == [
+        ("LOCATION", 5, 16, "San Antonio"), ("PERSON", 9, 16, "Antonio"), ("PERSON", 20, 27, "Antonio"),
+    ]
+
+
+def test_neighbours_merge_and_gaps_part(spark):
+    rows = [
+        (1, 0, "San", "LOCATION"), (1, 1, "Antonio", "LOCATION"), (1, 2, "is", "O"),
+        (1, 3, "Texas", "LOCATION"), (1, 4, "Bob", "PERSON"), (2, 0, "Bob", "PERSON"),
+    ]
+    tags = spark.createDataFrame(rows, "doc_id bigint, pos int, token string, tag string")
+    merged = E.merge_adjacent(tags, KEYS).collect()
+    assert sorted((r["doc_id"], r["first"], r["last"], r["text"], r["type"]) for r in merged) == [
+        (1, 0, 1, "San Antonio", "LOCATION"), (1, 3, 3, "Texas", "LOCATION"),
+        (1, 4, 4, "Bob", "PERSON"), (2, 0, 0, "Bob", "PERSON"),
+    ]
+
+
+def test_patterns(spark):
+    text = "Paid $1,000 and €5.50 on 2015-11-11 to a.b@c.org from 10.0.0.1"
+    rows = E.entity_spans(docs_of(spark, text, "nothing"), KEYS, "text").collect()
+    found = {(r["type"], r["text"]) for r in rows}
+    assert {
+        ("MONEY", "$1,000"), ("MONEY", "€5.50"), ("TIME", "2015-11-11"), ("EMAIL", "a.b@c.org"),
+        ("IP", "10.0.0.1"),
+    } <= found
+    assert all(text[r["begin"] : r["end"]] == r["text"] and r["prob"] == 1.0 for r in rows)
+    assert {r["doc_id"] for r in rows} == {0}
+
+
+def test_spans_by_sentence(spark):
+    docs = docs_of(spark, "One is 1. Two is 22!")
+    rows = E.entities_by_sentence(docs, KEYS, "text", {"NUMBER": "[0-9]+"}).collect()
+    assert sorted((r["sent_id"], r["begin"], r["text"]) for r in rows) == [(0, 7, "1"), (1, 8, "22")]
+
+
+def test_combined_taggers_against_brute_force(spark):
+    rng = random.Random(7)
+    levels = []
+    for level in range(3):
+        spans = set()
+        for doc in range(6):
+            for _ in range(12):
+                begin = rng.randrange(60)
+                spans.add((doc, f"T{level}", begin, begin + rng.randrange(1, 9), "x"))
+        levels.append(sorted(spans))
+    kept = list(levels[0])
+    for level in levels[1:]:
+        kept += [s for s in level if not any(k[0] == s[0] and k[2] < s[3] and s[2] < k[3] for k in kept)]
+    taggers = [spark.createDataFrame(level, SPAN) for level in levels]
+    got = [tuple(r) for r in E.combine_taggers(taggers, KEYS).select("doc_id", "type", "begin", "end", "text").collect()]
+    assert sorted(got) == sorted(kept)
+    union = taggers[0].union(taggers[1]).union(taggers[2])
+    by_type = E.combine_types(union, KEYS, [["T0"], ["T1"], ["T2"]])
+    assert sorted(tuple(r) for r in by_type.collect()) == sorted(kept)
+
+
+def test_aliases(spark):
+    names = ["Jose A. Ytuarte", "Ytuarte", "Ytuarte", "Ann Lee", "Bob Lee", "Lee", "Solo"]
+    rows = [(1, "PERSON", i, i + 1, n) for i, n in enumerate(names)] + [(2, "PERSON", 0, 1, "Ytuarte")]
+    merged = E.merge_aliases(spark.createDataFrame(rows, SPAN), KEYS).collect()
+    found = {(r["doc_id"], r["name"]): (r["canonical"], r["cnt"]) for r in merged}
+    assert found[(1, "Ytuarte")] == ("Jose A. Ytuarte", 2)
+    assert found[(1, "Lee")][0] == "Ann Lee"
+    assert found[(1, "Bob Lee")][0] == "Bob Lee"
+    assert found[(1, "Solo")][0] == "Solo"
+    assert found[(2, "Ytuarte")][0] == "Ytuarte"
+
+
+def test_states_and_types(spark):
+    rows = [(1, "LOCATION", 0, 1, "Texas"), (1, "LOCATION", 2, 3, "Paris"), (1, "PERSON", 4, 5, "Texas")]
+    entities = spark.createDataFrame(rows, SPAN)
+    states = spark.createDataFrame([("Texas",), ("Ohio",)], "state string")
+    assert [r["begin"] for r in E.matching_names(entities, "LOCATION", states).collect()] == [0]
+    assert E.of_type(entities, "PERSON").count() == 1
+
+
+def test_compiled_json(spark):
+    rows = [(1, "LOCATION", 0, 1, "b"), (1, "LOCATION", 2, 3, "a"), (1, "LOCATION", 5, 6, "a"), (1, "MONEY", 7, 8, "$1")]
+    compiled = E.compile_entities(spark.createDataFrame(rows, SPAN), KEYS)
+    row = E.compiled_json(compiled, KEYS).head()
+    assert row["json"] == '{"location":["a","b"],"person":[],"organization":[],"time":[],"money":["$1"]}'
+
+
+def test_user_tagger(spark):
+    def tagger(batches):
+        for batch in batches:
+            hit = batch[batch["text"].str.contains("FBI")]
+            yield hit.assign(type="ORGANIZATION", begin=hit["text"].str.find("FBI"), end=hit["text"].str.find("FBI") + 3, text="FBI", prob=0.9)[
+                ["doc_id", "type", "begin", "end", "text", "prob"]
+            ]
+
+    rows = E.tagged_by(docs_of(spark, "The FBI said", "none"), KEYS, "text", tagger).collect()
+    assert [tuple(r) for r in rows] == [(0, "ORGANIZATION", 4, 7, "FBI", 0.9)]
+
+
+def test_relations(spark):
+    docs = docs_of(
+        spark,
+        "Obama lives in America. Obama works for Congress. Hondo, TX.",
+        "Obama saw America. Obama met Congress in America",
+    )
+    gazetteer = terms(
+        spark, PERSON=["Obama"], LOCATION=["America", "Hondo", "TX"], ORGANIZATION=["Congress"]
+    )
+    pairs = R.relation_pairs(docs, KEYS, "text", gazetteer)
+    assert pairs.count() == 6
+    text = R.relation_text(F.col("left_text"), F.col("rel_type"), F.col("right_text")).alias("t")
+    found = sorted(r["t"] for r in R.related(pairs).select(text).collect())
+    assert found == [
+        "Congress ( OrgBased_In ) America", "Hondo ( Located_In ) TX",
+        "Obama ( Live_In ) America", "Obama ( Work_For ) Congress",
+    ]
