@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 LETTERS = "A-Za-z"
 LETTERS_DIGITS = "A-Za-z0-9"
 NON_SPACE = "[^ \\t\\r\\n]+"
-WORD_OR_MARK = "[\\p{L}\\p{N}]+|[^\\p{L}\\p{N} \\t\\r\\n]"
+# ASCII ranges come first, as they are tested faster than Unicode classes.
+WORD_OR_MARK = "[A-Za-z0-9\\p{L}\\p{N}]+|[^A-Za-z0-9\\p{L}\\p{N} \\t\\r\\n]"
 SENTENCE = "[^.!?]+[.!?]*"
 
 

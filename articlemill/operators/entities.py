@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from articlemill.functions.text import WORD_OR_MARK, word_tokens
 from articlemill.operators.lookup import keyed_join
-from articlemill.operators.spans import match_spans, pattern_spans, sentence_spans
+from articlemill.operators.spans import match_spans, numbered_sentences, pattern_spans
 from articlemill.sources.tables import by_document
 
 NO_TAG = "O"
@@ -174,16 +174,19 @@ def entities_by_sentence(
     docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str] | None = None
 ) -> DataFrame:
     """Rows `(keys, sent_id, type, begin, end, text)`, offsets within the sentence."""
-    sentences = sentence_spans(docs, keys, text).select(*keys, "sent_id", "text")
-    return _known_pattern_spans(sentences, keys + ["sent_id"], "text", patterns)
+    sentences = numbered_sentences(docs, keys, text)
+    return _known_pattern_spans(sentences, keys + ["sent_id"], "text", patterns, placed=True)
 
 
 def _known_pattern_spans(
-    docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str] | None
+    docs: DataFrame,
+    keys: list[str],
+    text: str,
+    patterns: dict[str, str] | None,
+    placed: bool = False,
 ) -> DataFrame:
-    if patterns is None:
-        return pattern_spans(docs, keys, text, ENTITY_PATTERNS, PATTERN_NEEDS)
-    return pattern_spans(docs, keys, text, patterns)
+    needs = PATTERN_NEEDS if patterns is None else None
+    return pattern_spans(docs, keys, text, patterns or ENTITY_PATTERNS, needs, placed)
 
 
 def combine_ranked(spans: DataFrame, keys: list[str], rank: Column, levels: int) -> DataFrame:

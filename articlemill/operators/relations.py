@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from articlemill.functions.text import word_tokens
 from articlemill.operators.entities import merge_adjacent
 from articlemill.operators.lookup import keyed_join
-from articlemill.operators.spans import sentence_spans
+from articlemill.operators.spans import numbered_sentences
 
 NO_RELATION = "_NR"
 
@@ -42,7 +42,7 @@ def sentence_mentions(
     bound: int | None = None,
 ) -> DataFrame:
     """Mentions of each sentence, each with the `max_between` tokens that follow it."""
-    sentences = sentence_spans(docs, keys, text).select(*keys, "sent_id", "text")
+    sentences = numbered_sentences(docs, keys, text)
     tokenised = sentences.select(*keys, "sent_id", word_tokens(F.col("text")).alias("_words"))
     # Shifted copies of the array put each token beside those that follow it.
     shifts = [

@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from articlemill.functions.text import NON_SPACE, SENTENCE, covered_text
+from articlemill.functions.text import NON_SPACE, SENTENCE, covered_text, sentences
 from articlemill.sources.tables import by_document
 
 
@@ -29,12 +29,14 @@ def pattern_spans(
     text: str,
     patterns: dict[str, str],
     needs: dict[str, str] | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """Rows `(keys, type, begin, end, text)` for every named pattern, in one scan.
 
     `needs` may give characters of which a text with a match holds at least one; to look
     for these is cheaper than to search for the pattern. Texts that can hold no match of
-    any pattern leave before the shuffle.
+    any pattern leave before the shuffle. `placed` says that the documents already lie
+    by key, or by the first of the keys.
     """
     possible = {}
     for kind, pattern in patterns.items():
@@ -42,7 +44,9 @@ def pattern_spans(
         tests = [F.col(text).contains(c) for c in chars] if chars else [F.col(text).rlike(pattern)]
         possible[kind] = reduce(or_, tests)
     some = reduce(or_, possible.values())
-    candidates = by_document(docs.select(*keys, text).filter(some), *keys)
+    candidates = docs.select(*keys, text).filter(some)
+    if not placed:
+        candidates = by_document(candidates, *keys)
     spans = _located(candidates, keys, text, patterns, possible)
     return spans.select(*keys, "type", "begin", "end", "text")
 
@@ -86,6 +90,15 @@ def sentence_spans(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     return match_spans(docs, keys, text, SENTENCE, position="sent_id")
 
 
+def numbered_sentences(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Rows `(keys, sent_id, text)` of documents placed by key, without offsets.
+
+    No window is needed, and later windows by document or sentence find their rows placed.
+    """
+    placed = by_document(docs.select(*keys, text), *keys)
+    return placed.select(*keys, F.posexplode(sentences(F.col(text))).alias("sent_id", "text"))
+
+
 def with_covered_text(spans: DataFrame, docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Fills the text of spans that hold only offsets, from the documents' text."""
     joined = spans.join(docs.select(*keys, text), keys)
