@@ -18,15 +18,15 @@ INLINE_TAG = (
 ANY_TAG = "<[^>]*>"
 ATTRIBUTE = "([A-Za-z_:][A-Za-z0-9_:.-]*)[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n\"'>]+)"
 
-# Named character references, the ampersand last.
+# Named character references, the ampersand last. The older names are read
+# without their semicolon too.
 ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"),
-    ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&hellip;", "…"), ("&bull;", "•"), ("&sect;", "§"),
-    ("&euro;", "€"), ("&amp;", "&"),
+    ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&apos;", "'"), ("&nbsp;?", "\u00a0"),
+    ("&copy;?", "©"), ("&reg;?", "®"), ("&middot;?", "·"), ("&sect;?", "§"), ("&ndash;", "–"),
+    ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
+    ("&hellip;", "…"), ("&bull;", "•"), ("&euro;", "€"), ("&amp;?", "&"),
 ]
+NUMBERED = "&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
 
 
 def strip_noise(html: Column) -> Column:
@@ -63,23 +63,29 @@ def paragraphs(html: Column) -> Column:
 
 
 def decode_numeric_entities(text: Column) -> Column:
-    """Decimal character references, each distinct one replaced once per text."""
-    digits = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7});"), F.lit(1)))
-
-    def replaced(acc: Column, number: Column) -> Column:
-        code = F.lpad(F.hex(number.cast("bigint")), 8, "0")
+    """Numbered character references, each distinct one replaced once per text."""
+    references = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMBERED), F.lit(0)))
+
+    def replaced(acc: Column, reference: Column) -> Column:
+        digits = F.regexp_extract(reference, "([0-9A-Fa-f]+);", 1)
+        decimal = F.when(reference.rlike("[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+        number = decimal.cast("bigint")
+        valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
         # A coded ampersand becomes the named one, which is decoded last and once.
-        known = (number.cast("bigint") <= 0x10FFFF) & (number.cast("bigint") > 0)
-        char = F.when(number.cast("bigint") == 38, "&amp;").when(known, F.decode(F.unhex(code), "UTF-32")).otherwise(F.lit("�"))
-        return F.replace(acc, F.concat(F.lit("&#"), number, F.lit(";")), char)
+        known = F.when(number == 38, "&amp;").when(valid, char).otherwise("\ufffd")
+        return F.replace(acc, reference, known)
 
-    return F.aggregate(digits, text, replaced)
+    return F.aggregate(references, text, replaced)
 
 
 def decode_entities(text: Column) -> Column:
     result = decode_numeric_entities(text)
-    for name, char in ENTITIES:
-        result = F.replace(result, F.lit(name), F.lit(char))
+    for pattern, char in ENTITIES:
+        if pattern.endswith("?"):
+            result = F.regexp_replace(result, pattern, char)
+        else:
+            result = F.replace(result, F.lit(pattern), F.lit(char))
     return F.when(text.contains("&"), result).otherwise(text)
 
 

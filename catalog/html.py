@@ -149,8 +149,8 @@ def quoted(pattern: str) -> str:
 def visible(markup: str) -> str:
     flat = f"regexp_replace({markup}, {quoted(H.INLINE_TAG)}, '', 'g')"
     flat = f"regexp_replace({flat}, {quoted(H.ANY_TAG)}, ' ', 'g')"
-    for name, char in H.ENTITIES:
-        flat = f"replace({flat}, {quoted(name)}, {quoted(char)})"
+    for pattern, char in H.ENTITIES:
+        flat = f"regexp_replace({flat}, {quoted(pattern)}, {quoted(char)}, 'g')"
     return f"trim(regexp_replace({flat}, '[ \\t\\r\\n]+', ' ', 'g'), ' ')"
 
 

@@ -37,6 +37,8 @@ def test_text_and_entities(spark):
     text = value(spark, H.element_text(clean(), "article"))
     assert text == "Onebold Two <x> ’q’ Three"
     assert value(spark, H.decode_entities(F.lit("&amp;lt; &#38;amp; &#0;"))) == "&lt; &amp; �"
+    assert value(spark, H.decode_entities(F.lit("&#x27;a&#X2019; &#xD800; &lt b&amp"))) == "'a’ � < b&"
+    assert value(spark, H.decode_entities(F.lit("&amp;#39; &#128512;"))) == "&#39; 😀"
 
 
 def test_paragraphs_left_open(spark):
