@@ -116,7 +116,7 @@ def attribute(attr_text: Column, name: str) -> Column:
     """Raw value of an attribute, null where it is absent."""
     pattern = f"(?is)(?:^|[ \\t\\r\\n]){name}[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n\"'>]+)"
     found = F.regexp_extract(attr_text, pattern, 1)
-    return F.when(found != "", unquoted(found))
+    return F.when(found != "", decode_entities(unquoted(found)))
 
 
 def attributes(attr_text: Column) -> Column:
@@ -125,7 +125,10 @@ def attributes(attr_text: Column) -> Column:
     values = F.regexp_extract_all(attr_text, F.lit(ATTRIBUTE), F.lit(2))
     unique = F.array_distinct(names)
     first = F.transform(
-        unique, lambda n: unquoted(F.get(values, (F.array_position(names, n) - 1).cast("int")))
+        unique,
+        lambda n: decode_entities(
+            unquoted(F.get(values, (F.array_position(names, n) - 1).cast("int")))
+        ),
     )
     return F.map_from_arrays(unique, first)
 

@@ -24,9 +24,10 @@ NO_TAG = "O"
 # The entity types.
 ENTITY_TYPES = ["LOCATION", "PERSON", "ORGANIZATION", "TIME", "MONEY"]
 
-# Patterns of the rule tagger.
+# Patterns of the rule tagger. None repeats a group of varying length, as Java
+# matches such a group by recursion and would overflow on long junk.
 ENTITY_PATTERNS = {
-    "EMAIL": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+",
+    "EMAIL": "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}",
     "IP": "[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}",
     "MONEY": "[$€£][0-9]+(?:,[0-9]{3})*(?:\\.[0-9]+)?",
     "TIME": "[0-9]{4}-[0-9]{2}-[0-9]{2}",

@@ -37,6 +37,8 @@ ENDED_BY = {
     "option": {"option"},
 }
 
+ROWS_PER_BATCH = 2_000
+
 PART = re.compile(r"([#.]?[\w-]+|\[[^\]]*\]|\*)")
 CONDITION = re.compile(r"\[\s*([\w:-]+)\s*(?:([\^$*~]?=)\s*[\"']?([^\"'\]]*)[\"']?)?\s*\]")
 
@@ -167,8 +169,8 @@ def select_elements(
     schema = T.StructType([pages.schema[k] for k in keys] + T.StructType.fromDDL(SELECTED_SCHEMA).fields)
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[list] = []
         for batch in batches:
-            rows = []
             for record in batch.itertuples(index=False):
                 key_values, tree = list(record[:-1]), PageTree(record[-1] or "")
                 for field, steps in compiled:
@@ -177,6 +179,10 @@ def select_elements(
                         rows.append(key_values + [
                             field, pos, node["tag"], tree.text(node), tree.markup(node), node["attrs"],
                         ])
+                if len(rows) >= ROWS_PER_BATCH:
+                    yield pd.DataFrame(rows, columns=schema.names)
+                    rows = []
+        if rows:
             yield pd.DataFrame(rows, columns=schema.names)
 
     return pages.select(*keys, html).mapInPandas(found, schema)

@@ -29,9 +29,13 @@ def view_by_kind(store: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def key_value_view(df: DataFrame, key: Column, value: Column) -> DataFrame:
-    """Rows in key order, as a stored view serves them."""
-    return df.select(key.alias("key"), value.alias("value")).orderBy("key", "value")
+def key_value_view(df: DataFrame, doc_id: Column, key: Column, value: Column) -> DataFrame:
+    """Rows in key order, and by id within a key, as a stored view serves them.
+
+    The id also parts a key that many documents share over several ranges of the sort.
+    """
+    view = df.select(doc_id.alias("id"), key.alias("key"), value.alias("value"))
+    return view.orderBy("key", "id")
 
 
 def lookup_by_ids(df: DataFrame, id_column: str, keys: list | DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+MAX_PARTS = 20_000
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -26,9 +28,14 @@ def by_document(df: DataFrame, *keys: str) -> DataFrame:
     """Place whole documents by key *before* they are exploded into tokens.
 
     Windows and groupings on the same keys then find their partitioning in place:
-    the compact text is shuffled once, and its many token rows never are.
+    the compact text is shuffled once, and its many token rows never are. There are as
+    many parts as the scan has splits, up to what a shuffle can track, so that a part
+    stays near the size of a split.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df.repartition(*keys)
-    return df.repartition(cores, *keys)
+    session = df.sparkSession
+    cores = session.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    if splits < 2 * cores:
+        return df.repartition(cores, *keys)
+    configured = int(session.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(configured, min(splits, MAX_PARTS)), *keys)

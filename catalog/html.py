@@ -149,9 +149,13 @@ def quoted(pattern: str) -> str:
 def visible(markup: str) -> str:
     flat = f"regexp_replace({markup}, {quoted(H.INLINE_TAG)}, '', 'g')"
     flat = f"regexp_replace({flat}, {quoted(H.ANY_TAG)}, ' ', 'g')"
+    return f"trim(regexp_replace({decoded(flat)}, '[ \\t\\r\\n]+', ' ', 'g'), ' ')"
+
+
+def decoded(text: str) -> str:
     for pattern, char in H.ENTITIES:
-        flat = f"regexp_replace({flat}, {quoted(pattern)}, {quoted(char)}, 'g')"
-    return f"trim(regexp_replace({flat}, '[ \\t\\r\\n]+', ' ', 'g'), ' ')"
+        text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(char)}, 'g')"
+    return text
 
 
 def inside(tag: str, group: int = 2) -> str:
@@ -162,7 +166,8 @@ def targets(markup: str) -> str:
     opening = "(?is)<a((?:[ \\t\\r\\n][^>]*)?)>"
     href = "(?is)(?:^|[ \\t\\r\\n])href[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n\"'>]+)"
     value = f"regexp_extract(t, {quoted(href)}, 1)"
-    return f"""[regexp_replace({value}, '^["'']|["'']$', '', 'g')
+    bare = f"""regexp_replace({value}, '^["'']|["'']$', '', 'g')"""
+    return f"""[{decoded(bare)}
         FOR t IN regexp_extract_all({markup}, {quoted(opening)}, 1) IF {value} <> '']"""
 
 

@@ -76,7 +76,9 @@ def view_by_kind(spark, sf):
 
 def view_time_title(spark, sf):
     orders = read_table(spark, sf, "orders")
-    return D.key_value_view(orders, F.col("o_orderdate"), F.col("o_orderpriority"))
+    return D.key_value_view(
+        orders, F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderpriority")
+    )
 
 
 def lookup_by_ids(spark, sf):
@@ -145,8 +147,8 @@ def oracles() -> dict[str, str]:
         "docstore_all": f"SELECT _id, text, lang, source FROM {envelopes}",
         "docstore_metadata": f"SELECT _id, kind FROM {envelopes}",
         "view_by_kind": f"SELECT _id AS key, text, source FROM {envelopes} WHERE kind = 'turn'",
-        "view_time_title": """SELECT o_orderdate AS key, o_orderpriority AS value FROM orders
-            ORDER BY key, value""",
+        "view_time_title": """SELECT o_orderkey AS id, o_orderdate AS key, o_orderpriority AS value FROM orders
+            ORDER BY key, id""",
         "lookup_by_ids": """SELECT * FROM customer WHERE c_custkey IN
             (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
         "scan_filter_type": "SELECT * FROM events WHERE event_type = 'purchase'",

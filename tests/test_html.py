@@ -50,6 +50,7 @@ def test_paragraphs_left_open(spark):
 def test_links_and_attributes(spark):
     assert value(spark, H.link_targets(clean())) == ["/one", "/two"]
     assert value(spark, H.link_targets(clean()), BARE) == []
+    assert value(spark, H.link_targets(clean()), "<a href='/x?a=1&amp;b=2'>") == ["/x?a=1&b=2"]
     attrs = value(spark, F.transform(H.tags(clean(), "a"), H.attributes))
     assert attrs[1] == {"class": "internal-link", "accesskey": "2", "href": "/two"}
     assert value(spark, H.attributes(F.lit(' a="1" A=2 b=3'))) == {"a": "1", "b": "3"}

@@ -81,8 +81,8 @@ def test_store_views(spark, people):
     assert D.all_docs(people).columns == ["_id", "name", "age"]
     assert D.metadata(store).count() == 4
     assert {r["key"] for r in D.view_by_kind(store, "Person").collect()} == {"Alice", "Bob", "Carl"}
-    view = D.key_value_view(people, F.col("doc.age"), F.col("doc.name"))
-    assert [tuple(r) for r in view.collect()] == [(20, "Carl"), (25, "Alice"), (30, "Bob")]
+    view = D.key_value_view(people, F.col("_id"), F.col("doc.age"), F.col("doc.name"))
+    assert [(r["key"], r["value"]) for r in view.collect()] == [(20, "Carl"), (25, "Alice"), (30, "Bob")]
 
 
 def test_lookup_by_list_long_list_and_table(spark, monkeypatch):
