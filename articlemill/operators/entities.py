@@ -286,6 +286,21 @@ def compile_entities(
     return distinct.groupBy(*keys).agg(*arrays)
 
 
+def compiled_articles(
+    articles: DataFrame,
+    keys: list[str],
+    title: str,
+    entities: DataFrame,
+    types: list[str] | None = None,
+) -> DataFrame:
+    """Every article's title with its entities by type; the arrays are empty if it has none."""
+    kinds = [kind.lower() for kind in types or ENTITY_TYPES]
+    compiled = compile_entities(entities, keys, types)
+    joined = articles.select(*keys, F.col(title).alias("title")).join(compiled, keys, "left")
+    nothing = F.array().cast("array<string>")
+    return joined.select(*keys, "title", *[F.coalesce(k, nothing).alias(k) for k in kinds])
+
+
 def compiled_json(compiled: DataFrame, keys: list[str]) -> DataFrame:
     fields = [c for c in compiled.columns if c not in keys]
     return compiled.select(*keys, F.to_json(F.struct(*fields)).alias("json"))

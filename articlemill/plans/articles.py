@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from articlemill.functions import html as H
 from articlemill.functions.text import raw_tokens
 from articlemill.operators.counts import top_words
+from articlemill.operators.selectors import articles_by_rules, select_elements
 from articlemill.schemas import DEFAULT_LABEL
 from articlemill.sources.articles import article_record, decode_tolerant, good_articles
 from articlemill.sources.tables import spread
@@ -19,6 +20,14 @@ BODY = ("article", None, None)
 TITLE = ("h1", None, None)
 TIME = ("span", "id", "parent-fieldname-releaseDate")
 
+# Selectors of the press-release site, and of its index pages' article links.
+PRESS_RELEASE = {
+    "time": "span[id=parent-fieldname-releaseDate]",
+    "title": "h1[class=documentFirstHeading]",
+    "content": "#parent-fieldname-text",
+}
+INDEX_LINKS = "dl a"
+
 
 def articles_from_pages(
     pages: DataFrame,
@@ -45,6 +54,25 @@ def articles_from_pages(
     return parts.select(*article_record())
 
 
+def articles_by_selectors(
+    pages: DataFrame,
+    keys: list[str],
+    fetch_time: Column,
+    rules: dict[str, str] | None = None,
+    label: str = DEFAULT_LABEL,
+) -> DataFrame:
+    """Article records of pages `(keys, url, html)` whose parts only selectors can name."""
+    found = articles_by_rules(pages, [*keys, "url"], "html", rules or PRESS_RELEASE)
+    record = found.withColumn("fetchTime", fetch_time).withColumn("label", F.lit(label))
+    return record.select(*article_record())
+
+
+def index_links(pages: DataFrame, keys: list[str], selector: str = INDEX_LINKS) -> DataFrame:
+    """Rows `(keys, pos, href)`: the article links of index pages, in order, not resolved."""
+    links = select_elements(pages, keys, "html", [("link", selector)])
+    return links.select(*keys, "pos", F.coalesce(F.col("attrs")["href"], F.lit("")).alias("href"))
+
+
 def topic_dictionary(
     files: DataFrame, n: int, stopwords: Iterable[str] | DataFrame | None = None
 ) -> DataFrame:

@@ -78,7 +78,8 @@ def entity_ensemble(spark, sf):
 
 
 def entity_compile(spark, sf):
-    compiled = E.compile_entities(mentions(spark, sf), KEYS, TYPES)
+    articles = read_table(spark, sf, "documents")
+    compiled = E.compiled_articles(articles, KEYS, "source", mentions(spark, sf), TYPES)
     return E.compiled_json(compiled, KEYS)
 
 
@@ -194,9 +195,11 @@ def oracles() -> dict[str, str]:
             ab AS (SELECT * FROM a UNION ALL SELECT * FROM b)
             SELECT * FROM ab UNION ALL SELECT * FROM s WHERE type = 'NUMBER'
               AND NOT EXISTS (SELECT 1 FROM ab WHERE {overlap('ab', 's')})""",
-        "entity_compile": f"""SELECT doc_id, CAST(to_json(struct_pack(person := person,
-            organization := organization, location := location)) AS VARCHAR) AS json
-            FROM (SELECT doc_id, {lists} FROM ({mention}) AS m GROUP BY doc_id) AS c""",
+        "entity_compile": f"""SELECT doc_id, CAST(to_json(struct_pack(title := source,
+            person := coalesce(person, []), organization := coalesce(organization, []),
+            location := coalesce(location, []))) AS VARCHAR) AS json
+            FROM documents LEFT JOIN
+              (SELECT doc_id, {lists} FROM ({mention}) AS m GROUP BY doc_id) AS c USING (doc_id)""",
         "entity_gazetteer_match": f"""SELECT doc_id, first, text FROM ({mention}) AS m
             WHERE type = 'LOCATION' AND text IN
               (SELECT unnest(regexp_extract_all(text, '{WORD_RX}')) FROM benchmark)""",

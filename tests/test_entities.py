@@ -117,6 +117,17 @@ def test_compiled_json(spark):
     assert row["json"] == '{"location":["a","b"],"person":[],"organization":[],"time":[],"money":["$1"]}'
 
 
+def test_every_article_is_compiled(spark):
+    articles = spark.createDataFrame([(1, "One"), (2, "Two")], "doc_id bigint, head string")
+    entities = spark.createDataFrame([(1, "PERSON", 0, 1, "Bob")], SPAN)
+    compiled = E.compiled_articles(articles, KEYS, "head", entities, ["PERSON", "LOCATION"])
+    rows = E.compiled_json(compiled, KEYS).orderBy("doc_id").collect()
+    assert [r["json"] for r in rows] == [
+        '{"title":"One","person":["Bob"],"location":[]}',
+        '{"title":"Two","person":[],"location":[]}',
+    ]
+
+
 def test_user_tagger(spark):
     def tagger(batches):
         for batch in batches:
