@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from articlemill.operators.lookup import keyed_join
+from articlemill.operators.lookup import MAX_BROADCAST_ROWS, is_bounded, keyed_join
 from articlemill.sources.tables import by_document
 
 MAX_INLINE_WORDS = 10_000
@@ -86,18 +86,29 @@ def dictionary_scores(
     token_array: Column,
     dictionary: DataFrame,
     bound: int | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows `(keys, n_tokens, n_matched, score)`; the score is the matched share.
 
-    Documents without tokens score 0. `bound` is the largest size of the dictionary.
+    Documents without tokens score 0. `bound` is the largest size of the dictionary, if
+    it is known. A dictionary too large to broadcast is joined with the words of each
+    document counted first, so that a repeated word is shuffled once per document.
     """
-    words = docs.select(*keys, F.explode_outer(token_array).alias("word"))
     listed = dictionary.select("word").distinct().withColumn("_hit", F.lit(1))
-    marked = keyed_join(words, listed, ["word"], "left", bound=bound)
+    small = bound <= max_rows if bound is not None else is_bounded(listed, max_rows)
+    if small:
+        words = docs.select(*keys, F.explode_outer(token_array).alias("word"), F.lit(1).alias("_n"))
+        marked = words.join(F.broadcast(listed), "word", "left")
+    else:
+        placed = by_document(docs, *keys).select(*keys, F.explode_outer(token_array).alias("word"))
+        words = placed.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("_n"))
+        marked = keyed_join(words, listed, ["word"], "left", bound=max_rows + 1, max_rows=max_rows)
     is_token = F.col("word").isNotNull() & (F.col("word") != "")
     totals = marked.groupBy(*keys).agg(
-        F.count(F.when(is_token, 1)).alias("n_tokens"),
-        F.count(F.when(is_token, F.col("_hit"))).alias("n_matched"),
+        F.coalesce(F.sum(F.when(is_token, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_tokens"),
+        F.coalesce(F.sum(F.when(is_token, F.col("_n") * F.col("_hit"))), F.lit(0))
+        .cast("bigint")
+        .alias("n_matched"),
     )
     share = F.when(F.col("n_tokens") > 0, F.col("n_matched") / F.col("n_tokens")).otherwise(0.0)
     return totals.withColumn("score", share)

@@ -41,10 +41,15 @@ def keyed_join(
     small = bound <= max_rows if bound is not None else is_bounded(lookup, max_rows)
     if small:
         return big.join(F.broadcast(lookup), keys, how)
-    row_hash = F.xxhash64(*[F.col(c) for c in hashable_columns(big)])
-    salted = big.withColumn("_salt", F.pmod(row_hash, F.lit(salts)).cast("int"))
+    salted = with_salt(big, salts)
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, keys + ["_salt"], how).drop("_salt")
+    # The size is known to be large, so an estimate must not turn this into a broadcast.
+    return salted.join(copies.hint("merge"), keys + ["_salt"], how).drop("_salt")
+
+
+def with_salt(df: DataFrame, salts: int) -> DataFrame:
+    row_hash = F.xxhash64(*[F.col(c) for c in hashable_columns(df)])
+    return df.withColumn("_salt", F.pmod(row_hash, F.lit(salts)).cast("int"))
 
 
 def hashable_columns(df: DataFrame) -> list[str]:

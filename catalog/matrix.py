@@ -97,6 +97,19 @@ def dictionary_score(spark, sf):
     return scores.withColumn("score", F.round("score", 6))
 
 
+def dictionary_score_full(spark, sf):
+    """Scores against all words of the labelled documents, as too many to broadcast."""
+    named = documents(spark, sf).join(labels(spark, sf), "doc_id", "left_semi")
+    dictionary = C.word_counts(named, raw_tokens(F.col("text")))
+    unlabelled = read_table(spark, sf, "documents").select("doc_id", "text").join(
+        labels(spark, sf), "doc_id", "left_anti"
+    )
+    scores = C.dictionary_scores(
+        unlabelled, ["doc_id"], raw_tokens(F.col("text")), dictionary, max_rows=1000
+    )
+    return scores.withColumn("score", F.round("score", 6))
+
+
 def dictionary_classify(spark, sf):
     return K.classify_by_dictionary(
         documents(spark, sf), labels(spark, sf).filter("quality = 1"), "doc_id",
@@ -128,6 +141,7 @@ QUERIES = {
     for f in [
         matrix_shape, matrix_cell, matrix_row, matrix_rows, matrix_first_row, matrix_cols,
         matrix_index, matrix_transpose, matrix_multiply, labelled_dictionary, dictionary_score,
+        dictionary_score_full,
         dictionary_classify, doccat_predict, multinomial_predict,
     ]
 }
@@ -143,11 +157,11 @@ def oracles() -> dict[str, str]:
         return f"""(SELECT token AS word, count(*) AS cnt FROM ({alpha}) AS a
             WHERE doc_id IN {good} {stop} GROUP BY token ORDER BY cnt DESC, word LIMIT {WORDS})"""
 
-    def scores(stop, named):
+    def scores(known, named):
         return f"""SELECT d.doc_id, count(a.token) AS n_tokens, count(k.word) AS n_matched,
             round(coalesce(count(k.word) / nullif(count(a.token), 0), 0), 6) AS score
             FROM documents AS d LEFT JOIN ({alpha}) AS a USING (doc_id)
-            LEFT JOIN {dictionary(stop)} AS k ON a.token = k.word
+            LEFT JOIN {known} AS k ON a.token = k.word
             WHERE d.doc_id NOT IN {named} GROUP BY d.doc_id"""
 
     stop = f"AND token NOT IN {english_list()}"
@@ -171,9 +185,13 @@ def oracles() -> dict[str, str]:
             SELECT row_id, CAST(j AS INTEGER) AS col_id, round(sum(value * v), 4) AS value
             FROM {cells} AS c JOIN n ON c.col_id = n.k GROUP BY row_id, j""",
         "labelled_dictionary": f"SELECT * FROM {dictionary(stop)} AS k",
-        "dictionary_score": scores(stop, "(SELECT doc_id FROM labels)"),
+        "dictionary_score": scores(dictionary(stop), "(SELECT doc_id FROM labels)"),
+        "dictionary_score_full": scores(
+            f"""(SELECT DISTINCT token AS word FROM ({alpha}) AS v
+              WHERE doc_id IN (SELECT doc_id FROM labels))""", "(SELECT doc_id FROM labels)"
+        ),
         "dictionary_classify": f"""SELECT *, CASE WHEN score >= {THRESHOLD} THEN 'corruption'
-            ELSE 'noncorruption' END AS label FROM ({scores('', good)}) AS s""",
+            ELSE 'noncorruption' END AS label FROM ({scores(dictionary(''), good)}) AS s""",
         "doccat_predict": f"""WITH a AS MATERIALIZED ({alpha}),
             cls AS (SELECT toxic AS c, ln(count(*) + 1) -
                 ln((SELECT count(*) FROM labels JOIN documents USING (doc_id)) + 2) AS prior

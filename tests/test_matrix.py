@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from articlemill.operators import classify as K
 from articlemill.operators import matrix as M
-from articlemill.operators.lookup import is_bounded, keyed_join
+from articlemill.operators.lookup import is_bounded, keyed_join, with_salt
 
 
 def matrix_of(spark, array):
@@ -69,7 +69,8 @@ def test_salted_join_equals_broadcast_join(spark, how):
     one = keyed_join(big, small, ["k"], how).collect()
     two = keyed_join(big, small, ["k"], how, max_rows=2, salts=4).collect()
     assert sorted(one, key=str) == sorted(two, key=str)
-    # The hot key spreads over several partitions of the salted side.
+    hot = with_salt(big, 4).filter("k = 0").groupBy("_salt").count().collect()
+    assert len(hot) == 4 and max(r["count"] for r in hot) < 40
 
 
 def test_dictionary_and_union(spark):

@@ -163,9 +163,11 @@ def test_ngrams_stay_in_their_document(spark):
     assert {r["gram"]: r["cnt"] for r in rows} == {"a b": 1, "b c": 2}
 
 
-def test_dictionary_scores(spark, corpus):
+@pytest.mark.parametrize("max_rows", [100, 1])
+def test_dictionary_scores(spark, corpus, max_rows):
     words = spark.createDataFrame([("a",), ("b",)], "word string")
-    rows = C.dictionary_scores(corpus, ["doc_id"], X.raw_tokens(F.col("text")), words).collect()
+    array = X.raw_tokens(F.col("text"))
+    rows = C.dictionary_scores(corpus, ["doc_id"], array, words, max_rows=max_rows).collect()
     assert {r["doc_id"]: (r["n_tokens"], r["n_matched"]) for r in rows} == {
         0: (3, 3), 1: (0, 0), 2: (4, 2), 3: (1, 0),
     }
