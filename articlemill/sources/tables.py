@@ -1,25 +1,40 @@
-"""Reading tables and spreading narrow scans over the cores of the cluster."""
+"""Reading tables, and placing their rows on the cores of the cluster."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 MAX_PARTS = 20_000
+UNKNOWN_SIZE = 1 << 62
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def scan_splits(df: DataFrame) -> int | None:
+    """How many splits of the usual size the scanned files have; None if not known.
+
+    Reads the sizes of the plan's leaves. Asking for the partitions of `df.rdd` instead
+    would run the shuffles and broadcasts below it.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    if any(size >= UNKNOWN_SIZE for size in sizes):
+        return None
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return -(-sum(sizes) // split)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash a scan with fewer than two splits per core onto all cores.
+    """Hash the rows of a scan with fewer splits than cores onto all cores.
 
     A large table has many more splits than the cluster has cores and is returned
     as it is, so text work on it starts without a shuffle. The number of partitions
     is explicit, because AQE would merge them again for their small byte size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
+    splits, cores = scan_splits(df), df.sparkSession.sparkContext.defaultParallelism
+    if splits is None or splits >= cores:
         return df
     return df.repartition(cores, *keys)
 
@@ -33,9 +48,10 @@ def by_document(df: DataFrame, *keys: str) -> DataFrame:
     stays near the size of a split.
     """
     session = df.sparkSession
-    cores = session.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits < 2 * cores:
+    splits, cores = scan_splits(df), session.sparkContext.defaultParallelism
+    if splits is None:
+        return df.repartition(*keys)
+    if splits < cores:
         return df.repartition(cores, *keys)
     configured = int(session.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(configured, min(splits, MAX_PARTS)), *keys)

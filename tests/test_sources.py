@@ -8,7 +8,7 @@ from articlemill.schemas import ARTICLE_FIELDS
 from articlemill.sources import articles as A
 from articlemill.sources import docstore as D
 from articlemill.sources import textfiles as T
-from articlemill.sources.tables import by_document, spread
+from articlemill.sources.tables import by_document, scan_splits, spread
 
 
 @pytest.fixture
@@ -138,10 +138,20 @@ def test_frontier(spark):
     assert rows[-1]["url"] == "http://x/?start=1980"
 
 
-def test_placing(spark):
-    one = spark.range(100).coalesce(1)
+def test_placing(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
     cores = spark.sparkContext.defaultParallelism
-    assert spread(one, "id").rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, 4 * cores)
-    assert spread(wide, "id").rdd.getNumPartitions() == 4 * cores
-    assert by_document(one, "id").rdd.getNumPartitions() == cores
+    assert scan_splits(table) == 1
+    assert spread(table, "id").rdd.getNumPartitions() == cores
+    assert by_document(table, "id").rdd.getNumPartitions() == cores
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+    try:
+        splits = scan_splits(table)
+        assert splits > 2 * cores
+        assert "Exchange" not in spread(table, "id")._jdf.queryExecution().toString()
+        assert by_document(table, "id").rdd.getNumPartitions() == splits
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    in_memory = spark.createDataFrame([(i,) for i in range(10)], "id int")
+    assert spread(in_memory, "id").count() == by_document(in_memory, "id").count() == 10
