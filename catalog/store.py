@@ -14,11 +14,12 @@ from articlemill.sources.tables import read_table, spread
 from articlemill.sources.textfiles import page_frontier as frontier
 from articlemill.sources.textfiles import training_line
 
+CUT_LANGUAGE = "fr"
 BASE_URL = "https://news.example.org/collection?b_start:int="
 
 
 def article_texts(spark, sf):
-    """Documents as JSON articles, of which a share is cut short."""
+    """Documents as JSON articles, of which those in one language are cut short."""
     docs = spread(read_table(spark, sf, "documents"), "doc_id")
     article = F.struct(
         F.concat(F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
@@ -28,7 +29,7 @@ def article_texts(spark, sf):
     )
     whole = F.to_json(article)
     cut = F.left(whole, F.length(whole) - 3)
-    text = F.when(F.col("n_chars") % 7 == 0, cut).otherwise(whole)
+    text = F.when(F.col("lang") == CUT_LANGUAGE, cut).otherwise(whole)
     return docs.select("doc_id", text.alias("value"))
 
 
@@ -140,10 +141,10 @@ def oracles() -> dict[str, str]:
     return {
         "json_articles_tolerant": """SELECT doc_id, '/' || doc_id AS url,
             CAST(NULL AS VARCHAR) AS "fetchTime", CAST(NULL AS VARCHAR) AS time, source AS title,
-            text AS content, lang AS label FROM documents WHERE n_chars % 7 <> 0""",
+            text AS content, lang AS label FROM documents WHERE lang <> 'fr'""",
         "json_articles_rejected": """SELECT doc_id, CAST(length(to_json(struct_pack(
             url := '/' || doc_id, title := source, content := text, label := lang))) - 3 AS INTEGER)
-            AS n_chars FROM documents WHERE n_chars % 7 = 0""",
+            AS n_chars FROM documents WHERE lang = 'fr'""",
         "docstore_all": f"SELECT _id, text, lang, source FROM {envelopes}",
         "docstore_metadata": f"SELECT _id, kind FROM {envelopes}",
         "view_by_kind": f"SELECT _id AS key, text, source FROM {envelopes} WHERE kind = 'turn'",
