@@ -94,13 +94,13 @@ def merge_adjacent(tags: DataFrame, keys: list[str], *carried: str) -> DataFrame
     """Joins neighbouring tokens of one tag into mentions `(keys, type, first, last, text)`.
 
     Untagged tokens are dropped first. Within one tag the difference of position and
-    row number is constant along a run, so it names the run. Columns in `carried` are
-    taken from the last token of a run.
+    rank is constant along a run, so it names the run; a token tagged twice alike counts
+    once. Columns in `carried` are taken from the last token of a run.
     """
     tagged = tags.filter(F.col("tag") != NO_TAG)
     along = Window.partitionBy(*keys, "tag").orderBy("pos")
-    runs = tagged.withColumn("_run", F.col("pos") - F.row_number().over(along))
-    words = F.array_sort(F.collect_list(F.struct("pos", "token")))
+    runs = tagged.withColumn("_run", F.col("pos") - F.dense_rank().over(along))
+    words = F.array_sort(F.collect_set(F.struct("pos", "token")))
     mentions = runs.groupBy(*keys, "tag", "_run").agg(
         F.min("pos").alias("first"),
         F.max("pos").alias("last"),

@@ -85,7 +85,7 @@ def relation_pairs(
     order = Window.partitionBy(*keys, "sent_id").orderBy("first", "last")
     gap = F.col("right_first") - F.col("last") - 1
     between = F.when(
-        gap <= max_between, F.lower(F.array_join(F.slice("after", F.lit(1), gap), " "))
+        gap.between(0, max_between), F.lower(F.array_join(F.slice("after", F.lit(1), gap), " "))
     )
     pairs = (
         mentions.withColumn("right_text", F.lead("text").over(order))

@@ -51,6 +51,19 @@ def test_neighbours_merge_and_gaps_part(spark):
     ]
 
 
+def test_a_term_listed_twice_or_with_two_types(spark):
+    docs = docs_of(spark, "Old San Antonio in Texas.")
+    gazetteer = terms(spark, LOCATION=["San", "San", "Antonio", "Texas"], PERSON=["Antonio"])
+    merged = E.merge_adjacent(E.known_tokens(docs, KEYS, "text", gazetteer), KEYS).collect()
+    assert sorted((r["type"], r["text"]) for r in merged) == [
+        ("LOCATION", "San Antonio"), ("LOCATION", "Texas"), ("PERSON", "Antonio"),
+    ]
+    pairs = R.related(R.relation_pairs(docs, KEYS, "text", gazetteer)).collect()
+    assert [(r["left_text"], r["rel_type"], r["right_text"]) for r in pairs] == [
+        ("Antonio", "Live_In", "Texas")
+    ]
+
+
 def test_patterns(spark):
     text = "Paid $1,000 and €5.50 on 2015-11-11 to a.b@c.org from 10.0.0.1"
     rows = E.entity_spans(docs_of(spark, text, "nothing"), KEYS, "text").collect()
@@ -131,13 +144,13 @@ def test_every_article_is_compiled(spark):
 def test_user_tagger(spark):
     def tagger(batches):
         for batch in batches:
-            hit = batch[batch["text"].str.contains("FBI")]
-            yield hit.assign(type="ORGANIZATION", begin=hit["text"].str.find("FBI"), end=hit["text"].str.find("FBI") + 3, text="FBI", prob=0.9)[
+            hit = batch[batch["text"].str.contains("NASA")]
+            yield hit.assign(type="ORGANIZATION", begin=hit["text"].str.find("NASA"), end=hit["text"].str.find("NASA") + 4, text="NASA", prob=0.9)[
                 ["doc_id", "type", "begin", "end", "text", "prob"]
             ]
 
-    rows = E.tagged_by(docs_of(spark, "The FBI said", "none"), KEYS, "text", tagger).collect()
-    assert [tuple(r) for r in rows] == [(0, "ORGANIZATION", 4, 7, "FBI", 0.9)]
+    rows = E.tagged_by(docs_of(spark, "The NASA said", "none"), KEYS, "text", tagger).collect()
+    assert [tuple(r) for r in rows] == [(0, "ORGANIZATION", 4, 8, "NASA", 0.9)]
 
 
 def test_relations(spark):
