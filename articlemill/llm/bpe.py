@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from articlemill.llm.common import pieces, texts_of
+from articlemill.llm.common import extended, pieces, texts_of
 
 #: Parts in a worker's memo.
 MEMO = 700_000
@@ -228,7 +228,7 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "i
             lists = [unpack(encoder.pack(t)) if t else [] for t in texts_of(piece, text)]
             yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(lists, pa.list_(pa.int32()))], [*kept, ids])
 
-    return df.mapInArrow(encode, df.schema.add(ids, "array<int>"))
+    return df.mapInArrow(encode, extended(df, f"`{ids}` array<int>"))
 
 
 def decode_documents(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -242,7 +242,7 @@ def decode_documents(df: DataFrame, path: str, ids: str = "ids", text: str = "te
             found = [None if i is None else decode(v, i) for i in texts_of(piece, ids)]
             yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(found, pa.string())], [*kept, text])
 
-    return df.mapInArrow(run, df.schema.add(text, "string"))
+    return df.mapInArrow(run, extended(df, f"`{text}` string"))
 
 
 def round_trip_digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

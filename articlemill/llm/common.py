@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that a task turns into Python objects at a time.
 PIECE_BYTES = 4 << 20
@@ -70,3 +71,8 @@ def crc_part(key: Column | str, parts: int) -> Column:
 
 def id_part(column: str, parts: int) -> Column:
     return crc_part(F.col(column).cast("string"), parts)
+
+
+def extended(df: DataFrame, columns: str) -> StructType:
+    """The schema of a table and further columns, given as DDL."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(columns).fields])

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlemill.llm import bpe, token_files
+from articlemill.llm import bpe, language_id, quality_classifier, quality_rules, token_files
+from articlemill.llm.common import id_part, stored
+from articlemill.llm.text_stats import with_statistics
 from articlemill.sources.tables import read_table
 
 
@@ -28,7 +30,38 @@ def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip_digests(read_table(spark, sf, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in [op5_token_files, op8_bpe]}
+def document_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """A small row per document, stored so that texts are measured once for fit and score."""
+    return stored(with_statistics(read_table(spark, sf, "documents").select("doc_id", "text")), "statistics")
+
+
+def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    stats = document_statistics(spark, sf)
+    labels = read_table(spark, sf, "labels").select("doc_id", "quality")
+    forest = quality_rules.fit_rules(stats.join(labels, "doc_id"))
+    scored = quality_rules.with_probability(stats, forest).withColumn("base_failed", quality_rules.base_failed())
+    kept = ~F.col("base_failed") & (F.col("score") >= 0.5)
+    return scored.withColumn("kept", kept).drop("stats").withColumn("score", F.round("score", 6))
+
+
+def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    stats = document_statistics(spark, sf).withColumn("held_out", id_part("doc_id", 3) == 1)
+    labels = read_table(spark, sf, "labels").select("doc_id", "quality")
+    model = quality_classifier.fit(stats.filter(~F.col("held_out")).join(labels, "doc_id"))
+    scored = quality_classifier.with_score(stats.select("doc_id", "held_out", "stats"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", id_part("doc_id", 4) == 2)
+    model = language_id.fit(docs.filter(~F.col("held_out")))
+    return language_id.with_language(docs.drop("lang"), model)
+
+
+QUERIES = {f.__name__: f for f in [
+    op2_quality_rules, op4_quality_classifier, op5_token_files, op8_bpe, op9_language_id,
+]}
 
 
 def oracles() -> dict[str, str]:
