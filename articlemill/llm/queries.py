@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlemill.llm import bpe, language_id, quality_classifier, quality_rules, token_files
+from articlemill.llm import bpe, decontamination, language_id, license_scan, minhash, quality_classifier, quality_rules, token_files
 from articlemill.llm.common import id_part, stored
+from articlemill.llm.oracles import oracles  # noqa: F401
 from articlemill.llm.text_stats import with_statistics
 from articlemill.sources.tables import read_table
 
@@ -59,10 +60,20 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.with_language(docs.drop("lang"), model)
 
 
-QUERIES = {f.__name__: f for f in [
-    op2_quality_rules, op4_quality_classifier, op5_token_files, op8_bpe, op9_language_id,
-]}
+def op6_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.with_licenses(read_table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return decontamination.digest(decontamination.find_contamination(docs, read_table(spark, sf, "benchmark")))
 
 
-def oracles() -> dict[str, str]:
-    return {}
+def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf, "documents"), words=2)
+
+
+QUERIES = {f.__name__: f for f in [
+    op2_quality_rules, op4_quality_classifier, op5_token_files, op6_license_scan,
+    op7_decontamination, op8_bpe, op9_language_id, op10_minhash,
+]}
