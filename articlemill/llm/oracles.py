@@ -23,6 +23,25 @@ LICENSES = [
 ]
 
 
+def op1() -> str:
+    """A line goes if an equal one, or one that a single edit away, stands earlier. One edit leaves one half as it was."""
+    one_edit = """len(list_filter(range(1, y.n + 1), lambda i: left(x.line, i - 1) = left(y.line, i - 1)
+        AND substr(x.line, i + 1 - (y.n - x.n)) = substr(y.line, i + 1))) > 0"""
+    return f"""WITH l AS MATERIALIZED (SELECT doc_id, p, arr[p + 1] AS line FROM
+            (SELECT doc_id, string_split(text, chr(10)) AS arr FROM documents), unnest(range(0, len(arr))) AS t(p)),
+        c AS MATERIALIZED (SELECT line, length(line) AS n, min((doc_id, p)) AS first FROM l WHERE length(line) >= 16 GROUP BY line),
+        near AS MATERIALIZED (SELECT x.line AS a, x.first AS fa, y.line AS b, y.first AS fb
+            FROM (SELECT *, unnest([n, n + 1]) AS m FROM c) AS x JOIN c AS y ON y.n = x.m
+            WHERE x.line <> y.line AND (left(x.line, y.n // 2) = left(y.line, y.n // 2)
+              OR right(x.line, y.n - y.n // 2) = right(y.line, y.n - y.n // 2)) AND {one_edit}),
+        gone AS (SELECT a AS line FROM near WHERE fb < fa UNION SELECT b FROM near WHERE fa < fb),
+        kept AS (SELECT doc_id, p FROM l WHERE length(line) < 16
+            UNION SELECT first[1], first[2] FROM c WHERE line NOT IN (SELECT line FROM gone)),
+        k AS (SELECT doc_id, count(*) AS n, string_agg(p::VARCHAR, ',' ORDER BY p) AS ps FROM kept GROUP BY doc_id)
+        SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0) AS n_lines, coalesce(n, 0) AS n_kept,
+            sha256(coalesce(ps, '')) AS kept_sha256 FROM documents LEFT JOIN k USING (doc_id)"""
+
+
 def op6() -> str:
     phrases = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
     places = ", ".join(
@@ -71,4 +90,4 @@ def op10() -> str:
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_license_scan": op6(), "op7_decontamination": op7(), "op10_minhash": op10()}
+    return {"op1_line_dedup": op1(), "op6_license_scan": op6(), "op7_decontamination": op7(), "op10_minhash": op10()}

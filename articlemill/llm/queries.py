@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlemill.llm import bpe, decontamination, language_id, license_scan, minhash, quality_classifier, quality_rules, token_files
+from articlemill.llm import bpe, decontamination, language_id, license_scan, line_dedup, minhash, quality_classifier, quality_rules, token_files
 from articlemill.llm.common import id_part, stored
 from articlemill.llm.oracles import oracles  # noqa: F401
 from articlemill.llm.text_stats import with_statistics
@@ -36,6 +36,10 @@ def document_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return stored(with_statistics(read_table(spark, sf, "documents").select("doc_id", "text")), "statistics")
 
 
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.line_report(read_table(spark, sf, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     stats = document_statistics(spark, sf)
     labels = read_table(spark, sf, "labels").select("doc_id", "quality")
@@ -74,6 +78,6 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in [
-    op2_quality_rules, op4_quality_classifier, op5_token_files, op6_license_scan,
+    op1_line_dedup, op2_quality_rules, op4_quality_classifier, op5_token_files, op6_license_scan,
     op7_decontamination, op8_bpe, op9_language_id, op10_minhash,
 ]}
