@@ -16,6 +16,7 @@ import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -245,11 +246,11 @@ def decode_documents(df: DataFrame, path: str, ids: str = "ids", text: str = "te
     return df.mapInArrow(run, extended(df, f"`{text}` string"))
 
 
-def round_trip_digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip_digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """`(key, n_tokens, ids_sha256, decoded_sha256)` of each row: encoded, then decoded from the ids.
 
-    Digests are taken where the ids are made, so the ids themselves do not leave the task.
-    A null text counts as empty. Repeated rows give repeated rows.
+    Digests are taken where the ids are made, so the ids do not leave the task unless asked for as
+    the column `ids`. A null text counts as empty. Repeated rows give repeated rows.
     """
     df = df.select(f"`{key}`", f"`{text}`")
 
@@ -257,19 +258,22 @@ def round_trip_digests(df: DataFrame, path: str, key: str = "doc_id", text: str
         v, encoder = vocabulary(path), worker_encoder(path)
         decimal = [str(i).encode() for i in range(len(v.token))].__getitem__
         for piece in pieces(batches, text):
-            counts, encoded, decoded = [], [], []
+            packed, counts, encoded, decoded = [], [], [], []
             for t in texts_of(piece, text):
-                ids = unpack(encoder.pack(t)) if t else []
+                packed.append(encoder.pack(t) if t else b"")
+                ids = unpack(packed[-1])
                 counts.append(len(ids))
                 encoded.append(hashlib.sha256(b",".join(map(decimal, ids))).hexdigest())
                 back = decode_bytes(v, ids)
                 if back != (t or "").encode():
                     back = back.decode("utf-8", "replace").encode()
                 decoded.append(hashlib.sha256(back).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(counts, pa.int64()), pa.array(encoded), pa.array(decoded)],
-                [key, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    kind = df.schema[key].dataType.simpleString()
-    return df.mapInArrow(run, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+            columns = [piece.column(0), pa.array(counts, pa.int64()), pa.array(encoded), pa.array(decoded)]
+            if with_ids:
+                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(packed), "<i4"))))
+            yield pa.RecordBatch.from_arrays(columns, [key, *names])
+
+    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    names = [part.split()[0] for part in added.split(", ")]
+    return df.mapInArrow(run, extended(df.select(f"`{key}`"), added))

@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from articlemill.llm.common import bytes_of, pieces, stored
 from articlemill.llm.components import components
@@ -277,3 +278,28 @@ def near_duplicates(
     component = F.when(F.col("doc").isNotNull(), F.coalesce("found", "doc"))
     kept = F.coalesce(F.col("doc") == component, F.lit(True))
     return rows.select(F.col("doc").alias(key), "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def without_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The documents that are kept, one row each, with their columns as they were.
+
+    Which go is a small table next to the texts: up to a bound it is broadcast, so texts are not
+    shuffled. Only keys that occur more than once have their rows gathered; the first of them
+    by the hash of its text stays. A row with a null key stays.
+    """
+    decided = stored(near_duplicates(docs, key, text, words, percent), "decided").select(F.col(key).alias("_decided"), "kept")
+    gone = decided.filter(~F.col("kept")).select("_decided").distinct()
+    twice = stored(decided.filter("_decided IS NOT NULL").groupBy("_decided").count().filter("count > 1").select("_decided"), "twice")
+
+    def listed(ids: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+        return rows.join(side, rows[key] == side["_decided"], how)
+
+    kept = listed(gone, "left_anti", docs)
+    if twice.isEmpty():
+        return kept
+    first = W.partitionBy(f"`{key}`").orderBy(F.xxhash64(F.col(text)))
+    once = listed(twice, "left_semi", kept).withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
+    return listed(twice, "left_anti", kept).unionByName(once)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlemill.llm import bpe, decontamination, language_id, license_scan, line_dedup, minhash, quality_classifier, quality_rules, token_files
+from articlemill.llm import bpe, decontamination, language_id, license_scan, line_dedup, lm_scoring, minhash, quality_classifier, quality_rules, token_files
 from articlemill.llm.common import id_part, stored
 from articlemill.llm.oracles import oracles  # noqa: F401
 from articlemill.llm.text_stats import with_statistics
@@ -49,6 +49,18 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return scored.withColumn("kept", kept).drop("stats").withColumn("score", F.round("score", 6))
 
 
+#: Labelled documents up to which their ids are broadcast to mark the target; beyond, texts are joined by shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def op3_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """The target is what `labels` calls good, the background all documents."""
+    good = read_table(spark, sf, "labels").filter("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
+    side = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
+    docs = read_table(spark, sf, "documents").select("doc_id", "text").join(side, "doc_id", "left")
+    return lm_scoring.score_documents(docs.withColumn("good", F.coalesce("good", F.lit(False))), "good")
+
+
 def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     stats = document_statistics(spark, sf).withColumn("held_out", id_part("doc_id", 3) == 1)
     labels = read_table(spark, sf, "labels").select("doc_id", "quality")
@@ -78,6 +90,6 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in [
-    op1_line_dedup, op2_quality_rules, op4_quality_classifier, op5_token_files, op6_license_scan,
+    op1_line_dedup, op2_quality_rules, op3_lm_scoring, op4_quality_classifier, op5_token_files, op6_license_scan,
     op7_decontamination, op8_bpe, op9_language_id, op10_minhash,
 ]}
