@@ -172,7 +172,7 @@ def score_documents(
             sizes = np.array([len(t) for t in each])
             owner = np.repeat(np.arange(len(each)), sizes)
             tokens = np.concatenate([*each, np.empty(0, np.int64)])
-            sums = np.bincount(owner, difference[tokens], len(each))
+            sums = np.bincount(owner, difference[tokens], len(each)).astype(float)
             pairs = np.concatenate([*(pairs_of(t, base) for t in each), np.empty(0, np.int64)])
             distinct, at = np.unique(pairs, return_inverse=True)
             place = np.searchsorted(pairs_known, distinct)
