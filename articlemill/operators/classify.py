@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.feature import CountVectorizer, HashingTF
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from articlemill.operators.counts import dictionary_scores, labelled_dictionary
+from articlemill.operators.lookup import keyed_join
 from articlemill.schemas import DEFAULT_LABEL, NEGATIVE_LABEL
+from articlemill.sources.tables import by_document
 
 
 def training_union(positive: DataFrame, negative: DataFrame) -> DataFrame:
@@ -43,40 +46,77 @@ def classify_by_dictionary(
     return scores.withColumn("label", label)
 
 
-def train_document_categoriser(
-    training: DataFrame, vocabulary: int | None = 1 << 18, hashed: bool = False
-) -> PipelineModel:
-    """Multinomial naive Bayes on rows `(tokens array<string>, category double)`.
+@dataclass(frozen=True)
+class WordModel:
+    """Multinomial naive Bayes as tables.
 
-    The vocabulary is cut at a fixed size, as the model is kept on the driver. With
-    `hashed` words go to that many hash buckets, and no pass over the words is needed.
+    `words` has a row `(word, counts)` per word of the training texts, `counts` by category;
+    the other fields have an entry per category.
     """
-    if hashed:
-        words = HashingTF(inputCol="tokens", outputCol="features", numFeatures=vocabulary)
-    else:
-        words = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocabulary)
-    bayes = NaiveBayes(featuresCol="features", labelCol="category", smoothing=1.0)
-    return Pipeline(stages=[words, bayes]).fit(training)
 
+    words: DataFrame
+    categories: list[float]
+    priors: list[float]
+    totals: list[float]
 
-def predict_categories(model: PipelineModel, docs: DataFrame, keys: list[str]) -> DataFrame:
-    scored = model.transform(docs)
-    probability = F.array_max(vector_to_array("probability"))
-    return scored.select(
-        *keys, F.col("prediction").cast("int").alias("category"), probability.alias("prob")
-    )
+
+def train_document_categoriser(training: DataFrame, smoothing: float = 1.0) -> WordModel:
+    """Learns from rows `(tokens array<string>, category double)`; all words count, however many.
+
+    Only the categories, a closed list, and their sums reach the driver.
+    """
+    sizes = training.groupBy("category").count().filter("category IS NOT NULL").orderBy("category").collect()
+    categories = [float(r["category"]) for r in sizes]
+    each = training.select("category", F.explode("tokens").alias("word")).filter("word <> ''")
+    per_category = [F.count(F.when(F.col("category") == c, 1)).cast("double") for c in categories]
+    words = each.groupBy("word").agg(F.array(*per_category).alias("counts"))
+    sums = [F.coalesce(F.sum(F.get("counts", F.lit(i))), F.lit(0.0)) for i in range(len(categories))]
+    row = words.agg(F.count(F.lit(1)), *sums).head()
+    documents = sum(r["count"] for r in sizes) + smoothing * len(sizes)
+    priors = [math.log(r["count"] + smoothing) - math.log(documents) for r in sizes]
+    totals = [math.log(row[i + 1] + smoothing * row[0]) if row[0] else 0.0 for i in range(len(sizes))]
+    likelihood = F.transform("counts", lambda n: F.log(n + F.lit(smoothing)))
+    return WordModel(words.select("word", likelihood.alias("likelihood")), categories, priors, totals)
+
+
+def predict_categories(model: WordModel, docs: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows `(keys, category, prob)` for documents `(keys, tokens)`.
+
+    Words that the training texts lack are left out of the sum. Words are counted per
+    document, then meet the model in one join; a document without known words gets the priors.
+    """
+    n = len(model.categories)
+    placed = by_document(docs, *keys).select(*keys, F.explode_outer("tokens").alias("word"))
+    words = placed.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("_n"))
+    known = keyed_join(words, model.words, ["word"], "left")
+    sums = [F.coalesce(F.sum(F.col("_n") * F.get("likelihood", F.lit(i))), F.lit(0.0)) for i in range(n)]
+    matched = F.coalesce(F.sum(F.when(F.col("likelihood").isNotNull(), F.col("_n"))), F.lit(0))
+    totals = known.groupBy(*keys).agg(matched.alias("_matched"), F.array(*sums).alias("_sums"))
+    scores = F.array(*[
+        F.lit(model.priors[i]) + F.get("_sums", F.lit(i)) - F.col("_matched") * F.lit(model.totals[i]) for i in range(n)
+    ])
+    scored = totals.select(*keys, scores.alias("_scores")).withColumn("_best", F.array_max("_scores"))
+    place = (F.array_position("_scores", F.col("_best")) - 1).cast("int")
+    weight = F.aggregate("_scores", F.lit(0.0), lambda total, s: total + F.exp(s - F.col("_best")))
+    category = F.get(F.array(*[F.lit(int(c)) for c in model.categories]), place)
+    return scored.select(*keys, category.alias("category"), (1 / weight).alias("prob"))
 
 
 def train_multinomial(
-    matrix: DataFrame, label: str, max_iter: int = 50, reg_param: float = 0.01
+    matrix: DataFrame, label: str, max_iter: int = 200, reg_param: float = 0.01
 ) -> PipelineModel:
-    """Multinomial logistic regression on rows `(features array<double>, label)`."""
+    """Multinomial logistic regression on rows `(features array<double>, label)`.
+
+    Features are not standardised, so the loss is the mean log loss plus half of
+    `reg_param` times the squared coefficients, and `multinomial_gradient` can check the fit.
+    """
     vectors = matrix.select(
         array_to_vector(F.col("features")).alias("features"), F.col(label).cast("double").alias("label")
     )
     regression = LogisticRegression(
-        family="multinomial", maxIter=max_iter, regParam=reg_param, featuresCol="features"
-    )
+        family="multinomial", maxIter=max_iter, regParam=reg_param, featuresCol="features",
+        standardization=False, tol=1e-8,
+    )
     return Pipeline(stages=[regression]).fit(vectors)
 
 
@@ -87,3 +127,20 @@ def predict_multinomial(model: PipelineModel, matrix: DataFrame, keys: list[str]
         F.col("prediction").cast("int").alias("category"),
         F.array_max(vector_to_array("probability")).alias("prob"),
     )
+
+
+def multinomial_gradient(model: PipelineModel, matrix: DataFrame, label: str) -> DataFrame:
+    """Rows `(category, col_id, gradient)` of the regularised loss at the fitted coefficients.
+
+    All are zero at the optimum. The sums combine in each task before their shuffle.
+    """
+    regression = model.stages[-1]
+    weights = [[float(v) for v in row] for row in regression.coefficientMatrix.toArray()]
+    penalty = F.array(*[F.array(*[F.lit(v) for v in row]) for row in weights])
+    scored = model.transform(matrix.select(array_to_vector(F.col("features")).alias("features"), F.col(label).alias("_label"), F.col("features").alias("_x")))
+    each = scored.select("_x", "_label", F.posexplode(vector_to_array("probability")).alias("category", "_p"))
+    error = F.col("_p") - F.when(F.col("_label") == F.col("category"), 1.0).otherwise(0.0)
+    cells = each.select("category", error.alias("_error"), F.posexplode("_x").alias("col_id", "_value"))
+    means = cells.groupBy("category", "col_id").agg(F.avg(F.col("_error") * F.col("_value")).alias("_mean"))
+    weight = F.get(F.get(penalty, F.col("category")), F.col("col_id"))
+    return means.select("category", "col_id", (F.col("_mean") + F.lit(regression.getRegParam()) * weight).alias("gradient"))

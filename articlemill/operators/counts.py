@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from articlemill.operators.lookup import MAX_BROADCAST_ROWS, is_bounded, keyed_join
+from articlemill.operators.lookup import MAX_BROADCAST_ROWS, keyed_join
 from articlemill.sources.tables import by_document
 
 MAX_INLINE_WORDS = 10_000
@@ -21,7 +21,10 @@ def exploded_tokens(docs: DataFrame, token_array: Column, *keep: str) -> DataFra
 def drop_words(
     df: DataFrame, words: Iterable[str] | DataFrame | None, column: str = "word"
 ) -> DataFrame:
-    """Removes listed words: a hashed IN test for a short list, an anti join for a table."""
+    """Removes listed words: a hashed IN test for a short list, an anti join for a long one or a table.
+
+    Tables of tokens hold frequent words very often; count them before dropping a long list.
+    """
     if words is None:
         return df
     if isinstance(words, DataFrame):
@@ -39,11 +42,13 @@ def word_counts(
 ) -> DataFrame:
     """Rows `(word, cnt)`. Each task counts its own tokens before the one shuffle.
 
-    Stopwords given as a table are dropped from the counts, where each word is one
-    row; those of a list are dropped from the tokens, which spares counting them.
+    Stopwords given as a table or a long list are dropped from the counts, where each word
+    is one row; those of a short list are dropped from the tokens, which spares counting them.
     """
     words = exploded_tokens(docs, token_array)
-    late = isinstance(stopwords, DataFrame)
+    if stopwords is not None and not isinstance(stopwords, DataFrame):
+        stopwords = list(stopwords)
+    late = isinstance(stopwords, DataFrame) or (stopwords is not None and len(stopwords) > MAX_INLINE_WORDS)
     if not late:
         words = drop_words(words, stopwords)
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
@@ -91,18 +96,17 @@ def dictionary_scores(
     """Rows `(keys, n_tokens, n_matched, score)`; the score is the matched share.
 
     Documents without tokens score 0. `bound` is the largest size of the dictionary, if
-    it is known. A dictionary too large to broadcast is joined with the words of each
+    it is known. A dictionary that is not known to be small is joined with the words of each
     document counted first, so that a repeated word is shuffled once per document.
     """
     listed = dictionary.select("word").distinct().withColumn("_hit", F.lit(1))
-    small = bound <= max_rows if bound is not None else is_bounded(listed, max_rows)
-    if small:
+    if bound is not None and bound <= max_rows:
         words = docs.select(*keys, F.explode_outer(token_array).alias("word"), F.lit(1).alias("_n"))
         marked = words.join(F.broadcast(listed), "word", "left")
     else:
         placed = by_document(docs, *keys).select(*keys, F.explode_outer(token_array).alias("word"))
         words = placed.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("_n"))
-        marked = keyed_join(words, listed, ["word"], "left", bound=max_rows + 1, max_rows=max_rows)
+        marked = keyed_join(words, listed, ["word"], "left")
     is_token = F.col("word").isNotNull() & (F.col("word") != "")
     totals = marked.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(is_token, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_tokens"),
@@ -137,9 +141,3 @@ def ngram_counts(docs: DataFrame, token_array: Column, n: int) -> DataFrame:
     grams = runs.filter(words[-1].isNotNull()).select(F.concat_ws(" ", *words).alias("gram"))
     return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("cnt"))
 
-
-def ranked(counts: DataFrame, n: int) -> DataFrame:
-    """The top `n` words with their rank from 0; the window sees only these `n` rows."""
-    top = counts.orderBy(F.desc("cnt"), "word").limit(n)
-    order = Window.orderBy(F.desc("cnt"), "word")
-    return top.withColumn("rank", F.row_number().over(order) - 1)

@@ -1,4 +1,4 @@
-"""Joins of a large table with a lookup table whose size is checked first."""
+"""Joins of a large table with a lookup table."""
 
 from __future__ import annotations
 
@@ -6,16 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
-SALTS = 32
-
-
-def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True if the table has at most `max_rows` rows.
-
-    `take` reads a few partitions at a time and stops once it has enough rows. A limit
-    with a count would send that many rows of *every* partition to one task.
-    """
-    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
 def keyed_join(
@@ -25,36 +15,15 @@ def keyed_join(
     how: str = "inner",
     bound: int | None = None,
     max_rows: int = MAX_BROADCAST_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join on `keys` that no hot key of `big` can stall.
+    """Equi-join on `keys` that starts no job when it is built.
 
-    The lookup side is broadcast when `bound`, a row limit known from how it was
-    built, or else a count shows it to be small. Beyond that both sides are shuffled
-    on the keys and a salt: the salt of a row comes from a hash of the row, so a key
-    with a third of all rows spreads over `salts` tasks, and a retried task computes
-    the same placement. Rows that are alike in all columns share a salt, so count such
-    rows before joining.
+    The lookup side is broadcast when `bound`, a row limit known from how it was built,
+    is small. Otherwise Spark chooses by bytes: from the statistics of the plan, or, once the
+    lookup side is shuffled, from its real size. Where both sides stay shuffled, adaptive
+    execution splits the part of a hot key over tasks and copies only the lookup rows of that part.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    small = bound <= max_rows if bound is not None else is_bounded(lookup, max_rows)
-    if small:
-        return big.join(F.broadcast(lookup), keys, how)
-    salted = with_salt(big, salts)
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    # The size is known to be large, so an estimate must not turn this into a broadcast.
-    return salted.join(copies.hint("merge"), keys + ["_salt"], how).drop("_salt")
-
-
-def with_salt(df: DataFrame, salts: int) -> DataFrame:
-    row_hash = F.xxhash64(*[F.col(c) for c in hashable_columns(df)])
-    return df.withColumn("_salt", F.pmod(row_hash, F.lit(salts)).cast("int"))
-
-
-def hashable_columns(df: DataFrame) -> list[str]:
-    """Columns `xxhash64` accepts: all but those that hold a map or a variant."""
-    return [
-        f.name for f in df.schema.fields
-        if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()
-    ]
+    small = bound is not None and bound <= max_rows
+    return big.join(F.broadcast(lookup) if small else lookup, keys, how)

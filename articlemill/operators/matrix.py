@@ -2,48 +2,76 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from articlemill.operators.lookup import keyed_join
+# Tasks carry this module along, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 10_000
+#: Quantiles that the first pass takes beside the count; enough up to that many buckets.
+FIRST_CUTS = 1_000
 BROADCAST_CELLS = 200_000
 
 
 def with_row_index(
     df: DataFrame, key: str, name: str = "row_id", rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
-    """Numbers the rows from 0 in the order of a unique numeric column.
+    """Numbers the rows from 0 in the order of a unique numeric column, rows without key last.
 
     Quantiles of the key cut the rows into buckets of like size, more of them for a
     larger table; each bucket is numbered on its own, and the sizes of the buckets before
     it are added. No window runs over the whole table. The cuts are constants of the
-    plan, so a task that runs again places its rows alike.
+    plan, so a task that runs again places its rows alike. Rows with a null key make a bucket of
+    their own, in the order of a hash of the row.
     """
-    numbered = df.withColumn("_number", F.col(key).cast("double"))
-    buckets = min(MAX_BUCKETS, df.count() // rows_per_bucket + 1)
+    numbered = df.withColumn("_number", F.coalesce(F.col(key).cast("double"), F.lit(float("nan"))))
     # A bucketizer wants two buckets at least.
-    edges = [float("-inf"), *(_cuts(numbered, buckets) or [0.0]), float("inf")]
-    placed = Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket").transform(numbered)
+    edges = [float("-inf"), *(_cuts(numbered, rows_per_bucket) or [0.0]), float("inf")]
+    bucketizer = Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket", handleInvalid="keep")
+    placed = bucketizer.transform(numbered)
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_bucket").orderBy(key)
+    tie = F.xxhash64(*[F.col(c) for c in hashable_columns(df)])
+    within = Window.partitionBy("_bucket").orderBy(key, tie)
     ranked = placed.withColumn("_within", F.row_number().over(within) - 1)
-    # One row of offsets per bucket, so at most MAX_BUCKETS rows are broadcast.
+    # One row of offsets per bucket of millions of rows.
     joined = ranked.join(F.broadcast(offsets), "_bucket")
     index = (F.col("_offset") + F.col("_within")).alias(name)
     return joined.select(index, *df.columns)
 
 
-def _cuts(numbered: DataFrame, buckets: int) -> list[float]:
-    steps = [i / buckets for i in range(1, buckets)]
-    if not steps:
+def hashable_columns(df: DataFrame) -> list[str]:
+    """Columns `xxhash64` accepts: all but those that hold a map or a variant."""
+    return [
+        f.name for f in df.schema.fields
+        if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()
+    ]
+
+
+def _cuts(numbered: DataFrame, rows_per_bucket: int) -> list[float]:
+    """The cuts between buckets; count and quantiles come from one pass unless the table is huge."""
+
+    def quantiles(n: int):
+        number = F.when(~F.isnan("_number"), F.col("_number"))
+        return F.percentile_approx(number, [i / n for i in range(1, n)], 10 * n)
+
+    n_rows, cuts = numbered.agg(F.count("_number"), quantiles(FIRST_CUTS)).head()
+    buckets = n_rows // rows_per_bucket + 1
+    if buckets < 2 or cuts is None:
         return []
-    cuts = numbered.agg(F.percentile_approx("_number", steps, 10 * MAX_BUCKETS)).head()[0]
+    if buckets > FIRST_CUTS // 10:
+        cuts = numbered.agg(quantiles(buckets)).head()[0]
+    else:
+        cuts = [cuts[i * FIRST_CUTS // buckets - 1] for i in range(1, buckets)]
     return sorted(set(cuts or []))
 
 
@@ -102,32 +130,91 @@ def multiply(
 ) -> DataFrame:
     """Cells `(row_id, col_id, value)` of the product; fails if the shapes do not fit.
 
-    A right side of few cells is broadcast. Otherwise cells meet by inner index, row
-    block and column block, so that no group of the join has more than `block * block`
-    products, however tall or wide the matrices are.
+    Both sides must be full matrices: rows 0 to n - 1, once each, of one length. A right side of
+    at most `broadcast_cells` cells is sent to the tasks, which multiply whole batches of left
+    rows: no shuffle. Otherwise dense blocks of both sides meet by their inner block; see
+    `_block_products`.
     """
-    dims = right.agg(
-        F.coalesce(F.max("row_id") + 1, F.lit(0)).alias("inner"),
-        F.coalesce(F.max(F.size("features")), F.lit(0)).alias("wide"),
-    ).head()
-    widest = left.agg(
-        F.coalesce(F.max(F.size("features")), F.lit(0)).alias("inner"),
-        F.coalesce(F.max("row_id"), F.lit(-1)).alias("last"),
+    inner, wide = _dimensions(right, "right")
+    rows, width = _dimensions(left, "left")
+    if width != inner:
+        raise ValueError(f"cannot multiply: {width} columns with {inner} rows")
+    if inner * wide <= broadcast_cells:
+        listed = right.orderBy("row_id").select("features").collect()
+        factor = np.array([r["features"] for r in listed], float).reshape(inner, wide)
+        return left.select("row_id", "features").mapInArrow(_times(factor), CELLS)
+    return _block_products(left, right, -(-rows // block), block)
+
+
+CELLS = "row_id bigint, col_id int, value double"
+
+
+def _dimensions(matrix: DataFrame, side: str) -> tuple[int, int]:
+    size = F.size("features")
+    n, distinct, low, high, short, long = matrix.agg(
+        F.count(F.lit(1)), F.count_distinct("row_id"), F.min("row_id"), F.max("row_id"), F.min(size), F.max(size)
     ).head()
-    if widest["inner"] != dims["inner"]:
-        raise ValueError(f"cannot multiply: {widest['inner']} columns with {dims['inner']} rows")
-    a = cells(left).select("row_id", F.col("col_id").cast("bigint").alias("_k"), F.col("value").alias("_a"))
-    b = cells(right).select(F.col("row_id").alias("_k"), "col_id", F.col("value").alias("_b"))
-    if dims["inner"] * dims["wide"] <= broadcast_cells:
-        pairs = keyed_join(a, b, ["_k"], "inner", bound=dims["inner"] * dims["wide"])
-    else:
-        last_col = max((dims["wide"] - 1) // block, 0)
-        last_row = max(widest["last"] // block, 0)
-        a = a.withColumn("_ib", F.floor(F.col("row_id") / block)).withColumn(
-            "_jb", F.explode(F.sequence(F.lit(0), F.lit(last_col)).cast("array<bigint>"))
-        )
-        b = b.withColumn("_jb", F.floor(F.col("col_id") / block)).withColumn(
-            "_ib", F.explode(F.sequence(F.lit(0), F.lit(last_row)).cast("array<bigint>"))
-        )
-        pairs = a.join(b, ["_k", "_ib", "_jb"])
-    return pairs.groupBy("row_id", "col_id").agg(F.sum(F.col("_a") * F.col("_b")).alias("value"))
+    if n and (distinct != n or low != 0 or high != n - 1 or short != long):
+        raise ValueError(f"cannot multiply: the {side} side lacks rows or its rows differ in length")
+    return n, long or 0
+
+
+def _cells_of(rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    """Cells of a dense piece with these row and column numbers."""
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.repeat(rows, len(columns)).astype(np.int64)),
+            pa.array(np.tile(columns, len(rows)).astype(np.int32)),
+            pa.array(values.ravel()),
+        ],
+        ["row_id", "col_id", "value"],
+    )
+
+
+def _times(factor: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = np.arange(factor.shape[1])
+        for batch in batches:
+            values = batch.column(1).flatten().fill_null(0.0).to_numpy(zero_copy_only=False)
+            rows = values.reshape(batch.num_rows, factor.shape[0])
+            yield _cells_of(batch.column(0).to_numpy(), columns, rows @ factor)
+
+    return run
+
+
+def _strips(matrix: DataFrame, block: int, first: str, second: str) -> DataFrame:
+    """Dense blocks `(first, second, rows)`: rows grouped by `block`, each cut into pieces of `block` values."""
+    pieces = F.sequence(F.lit(0), F.floor((F.size("features") - 1) / block).cast("int"))
+    cut = matrix.select("row_id", "features", F.explode(pieces).alias(second))
+    part = F.struct("row_id", F.slice("features", F.col(second) * block + 1, F.lit(block)).alias("part"))
+    grouped = cut.groupBy(F.floor(F.col("row_id") / block).cast("int").alias(first), second)
+    return grouped.agg(F.sort_array(F.collect_list(part)).alias("rows"))
+
+
+def _block_products(left: DataFrame, right: DataFrame, row_blocks: int, block: int) -> DataFrame:
+    """Products of the left blocks `(ib, kb)` with the right blocks `(kb, jb)`, summed over kb.
+
+    The few inner blocks are the join's keys, so left blocks are spread over `splits` more keys and
+    right blocks copied to them: as many as there are left row blocks, up to the tasks of a shuffle.
+    """
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    splits = max(1, min(row_blocks, tasks))
+    a = _strips(left, block, "ib", "kb").withColumn("split", F.col("ib") % splits)
+    copies = F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).alias("split")
+    b = _strips(right, block, "kb", "jb").select("kb", "jb", F.col("rows").alias("factor"), copies)
+    met = a.join(b, ["kb", "split"]).select("rows", "jb", "factor")
+
+    def dense(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        values = rows.field("part")
+        return rows.field("row_id").to_numpy(), values.flatten().fill_null(0.0).to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                numbers, values = dense(batch.column(0)[i].values)
+                _, factor = dense(batch.column(2)[i].values)
+                columns = batch.column(1)[i].as_py() * block + np.arange(factor.shape[1])
+                yield _cells_of(numbers, columns, values @ factor)
+
+    products = met.mapInArrow(run, CELLS)
+    return products.groupBy("row_id", "col_id").agg(F.sum("value").alias("value"))

@@ -119,18 +119,29 @@ def dictionary_classify(spark, sf):
 
 def doccat_predict(spark, sf):
     """Categories of the documents without label, learnt from those with one."""
-    docs = documents(spark, sf).select("doc_id", tokens(F.col("text")).alias("tokens"))
+    words = tokens(F.col("text")).alias("tokens")
     category = F.col("toxic").cast("double").alias("category")
-    training = docs.join(labels(spark, sf).select("doc_id", category), "doc_id")
-    model = K.train_document_categoriser(training)
-    rest = docs.join(labels(spark, sf), "doc_id", "left_anti")
-    found = K.predict_categories(model, rest, ["doc_id"])
+    named = documents(spark, sf).join(labels(spark, sf).select("doc_id", category), "doc_id")
+    model = K.train_document_categoriser(named.select("category", words))
+    rest = read_table(spark, sf, "documents").join(labels(spark, sf), "doc_id", "left_anti")
+    found = K.predict_categories(model, rest.select("doc_id", words), ["doc_id"])
     return found.withColumn("prob", F.round("prob", 5))
 
 
+def labelled_matrix(spark, sf):
+    features = F.col("embedding").cast("array<double>").alias("features")
+    return read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_id"), features, "label")
+
+
+def multinomial_gradient(spark, sf):
+    """What is left of the loss's gradient after the fit, which is nothing but rounding."""
+    rows = labelled_matrix(spark, sf)
+    found = K.multinomial_gradient(K.train_multinomial(rows, "label"), rows, "label")
+    return found.withColumn("gradient", F.round("gradient", 4) + 0.0)
+
+
 def multinomial_predict(spark, sf):
-    table = read_table(spark, sf, "embeddings")
-    rows = matrix(spark, sf).join(table.select(F.col("vec_id").alias("row_id"), "label"), "row_id")
+    rows = labelled_matrix(spark, sf)
     model = K.train_multinomial(rows, "label")
     found = K.predict_multinomial(model, rows, ["row_id", "label"])
     return found.withColumn("prob", F.round("prob", 4))
@@ -142,7 +153,7 @@ QUERIES = {
         matrix_shape, matrix_cell, matrix_row, matrix_rows, matrix_first_row, matrix_cols,
         matrix_index, matrix_transpose, matrix_multiply, labelled_dictionary, dictionary_score,
         dictionary_score_full,
-        dictionary_classify, doccat_predict, multinomial_predict,
+        dictionary_classify, doccat_predict, multinomial_predict, multinomial_gradient,
     ]
 }
 
@@ -192,6 +203,10 @@ def oracles() -> dict[str, str]:
         ),
         "dictionary_classify": f"""SELECT *, CASE WHEN score >= {THRESHOLD} THEN 'corruption'
             ELSE 'noncorruption' END AS label FROM ({scores(dictionary(''), good)}) AS s""",
+        "multinomial_gradient": """SELECT CAST(category AS INTEGER) AS category,
+            CAST(col_id AS INTEGER) AS col_id, CAST(0 AS DOUBLE) AS gradient
+            FROM range((SELECT max(label) + 1 FROM embeddings)) AS c(category),
+              range((SELECT max(len(embedding)) FROM embeddings)) AS f(col_id)""",
         "doccat_predict": f"""WITH a AS MATERIALIZED ({alpha}),
             cls AS (SELECT toxic AS c, ln(count(*) + 1) -
                 ln((SELECT count(*) FROM labels JOIN documents USING (doc_id)) + 2) AS prior
