@@ -15,7 +15,8 @@ LETTERS_DIGITS = "A-Za-z0-9"
 NON_SPACE = "[^ \\t\\r\\n]+"
 # ASCII ranges come first, as they are tested faster than Unicode classes.
 WORD_OR_MARK = "[A-Za-z0-9\\p{L}\\p{N}]+|[^A-Za-z0-9\\p{L}\\p{N} \\t\\r\\n]"
-SENTENCE = "[^.!?]+[.!?]*"
+# A run of end marks at the start of a text is a sentence of its own.
+SENTENCE = "[^.!?]+[.!?]*|[.!?]+"
 
 
 def keep_only(text: Column, pattern: str, separator: str = "") -> Column:

@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from articlemill.functions.text import WORD_OR_MARK, word_tokens
 from articlemill.operators.lookup import keyed_join
-from articlemill.operators.spans import match_spans, numbered_sentences, pattern_spans
-from articlemill.sources.tables import by_document
+from articlemill.operators.spans import match_arrays, numbered_sentences, pattern_spans
+from articlemill.sources.tables import by_document, spread
 
 NO_TAG = "O"
 
@@ -122,22 +122,22 @@ def gazetteer_spans(
 
     A term is compared with every run of that many tokens, joined by single blanks.
     """
-    tokens = match_spans(docs, keys, text, WORD_OR_MARK)
-    order = Window.partitionBy(*keys).orderBy("pos")
-    grams = tokens.withColumn("_gram", F.array(F.struct(F.col("text").alias("term"), "end")))
-    for extra in range(1, max_words):
-        ahead = [F.lead("text", i).over(order) for i in range(1, extra + 1)]
-        longer = F.when(
-            ahead[-1].isNotNull(),
-            F.struct(
-                F.concat_ws(" ", F.col("text"), *ahead).alias("term"),
-                F.lead("end", extra).over(order).alias("end"),
-            ),
-        )
-        grams = grams.withColumn(f"_gram{extra}", longer)
-    extras = [F.array(f"_gram{i}") for i in range(1, max_words)]
-    all_grams = F.filter(F.concat("_gram", *extras), lambda g: g.isNotNull())
-    rows = grams.select(*keys, "begin", F.inline(all_grams))
+    arrays = match_arrays(docs, keys, text, WORD_OR_MARK)
+    # Shifted copies of the arrays put each token beside those that follow it.
+    shifted = [F.col("_hits").alias("w0"), F.col("_ends").alias("e0")]
+    for i in range(1, max_words):
+        shifted += [F.slice(c, F.lit(i + 1), F.size(c)).alias(f"{n}{i}") for c, n in (("_hits", "w"), ("_ends", "e"))]
+    zipped = arrays.select(*keys, *shifted)
+    names = [c for c in zipped.columns if c not in keys]
+    tokens = zipped.select(*keys, F.explode(F.arrays_zip(*names)).alias("_t"))
+    grams = [
+        F.when(F.col(f"_t.w{i}").isNotNull(), F.struct(
+            F.concat_ws(" ", *[F.col(f"_t.w{k}") for k in range(i + 1)]).alias("term"), F.col(f"_t.e{i}").alias("end"),
+        ))
+        for i in range(max_words)
+    ]
+    begin = F.col("_t.e0") - F.length("_t.w0")
+    rows = tokens.select(*keys, begin.alias("begin"), F.inline(F.filter(F.array(*grams), lambda g: g.isNotNull())))
     terms = gazetteer.select("term", "type")
     known = keyed_join(rows, terms, ["term"], "inner", bound=bound)
     return known.select(*keys, "type", "begin", "end", F.col("term").alias("text"))
@@ -146,8 +146,8 @@ def gazetteer_spans(
 def entity_spans(
     docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str] | None = None
 ) -> DataFrame:
-    """Spans of the pattern tagger with their probability, which rules set to 1."""
-    spans = _known_pattern_spans(docs, keys, text, patterns)
+    """Spans of the pattern tagger, their text and probability, which rules set to 1."""
+    spans = _known_pattern_spans(spread(docs.select(*keys, text), *keys), keys, text, patterns)
     return spans.withColumn("prob", F.lit(1.0))
 
 
@@ -175,8 +175,8 @@ def entities_by_sentence(
     docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str] | None = None
 ) -> DataFrame:
     """Rows `(keys, sent_id, type, begin, end, text)`, offsets within the sentence."""
-    sentences = numbered_sentences(docs, keys, text)
-    return _known_pattern_spans(sentences, keys + ["sent_id"], "text", patterns, placed=True)
+    sentences = numbered_sentences(docs, keys, text, placed=False)
+    return _known_pattern_spans(sentences, keys + ["sent_id"], "text", patterns)
 
 
 def _known_pattern_spans(
@@ -184,10 +184,9 @@ def _known_pattern_spans(
     keys: list[str],
     text: str,
     patterns: dict[str, str] | None,
-    placed: bool = False,
 ) -> DataFrame:
     needs = PATTERN_NEEDS if patterns is None else None
-    return pattern_spans(docs, keys, text, patterns or ENTITY_PATTERNS, needs, placed)
+    return pattern_spans(docs, keys, text, patterns or ENTITY_PATTERNS, needs)
 
 
 def combine_ranked(spans: DataFrame, keys: list[str], rank: Column, levels: int) -> DataFrame:
@@ -219,10 +218,12 @@ def combine_ranked(spans: DataFrame, keys: list[str], rank: Column, levels: int)
 
 
 def combine_types(spans: DataFrame, keys: list[str], order: list[list[str]]) -> DataFrame:
-    """Combines the types of one table of spans, the types of a list before the next list's."""
-    rank = F.coalesce(*[F.when(F.col("type").isin(kinds), i) for i, kinds in enumerate(order)])
-    wanted = [kind for kinds in order for kind in kinds]
-    return combine_ranked(spans.filter(F.col("type").isin(wanted)), keys, rank, len(order))
+    """Combines the types of one table of spans, the types of a list before the next list's.
+
+    Types in no list come last.
+    """
+    ranks = [F.when(F.col("type").isin(kinds), i) for i, kinds in enumerate(order)]
+    return combine_ranked(spans, keys, F.coalesce(*ranks, F.lit(len(order))), len(order) + 1)
 
 
 def combine_taggers(taggers: list[DataFrame], keys: list[str]) -> DataFrame:

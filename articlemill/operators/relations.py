@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlemill.functions.text import word_tokens
@@ -73,37 +73,31 @@ def relation_pairs(
     rules: list[tuple[str, str, str, str]] | None = None,
     bound: int | None = None,
 ) -> DataFrame:
-    """Rows `(keys, sent_id, left_text, rel_type, right_text, ...)` of neighbouring mentions.
+    """Rows `(keys, sent_id, left_text, rel_type, right_text, ...)` of mentions near each other.
 
-    A rule names the words between two mentions, so only mentions next to each other
-    can be related; any other pair would get `_NR`, which `related` drops. That keeps
-    the pairs linear in the mentions, with no join of a sentence with itself.
+    A rule names the words between two mentions, so a pair has at most as many tokens between
+    as the longest rule; mentions may stand between as well. Any other pair would get `_NR`,
+    which `related` drops. Each mention looks for mentions that start at one of the few places behind it,
+    so the pairs stay linear in the mentions.
     """
     wanted = rules or RELATION_RULES
     max_between = max(len(rule[1].split(" ")) for rule in wanted)
     mentions = sentence_mentions(docs, keys, text, gazetteer, max_between, bound)
-    order = Window.partitionBy(*keys, "sent_id").orderBy("first", "last")
-    gap = F.col("right_first") - F.col("last") - 1
-    between = F.when(
-        gap.between(0, max_between), F.lower(F.array_join(F.slice("after", F.lit(1), gap), " "))
-    )
-    pairs = (
-        mentions.withColumn("right_text", F.lead("text").over(order))
-        .withColumn("right_type", F.lead("type").over(order))
-        .withColumn("right_first", F.lead("first").over(order))
-        .filter(F.col("right_first").isNotNull())
-        .select(
-            *keys,
-            "sent_id",
-            F.col("text").alias("left_text"),
-            F.col("type").alias("left_type"),
-            "right_text",
-            "right_type",
-            F.col("first").alias("left_first"),
-            "right_first",
-            between.alias("between"),
-        )
+    place = [*keys, "sent_id"]
+    starts = F.sequence(F.col("last") + 1, F.col("last") + 1 + max_between)
+    left = mentions.select(
+        *place, F.col("text").alias("left_text"), F.col("type").alias("left_type"),
+        F.col("first").alias("left_first"), "last", "after", F.explode(starts).alias("right_first"),
+    )
+    right = mentions.select(
+        *place, F.col("text").alias("right_text"), F.col("type").alias("right_type"), F.col("first").alias("right_first")
     )
+    gap = F.col("right_first") - F.col("last") - 1
+    between = F.lower(F.array_join(F.slice("after", F.lit(1), gap), " "))
+    pairs = left.join(right, [*place, "right_first"]).select(
+        *place, "left_text", "left_type", "right_text", "right_type", "left_first", "right_first",
+        between.alias("between"),
+    )
     table = rule_table(docs.sparkSession, wanted)
     by_rule = ["left_type", "between", "right_type"]
     typed = keyed_join(pairs, table, by_rule, "left", bound=len(wanted))

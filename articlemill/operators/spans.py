@@ -2,25 +2,65 @@
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from articlemill.functions.text import NON_SPACE, SENTENCE, covered_text, sentences
-from articlemill.sources.tables import by_document
+from articlemill.functions.text import NON_SPACE, SENTENCE, sentences
+from articlemill.sources.tables import by_document, spread
+
+# Tasks carry this module along, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def running_sums(sizes: pa.Array) -> pa.Array:
+    """The running sums of each array, for a whole batch at once."""
+    sizes = sizes.cast(pa.list_(pa.int32()))
+    flat = sizes.flatten().to_numpy(zero_copy_only=False)
+    lengths = sizes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lengths)
+    sums = np.concatenate([[0], np.cumsum(flat, dtype=np.int64)])
+    flat_sums = sums[1:] - np.repeat(sums[ends - lengths], lengths)
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(flat_sums.astype(np.int32)), mask=sizes.is_null())
+
+
+def located(df: DataFrame, hits: Column, gaps: Column) -> DataFrame:
+    """Adds `_hits` and `_ends`: the matches of a row's text and where each ends.
+
+    Splitting on a pattern gives the gaps between its matches, so an end is a running sum
+    of lengths. All of it happens inside the row: nothing is shuffled or sorted.
+    """
+    size = F.zip_with("_hits", "_gaps", lambda h, g: F.when(h.isNotNull(), F.length(g) + F.length(h)))
+    found = df.withColumn("_hits", hits).withColumn("_gaps", gaps)
+    sized = found.withColumn("_sizes", F.filter(size, lambda s: s.isNotNull())).drop("_gaps")
+    return sized.withColumn("_ends", running_sums("_sizes")).drop("_sizes")
+
+
+def match_arrays(docs: DataFrame, keys: list[str], text: str, pattern: str) -> DataFrame:
+    """Rows `(keys, _hits, _ends)`, one for each text. Few splits are spread over the cores first."""
+    source = spread(docs.select(*keys, text), *keys)
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return located(source, hits, F.split(text, pattern)).select(*keys, "_hits", "_ends")
 
 
 def match_spans(
     docs: DataFrame, keys: list[str], text: str, pattern: str, position: str = "pos"
 ) -> DataFrame:
-    """Rows `(keys, position, begin, end, text)`, one for each match of `pattern`.
-
-    `keys` must identify a document.
-    """
-    spans = _located(by_document(docs.select(*keys, text), *keys), keys, text, {"": pattern})
-    return spans.select(*keys, F.col("pos").alias(position), "begin", "end", "text")
+    """Rows `(keys, position, begin, end, text)`, one for each match of `pattern`."""
+    arrays = match_arrays(docs, keys, text, pattern)
+    pairs = F.arrays_zip(F.col("_hits"), F.col("_ends"))
+    rows = arrays.select(*keys, F.posexplode(pairs).alias(position, "_span"))
+    hit, end = F.col("_span._hits"), F.col("_span._ends")
+    return rows.select(*keys, position, (end - F.length(hit)).alias("begin"), end.alias("end"), hit.alias("text"))
 
 
 def pattern_spans(
@@ -29,57 +69,32 @@ def pattern_spans(
     text: str,
     patterns: dict[str, str],
     needs: dict[str, str] | None = None,
-    placed: bool = False,
 ) -> DataFrame:
     """Rows `(keys, type, begin, end, text)` for every named pattern, in one scan.
 
     `needs` may give characters of which a text with a match holds at least one; to look
     for these is cheaper than to search for the pattern. Texts that can hold no match of
-    any pattern leave before the shuffle. `placed` says that the documents already lie
-    by key, or by the first of the keys.
+    any pattern leave first.
     """
     possible = {}
     for kind, pattern in patterns.items():
         chars = (needs or {}).get(kind)
         tests = [F.col(text).contains(c) for c in chars] if chars else [F.col(text).rlike(pattern)]
         possible[kind] = reduce(or_, tests)
-    some = reduce(or_, possible.values())
-    candidates = docs.select(*keys, text).filter(some)
-    if not placed:
-        candidates = by_document(candidates, *keys)
-    spans = _located(candidates, keys, text, patterns, possible)
-    return spans.select(*keys, "type", "begin", "end", "text")
-
-
-def _located(
-    docs: DataFrame,
-    keys: list[str],
-    text: str,
-    patterns: dict[str, str],
-    possible: dict[str, Column] | None = None,
-) -> DataFrame:
-    """Matches with offsets, for documents that are already placed by key.
-
-    Splitting on a pattern gives the gaps between its matches, so an offset is a
-    running sum of lengths. The window needs no shuffle beyond the placing.
-    """
-    per_pattern = []
-    for kind, pattern in patterns.items():
-        hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern)
-        if possible:
-            hits, gaps = F.when(possible[kind], hits), F.when(possible[kind], gaps)
-        per_pattern.append(
-            F.struct(F.lit(kind).alias("type"), hits.alias("hits"), gaps.alias("gaps"))
+    candidates = docs.select(*keys, text).filter(reduce(or_, possible.values()))
+    each = F.array(*[
+        F.struct(
+            F.lit(kind).alias("type"),
+            F.when(possible[kind], F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("_found"),
+            F.when(possible[kind], F.split(text, pattern)).alias("_between"),
         )
-    matched = docs.select(*keys, F.inline(F.array(*per_pattern)))
-    pieces = matched.select(
-        *keys, "type", F.posexplode(F.arrays_zip(F.col("hits"), F.col("gaps"))).alias("pos", "piece")
-    ).filter(F.col("piece.hits").isNotNull())
-    size = F.length("piece.gaps") + F.length("piece.hits")
-    so_far = Window.partitionBy(*keys, "type").orderBy("pos")
-    end = F.sum(size).over(so_far.rowsBetween(Window.unboundedPreceding, 0)).cast("int")
-    ended = pieces.select(*keys, "type", "pos", end.alias("end"), F.col("piece.hits").alias("text"))
-    return ended.withColumn("begin", F.col("end") - F.length("text"))
+        for kind, pattern in patterns.items()
+    ])
+    matched = candidates.select(*keys, F.inline(each)).filter(F.size("_found") > 0)
+    arrays = located(matched, F.col("_found"), F.col("_between")).select(*keys, "type", "_hits", "_ends")
+    rows = arrays.select(*keys, "type", F.explode(F.arrays_zip("_hits", "_ends")).alias("_span"))
+    hit, end = F.col("_span._hits"), F.col("_span._ends")
+    return rows.select(*keys, "type", (end - F.length(hit)).alias("begin"), end.alias("end"), hit.alias("text"))
 
 
 def token_spans(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -90,17 +105,13 @@ def sentence_spans(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     return match_spans(docs, keys, text, SENTENCE, position="sent_id")
 
 
-def numbered_sentences(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Rows `(keys, sent_id, text)` of documents placed by key, without offsets.
+def numbered_sentences(docs: DataFrame, keys: list[str], text: str, placed: bool = True) -> DataFrame:
+    """Rows `(keys, sent_id, text)` without offsets.
 
-    No window is needed, and later windows by document or sentence find their rows placed.
+    `placed` puts documents by key first, so that later windows by document or sentence find
+    their rows in place.
     """
-    placed = by_document(docs.select(*keys, text), *keys)
-    return placed.select(*keys, F.posexplode(sentences(F.col(text))).alias("sent_id", "text"))
-
+    rows = docs.select(*keys, text)
+    source = by_document(rows, *keys) if placed else spread(rows, *keys)
+    return source.select(*keys, F.posexplode(sentences(F.col(text))).alias("sent_id", "text"))
 
-def with_covered_text(spans: DataFrame, docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Fills the text of spans that hold only offsets, from the documents' text."""
-    joined = spans.join(docs.select(*keys, text), keys)
-    covered = covered_text(F.col(text), F.col("begin"), F.col("end"))
-    return joined.select(*[F.col(c) for c in spans.columns], covered.alias("covered"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_PARTS = 20_000
 UNKNOWN_SIZE = 1 << 62
 
 
@@ -44,8 +43,7 @@ def by_document(df: DataFrame, *keys: str) -> DataFrame:
 
     Windows and groupings on the same keys then find their partitioning in place:
     the compact text is shuffled once, and its many token rows never are. There are as
-    many parts as the scan has splits, up to what a shuffle can track, so that a part
-    stays near the size of a split.
+    many parts as the scan has splits, so that a part stays near the size of a split.
     """
     session = df.sparkSession
     splits, cores = scan_splits(df), session.sparkContext.defaultParallelism
@@ -54,4 +52,4 @@ def by_document(df: DataFrame, *keys: str) -> DataFrame:
     if splits < cores:
         return df.repartition(cores, *keys)
     configured = int(session.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(configured, min(splits, MAX_PARTS)), *keys)
+    return df.repartition(max(configured, splits), *keys)

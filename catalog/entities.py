@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from articlemill.functions.text import covered_text, word_tokens
+from articlemill.functions.text import word_tokens
 from articlemill.operators import entities as E
 from articlemill.operators import relations as R
 from articlemill.sources.tables import read_table, spread
@@ -51,11 +51,8 @@ def entity_spans(spark, sf):
 
 
 def entity_text(spark, sf):
-    docs = documents(spark, sf)
-    spans = E.entity_spans(docs, KEYS, "text").select("doc_id", "type", "begin", "end")
-    joined = spans.join(docs, "doc_id")
-    text = covered_text(F.col("text"), F.col("begin"), F.col("end"))
-    return joined.select("doc_id", "type", "begin", text.alias("entity"))
+    spans = E.entity_spans(documents(spark, sf), KEYS, "text")
+    return spans.select("doc_id", "type", "begin", F.col("text").alias("entity"))
 
 
 def gazetteer_spans(spark, sf):
@@ -73,13 +70,20 @@ def entity_per_sentence(spark, sf):
 
 
 def entity_ensemble(spark, sf):
-    spans = E.entity_spans(documents(spark, sf), KEYS, "text").drop("prob")
-    return E.combine_types(spans, KEYS, [["EMAIL"], ["IP", "TIME", "MONEY"], ["NUMBER"]])
+    """Three taggers: known names, then patterns of fixed form, then bare numbers."""
+    docs = documents(spark, sf)
+    patterns = E.entity_spans(docs, KEYS, "text").drop("prob")
+    names = E.gazetteer_spans(docs, KEYS, "text", gazetteer(spark, sf), bound=TERMS)
+    numbers = F.col("type") == "NUMBER"
+    return E.combine_taggers([names, patterns.filter(~numbers), patterns.filter(numbers)], KEYS)
 
 
 def entity_compile(spark, sf):
+    """Names from the gazetteer, times and amounts of money from patterns."""
     articles = read_table(spark, sf, "documents")
-    compiled = E.compiled_articles(articles, KEYS, "source", mentions(spark, sf), TYPES)
+    patterns = E.entity_spans(documents(spark, sf), KEYS, "text", {k: E.ENTITY_PATTERNS[k] for k in ("TIME", "MONEY")})
+    found = mentions(spark, sf).select("doc_id", "type", "text").unionByName(patterns.select("doc_id", "type", "text"))
+    compiled = E.compiled_articles(articles, KEYS, "source", found)
     return E.compiled_json(compiled, KEYS)
 
 
@@ -144,28 +148,23 @@ def oracles() -> dict[str, str]:
 
     mention = merged(known(words, "doc_id"), "doc_id")
     spans = pattern_spans_sql("documents", KEYS, "text", E.ENTITY_PATTERNS)
-    sentences = spans_sql("documents", KEYS, "text", "[^.!?]+[.!?]*", "sent_id")
+    sentences = spans_sql("documents", KEYS, "text", "[^.!?]+[.!?]*|[.!?]+", "sent_id")
     sentence_words = token_rows(
         f"regexp_extract_all(text, '{WORD_RX}')", f"({sentences})", "doc_id, sent_id"
     )
     rules = ", ".join(str(rule) for rule in R.RELATION_RULES)
+    # Pairs from their definition: a mention, and any that starts with at most two tokens between.
     pairs = f"""WITH w AS MATERIALIZED ({sentence_words}),
         m AS MATERIALIZED ({merged(known("SELECT * FROM w", "doc_id, sent_id"), "doc_id, sent_id")}),
-        p AS (SELECT doc_id, sent_id, text AS left_text, type AS left_type, first AS left_first, last,
-            lead(text) OVER o AS right_text, lead(type) OVER o AS right_type,
-            lead(first) OVER o AS right_first
-          FROM m WINDOW o AS (PARTITION BY doc_id, sent_id ORDER BY first, last)),
-        q AS (SELECT p.doc_id, p.sent_id, left_text, left_type, right_text, right_type, left_first,
-            right_first, lower(coalesce(string_agg(w.token, ' ' ORDER BY w.pos), '')) AS words
-          FROM p LEFT JOIN w ON w.doc_id = p.doc_id AND w.sent_id = p.sent_id
-            AND w.pos > p.last AND w.pos < p.right_first
-          WHERE right_first IS NOT NULL GROUP BY ALL)
-        SELECT doc_id, sent_id, left_text, q.left_type, right_text, q.right_type, left_first,
-          right_first,
-          CASE WHEN len(string_split(words, ' ')) <= 2 THEN words END AS between,
-          coalesce(r.rel_type, '_NR') AS rel_type
+        q AS (SELECT l.doc_id, l.sent_id, l.text AS left_text, l.type AS left_type, r.text AS right_text,
+            r.type AS right_type, l.first AS left_first, r.first AS right_first,
+            (SELECT lower(coalesce(string_agg(w.token, ' ' ORDER BY w.pos), '')) FROM w
+              WHERE w.doc_id = l.doc_id AND w.sent_id = l.sent_id AND w.pos > l.last AND w.pos < r.first) AS between
+          FROM m AS l JOIN m AS r ON l.doc_id = r.doc_id AND l.sent_id = r.sent_id
+            AND r.first - l.last BETWEEN 1 AND 3)
+        SELECT q.*, coalesce(r.rel_type, '_NR') AS rel_type
         FROM q LEFT JOIN (VALUES {rules}) AS r(left_type, between, right_type, rel_type)
-          ON q.left_type = r.left_type AND q.words = r.between AND q.right_type = r.right_type"""
+          ON q.left_type = r.left_type AND q.between = r.between AND q.right_type = r.right_type"""
     related = f"SELECT * FROM ({pairs}) AS found WHERE rel_type <> '_NR'"
 
     def overlap(a, b):
@@ -173,33 +172,33 @@ def oracles() -> dict[str, str]:
 
     lists = ", ".join(
         f"""coalesce(list(DISTINCT text ORDER BY text) FILTER (type = '{t}'), []) AS {t.lower()}"""
-        for t in TYPES
+        for t in E.ENTITY_TYPES
     )
+    gazetteer_sql = f"""SELECT doc_id, g.type, begin, "end", text
+        FROM ({spans_sql('documents', KEYS, 'text', WORD_RX)}) AS s JOIN {terms} AS g ON s.text = g.term"""
     return {
         "token_tags": f"""SELECT doc_id, pos, token, coalesce(g.type, 'O') AS tag
             FROM ({words}) AS w LEFT JOIN {terms} AS g ON w.token = g.term""",
         "entity_merge_adjacent": mention,
         "entity_spans": f"SELECT *, CAST(1.0 AS DOUBLE) AS prob FROM ({spans}) AS s",
         "entity_text": f"SELECT doc_id, type, begin, text AS entity FROM ({spans}) AS s",
-        "gazetteer_spans": f"""SELECT doc_id, g.type, begin, "end", text
-            FROM ({spans_sql('documents', KEYS, 'text', WORD_RX)}) AS s
-            JOIN {terms} AS g ON s.text = g.term""",
+        "gazetteer_spans": gazetteer_sql,
         "entities_by_type": f"SELECT doc_id, text FROM ({mention}) AS m WHERE type = 'LOCATION'",
         "entity_per_sentence": pattern_spans_sql(
             f"({sentences})", ["doc_id", "sent_id"], "text", E.ENTITY_PATTERNS
         ),
-        "entity_ensemble": f"""WITH s AS MATERIALIZED ({spans}),
-            a AS (SELECT * FROM s WHERE type = 'EMAIL'),
-            b AS (SELECT * FROM s WHERE type IN ('IP', 'TIME', 'MONEY')
+        "entity_ensemble": f"""WITH s AS MATERIALIZED ({spans}), a AS MATERIALIZED ({gazetteer_sql}),
+            b AS (SELECT * FROM s WHERE type IN ('EMAIL', 'IP', 'TIME', 'MONEY')
               AND NOT EXISTS (SELECT 1 FROM a WHERE {overlap('a', 's')})),
             ab AS (SELECT * FROM a UNION ALL SELECT * FROM b)
             SELECT * FROM ab UNION ALL SELECT * FROM s WHERE type = 'NUMBER'
               AND NOT EXISTS (SELECT 1 FROM ab WHERE {overlap('ab', 's')})""",
         "entity_compile": f"""SELECT doc_id, CAST(to_json(struct_pack(title := source,
-            person := coalesce(person, []), organization := coalesce(organization, []),
-            location := coalesce(location, []))) AS VARCHAR) AS json
-            FROM documents LEFT JOIN
-              (SELECT doc_id, {lists} FROM ({mention}) AS m GROUP BY doc_id) AS c USING (doc_id)""",
+            {", ".join(f"{t.lower()} := coalesce({t.lower()}, [])" for t in E.ENTITY_TYPES)})) AS VARCHAR) AS json
+            FROM documents LEFT JOIN (SELECT doc_id, {lists} FROM (
+              SELECT doc_id, type, text FROM ({mention}) AS m UNION ALL
+              SELECT doc_id, type, text FROM ({spans}) AS s WHERE type IN ('TIME', 'MONEY')) AS e
+            GROUP BY doc_id) AS c USING (doc_id)""",
         "entity_gazetteer_match": f"""SELECT doc_id, first, text FROM ({mention}) AS m
             WHERE type = 'LOCATION' AND text IN
               (SELECT unnest(regexp_extract_all(text, '{WORD_RX}')) FROM benchmark)""",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from articlemill.operators import entities as E
 from articlemill.operators import relations as R
+from articlemill.operators import spans as S
 
 KEYS = ["doc_id"]
 SPAN = "doc_id bigint, type string, begin int, end int, text string"
@@ -59,9 +60,9 @@ def test_a_term_listed_twice_or_with_two_types(spark):
         ("LOCATION", "San Antonio"), ("LOCATION", "Texas"), ("PERSON", "Antonio"),
     ]
     pairs = R.related(R.relation_pairs(docs, KEYS, "text", gazetteer)).collect()
-    assert [(r["left_text"], r["rel_type"], r["right_text"]) for r in pairs] == [
-        ("Antonio", "Live_In", "Texas")
-    ]
+    assert sorted((r["left_text"], r["rel_type"], r["right_text"]) for r in pairs) == [
+        ("Antonio", "Live_In", "Texas"), ("San Antonio", "Located_In", "Texas"),
+    ]
 
 
 def test_patterns(spark):
@@ -170,3 +171,49 @@ def test_relations(spark):
         "Congress ( OrgBased_In ) America", "Hondo ( Located_In ) TX",
         "Obama ( Live_In ) America", "Obama ( Work_For ) Congress",
     ]
+
+
+def relations_of(spark, text, gazetteer):
+    pairs = R.related(R.relation_pairs(docs_of(spark, text), KEYS, "text", gazetteer)).collect()
+    return sorted((r["left_text"], r["left_type"], r["rel_type"], r["right_text"]) for r in pairs)
+
+
+def test_a_mention_between_hides_no_relation(spark):
+    gazetteer = terms(spark, PERSON=["Bob"], ORGANIZATION=["from"], LOCATION=["France"])
+    assert relations_of(spark, "Bob from France.", gazetteer) == [("Bob", "PERSON", "Live_In", "France")]
+
+
+def test_a_mention_of_two_types_has_both_relations(spark):
+    gazetteer = terms(spark, PERSON=["Paris"], LOCATION=["Paris", "France"])
+    assert relations_of(spark, "Paris in France.", gazetteer) == [
+        ("Paris", "LOCATION", "Located_In", "France"), ("Paris", "PERSON", "Live_In", "France"),
+    ]
+
+
+def test_types_in_no_list_come_last(spark):
+    rows = [(1, "A", 0, 5, "x"), (1, "Z", 3, 8, "x"), (1, "Z", 9, 12, "x")]
+    kept = E.combine_types(spark.createDataFrame(rows, SPAN), KEYS, [["A"]]).collect()
+    assert sorted((r["type"], r["begin"]) for r in kept) == [("A", 0), ("Z", 9)]
+
+
+def test_end_marks_at_the_start_are_a_sentence(spark):
+    rows = S.sentence_spans(docs_of(spark, "... One. Two", "?!"), KEYS, "text").orderBy("doc_id", "sent_id").collect()
+    assert [(r["doc_id"], r["begin"], r["end"], r["text"]) for r in rows] == [
+        (0, 0, 3, "..."), (0, 3, 8, " One."), (0, 8, 12, " Two"), (1, 0, 2, "?!"),
+    ]
+
+
+def test_spans_are_made_without_a_shuffle(spark, tmp_path):
+    rows = [(i, "Some words of 12. And 2015-01-02, more." if i % 5 else None) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500b")
+    try:
+        for df in (
+            S.token_spans(docs, KEYS, "text"), S.sentence_spans(docs, KEYS, "text"),
+            E.entity_spans(docs, KEYS, "text"), E.entities_by_sentence(docs, KEYS, "text"),
+        ):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+            assert all(r["end"] - r["begin"] == len(r["text"]) for r in df.limit(50).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
