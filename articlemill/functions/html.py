@@ -6,27 +6,30 @@ These cover elements that do not nest in themselves. General selectors run in
 
 from __future__ import annotations
 
+import json
+import re
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from articlemill.functions.text import squeeze
 
-NOISE = "(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
+BLANK = "[ \\t\\r\\n]"
+# The rest of a tag up to its end: a `>` inside a quoted value does not end it. The group
+# repeats once per quoted value, so long tags cause no deep recursion.
+REST = "[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*"
+NOISE = f"(?is)<!--.*?-->|<script(?:{BLANK}{REST})?>.*?</script{BLANK}*>|<style(?:{BLANK}{REST})?>.*?</style{BLANK}*>"
 INLINE_TAG = (
-    "(?i)</?(?:a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|u)(?:[ \\t\\r\\n][^>]*)?>"
+    f"(?i)</?(?:a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|u)(?:{BLANK}{REST})?>"
 )
-ANY_TAG = "<[^>]*>"
-ATTRIBUTE = "([A-Za-z_:][A-Za-z0-9_:.-]*)[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n\"'>]+)"
+ANY_TAG = f"</?[A-Za-z!?]{REST}>"
+# A name, and its value if it has one.
+ATTRIBUTE = f"([^ \\t\\r\\n\"'>/=]+)(?:{BLANK}*={BLANK}*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n\"'>]+))?"
 
-# Named character references, the ampersand last. The older names are read
-# without their semicolon too.
-ENTITIES = [
-    ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&apos;", "'"), ("&nbsp;?", "\u00a0"),
-    ("&copy;?", "©"), ("&reg;?", "®"), ("&middot;?", "·"), ("&sect;?", "§"), ("&ndash;", "–"),
-    ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&hellip;", "…"), ("&bull;", "•"), ("&euro;", "€"), ("&amp;?", "&"),
-]
-NUMBERED = "&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
+# A character reference; old names are read without their semicolon too.
+REFERENCE = "&(?:#[0-9]{1,8};?|#[xX][0-9A-Fa-f]{1,7};?|[A-Za-z][A-Za-z0-9]{1,30};?)"
+SHORTEST, LONGEST_OPEN = 2, max(len(n) for n in html5 if not n.endswith(";"))
 
 
 def strip_noise(html: Column) -> Column:
@@ -35,11 +38,16 @@ def strip_noise(html: Column) -> Column:
 
 
 def element_pattern(tag: str, attr: str | None = None, value: str | None = None) -> str:
-    """Pattern with the attributes of the first such element as group 1, inside as 2."""
+    """Pattern with the attributes of the first such element as group 1, inside as 2.
+
+    Tag, attribute and value are taken literally.
+    """
+    tag = re.escape(tag)
     if attr is None:
-        return f"(?is)<{tag}((?:[ \\t\\r\\n][^>]*)?)>(.*?)</{tag}[ \\t\\r\\n]*>"
-    wanted = f"[ \\t\\r\\n]{attr}[ \\t\\r\\n]*=[ \\t\\r\\n]*[\"']?{value}[\"']?"
-    return f"(?is)<{tag}((?:{wanted}|[ \\t\\r\\n][^>]*?{wanted})(?:[ \\t\\r\\n][^>]*)?)>(.*?)</{tag}[ \\t\\r\\n]*>"
+        return f"(?is)<{tag}((?:{BLANK}{REST})?)>(.*?)</{tag}{BLANK}*>"
+    exact = re.escape(value or "")
+    wanted = f"{BLANK}{re.escape(attr)}{BLANK}*={BLANK}*(?:\"{exact}\"|'{exact}'|{exact})"
+    return f"(?is)<{tag}((?:{wanted}|{BLANK}{REST}{wanted})(?:{BLANK}{REST})?)>(.*?)</{tag}{BLANK}*>"
 
 
 def has_element(html: Column, tag: str, attr: str | None = None, value: str | None = None) -> Column:
@@ -57,36 +65,56 @@ def outer_html(html: Column, tag: str, attr: str | None = None, value: str | Non
 
 def paragraphs(html: Column) -> Column:
     """Markup of every paragraph; one left open ends where the next begins."""
-    pieces = F.split(html, "(?i)<p(?:[ \\t\\r\\n][^>]*)?>")
+    pieces = F.split(html, f"(?i)<p(?:{BLANK}{REST})?>")
     opened = F.slice(pieces, F.lit(2), F.size(pieces))
     return F.transform(opened, lambda p: F.regexp_replace(p, "(?is)</p[ \\t\\r\\n]*>.*", ""))
 
 
-def decode_numeric_entities(text: Column) -> Column:
-    """Numbered character references, each distinct one replaced once per text."""
-    references = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMBERED), F.lit(0)))
+def named_references() -> Column:
+    """Names to characters, as one constant of the plan; the list is the standard library's."""
+    return F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
 
-    def replaced(acc: Column, reference: Column) -> Column:
-        digits = F.regexp_extract(reference, "([0-9A-Fa-f]+);", 1)
-        decimal = F.when(reference.rlike("[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
-        number = decimal.cast("bigint")
-        valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        # A coded ampersand becomes the named one, which is decoded last and once.
-        known = F.when(number == 38, "&amp;").when(valid, char).otherwise("\ufffd")
-        return F.replace(acc, reference, known)
+def numbered_reference(reference: Column) -> Column:
+    digits = F.regexp_extract(reference, "([0-9A-Fa-f]+);?$", 1)
+    number = F.when(reference.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    # Numbers 128 to 159 mean characters of an old code page where it has them.
+    old = {}
+    for code in range(0x80, 0xA0):
+        try:
+            old[code] = bytes([code]).decode("cp1252")
+        except UnicodeDecodeError:
+            old[code] = chr(code)
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    table = F.create_map(*[F.lit(x) for pair in old.items() for x in pair])
+    last = number.bitwiseAND(F.lit(0xFFFF))
+    void = number.between(1, 8) | number.between(14, 31) | number.isin(11, 127) | number.between(0xFDD0, 0xFDEF) | (last >= 0xFFFE)
+    bad = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    return F.when(bad, "\ufffd").when(number.between(0x80, 0x9F), F.element_at(table, number.cast("int"))).when(void, "").otherwise(char)
 
-    return F.aggregate(references, text, replaced)
+
+def named_reference(reference: Column, names: Column) -> Column:
+    """The whole name, else the longest start of it that stands without a semicolon, else the text itself."""
+    name = F.substring(reference, F.lit(2), F.length(reference))
+    starts = F.transform(F.sequence(F.lit(LONGEST_OPEN), F.lit(SHORTEST), F.lit(-1)), lambda n: F.left(name, n))
+    known = F.filter(starts, lambda s: F.element_at(names, s).isNotNull() & ~s.endswith(";"))
+    start = F.get(known, F.lit(0))
+    cut = F.concat(F.element_at(names, start), F.substring(name, F.length(start) + 1, F.length(name)))
+    return F.coalesce(F.element_at(names, name), cut, reference)
 
 
 def decode_entities(text: Column) -> Column:
-    result = decode_numeric_entities(text)
-    for pattern, char in ENTITIES:
-        if pattern.endswith("?"):
-            result = F.regexp_replace(result, pattern, char)
-        else:
-            result = F.replace(result, F.lit(pattern), F.lit(char))
-    return F.when(text.contains("&"), result).otherwise(text)
+    """Character references, each decoded once: the text is cut at them and put together again."""
+    names = named_references()
+
+    def decoded(reference: Column) -> Column:
+        common = F.when(reference == "&amp;", "&").when(reference == "&lt;", "<").when(reference == "&gt;", ">")
+        common = common.when(reference == "&quot;", '"').when(reference == "&nbsp;", "\u00a0")
+        return common.when(reference.startswith("&#"), numbered_reference(reference)).otherwise(named_reference(reference, names))
+
+    gaps, found = F.split(text, REFERENCE), F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    pieces = F.zip_with(gaps, found, lambda g, r: F.when(r.isNull(), g).otherwise(F.concat(g, decoded(r))))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def markup_text(markup: Column) -> Column:
@@ -105,24 +133,28 @@ def document_title(html: Column) -> Column:
 
 def tags(html: Column, tag: str) -> Column:
     """Attribute text of every opening tag of that name, in document order."""
-    return F.regexp_extract_all(html, F.lit(f"(?is)<{tag}((?:[ \\t\\r\\n][^>]*)?)>"), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(f"(?is)<{re.escape(tag)}((?:{BLANK}{REST})?)>"), F.lit(1))
 
 
 def unquoted(value: Column) -> Column:
     return F.regexp_replace(value, "^[\"']|[\"']$", "")
 
 
+def _names_and_values(attr_text: Column) -> tuple[Column, Column]:
+    names = F.transform(F.regexp_extract_all(attr_text, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
+    return names, F.regexp_extract_all(attr_text, F.lit(ATTRIBUTE), F.lit(2))
+
+
 def attribute(attr_text: Column, name: str) -> Column:
-    """Raw value of an attribute, null where it is absent."""
-    pattern = f"(?is)(?:^|[ \\t\\r\\n]){name}[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n\"'>]+)"
-    found = F.regexp_extract(attr_text, pattern, 1)
-    return F.when(found != "", decode_entities(unquoted(found)))
+    """Value of an attribute, empty if it has none, null where it is absent."""
+    names, values = _names_and_values(attr_text)
+    place = F.array_position(names, name.lower())
+    return F.when(place > 0, decode_entities(unquoted(F.get(values, (place - 1).cast("int")))))
 
 
 def attributes(attr_text: Column) -> Column:
     """Map of lowercase attribute names to values, the first of a repeated name kept."""
-    names = F.transform(F.regexp_extract_all(attr_text, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
-    values = F.regexp_extract_all(attr_text, F.lit(ATTRIBUTE), F.lit(2))
+    names, values = _names_and_values(attr_text)
     unique = F.array_distinct(names)
     first = F.transform(
         unique,

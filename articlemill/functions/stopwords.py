@@ -19,9 +19,6 @@ SHORT_STOPWORDS = [
     "there", "these", "they", "this", "to", "was", "will", "with",
 ]
 
-# Words the custom form of that list has in addition.
-CUSTOM_STOPWORDS = ["start", "starts", "period", "periods"] + SHORT_STOPWORDS
-
 
 @cache
 def english_stopwords() -> list[str]:

@@ -15,7 +15,6 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from articlemill.schemas import SELECTED_SCHEMA
@@ -39,6 +38,8 @@ ENDED_BY = {
 
 ROWS_PER_BATCH = 2_000
 
+BATCH_CHARS = 8 << 20
+BLANKS = re.compile("[ \\t\\r\\n]+")
 PART = re.compile(r"([#.]?[\w-]+|\[[^\]]*\]|\*)")
 CONDITION = re.compile(r"\[\s*([\w:-]+)\s*(?:([\^$*~]?=)\s*[\"']?([^\"'\]]*)[\"']?)?\s*\]")
 
@@ -103,7 +104,8 @@ class PageTree(HTMLParser):
             self.words.append(data)
 
     def text(self, node: dict) -> str:
-        return " ".join("".join(self.words[node["words_start"] : node["words_end"]]).split())
+        pieces = BLANKS.split("".join(self.words[node["words_start"] : node["words_end"]]))
+        return " ".join(p for p in pieces if p)
 
     def markup(self, node: dict) -> str:
         return self.html[node["start"] : node["end"]]
@@ -161,31 +163,51 @@ def node_matches(tree: PageTree, index: int, steps: list[str]) -> bool:
     return False
 
 
+def _batched(rows: Iterator[tuple[list, int]], names: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows, each with its size in characters, in batches bounded by both."""
+    held, size = [], 0
+    for row, chars in rows:
+        held.append(row)
+        size += chars
+        if len(held) >= ROWS_PER_BATCH or size >= BATCH_CHARS:
+            yield pd.DataFrame(held, columns=names)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=names)
+
+
+def _matches(html: str | None, compiled: list[tuple[str, list[str]]]) -> Iterator[tuple[str, int, PageTree, dict]]:
+    tree = PageTree(html or "")
+    for field, steps in compiled:
+        hits = (n for n in range(len(tree.nodes)) if node_matches(tree, n, steps))
+        for pos, n in enumerate(hits):
+            yield field, pos, tree, tree.nodes[n]
+
+
 def select_elements(
-    pages: DataFrame, keys: list[str], html: str, rules: list[tuple[str, str]]
+    pages: DataFrame, keys: list[str], html: str, rules: list[tuple[str, str]], columns: list[str] | None = None
 ) -> DataFrame:
-    """Rows `(keys, field, pos, tag, text, markup, attrs)` for every element a rule finds."""
-    compiled = [(field, steps_of(selector)) for field, selector in rules]
-    schema = T.StructType([pages.schema[k] for k in keys] + T.StructType.fromDDL(SELECTED_SCHEMA).fields)
+    """Rows `(keys, field, pos, tag, text, markup, attrs)` for every element a rule finds.
 
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[list] = []
+    `columns` names those of the last four that are wanted; others are neither built nor sent.
+    """
+    compiled = [(field, steps_of(selector)) for field, selector in rules]
+    wanted = [f for f in T.StructType.fromDDL(SELECTED_SCHEMA).fields if f.name in ("field", "pos") or columns is None or f.name in columns]
+    schema = T.StructType([pages.schema[k] for k in keys] + wanted)
+    parts = {
+        "tag": lambda tree, node: node["tag"], "text": lambda tree, node: tree.text(node),
+        "markup": lambda tree, node: tree.markup(node), "attrs": lambda tree, node: node["attrs"],
+    }
+    chosen = [parts[f.name] for f in wanted[2:]]
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, int]]:
         for batch in batches:
             for record in batch.itertuples(index=False):
-                key_values, tree = list(record[:-1]), PageTree(record[-1] or "")
-                for field, steps in compiled:
-                    hits = (n for n in range(len(tree.nodes)) if node_matches(tree, n, steps))
-                    for pos, node in enumerate(tree.nodes[n] for n in hits):
-                        rows.append(key_values + [
-                            field, pos, node["tag"], tree.text(node), tree.markup(node), node["attrs"],
-                        ])
-                if len(rows) >= ROWS_PER_BATCH:
-                    yield pd.DataFrame(rows, columns=schema.names)
-                    rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=schema.names)
-
-    return pages.select(*keys, html).mapInPandas(found, schema)
+                for field, pos, tree, node in _matches(record[-1], compiled):
+                    values = [part(tree, node) for part in chosen]
+                    yield [*record[:-1], field, pos, *values], sum(len(v) for v in values)
+
+    return pages.select(*keys, html).mapInPandas(lambda batches: _batched(rows(batches), schema.names), schema)
 
 
 def articles_by_rules(
@@ -195,22 +217,26 @@ def articles_by_rules(
     rules: dict[str, str],
     required: str = "content",
 ) -> DataFrame:
-    """One row per page with the text of each rule's elements.
+    """One row per page with the text of each rule's elements, made where the page is read.
 
     A field is the joined text of all elements its rule finds, empty if there are none;
-    a page without the required element is left out. `keys` must identify a page, as the
-    same address may have been crawled many times.
+    a page without the required element is left out.
     """
-    found = select_elements(pages, keys, html, list(rules.items()))
-
-    def texts(field: str):
-        return F.array_sort(F.collect_list(F.when(F.col("field") == field, F.struct("pos", "text"))))
+    compiled = [(field, steps_of(selector)) for field, selector in rules.items()]
+    fields = [T.StructField(field, T.StringType()) for field in rules]
+    schema = T.StructType([pages.schema[k] for k in keys] + fields)
 
-    fields = found.groupBy(*keys).agg(*[texts(field).alias(field) for field in rules])
-    joined = [
-        F.array_join(F.transform(field, lambda t: t["text"]), " ").alias(field) for field in rules
-    ]
-    return fields.filter(F.size(required) > 0).select(*keys, *joined)
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, int]]:
+        for batch in batches:
+            for record in batch.itertuples(index=False):
+                texts: dict[str, list[str]] = {field: [] for field in rules}
+                for field, _, tree, node in _matches(record[-1], compiled):
+                    texts[field].append(tree.text(node))
+                if texts[required]:
+                    joined = [" ".join(t) for t in texts.values()]
+                    yield [*record[:-1], *joined], sum(map(len, joined))
+
+    return pages.select(*keys, html).mapInPandas(lambda batches: _batched(rows(batches), schema.names), schema)
 
 
 # Tasks carry this module along, so executors need no copy of the package.

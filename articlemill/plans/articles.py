@@ -15,7 +15,7 @@ from articlemill.schemas import DEFAULT_LABEL
 from articlemill.sources.articles import article_record, decode_tolerant, good_articles
 from articlemill.sources.tables import spread
 
-# Where the parts of an article are in a page: (tag, attribute, value).
+# Where the parts of an article are in a page: (tag, attribute, value).
 BODY = ("article", None, None)
 TITLE = ("h1", None, None)
 TIME = ("span", "id", "parent-fieldname-releaseDate")
@@ -42,13 +42,16 @@ def articles_from_pages(
     A page without a body element is no article and is left out; a missing title or
     time is an empty string.
     """
-    clean = pages.withColumn("_clean", H.strip_noise(F.col("html")))
-    parts = clean.filter(H.has_element(F.col("_clean"), *body)).select(
+    # A generator stands between, so that page and body are cut out once, not again in the filter.
+    once = F.explode(F.array(H.strip_noise(F.col("html")))).alias("_clean")
+    clean = pages.select("*", once)
+    found = clean.select("*", F.explode(F.array(H.outer_html(F.col("_clean"), *body))).alias("_body"))
+    parts = found.filter(F.col("_body") != "").select(
         "url",
         fetch_time.alias("fetchTime"),
         H.element_text(F.col("_clean"), *time).alias("time"),
         H.element_text(F.col("_clean"), *title).alias("title"),
-        H.element_text(F.col("_clean"), *body).alias("content"),
+        H.element_text(F.col("_body"), *body).alias("content"),
         F.lit(label).alias("label"),
     )
     return parts.select(*article_record())
@@ -69,7 +72,7 @@ def articles_by_selectors(
 
 def index_links(pages: DataFrame, keys: list[str], selector: str = INDEX_LINKS) -> DataFrame:
     """Rows `(keys, pos, href)`: the article links of index pages, in order, not resolved."""
-    links = select_elements(pages, keys, "html", [("link", selector)])
+    links = select_elements(pages, keys, "html", [("link", selector)], ["attrs"])
     return links.select(*keys, "pos", F.coalesce(F.col("attrs")["href"], F.lit("")).alias("href"))
 
 

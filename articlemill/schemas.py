@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# The two labels, and the fields of an article.
 DEFAULT_LABEL = "corruption"
 NEGATIVE_LABEL = "noncorruption"
 
@@ -11,8 +12,4 @@ ARTICLE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in A
 
 CORRUPT_COLUMN = "_corrupt"
 
-DICTIONARY_SCHEMA = T.StructType(
-    [T.StructField("word", T.StringType()), T.StructField("cnt", T.LongType())]
-)
-
 SELECTED_SCHEMA = "field string, pos int, tag string, text string, markup string, attrs map<string,string>"

@@ -29,7 +29,8 @@ def decode_tolerant(
     """Adds the struct `article`, and `_corrupt` holding the text of each bad record."""
     wide = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    parsed = df.withColumn("_parsed", F.from_json(column, wide, options))
+    # A generator stands between, so that a record is parsed once, not again in a filter pushed down.
+    parsed = df.select("*", F.explode(F.array(F.from_json(column, wide, options))).alias("_parsed"))
     fields = [F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields]
     # A missing text and JSON that is no object leave no record either.
     unread = F.when(F.col("_parsed").isNull(), F.coalesce(F.col(column), F.lit("")))
@@ -39,7 +40,11 @@ def decode_tolerant(
     )
 
 
-def good_articles(decoded: DataFrame, column: str = "value") -> DataFrame:
+def good_articles(decoded: DataFrame, column: str = "value", rejects: Observation | None = None) -> DataFrame:
+    """The decoded records. `rejects` gets `rejected` and `read`, counted as the rows pass."""
+    if rejects is not None:
+        bad = F.count(F.col(CORRUPT_COLUMN)).alias("rejected")
+        decoded = decoded.observe(rejects, bad, F.count(F.lit(1)).alias("read"))
     kept = [c for c in decoded.columns if c not in (column, "article", CORRUPT_COLUMN)]
     return decoded.filter(F.col(CORRUPT_COLUMN).isNull()).select(*kept, "article.*")
 

@@ -20,29 +20,32 @@ def dictionary_line(word: Column, cnt: Column) -> Column:
     return F.concat(F.lit("("), word, F.lit(","), cnt.cast("string"), F.lit(")"))
 
 
-def write_dictionary(counts: DataFrame, path: str) -> None:
-    """`(word,count)` lines, most frequent first, in one file.
-
-    For a dictionary of the top n words, which bounds the single task by n.
-    """
-    ordered = counts.orderBy(F.desc("cnt"), "word").coalesce(1)
+def write_dictionary(counts: DataFrame, path: str, n: int) -> None:
+    """`(word,count)` lines of the top `n` words, most frequent first, in one file of one task."""
+    ordered = counts.orderBy(F.desc("cnt"), "word").limit(n).coalesce(1)
     ordered.select(dictionary_line(F.col("word"), F.col("cnt")).alias("value")).write.mode(
         "overwrite"
     ).text(path)
 
 
+#: A line in brackets, parted at its last comma: a word may hold commas, marks or nothing.
+DICTIONARY_LINE = r"^\((.*),([0-9]+)\)$"
+
+
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    line = r"^\((\w*),([0-9]+)\)$"
-    return (
-        spark.read.text(path)
-        .filter(F.col("value").rlike(line))
-        .select(
-            F.regexp_extract("value", line, 1).alias("word"),
-            F.regexp_extract("value", line, 2).cast("bigint").alias("cnt"),
-        )
+    """Rows `(word, cnt)` of the lines of a dictionary, whatever their words are made of."""
+    lines = spark.read.text(path).filter(F.col("value").rlike(DICTIONARY_LINE))
+    return lines.select(
+        F.regexp_extract("value", DICTIONARY_LINE, 1).alias("word"),
+        F.regexp_extract("value", DICTIONARY_LINE, 2).cast("bigint").alias("cnt"),
     )
 
 
+def rejected_dictionary_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines `(value)` that are no entries."""
+    return spark.read.text(path).filter(~F.col("value").rlike(DICTIONARY_LINE))
+
+
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """A stoplist file with one word per line."""
     return spark.read.text(path).select(F.trim("value").alias("word")).filter("word <> ''").distinct()

@@ -147,19 +147,33 @@ def quoted(pattern: str) -> str:
 
 
 def visible(markup: str) -> str:
-    flat = f"regexp_replace({markup}, {quoted(H.INLINE_TAG)}, '', 'g')"
-    flat = f"regexp_replace({flat}, {quoted(H.ANY_TAG)}, ' ', 'g')"
+    flat = f"regexp_replace({markup}, {quoted(INLINE)}, '', 'g')"
+    flat = f"regexp_replace({flat}, {quoted(TAGS)}, ' ', 'g')"
     return f"trim(regexp_replace({decoded(flat)}, '[ \\t\\r\\n]+', ' ', 'g'), ' ')"
 
 
+#: The references that the test pages hold, the ampersand last.
+REFERENCES = [
+    ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&apos;", "'"), ("&nbsp;?", "\u00a0"), ("&copy;?", "©"), ("&middot;?", "·"),
+    ("&ndash;", "–"), ("&mdash;", "—"), ("&rsquo;", "’"), ("&hellip;", "…"), ("&#39;", "'"), ("&amp;?", "&"),
+]
+TAGS = "</?[A-Za-z!][^>]*>"
+INLINE = "(?i)</?(a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|u)( [^>]*)?>"
+COMMENTS = "(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
+
+
+def element(tag: str) -> str:
+    return f"(?is)<{tag}( [^>]*)?>(.*?)</{tag}>"
+
+
 def decoded(text: str) -> str:
-    for pattern, char in H.ENTITIES:
+    for pattern, char in REFERENCES:
         text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(char)}, 'g')"
     return text
 
 
 def inside(tag: str, group: int = 2) -> str:
-    return f"regexp_extract(clean, {quoted(H.element_pattern(tag))}, {group})"
+    return f"regexp_extract(clean, {quoted(element(tag))}, {group})"
 
 
 def targets(markup: str) -> str:
@@ -173,8 +187,8 @@ def targets(markup: str) -> str:
 
 def oracles() -> dict[str, str]:
     cleaned = f"""(SELECT page_id, url, html,
-        regexp_replace(html, {quoted(H.NOISE)}, '', 'g') AS clean FROM pages)"""
-    has_body = f"regexp_matches(clean, {quoted(H.element_pattern('article'))})"
+        regexp_replace(html, {quoted(COMMENTS)}, '', 'g') AS clean FROM pages)"""
+    has_body = f"regexp_matches(clean, {quoted(element('article'))})"
 
     def links_sql(markup):
         return f"""SELECT page_id, CAST(unnest(range(len(a))) AS INTEGER) AS pos, unnest(a) AS href
@@ -184,7 +198,7 @@ def oracles() -> dict[str, str]:
     articles = f"""SELECT url, '{FETCH_TIME}' AS "fetchTime", '' AS time,
         {visible(inside('h1'))} AS title, {visible(inside('article'))} AS content,
         '{DEFAULT_LABEL}' AS label FROM {cleaned} WHERE {has_body}"""
-    span = H.element_pattern("span", "id", "parent-fieldname-releaseDate")
+    span = '(?is)<span( [^>]*)?id="parent-fieldname-releaseDate"[^>]*>(.*?)</span>'
     time = f"regexp_extract(clean, {quoted(span)}, 2)"
     opened = "(?i)<p(?:[ \\t\\r\\n][^>]*)?>"
     closed = "(?is)</p[ \\t\\r\\n]*>.*"
@@ -199,7 +213,7 @@ def oracles() -> dict[str, str]:
             FROM (SELECT page_id, {targets('clean')} AS a FROM {cleaned}) AS found""",
         "links_by_suffix": f"SELECT * FROM ({links_sql('clean')}) WHERE suffix(href, 'e')",
         "links_by_attr": f"""SELECT page_id, pos,
-            CAST(len(regexp_extract_all(tag, {quoted(H.ATTRIBUTE)}, 1)) AS INTEGER) AS n_attrs FROM (
+            CAST(len(regexp_extract_all(tag, '[a-z-]+="')) AS INTEGER) AS n_attrs FROM (
             SELECT page_id, CAST(unnest(range(len(a))) AS INTEGER) AS pos, unnest(a) AS tag
             FROM (SELECT page_id, regexp_extract_all(clean, '<div([^>]*)>', 1) AS a
                   FROM {cleaned}) AS t1) AS t2

@@ -54,6 +54,8 @@ def test_links_and_attributes(spark):
     attrs = value(spark, F.transform(H.tags(clean(), "a"), H.attributes))
     assert attrs[1] == {"class": "internal-link", "accesskey": "2", "href": "/two"}
     assert value(spark, H.attributes(F.lit(' a="1" A=2 b=3'))) == {"a": "1", "b": "3"}
+    assert value(spark, H.attributes(F.lit(' hidden a="x>1" data-q=\'"\' checked'))) == {"hidden": "", "a": "x>1", "data-q": '"', "checked": ""}
+    assert value(spark, H.attribute(F.lit(' title="href=no"'), "href")) is None
     assert value(spark, H.attribute(F.lit(' data-href="x"'), "href")) is None
     assert value(spark, H.outer_html(clean(), "h1")).startswith("<h1 class=")
 
@@ -79,7 +81,7 @@ def test_selectors(spark):
     assert len(select(spark, "a[href]")) == 2
     assert len(select(spark, "img[src$=.png]")) == 1
     assert [r["text"] for r in select(spark, "div[class^=field-item] > p")] == ["Direct"]
-    assert [r["text"] for r in select(spark, "#a1 p")] == ["Onebold", "Two <x> ’q’ Three"]
+    assert [r["text"] for r in select(spark, "#a1 p")] == ["Onebold", "Two\u00a0<x> ’q’ Three"]
     assert [r["text"] for r in select(spark, "article p b")] == ["bold"]
     assert [r["tag"] for r in select(spark, "h1.documentFirstHeading")] == ["h1"]
     assert select(spark, "h1", BARE) == []
@@ -105,3 +107,44 @@ def test_articles_by_rules(spark):
     assert [(r["page_id"], r["title"], r["time"]) for r in rows] == [
         (1, "The headline", ""), (2, "The headline", ""),
     ]
+
+
+# Both routes to the same text and links: markup inside an article, its text, its link targets.
+BOTH_ROUTES = [
+    ('<a title="a>b" href="/x">one</a>', "one", ["/x"]),
+    ("<a title='say \"hi\" > there' href='/y?a=1&amp;b=2'>two</a>", "two", ["/y?a=1&b=2"]),
+    ("caf&eacute; &pound;5 &hellip; &Auml;&ouml; &frac12;", "café £5 … Äö ½", []),
+    ("&amp;lt; &amp;amp; &lt;b&gt; &AMP; &copy 2015 &notit; &nosuchname; &", "&lt; &amp; <b> & © 2015 ¬it; &nosuchname; &", []),
+    ("&#65;&#x42;&#128;&#xD800; &#0;", "AB€\ufffd \ufffd", []),
+    ("a\u00a0\u00a0b \t\n c&nbsp; d", "a\u00a0\u00a0b c\u00a0 d", []),
+    ('<a href>none</a> <a href="">empty</a> <a HREF=/z>bare</a>', "none empty bare", ["", "", "/z"]),
+    ("<p>One<p>Two<br/>Three <b>bo</b>ld", "One Two Three bold", []),
+    ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2", []),
+]
+
+
+def test_both_routes_agree(spark):
+    rows = [(i, f"<html><body><article>{m}</article></body></html>") for i, (m, _, _) in enumerate(BOTH_ROUTES)]
+    pages = spark.createDataFrame(rows, "page_id int, html string")
+    native = pages.select(
+        "page_id", H.element_text(clean(), "article").alias("text"), H.link_targets(H.inner_html(clean(), "article")).alias("links")
+    ).orderBy("page_id").collect()
+    texts = select_elements(pages, ["page_id"], "html", [("t", "article")], ["text"])
+    by_selector = {r["page_id"]: r["text"] for r in texts.collect()}
+    links = select_elements(pages, ["page_id"], "html", [("a", "article a[href]")], ["attrs"]).orderBy("page_id", "pos").collect()
+    for r in native:
+        _, text, targets = BOTH_ROUTES[r["page_id"]]
+        assert (r["text"], r["links"]) == (text, targets)
+        assert by_selector[r["page_id"]] == text
+        assert [x["attrs"]["href"] for x in links if x["page_id"] == r["page_id"]] == targets
+
+
+def test_rule_values_are_literal(spark):
+    html = '<div id="axb">no</div><div id="a.b">yes</div>'
+    assert value(spark, H.element_text(F.col("html"), "div", "id", "a.b"), html) == "yes"
+
+
+def test_rule_articles_are_not_shuffled_after_parsing(spark):
+    pages = spark.createDataFrame([(1, FULL)], "page_id int, html string")
+    plan = articles_by_rules(pages, ["page_id"], "html", {"content": "article"})._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "Exchange" not in plan

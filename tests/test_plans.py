@@ -31,7 +31,7 @@ def test_crawled_pages_to_dictionary(spark, tmp_path):
     write_articles_json(articles, str(tmp_path / "articles"), one_per_file=True)
     files = read_article_files(spark, str(tmp_path / "articles"))
     dictionary = topic_dictionary(files, 10, SHORT_STOPWORDS)
-    write_dictionary(dictionary, str(tmp_path / "dictionary"))
+    write_dictionary(dictionary, str(tmp_path / "dictionary"), 1000)
     back = read_dictionary(spark, str(tmp_path / "dictionary")).orderBy(F.desc("cnt"), "word")
     assert [tuple(r) for r in back.collect()] == [("bribe", 4), ("fraud", 2)]
 

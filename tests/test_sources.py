@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from articlemill.schemas import ARTICLE_FIELDS
@@ -108,7 +109,7 @@ def test_rekey_and_collections(spark, people, tmp_path):
 def test_dictionary_round_trip(spark, tmp_path):
     counts = spark.createDataFrame([("b", 5), ("a", 5), ("c", 9)], "word string, cnt bigint")
     path = str(tmp_path / "dict")
-    T.write_dictionary(counts, path)
+    T.write_dictionary(counts, path, 3)
     lines = [r["value"] for r in spark.read.text(path).collect()]
     assert lines == ["(c,9)", "(a,5)", "(b,5)"]
     assert sorted(T.read_dictionary(spark, path).collect()) == sorted(counts.collect())
@@ -155,3 +156,25 @@ def test_placing(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     in_memory = spark.createDataFrame([(i,) for i in range(10)], "id int")
     assert spread(in_memory, "id").count() == by_document(in_memory, "id").count() == 10
+
+
+def test_odd_dictionary_words_come_back(spark, tmp_path):
+    odd = [("über", 4), (",", 3), ("don't", 2), ("", 2), ("(a,b)", 1), ("two words", 1)]
+    counts = spark.createDataFrame(odd, "word string, cnt bigint")
+    T.write_dictionary(counts, str(tmp_path / "dict"), 10)
+    assert sorted(T.read_dictionary(spark, str(tmp_path / "dict")).collect()) == sorted(counts.collect())
+    assert T.rejected_dictionary_lines(spark, str(tmp_path / "dict")).count() == 0
+    T.write_dictionary(counts, str(tmp_path / "top"), 2)
+    assert [r["word"] for r in T.read_dictionary(spark, str(tmp_path / "top")).collect()] == ["über", ","]
+    (tmp_path / "bad.txt").write_text("(a,1)\n(b)\nc,2\n")
+    assert [r["value"] for r in T.rejected_dictionary_lines(spark, str(tmp_path / "bad.txt")).collect()] == ["(b)", "c,2"]
+
+
+def test_rejects_are_counted_and_records_parsed_once(spark):
+    raw = spark.createDataFrame([(v,) for v in BAD], "value string")
+    seen = Observation()
+    good = A.good_articles(A.decode_tolerant(raw), rejects=seen)
+    assert len(good.collect()) == 2
+    assert seen.get == {"rejected": 4, "read": 6}
+    plan = A.good_articles(A.decode_tolerant(raw))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from articlemill.functions import text as X
 from articlemill.functions.stopwords import (
-    CUSTOM_STOPWORDS, SHORT_STOPWORDS, english_stopwords, stopword_table, with_stripped_forms,
+    SHORT_STOPWORDS, english_stopwords, stopword_table, with_stripped_forms,
 )
 from articlemill.operators import counts as C
 from articlemill.operators import spans as S
@@ -63,7 +63,6 @@ def test_word_tokens_keep_case_and_marks(spark):
 
 def test_stopword_lists(spark):
     assert len(SHORT_STOPWORDS) == 33
-    assert len(CUSTOM_STOPWORDS) == 37
     assert "the" in english_stopwords()
     assert "dont" in with_stripped_forms(["don't"])
 
@@ -105,11 +104,6 @@ def test_covered_text_and_slices(spark):
     assert tuple(row) == ("Antonio", "San Antonio", "San", "XT", "a b", "dXNlcjpzZWNyZXQ=")
 
 
-def test_with_covered_text(spark):
-    docs = docs_of(spark, ["in China."])
-    spans = spark.createDataFrame([(0, "LOCATION", 3, 8)], "doc_id bigint, type string, begin int, end int")
-    assert S.with_covered_text(spans, docs, ["doc_id"], "text").head()["covered"] == "China"
-
 
 @pytest.fixture
 def corpus(spark):
@@ -136,7 +130,6 @@ def test_nth_word(spark, corpus):
     counts = C.word_counts(corpus, X.raw_tokens(F.col("text")))
     assert C.nth_word(counts, 1).head()["word"] == "b"
     assert C.nth_word(counts, 5).count() == 0
-    assert [r["rank"] for r in C.ranked(counts, 2).orderBy("rank").collect()] == [0, 1]
 
 
 def test_merge_counts_example(spark):
