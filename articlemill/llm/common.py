@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -15,6 +16,16 @@ from pyspark.sql.types import StructType
 PIECE_BYTES = 4 << 20
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Lets Python workers find this package where the driver found it, besides what they search already."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that `spark.checkpoint.dir` names, else a fresh one for a local session."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -23,6 +23,7 @@ FIT_ROWS = 20_000
 MONOTONE = {
     "symbols_per_word": -1, "dup_line_share": -1, "repeat_word_share": -1, "digit_share": -1,
     "mark_share": -1, "exclamations_per_word": -1, "bars_per_word": -1, "upper_share": -1, "control_share": -1,
+    "echoed_share": -1,
 }
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlemill.llm import bpe, decontamination, language_id, license_scan, line_dedup, lm_scoring, minhash, quality_classifier, quality_rules, token_files
-from articlemill.llm.common import id_part, stored
+from articlemill.llm.common import id_part, ready, stored
 from articlemill.llm.oracles import oracles  # noqa: F401
 from articlemill.llm.text_stats import with_statistics
 from articlemill.sources.tables import read_table
@@ -21,23 +21,27 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 END_ID = 2
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(ready(spark), sf, "documents")
+
+
 def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = tokenizer_path()
-    folder = token_files.write_token_files(read_table(spark, sf, "documents"), path, END_ID)
+    folder = token_files.write_token_files(documents(spark, sf), path, END_ID)
     return token_files.read_token_files(spark, folder, path, END_ID).withColumnRenamed("key", "doc_id")
 
 
 def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
-    return bpe.round_trip_digests(read_table(spark, sf, "documents"), tokenizer_path())
+    return bpe.round_trip_digests(documents(spark, sf), tokenizer_path())
 
 
 def document_statistics(spark: SparkSession, sf: str) -> DataFrame:
     """A small row per document, stored so that texts are measured once for fit and score."""
-    return stored(with_statistics(read_table(spark, sf, "documents").select("doc_id", "text")), "statistics")
+    return stored(with_statistics(documents(spark, sf).select("doc_id", "text")), "statistics")
 
 
 def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return line_dedup.line_report(read_table(spark, sf, "documents"))
+    return line_dedup.line_report(documents(spark, sf))
 
 
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -57,7 +61,7 @@ def op3_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     """The target is what `labels` calls good, the background all documents."""
     good = read_table(spark, sf, "labels").filter("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
     side = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
-    docs = read_table(spark, sf, "documents").select("doc_id", "text").join(side, "doc_id", "left")
+    docs = documents(spark, sf).select("doc_id", "text").join(side, "doc_id", "left")
     return lm_scoring.score_documents(docs.withColumn("good", F.coalesce("good", F.lit(False))), "good")
 
 
@@ -70,23 +74,23 @@ def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", id_part("doc_id", 4) == 2)
     model = language_id.fit(docs.filter(~F.col("held_out")))
     return language_id.with_language(docs.drop("lang"), model)
 
 
 def op6_license_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return license_scan.with_licenses(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return license_scan.with_licenses(documents(spark, sf).select("doc_id", "text"))
 
 
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return decontamination.digest(decontamination.find_contamination(docs, read_table(spark, sf, "benchmark")))
 
 
 def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
-    return minhash.near_duplicates(read_table(spark, sf, "documents"), words=2)
+    return minhash.near_duplicates(documents(spark, sf), words=2)
 
 
 QUERIES = {f.__name__: f for f in [

@@ -21,7 +21,7 @@ FEATURES = [
     "log_words", "word_length", "symbols_per_word", "dup_line_share", "repeat_word_share",
     "upper_share", "digit_share", "mark_share", "exclamations_per_word", "stops_per_word",
     "commas_per_word", "bars_per_word", "words_per_line", "log_lines", "distinct_word_share",
-    "wide_share", "control_share", "letter_entropy",
+    "wide_share", "control_share", "letter_entropy", "echoed_share",
 ]
 
 
@@ -62,8 +62,8 @@ def repeated_words(ids: np.ndarray, distinct: int) -> int:
     return int(np.count_nonzero(np.cumsum(change)[:-1]))
 
 
-def counts_of(text: bytes, histogram: np.ndarray) -> tuple[list[int], int, int]:
-    """The exact counts, the number of lines that hold a word, and that of distinct words."""
+def counts_of(text: bytes, histogram: np.ndarray) -> tuple[list[int], int, int, int]:
+    """The exact counts; the lines that hold a word, the distinct words, the words equal to the one before."""
     words = text.split()
     known: dict[bytes, int] = {}
     ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
@@ -76,14 +76,14 @@ def counts_of(text: bytes, histogram: np.ndarray) -> tuple[list[int], int, int]:
         len(lines) - len(set(lines)),
         repeated_words(ids, len(known)),
     ]
-    return counts, len(lines), len(known)
+    return counts, len(lines), len(known), int(np.count_nonzero(ids[1:] == ids[:-1]))
 
 
 def measure(text: bytes | None) -> tuple[list[int], list[float]]:
     """`(counts, statistics)` of a text; a null text counts as empty, whose statistics are zeros."""
     text = text or b""
     histogram = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
-    counts, n_lines, n_distinct = counts_of(text, histogram)
+    counts, n_lines, n_distinct, n_echoed = counts_of(text, histogram)
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = counts
     words, lines, chars = max(n_words, 1), max(n_lines, 1), max(word_chars, 1)
     upper, lower = histogram[IS_UPPER].sum(), histogram[IS_LOWER].sum()
@@ -95,6 +95,7 @@ def measure(text: bytes | None) -> tuple[list[int], list[float]]:
         histogram[IS_MARK].sum() / chars, histogram[33] / words, (histogram[46] + histogram[63]) / words,
         histogram[44] / words, histogram[124] / words, n_words / lines, np.log1p(n_lines), n_distinct / words,
         histogram[IS_HEAD].sum() / chars, histogram[IS_CONTROL].sum() / chars, float(-(p * np.log(p)).sum()),
+        n_echoed / words,
     ]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlemill.llm import bpe, decontamination, line_dedup, minhash, quality_classifier
-from articlemill.llm.common import id_part, stored
+from articlemill.llm.common import id_part, ready, stored
 from articlemill.llm.queries import tokenizer_path
 from articlemill.llm.text_stats import with_statistics
 from articlemill.sources.tables import read_table
@@ -19,7 +19,7 @@ from articlemill.sources.tables import read_table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores 0.5 or more go on. Learns as `op4` does."""
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    labels = read_table(ready(spark), sf_dir, "labels").select("doc_id", "quality")
     stats = stored(with_statistics(docs.select("doc_id", "text")).select("doc_id", "stats"), "statistics")
     model = quality_classifier.fit(stats.filter(id_part("doc_id", 3) != 1).join(labels, "doc_id"))
     return quality_classifier.accepted(docs, model)
