@@ -12,15 +12,16 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step on edges `(a, b)` with a > b: hangs neighbours of each node on the least of them.
 
     The large step moves the neighbours above a node, the small step those below it and the node.
-    The least neighbour is a grouped minimum, combined before its shuffle, and goes back to the edges by
-    a join that Spark may split, so a node with very many neighbours stalls no task.
+    The least neighbour is a grouped minimum, combined before its shuffle. It is stored before it
+    goes back to the edges: only a join of two sides that are shuffled for it can be split by
+    adaptive execution, which a node with very many neighbours needs.
     """
     if large:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
-        moved = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        least = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
+        moved = both.join(stored(least, "least"), "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:
-        least = edges.groupBy("a").agg(F.min("b").alias("low"))
+        least = stored(edges.groupBy("a").agg(F.min("b").alias("low")), "least")
         joined = edges.join(least, "a")
         moved = joined.select(F.col("b").alias("a"), F.col("low").alias("b")).union(least.select("a", F.col("low").alias("b")))
     return moved.filter("a > b").distinct()
