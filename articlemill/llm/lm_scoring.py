@@ -183,7 +183,8 @@ def score_documents(
                 sums += np.bincount(owner, value[at], len(each))
             rest = ~found[at]
             keys = piece.column(0)
-            yield pa.RecordBatch.from_arrays([keys, pa.array(sizes), pa.array(sums), pa.nulls(len(each), pa.int64())], names)
+            # Below zero there is no pair: such rows match nothing and, unlike nulls, spread over the join's tasks.
+            yield pa.RecordBatch.from_arrays([keys, pa.array(sizes), pa.array(sums), pa.array(-1 - np.arange(len(each)))], names)
             left, rare = owner[rest], pairs[rest]
             for start in range(0, len(left), 100_000):
                 some = slice(start, start + 100_000)
