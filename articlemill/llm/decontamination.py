@@ -7,8 +7,8 @@ of documents that hold it. So a document is looked up only at the rare words it
 of the rare word in its window fixes where the window would begin; that begin and the
 window's length must lie within the document, and then its words are compared one by one.
 
-Windows are looked up in blocks of at most `block` windows, so what tasks receive has
-a fixed bound for a benchmark of any size; each block is a pass over the documents.
+Windows of items are looked up in blocks of about `block`, so what tasks receive has a
+fixed bound for a benchmark of any size; each block is a pass over the documents.
 """
 
 from __future__ import annotations
@@ -24,14 +24,14 @@ from articlemill.llm.common import bytes_of, extended, pieces, stored
 from articlemill.llm.plain_words import plain_words
 
 WIDTH = 10
-#: Windows that are sent to the tasks at a time; with their words about 100 bytes each.
+#: Windows of items that are sent to the tasks at a time; with their words about 100 bytes each.
 BLOCK = 250_000
 
 Index = dict[bytes, list[tuple[int, int, dict[tuple[bytes, ...], int]]]]
 
 
 def item_windows(items: DataFrame, key: str = "item_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """`(window, items)`: each distinct window, words parted by blanks, with the sorted ids of its items.
+    """`(window, item)`: the distinct windows, words parted by blanks, of each item.
 
     Ids are strings; that of a null key is empty. Items without words have no windows.
     """
@@ -44,8 +44,7 @@ def item_windows(items: DataFrame, key: str = "item_id", text: str = "text", wid
                 windows = {b" ".join(words[i : i + width]).decode() for i in range(max(1, len(words) - width + 1))} if words else set()
                 yield pa.RecordBatch.from_arrays([pa.array([item] * len(windows), pa.string()), pa.array(sorted(windows), pa.string())], ["item", "window"])
 
-    found = rows.mapInArrow(cut, "item string, window string")
-    return found.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return rows.mapInArrow(cut, "item string, window string").select("window", "item").distinct()
 
 
 def document_frequency(docs: DataFrame, vocabulary: set[bytes], text: str = "text") -> Counter:
@@ -105,10 +104,12 @@ FOUND = "n_words bigint, hits array<struct<begin: bigint, end: bigint>>, items a
 
 def scan(docs: DataFrame, windows: DataFrame, text: str, first: bool) -> DataFrame:
     """One pass: adds what a block of windows finds to the columns of FOUND."""
-    rows = windows.collect()
-    cut = [tuple(r.window.encode().split(b" ")) for r in rows]
+    listed = defaultdict(list)
+    for row in windows.collect():
+        listed[tuple(row.window.encode().split(b" "))].append(row.item)
+    cut = list(listed)
     index = build_index(cut, document_frequency(docs, {w for window in cut for w in window}, text))
-    sent = docs.sparkSession.sparkContext.broadcast((index, [list(r["items"]) for r in rows]))
+    sent = docs.sparkSession.sparkContext.broadcast((index, list(listed.values())))
     kept = [c for c in docs.columns if c not in ("n_words", "hits", "items")]
     source = docs.select(*[f"`{c}`" for c in kept], *([] if first else ["n_words", "hits", "items"]))
     plain = source.select(*[f"`{c}`" for c in kept])
@@ -146,7 +147,7 @@ def find_contamination(
     windows = stored(item_windows(items, item_key, item_text, width), "windows")
     blocks = max(1, -(-windows.count() // block))
     for number in range(blocks):
-        some = windows.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == number)
+        some = windows.filter(F.pmod(F.xxhash64("window", "item"), F.lit(blocks)) == number)
         docs = scan(stored(docs, "scanned") if number else docs, some, text, not number)
     return docs
 
