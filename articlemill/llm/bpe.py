@@ -13,6 +13,7 @@ import functools
 import hashlib
 import heapq
 import json
+import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -24,10 +25,12 @@ from pyspark.sql import DataFrame
 from articlemill.llm.common import extended, pieces, texts_of
 
 #: Parts in a worker's memo.
-MEMO = 700_000
+MEMO = 500_000
 #: Words of more bytes than this merge by a heap, since scanning them again for each merge would take quadratic time.
 SCAN_BYTES = 256
 NO_RANK = 1 << 60
+#: Marks that are a word of their own at the end of a part.
+MARKS = tuple(",.;:!?")
 
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -42,7 +45,7 @@ def byte_letters() -> dict[str, int]:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    ranks: dict[int, int]  #: (left id << 32 | right id) to the rank of their merge
+    ranks: list[dict[int, int]]  #: left id, then right id, to the rank of their merge
     merged: list[int]  #: rank to the id of the merged token
     of_byte: list[int]  #: byte to its id
     token: list[bytes]  #: id to its bytes
@@ -76,10 +79,10 @@ def vocabulary(path: str) -> Vocabulary:
         token[i] = bytes(map(letters.__getitem__, letter_form))
     for content, i in special.items():
         token[i] = content.encode()
-    ranks, merged = {}, []
+    ranks, merged = [{} for _ in token], []
     for rank, pair in enumerate(loaded["model"]["merges"]):
         left, right = pair.split(" ") if isinstance(pair, str) else pair
-        ranks.setdefault(ids[left] << 32 | ids[right], rank)
+        ranks[ids[left]].setdefault(ids[right], rank)
         merged.append(ids[left + right])
     of_byte = [0] * 256
     for letter, b in letters.items():
@@ -97,19 +100,19 @@ def merge_word(v: Vocabulary, word: bytes) -> list[int]:
     parts = [v.of_byte[b] for b in word]
     if len(parts) > SCAN_BYTES:
         return merge_long_word(v, parts)
-    rank_of = v.ranks.get
-    ranks = [rank_of(a << 32 | b, NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
+    ranks_after, merged = v.ranks, v.merged
+    ranks = [ranks_after[a].get(b, NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
     while ranks:
         lowest = min(ranks)
         if lowest == NO_RANK:
             break
         i = ranks.index(lowest)
-        parts[i] = v.merged[lowest]
+        parts[i] = part = merged[lowest]
         del parts[i + 1], ranks[i]
         if i < len(ranks):
-            ranks[i] = rank_of(parts[i] << 32 | parts[i + 1], NO_RANK)
+            ranks[i] = ranks_after[part].get(parts[i + 1], NO_RANK)
         if i:
-            ranks[i - 1] = rank_of(parts[i - 1] << 32 | parts[i], NO_RANK)
+            ranks[i - 1] = ranks_after[parts[i - 1]].get(part, NO_RANK)
     return parts
 
 
@@ -117,7 +120,7 @@ def merge_long_word(v: Vocabulary, parts: list[int]) -> list[int]:
     """The same result in n log n: candidates wait in a heap, stale ones are skipped."""
     n = len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := v.ranks.get(parts[i] << 32 | parts[i + 1], NO_RANK)) != NO_RANK]
+    heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := v.ranks[parts[i]].get(parts[i + 1], NO_RANK)) != NO_RANK]
     heapq.heapify(heap)
     while heap:
         rank, i, left, right = heapq.heappop(heap)
@@ -128,7 +131,7 @@ def merge_long_word(v: Vocabulary, parts: list[int]) -> list[int]:
         if after[i] < n:
             before[after[i]] = i
         for a, b in ((before[i], i), (i, after[i])):
-            if a >= 0 and b < n and (r := v.ranks.get(parts[a] << 32 | parts[b], NO_RANK)) != NO_RANK:
+            if a >= 0 and b < n and (r := v.ranks[parts[a]].get(parts[b], NO_RANK)) != NO_RANK:
                 heapq.heappush(heap, (r, a, parts[a], parts[b]))
     return [p for p in parts if p >= 0]
 
@@ -137,42 +140,62 @@ class Unsplittable(Exception):
     """A blank of the text stands beside other white space."""
 
 
-class Memo(dict):
-    """The part after a blank to its packed ids; the blank is not in the key."""
+class WordMemo(dict):
+    """Pre-tokens to their packed ids, up to a bound; `prefix` is put before a key."""
 
-    def __init__(self, encode, limit: int):
+    def __init__(self, encode_word, limit: int, prefix: str = ""):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode_word, self.limit, self.prefix = encode_word, limit, prefix
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode_word(self.prefix + word)
+        if len(self) < self.limit:
+            self[word] = ids
+        return ids
+
+
+class PartMemo(WordMemo):
+    """The part of a text after a blank to its packed ids. Only parts that are one word are kept;
+    others, which end in a mark as a rule, are put together from the ids of their words."""
+
+    def __init__(self, encode_word, limit: int, words, special: list[str], encode_text):
+        super().__init__(encode_word, limit, " ")
+        self.words, self.special, self.encode_text = words, special, encode_text
+        self.others = WordMemo(encode_word, limit // 10)
 
     def __missing__(self, part: str) -> bytes:
+        if part.isalpha():
+            return super().__missing__(part)
+        if part[-1:] in MARKS and part[:-1].isalpha():
+            return self[part[:-1]] + self.others[part[-1]]
         if not part or part[0].isspace() or part[-1].isspace():
             raise Unsplittable
-        ids = self.encode(" " + part)
-        if len(self) < self.limit:
-            self[part] = ids
-        return ids
+        if any(s in part for s in self.special):
+            return self.encode_text(" " + part)
+        others = self.others
+        return b"".join([self[w[1:]] if w[0] == " " and w[1:].isalpha() else others[w] for w in self.words(" " + part)])
 
 
 class Encoder:
     """Packs the ids of texts as little-endian unsigned 32-bit integers.
 
-    `encode` gives the packed ids of any text; it is asked once for each remembered part,
-    or for each whole text where the tokenizer may reach across blanks.
+    `encode_text` gives the packed ids of any text, `encode_word` those of a pre-token. Without the
+    latter, where the tokenizer may reach across blanks, each text is encoded whole.
     """
 
-    def __init__(self, encode, splits: bool = True, limit: int = MEMO):
-        self.encode, self.splits, self.memo = encode, splits, Memo(encode, limit)
+    def __init__(self, encode_text, encode_word=None, special: list[str] = (), limit: int = MEMO):
+        self.encode_text = encode_text
+        words = regex.compile(PRETOKEN).findall
+        self.memo = PartMemo(encode_word, limit, words, list(special), encode_text) if encode_word else None
 
     def pack(self, text: str) -> bytes:
         first, *rest = text.split(" ")
-        if not rest or not self.splits:
-            return self.encode(text)
-        if not first or first[-1].isspace():
-            return self.encode(text)
+        if not rest or self.memo is None or not first or first[-1].isspace():
+            return self.encode_text(text)
         try:
-            return self.encode(first) + b"".join(map(self.memo.__getitem__, rest))
+            return self.encode_text(first) + b"".join(map(self.memo.__getitem__, rest))
         except Unsplittable:
-            return self.encode(text)
+            return self.encode_text(text)
 
 
 def rank_array_encoder(path: str, limit: int = MEMO) -> Encoder:
@@ -181,19 +204,17 @@ def rank_array_encoder(path: str, limit: int = MEMO) -> Encoder:
     words = regex.compile(PRETOKEN).findall
     special = regex.compile("(" + "|".join(map(regex.escape, sorted(v.special, key=len, reverse=True))) + ")") if v.special else None
 
-    def plain(text: str) -> list[int]:
-        return [i for word in words(text) for i in merge_word(v, word.encode("utf-8", "surrogatepass"))]
+    def encode_word(word: str) -> bytes:
+        ids = merge_word(v, word.encode("utf-8", "surrogatepass"))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(text: str) -> bytes:
-        if special and special.search(text):
-            ids = []
-            for part in special.split(text):
-                ids += [v.special[part]] if part in v.special else plain(part)
-        else:
-            ids = plain(text)
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+    def encode_text(text: str) -> bytes:
+        parts = special.split(text) if special and special.search(text) else [text]
+        return b"".join([
+            struct.pack("<I", v.special[p]) if p in v.special else b"".join(map(encode_word, words(p))) for p in parts
+        ])
 
-    return Encoder(encode, limit=limit)
+    return Encoder(encode_text, encode_word, list(v.special), limit)
 
 
 @functools.lru_cache(maxsize=2)

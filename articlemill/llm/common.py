@@ -13,16 +13,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text that a task turns into Python objects at a time.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
+#: Bytes that Spark sends to a Python worker at a time, unless one row has more.
+BATCH_BYTES = 8 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers find this package where the driver found it, besides what they search already."""
+    """Lets Python workers find this package where the driver found it, and bounds what they are sent at a time."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

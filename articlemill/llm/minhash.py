@@ -41,7 +41,8 @@ MISS = 1e-6
 BLOCK = 512
 #: Candidates up to which their ids are broadcast to pick their texts; beyond, texts are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
-MEMO = 500_000
+#: Words whose hashes a task remembers.
+MEMO = 200_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -55,9 +56,6 @@ class WordHashes(dict):
         return value
 
 
-word_hashes = WordHashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -65,12 +63,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: bytes | None, words: int) -> np.ndarray:
+def shingles(text: bytes | None, words: int, known: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of `words` words; of the whole text if it has fewer."""
     found = text.translate(LOWER).split() if text else []
     if not found:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(word_hashes.__getitem__, found), np.uint64, len(found))
+    hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     width = min(words, len(found))
     runs = np.full(len(found) - width + 1, width, np.uint64)
     for k in range(width):
@@ -111,10 +109,11 @@ def sketches(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """`(doc, n_shingles, f1, f2, bands)` of every row; no fingerprint and no bands for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
         for piece in pieces(batches):
             sizes, prints, bands = [], [], []
             for t in bytes_of(piece):
-                found = shingles(t, words)
+                found = shingles(t, words, known)
                 sizes.append(len(found))
                 prints.append(np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64) if len(found) else (None, None))
                 bands.append(band_keys(signature(found)) if len(found) else None)
@@ -243,8 +242,9 @@ def links(docs: DataFrame, groups: DataFrame, key: str, text: str, words: int, p
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
         for piece in pieces(batches):
-            found = [shingles(t, words) for t in bytes_of(piece)]
+            found = [shingles(t, words, known) for t in bytes_of(piece)]
             columns = [piece.column(0), pa.array([short_signature(signature(s)) for s in found]), pa.array([s.tobytes() for s in found])]
             yield pa.RecordBatch.from_arrays([*columns, piece.column(2), piece.column(3)], ["doc", "sign", "shingles", "grp", "blocks"])
 

@@ -23,13 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlemill.llm.bpe import PRETOKEN, Encoder, byte_letters, is_byte_level
+from articlemill.llm.bpe import Encoder, byte_letters, is_byte_level
 from articlemill.llm.common import new_folder, pieces, texts_of
 from articlemill.sources.tables import UNKNOWN_SIZE
 
@@ -57,42 +56,19 @@ def library_encoder(path: str) -> Encoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     loaded = json.loads(tokenizer.to_str())
-    splits, special = is_byte_level(loaded), [t["content"] for t in loaded["added_tokens"]]
-    model, words = tokenizer.model.tokenize, regex.compile(PRETOKEN).findall
-    letters = {b: c for c, b in byte_letters().items()}
-
-    def encode(text: str) -> bytes:
-        if splits and len(text) < 100 and not any(s in text for s in special):
-            # A part of a text: its words go to the library's model one by one, which is quicker than the whole chain.
-            spelled = text.encode().decode("latin-1").translate(letters) if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()) else ""
-            ids = [t.id for t in model(spelled)] if spelled else [
-                t.id for word in words(text) for t in model(word.encode().decode("latin-1").translate(letters))
-            ]
-        else:
-            ids = tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    return Encoder(encode, splits)
-
-
-def mapped(folder: str, name: str, dtype: str) -> np.ndarray:
-    """The integers of a file: memory-mapped on a mounted folder, read elsewhere."""
-    files, path = open_folder(folder)
-    if files.get_file_info(path + "/" + name).size == 0:
-        return np.empty(0, dtype)
-    if isinstance(files, fs.LocalFileSystem):
-        return np.memmap(f"{path}/{name}", dtype, "r")
-    with files.open_input_file(f"{path}/{name}") as file:
-        return np.frombuffer(file.read(), dtype)
+    model, letters = tokenizer.model.tokenize, {b: c for c, b in byte_letters().items()}
 
+    def encode_text(text: str) -> bytes:
+        ids = tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-@functools.lru_cache(maxsize=4)
-def id_bytes(path: str, end_id: int | None) -> int:
-    """2 if every id, the end id too, is below 65,536; else 4."""
-    from tokenizers import Tokenizer
+    def encode_word(word: str) -> bytes:
+        """A pre-token goes to the library's model itself, which is quicker than the whole chain."""
+        ids = [t.id for t in model(word.encode().decode("latin-1").translate(letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    size = Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
-    return 2 if max(size - 1, end_id or 0) < 1 << 16 else 4
+    special = [t["content"] for t in loaded["added_tokens"]]
+    return Encoder(encode_text, encode_word if is_byte_level(loaded) else None, special)
 
 
 class PartWriter:

@@ -27,22 +27,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier, equal or one edit away, go; so do documents left without a line. `n_chars` follows."""
+    ready(spark)
     kept = line_dedup.without_repeated_lines(docs)
     return kept.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else kept
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: five-word shingles, similarity 0.8."""
+    ready(spark)
     return minhash.without_near_duplicates(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    return decontamination.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontamination.without_contaminated(docs, read_table(ready(spark), sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`(doc_id, n_tokens, ids_sha256, decoded_sha256, ids)` of every document."""
+    ready(spark)
     return bpe.round_trip_digests(docs, tokenizer_path(), with_ids=True)
 
 
