@@ -154,7 +154,10 @@ def least_matches(percent: int) -> dict[int, int]:
 
 
 def surviving_pairs(signs: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of left x right whose signatures pass every batch; pruned pairs see no further batch."""
+    """Index pairs of left x right whose signatures pass every batch; pruned pairs see no further batch.
+
+    Of a block and itself each pair is taken once.
+    """
     needed = least_matches(percent)
     a, b, matches = None, None, None
     for n in range(BATCH, COMPARED + 1, BATCH):
@@ -163,8 +166,9 @@ def surviving_pairs(signs: np.ndarray, left: np.ndarray, right: np.ndarray, perc
             counts = np.stack([(signs[i, at] == signs[right, at]).sum(1, dtype=np.int32) for i in left])
             x, y = np.nonzero(counts >= needed[n])
             a, b, matches = left[x], right[y], counts[x, y]
-            own = a != b
-            a, b, matches = a[own], b[own], matches[own]
+            if left is right:
+                once = a < b
+                a, b, matches = a[once], b[once], matches[once]
         else:
             matches = matches + np.concatenate([
                 (signs[a[s : s + 65_536], at] == signs[b[s : s + 65_536], at]).sum(1, dtype=np.int32) for s in range(0, len(a), 65_536)
@@ -215,11 +219,14 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 def block_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the verified links between the two blocks of a table (or within the one)."""
-    docs, first = np.unique(table.column("doc").to_numpy(), return_index=True)
-    table = table.take(pa.array(first))
+    # Rows of one key may have several texts; equal rows are taken once.
+    rows = zip(table.column("doc").to_pylist(), table.column("sign").to_pylist(), strict=True)
+    table = table.take(pa.array(sorted({row: i for i, row in enumerate(rows)}.values()), pa.int64()))
+    docs = table.column("doc").to_numpy()
     signs = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(len(docs), COMPARED)
     block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
-    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    left = np.flatnonzero(block == low)
+    right = left if low[0] == high[0] else np.flatnonzero(block == high)
     a, b = surviving_pairs(signs, left, right, percent)
     if not len(a):
         return []
@@ -271,13 +278,17 @@ def near_duplicates(
     with nothing; so is a row with a null key (its component is null). Rows of one key are one document.
     """
     sketched = stored(sketches(docs, key, text, words), "sketches")
-    found = components(links(docs, candidate_groups(sketched), key, text, words, percent))
     classes = sketched.filter("n_shingles > 0 AND doc IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc").alias("node"))
-    placed = classes.join(found, "node", "left").select("f1", "f2", F.coalesce("component", "node").alias("found"))
-    rows = sketched.select("doc", "n_shingles", "f1", "f2").join(placed, ["f1", "f2"], "left")
-    component = F.when(F.col("doc").isNotNull(), F.coalesce("found", "doc"))
+    rows = sketched.select("doc", "n_shingles", "f1", "f2").join(classes, ["f1", "f2"], "left")
+    rows = stored(rows.select("doc", "n_shingles", "node"), "classes")
+    # Keys with several texts tie the classes of these together.
+    several = rows.groupBy("doc").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b < last")
+    ties = rows.join(several.select("doc", "b"), "doc").filter("node <> b").select(F.col("node").alias("a"), "b")
+    found = components(links(docs, candidate_groups(sketched), key, text, words, percent).union(ties))
+    placed = rows.join(found, "node", "left")
+    component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "node", "doc"))
     kept = F.coalesce(F.col("doc") == component, F.lit(True))
-    return rows.select(F.col("doc").alias(key), "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    return placed.select(F.col("doc").alias(key), "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def without_near_duplicates(

@@ -167,6 +167,13 @@ def test_one_of_each_group_stays(spark):
     assert minhash.without_near_duplicates(no_documents(spark)).count() == 0
 
 
+def test_texts_of_one_key_are_one_document(spark):
+    one, two = " ".join(words(1, 50)), " ".join(words(2, 50))
+    docs = spark.createDataFrame([(1, one), (5, one), (5, two), (7, two + " end"), (7, two + " end"), (9, "alone")], "doc_id bigint, text string")
+    found = minhash.near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (5, 1), (5, 1), (7, 1), (7, 1), (9, 9)]
+
+
 def test_pruning_misses_rarely():
     needed = minhash.least_matches(80)
     assert list(needed) == list(range(32, 257, 32)) and all(0.3 * n < k < 0.8 * n for n, k in needed.items())
