@@ -25,7 +25,7 @@ from articlemill.llm.common import stored
 
 MIN_CHARS = 16
 #: Lines up to which their places are broadcast to pick their texts; beyond, all lines are shuffled by place.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 300_000
 PLACE = ["no_key", "key", "text_hash", "pos"]
 
 
