@@ -278,9 +278,11 @@ def near_duplicates(
     with nothing; so is a row with a null key (its component is null). Rows of one key are one document.
     """
     sketched = stored(sketches(docs, key, text, words), "sketches")
-    classes = sketched.filter("n_shingles > 0 AND doc IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc").alias("node"))
+    known = sketched.filter("n_shingles > 0 AND doc IS NOT NULL")
+    # Stored, so that the join has two shuffled sides and a class of very many copies can be split.
+    classes = stored(known.groupBy("f1", "f2").agg(F.min("doc").alias("node")), "classes")
     rows = sketched.select("doc", "n_shingles", "f1", "f2").join(classes, ["f1", "f2"], "left")
-    rows = stored(rows.select("doc", "n_shingles", "node"), "classes")
+    rows = stored(rows.select("doc", "n_shingles", "node"), "nodes")
     # Keys with several texts tie the classes of these together.
     several = rows.groupBy("doc").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b < last")
     ties = rows.join(several.select("doc", "b"), "doc").filter("node <> b").select(F.col("node").alias("a"), "b")
