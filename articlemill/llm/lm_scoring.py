@@ -1,24 +1,29 @@
 """LM scoring by cross-entropy difference.
 
 Two bigram models, of the target texts and of all texts (the background), share order,
-smoothing and vocabulary: the words that make up a fixed share of the target's tokens; any other
-word is the unknown word. With c the counts of a model, N its tokens, V the vocabulary,
+smoothing and vocabulary: every word that the target has twice; any other word is the unknown word.
+With c the counts of a model, N its tokens, V the vocabulary,
 
     P(w | h) = B c(h, w) / c(h) + (1 - B) (c(w) + 1) / (N + V).
 
 A token's loss difference is log P_background - log P_target: negative where the target
 model expects it more. A document's score is the mean over its tokens, less is closer to the target.
 
-All counts are taken over all texts. In either model a pair counted less than `least` times is
-unseen, so that what only one text says does not speak for it. The difference of a token is that of
-its word alone plus a correction, which is zero for pairs unseen in both models. Corrections of pairs that make up a fixed share of all tokens are sent to the tasks:
-there are at most 1 / PAIR_SHARE of them, and they take the hot pairs out of the shuffle. Tokens of
-rarer pairs meet their corrections in a join on the pair. Both ways give the same sum.
+All counts are taken over all texts, and every pair counts. The vocabulary grows with the target, so only its frequent words
+(a fixed share of the target's tokens, so a bounded number) are sent to the tasks, which number them. Other words are named by
+63-bit hashes, below zero, and pairs with such a word by 62-bit hashes; what these words count is found in
+tables. A filter of bounded size tells the tasks most words that are unknown; those that it lets pass turn out
+to be unknown in the tables. A token's difference is that of its word alone plus a correction.
+A pair of sent words that is met once needs no row: its correction follows from the counts of its words, and is what a
+task assumes; a second filter spares most such pairs the join. Rows hold what must be added to that, `v0` outside the target and `v1` in it, and for other
+pairs all there is. Rows of frequent pairs (a fixed share of all tokens) are sent to the tasks; tokens of rarer pairs meet
+theirs in a join on the pair. Both ways give the same sum.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -28,31 +33,89 @@ from pyspark.sql import functions as F
 from articlemill.llm.common import bytes_of, pieces, stored
 from articlemill.llm.minhash import LOWER
 
-#: Share of the target's tokens from which on a word is in the vocabulary: at most 100,000 words.
-WORD_SHARE = 1e-5
-#: Share of all tokens from which on a pair's correction is sent to the tasks: at most 2,000,000 pairs.
+#: Share of the target's tokens that a word needs, besides two occurrences, to be in the vocabulary.
+WORD_SHARE = 0.0
+#: Share of the target's tokens from which on a word is sent to the tasks: at most 1,000,000 words.
+SENT_SHARE = 1e-6
+#: Share of all tokens from which on a pair's row is sent to the tasks: at most 2,000,000 pairs.
 PAIR_SHARE = 5e-7
 #: Times that a model must have met a pair to count it.
-LEAST = 3
+LEAST = 1
+#: Rows up to which a table of words is broadcast to the pairs; beyond, it is joined by shuffle.
+BROADCAST_ROWS = 500_000
+#: Rows of pairs that a task holds before it adds them up, and passes them on if more than half remain.
+HELD_PAIRS = 300_000
+#: Blocks of 64 bits of the filters of words and of pairs, at most.
+WORD_BLOCKS, PAIR_BLOCKS = 1 << 20, 1 << 21
+#: Hashes of pairs are below it; counts of single words stand between it and 0.
+HASHED = -(1 << 62)
 BIGRAM_WEIGHT = 0.6
 WORD_SPLIT = r"[ \t\n\x0B\f\r]+"
 
 
+def scrambled(numbers: np.ndarray) -> np.ndarray:
+    x = numbers.view(np.uint64)
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
+
+
+def places(numbers: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """The block of each number, and its four bits there."""
+    x = scrambled(numbers)
+    mask = np.zeros_like(x)
+    for shift in (0, 6, 12, 18):
+        mask |= np.uint64(1) << ((x >> np.uint64(shift)) & np.uint64(63))
+    return ((x >> np.uint64(24)) % np.uint64(blocks)).astype(np.int64), mask.view(np.int64)
+
+
+def bits_of(table: DataFrame, blocks: int) -> np.ndarray:
+    """A filter of the one column of numbers of `table`, of at most `blocks` blocks of 64 bits: it passes all of them, and few others unless they are many."""
+    blocks = min(blocks, max(1, table.count() // 4))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in places(batch.column(0).to_numpy(), blocks)], ["block", "bits"])
+
+    found = table.mapInArrow(run, "block bigint, bits bigint").groupBy("block").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(blocks, np.int64)
+    bits[found.column("block").to_numpy()] = found.column("bits").to_numpy()
+    return bits
+
+
+def may_have(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    at, mask = places(numbers, len(bits))
+    return (bits[at] & mask) == mask
+
+
+def word_hash(word: bytes) -> int:
+    """A number below zero."""
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True) | -(1 << 63)
+
+
 class Words(dict):
-    """Words to their numbers; 0 for the unknown word."""
+    """Sent words to their numbers, others to hashes."""
 
     def __missing__(self, word: bytes) -> int:
-        return 0
+        return word_hash(word)
 
 
-def vocabulary(docs: DataFrame, text: str, is_target: str, share: float) -> dict[bytes, int]:
-    """Numbers from 1 on of the words that have `share` of the target's tokens, and occur twice."""
+def frequent_words(docs: DataFrame, text: str, is_target: str, word_share: float, sent_share: float) -> tuple[dict[bytes, int], np.ndarray, float]:
+    """Numbers from 1 on of the words of the vocabulary that have `sent_share` of the target's tokens, a filter of its other words, and the count that it asks for."""
     lowered = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = docs.filter(F.col(is_target)).select(F.explode(F.split(lowered, WORD_SPLIT)).alias("word")).filter("word <> ''")
     counted = stored(words.groupBy("word").count(), "words")
     total = counted.agg(F.sum("count")).first()[0] or 0
-    rows = counted.filter(F.col("count") >= max(2.0, share * total)).select("word").collect()
-    return {word: i + 1 for i, word in enumerate(sorted(r.word.encode() for r in rows))}
+    floor = max(2.0, word_share * total)
+    rows = counted.filter(F.col("count") >= max(floor, sent_share * total)).select("word").collect()
+    others = counted.filter((F.col("count") >= floor) & (F.col("count") < sent_share * total)).select("word")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(map(word_hash, bytes_of(batch, "word")), pa.int64())], ["id"])
+
+    passed = bits_of(others.mapInArrow(run, "id bigint"), WORD_BLOCKS)
+    return {word: i + 1 for i, word in enumerate(sorted(r.word.encode() for r in rows))}, passed, floor
 
 
 def tokens_of(text: bytes | None, number) -> np.ndarray:
@@ -60,144 +123,257 @@ def tokens_of(text: bytes | None, number) -> np.ndarray:
     return np.fromiter(map(number, words), np.int64, len(words))
 
 
-def pairs_of(tokens: np.ndarray, base: int) -> np.ndarray:
-    """Each token with the one before it, packed; the first follows the start, which is number base - 1."""
-    if not len(tokens):
-        return tokens
-    return np.concatenate([[base - 1], tokens[:-1]]) * base + tokens
+def numbered(texts: list[bytes | None], number, passed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens of the texts, 0 where the filter says that a word is unknown, and the number of tokens of each text."""
+    each = [tokens_of(t, number) for t in texts]
+    tokens = np.concatenate([*each, np.empty(0, np.int64)])
+    at = np.flatnonzero(tokens < 0)
+    tokens[at[~may_have(passed, tokens[at])]] = 0
+    return tokens, np.array([len(t) for t in each], np.int64)
 
 
-def pair_counts(docs: DataFrame, text: str, is_target: str, words: dict[bytes, int]) -> DataFrame:
-    """`(pair, n, n_target)` over all texts. Negative pairs count words: -1 - w, and histories: -1 - base - h.
+def histories_of(tokens: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
+    """The token before each; the first of a text follows the start, which is number base - 1."""
+    before = np.roll(tokens, 1)
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = base - 1
+    return before
 
-    Tasks add up what they read, so one row for each pair and task is shuffled.
+
+def pairs_of(h: np.ndarray, w: np.ndarray, base: int) -> np.ndarray:
+    """Pairs of sent words packed, others hashed to numbers below HASHED."""
+    x, y = h.view(np.uint64), w.view(np.uint64)
+    for factor in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(factor) + y
+    mixed = (x ^ (x >> np.uint64(32))) & np.uint64((1 << 62) - 1)
+    return np.where((h >= 0) & (w >= 0), h * base + w, mixed.view(np.int64) + 2 * HASHED)
+
+
+def pair_counts(docs: DataFrame, text: str, is_target: str, words: dict[bytes, int], passed: np.ndarray) -> DataFrame:
+    """`(pair, h, w, n, n_target)` over all texts, with the words of hashed pairs.
+
+    From -1 down, pairs count sent words: -1 - w, and histories: -1 - base - h. Tasks add up what they read, as far as they hold it.
     """
     base = len(words) + 2
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+    sent = docs.sparkSession.sparkContext.broadcast((words, passed))
+    names = ["pair", "h", "w", "n", "n_target"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = Words(sent.value).__getitem__
+        number, known = Words(sent.value[0]).__getitem__, sent.value[1]
         singles = np.zeros((2, 2 * base), np.int64)
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[list[np.ndarray]] = []
+
+        def folded() -> list[np.ndarray]:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            keys, first, at = np.unique(columns[0], return_index=True, return_inverse=True)
+            return [keys, columns[1][first], columns[2][first], *(np.bincount(at, c, len(keys)).astype(np.int64) for c in columns[3:])]
 
-        def folded() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            keys, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            sums = [np.bincount(at, np.concatenate([h[k] for h in held]), len(keys)).astype(np.int64) for k in (1, 2)]
-            return keys, *sums
+        def rows() -> Iterator[pa.RecordBatch]:
+            columns = folded()
+            for start in range(0, len(columns[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[start : start + 100_000]) for c in columns], names)
 
         for piece in pieces(batches):
             flags = piece.column(1).to_pylist()
-            each = [tokens_of(t, number) for t in bytes_of(piece)]
-            for chosen in (False, True):
-                lists = [pairs_of(t, base) for t, f in zip(each, flags, strict=True) if f == chosen]
-                pairs = np.concatenate([*lists, np.empty(0, np.int64)])
-                if not len(pairs):
-                    continue
-                ends, starts = np.bincount(pairs % base, minlength=base), np.bincount(pairs // base, minlength=base)
-                for row in (0, 1) if chosen else (0,):
-                    singles[row] += np.concatenate([ends, starts])
-                keys, n = np.unique(pairs, return_counts=True)
-                held.append((keys, n, n if chosen else np.zeros_like(n)))
-            if len(held) > 16:
+            w, sizes = numbered(bytes_of(piece), number, known)
+            if not len(w):
+                continue
+            h = histories_of(w, sizes, base)
+            chosen = np.repeat(np.array(flags, bool), sizes)
+            for row, some in ((0, slice(None)), (1, chosen)):
+                ends, starts = w[some], h[some]
+                singles[row] += np.concatenate([np.bincount(x[x >= 0], minlength=base) for x in (ends, starts)])
+            pairs, first, at = np.unique(pairs_of(h, w, base), return_index=True, return_inverse=True)
+            hashed = pairs < 0
+            n, target = (np.bincount(x, minlength=len(pairs)) for x in (at, at[chosen]))
+            held.append([pairs, np.where(hashed, h[first], 0), np.where(hashed, w[first], 0), n, target])
+            if sum(len(columns[0]) for columns in held) > HELD_PAIRS:
                 held = [folded()]
+                if len(held[0][0]) > HELD_PAIRS // 2:
+                    yield from rows()
+                    held = []
         if held:
-            keys, n, target = folded()
-            for start in range(0, len(keys), 100_000):
-                some = slice(start, start + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(n[some]), pa.array(target[some])], ["pair", "n", "n_target"])
+            yield from rows()
         at = np.flatnonzero(singles[0])
-        yield pa.RecordBatch.from_arrays([pa.array(-1 - at), pa.array(singles[0, at]), pa.array(singles[1, at])], ["pair", "n", "n_target"])
+        none = np.zeros_like(at)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (-1 - at, none, none, singles[0, at], singles[1, at])], names)
 
     rows = docs.select(F.col(text).alias("text"), F.coalesce(F.col(is_target), F.lit(False)).alias("is_target"))
-    return rows.mapInArrow(count, "pair bigint, n bigint, n_target bigint").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    counted = rows.mapInArrow(count, "pair bigint, h bigint, w bigint, n bigint, n_target bigint")
+    return counted.groupBy("pair").agg(F.min("h").alias("h"), F.min("w").alias("w"), F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+
+
+def other_words(hashed: DataFrame) -> DataFrame:
+    """`(id, w0, w1, h0, h1)`: counts of the words that are not sent, as words and as histories, in all texts and in the target."""
+    zero = F.lit(0).cast("bigint")
+    as_word = F.struct(F.col("w").alias("id"), F.col("n").alias("w0"), F.col("n_target").alias("w1"), zero.alias("h0"), zero.alias("h1"))
+    as_history = F.struct(F.col("h").alias("id"), zero.alias("w0"), zero.alias("w1"), F.col("n").alias("h0"), F.col("n_target").alias("h1"))
+    rows = hashed.select(F.explode(F.array(as_word, as_history)).alias("x")).select("x.*").filter("id < 0")
+    return rows.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("w0", "w1", "h0", "h1")])
 
 
 class Singles:
-    """Word and history counts of both models, and what follows from them."""
+    """Counts of the sent and the unknown word in both models, and what follows from counts."""
 
-    def __init__(self, rows: list, base: int):
+    def __init__(self, rows: list, base: int, unknown: list, others: int):
         counts = np.zeros((2, 2 * base))
         for pair, n, n_target in rows:
             counts[:, -1 - pair] = n, n_target
         self.base, self.words, self.histories = base, counts[:, :base], counts[:, base:]
-        totals = self.words.sum(1, keepdims=True)
-        self.single = (1 - BIGRAM_WEIGHT) * (self.words + 1) / (totals + base - 1)
-        self.word_difference = np.log(self.single[0]) - np.log(self.single[1])
-        self.tokens = float(totals[0, 0])
+        self.words[:, 0] += unknown[:2]
+        self.histories[:, 0] += unknown[2:]
+        self.others = others
+
+    def with_totals(self, totals: list) -> Singles:
+        """Of all tokens, with those of the words that are not sent."""
+        self.totals, self.tokens = np.array(totals, float), float(totals[0])
+        self.word_difference = self.differences(self.words)
+        return self
 
-    def corrections(self, pairs: np.ndarray, n: np.ndarray, n_target: np.ndarray) -> np.ndarray:
+    def alone(self, k: int, words: np.ndarray) -> np.ndarray:
+        return (1 - BIGRAM_WEIGHT) * (words + 1) / (self.totals[k] + self.base - 1 + self.others)
+
+    def differences(self, words: np.ndarray) -> np.ndarray:
+        return np.log(self.alone(0, words[0])) - np.log(self.alone(1, words[1]))
+
+    def corrections(self, words: np.ndarray, histories: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Of pairs with counts `n`, given the counts of their words and histories; each has a row per model."""
+        both = [np.log(self.alone(k, words[k]) + BIGRAM_WEIGHT * n[k] / np.maximum(histories[k], 1)) for k in (0, 1)]
+        return both[0] - both[1] - self.differences(words)
+
+    def assumed(self, pairs: np.ndarray, least: int, target: bool) -> np.ndarray:
+        """Corrections of packed pairs if they are met once."""
         h, w = pairs // self.base, pairs % self.base
-        both = [self.single[k, w] + BIGRAM_WEIGHT * c / np.maximum(self.histories[k, h], 1) for k, c in ((0, n), (1, n_target))]
-        return np.log(both[0]) - np.log(both[1]) - self.word_difference[w]
+        n = np.zeros((2, len(pairs))) + [[least <= 1], [least <= 1 and target]]
+        return self.corrections(self.words[:, w], self.histories[:, h], n)
 
 
-def with_corrections(counted: DataFrame, singles: Singles, least: int) -> DataFrame:
-    """`(pair, n, correction)`; in either model a pair that occurs less than `least` times counts as unseen."""
+def joined(rows: DataFrame, table: DataFrame, on, how: str) -> DataFrame:
+    return rows.join(F.broadcast(table) if table.count() <= BROADCAST_ROWS else table, on, how)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def pairs_of_others(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Hashed pairs, and packed ones with the unknown word, with the words that count for them: `h` and `w` are 0 where unknown, `n_all` and `n_all_target` are the counts of what they then are."""
+    counts = pairs.withColumn("named", F.col("w") < 0)
+    for own, columns in (("h", ("h0", "h1")), ("w", ("w0", "w1"))):
+        side = known.select(F.col("id").alias(own), *columns, F.lit(True).alias("found"))
+        counts = joined(counts, side, own, "left")
+        counts = counts.withColumn(own, F.when((F.col(own) >= 0) | F.col("found"), F.col(own)).otherwise(F.lit(0).cast("bigint"))).drop("found")
+    whole = (F.col("h") != 0) & (F.col("w") != 0)
+    sums = counts.filter(~whole).groupBy("h", "w").agg(F.sum("n").alias("n_all"), F.sum("n_target").alias("n_all_target"))
+    unknown = joined(counts.filter(~whole), stored(sums, "unknown"), ["h", "w"], "inner")
+    kept = counts.filter(whole).withColumn("n_all", F.col("n")).withColumn("n_all_target", F.col("n_target"))
+    return kept.unionByName(unknown)
+
+
+def pair_values(counted: DataFrame, known: DataFrame, singles: Singles, least: int) -> DataFrame:
+    """`(pair, n, v0, v1)` of all pairs but packed ones that are met once; in either model a pair that occurs less than `least` times counts as unseen."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pair, n, target = (c.to_numpy() for c in batch.columns)
-            values = singles.corrections(pair, np.where(n >= least, n, 0), np.where(target >= least, target, 0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values)], ["pair", "n", "correction"])
+            h, w = pair // singles.base, pair % singles.base
+            n = np.array([n, target])
+            value = singles.corrections(singles.words[:, w], singles.histories[:, h], np.where(n >= least, n, 0))
+            more = [value - singles.assumed(pair, least, t) for t in (False, True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, more)], names)
 
-    pairs = counted.filter(f"pair >= 0 AND n >= {least}")
-    return pairs.mapInArrow(run, "pair bigint, n bigint, correction double")
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(batch.schema.names)}
+            h, w = column["h"], column["w"]
+            words, histories = (
+                np.where(x < 0, np.nan_to_num(np.array([column[a], column[b]], float)), sent[:, np.maximum(x, 0)])
+                for x, a, b, sent in ((w, "w0", "w1", singles.words), (h, "h0", "h1", singles.histories))
+            )
+            n = np.array([column["n_all"], column["n_all_target"]])
+            value = singles.corrections(words, histories, np.where(n >= least, n, 0))
+            # A task knows the word's own difference only if the word is sent.
+            value += np.where(column["named"].astype(bool), singles.differences(words), 0)
+            pair, at = column["pair"], np.flatnonzero(column["pair"] >= 0)
+            more = [value, value.copy()]
+            for t in (0, 1):
+                more[t][at] -= singles.assumed(pair[at], least, bool(t))
+            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(column["n"]), *map(pa.array, more)], names)
+
+    names = ["pair", "n", "v0", "v1"]
+    schema = "pair bigint, n bigint, v0 double, v1 double"
+    base = F.lit(singles.base)
+    h, w = F.expr(f"pair div {singles.base}"), F.col("pair") % base
+    unknown = (F.col("pair") >= 0) & ((F.col("pair") < base) | (w == 0))
+    of_sent = counted.filter((F.col("pair") >= 0) & ~unknown & (F.col("n") >= 2)).select("pair", "n", "n_target").mapInArrow(packed, schema)
+    rest = counted.filter(unknown | (F.col("pair") < HASHED))
+    for own, part in (("h", h), ("w", w)):
+        rest = rest.withColumn(own, F.when(F.col("pair") >= 0, part.cast("bigint")).otherwise(F.col(own)))
+    return of_sent.unionByName(pairs_of_others(rest, known).mapInArrow(others, schema))
 
 
 def score_documents(
     docs: DataFrame, is_target: str, key: str = "doc_id", text: str = "text",
-    word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE, least: int = LEAST,
+    word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE, least: int = LEAST, sent_share: float = SENT_SHARE,
 ) -> DataFrame:
     """`(key, n_tokens, score)` per document; rows of one key are one document.
 
     `is_target` names a boolean column (null: no). A text without words, or a null one, has no
     score. With no target text every word is unknown and every score is that of the unknown word.
     """
-    words = vocabulary(docs, text, is_target, word_share)
+    words, passed, floor = frequent_words(docs, text, is_target, word_share, sent_share)
     base = len(words) + 2
-    counted = stored(pair_counts(docs, text, is_target, words), "pairs")
-    singles = Singles(counted.filter("pair < 0").collect(), base)
-    model = with_corrections(counted, singles, least)
+    counted = stored(pair_counts(docs, text, is_target, words, passed), "pairs")
+    other = stored(other_words(counted.filter(F.col("pair") < HASHED)), "other_words")
+    known = other.filter(F.col("w1") >= floor)
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("w0", "w1", "h0", "h1")]
+    unknown = list(other.filter(F.col("w1") < floor).agg(*sums).first())
+    rest = known.agg(*sums[:2], F.count("*")).first()
+    singles = Singles(counted.filter((F.col("pair") < 0) & (F.col("pair") > HASHED)).select("pair", "n", "n_target").collect(), base, unknown, rest[2])
+    singles.with_totals([singles.words[k].sum() + rest[k] for k in (0, 1)])
+    model = pair_values(counted, known, singles, least)
     limit = pair_share * singles.tokens
-    frequent = model.filter(F.col("n") >= limit).select("pair", "correction").toArrow()
+    frequent = model.filter(F.col("n") >= limit).select("pair", "v0", "v1").toArrow()
     order = np.argsort(frequent.column("pair").to_numpy())
-    known = (frequent.column("pair").to_numpy()[order], frequent.column("correction").to_numpy()[order])
-    sent = docs.sparkSession.sparkContext.broadcast((words, singles.word_difference, known))
+    sent_rows = tuple(frequent.column(c).to_numpy()[order] for c in ("pair", "v0", "v1"))
+    # Packed pairs that are met once have no row, unless they have the unknown word.
+    unknown_pair = (F.col("pair") < base) | (F.col("pair") % base == 0)
+    with_row = counted.filter((F.col("pair") >= 0) & (F.col("n") < limit) & ((F.col("n") >= 2) | unknown_pair)).select("pair")
+    sent = docs.sparkSession.sparkContext.broadcast((words, passed, singles, sent_rows, bits_of(with_row, PAIR_BLOCKS)))
 
     def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, difference, (pairs_known, corrections) = sent.value
+        numbers, vocabulary, counts, (pairs_known, *more), rows_known = sent.value
         number = Words(numbers).__getitem__
         for piece in pieces(batches):
-            each = [tokens_of(t, number) for t in bytes_of(piece)]
-            sizes = np.array([len(t) for t in each])
-            owner = np.repeat(np.arange(len(each)), sizes)
-            tokens = np.concatenate([*each, np.empty(0, np.int64)])
-            sums = np.bincount(owner, difference[tokens], len(each)).astype(float)
-            pairs = np.concatenate([*(pairs_of(t, base) for t in each), np.empty(0, np.int64)])
-            distinct, at = np.unique(pairs, return_inverse=True)
-            place = np.searchsorted(pairs_known, distinct)
+            w, sizes = numbered(bytes_of(piece), number, vocabulary)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            h = histories_of(w, sizes, base)
+            flags = np.repeat(np.array(piece.column(2).to_pylist(), bool), sizes)
+            sums = np.bincount(owner, np.where(w >= 0, counts.word_difference[np.maximum(w, 0)], 0), len(sizes)).astype(float)
+            distinct, at = np.unique(pairs_of(h, w, base), return_inverse=True)
+            packed = distinct >= 0
+            value = np.zeros((2, len(distinct)))
+            for t in (0, 1):
+                value[t, packed] = counts.assumed(distinct[packed], least, bool(t))
             found = np.zeros(len(distinct), bool)
             if len(pairs_known):
-                found = pairs_known[np.minimum(place, len(pairs_known) - 1)] == distinct
-                value = np.where(found, corrections[np.minimum(place, len(pairs_known) - 1)], 0)
-                sums += np.bincount(owner, value[at], len(each))
-            rest = ~found[at]
+                place = np.minimum(np.searchsorted(pairs_known, distinct), len(pairs_known) - 1)
+                found = pairs_known[place] == distinct
+                value += [np.where(found, v[place], 0) for v in more]
+            sums += np.bincount(owner, np.where(flags, value[1, at], value[0, at]), len(sizes))
+            left = (~found & (~packed | may_have(rows_known, distinct)))[at]
             keys = piece.column(0)
-            # Below zero there is no pair: such rows match nothing and, unlike nulls, spread over the join's tasks.
-            yield pa.RecordBatch.from_arrays([keys, pa.array(sizes), pa.array(sums), pa.array(-1 - np.arange(len(each)))], names)
-            left, rare = owner[rest], pairs[rest]
-            for start in range(0, len(left), 100_000):
+            # These numbers are of no pair's row: such rows match nothing and, unlike nulls, spread over the join's tasks.
+            yield pa.RecordBatch.from_arrays([keys, pa.array(sizes), pa.array(sums), pa.array(-1 - np.arange(len(sizes))), piece.column(2)], names)
+            owners, rare, marks = owner[left], distinct[at[left]], flags[left]
+            for start in range(0, len(owners), 100_000):
                 some = slice(start, start + 100_000)
-                none = [pa.nulls(len(left[some]), kind) for kind in (pa.int64(), pa.float64())]
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array(left[some])), *none, pa.array(rare[some])], names)
-
-    names = ["doc", "n_tokens", "sum", "pair"]
-    rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    made = rows.mapInArrow(lookup, "doc bigint, n_tokens bigint, sum double, pair bigint")
-    rare = model.filter(F.col("n") < limit).select("pair", "correction")
-    # One scan feeds both kinds of rows: those without a pair hold sums, the others meet a correction or none.
-    placed = made.join(rare, "pair", "left")
-    total = F.sum(F.coalesce("sum", "correction"))
-    scored = placed.groupBy("doc").agg(F.sum("n_tokens").alias("n_tokens"), total.alias("total"))
+                none = [pa.nulls(len(owners[some]), kind) for kind in (pa.int64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(owners[some])), *none, pa.array(rare[some]), pa.array(marks[some])], names)
+
+    names = ["doc", "n_tokens", "sum", "pair", "in_target"]
+    marked = F.coalesce(F.col(is_target), F.lit(False)).alias("in_target")
+    rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"), marked)
+    made = rows.mapInArrow(lookup, "doc bigint, n_tokens bigint, sum double, pair bigint, in_target boolean")
+    rare = model.filter(F.col("n") < limit).select("pair", "v0", "v1")
+    # One scan feeds both kinds of rows: those without a pair hold sums, the others meet a row or are as assumed.
+    placed = made.join(rare, "pair", "left").withColumn("more", F.when(F.col("in_target"), F.col("v1")).otherwise(F.col("v0")))
+    placed = placed.select("doc", "n_tokens", F.coalesce("sum", "more").alias("value")).filter("value IS NOT NULL")
+    scored = placed.groupBy("doc").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("value").alias("total"))
     score = F.when(F.col("n_tokens") > 0, F.round(F.col("total") / F.col("n_tokens"), 6))
     return scored.select(F.col("doc").alias(key), "n_tokens", score.alias("score"))

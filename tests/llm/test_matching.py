@@ -305,6 +305,24 @@ def test_scores_agree_with_brute_force(spark, pair_share):
         assert found[key].score == (None if score is None else pytest.approx(score, abs=2e-6)), key
 
 
+@pytest.mark.parametrize("sent_share,rows", [(0.0, 500_000), (0.004, 500_000), (0.004, 0), (2.0, 500_000)])
+@pytest.mark.parametrize("pair_share", [5e-7, 0.002])
+def test_rare_words_and_pairs_count(spark, monkeypatch, sent_share, rows, pair_share):
+    """Each word that the target has twice is its own, and each pair counts, whether or not the word is sent."""
+    monkeypatch.setattr(lm_scoring, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(lm_scoring, "HELD_PAIRS", 500)
+    # 300,000 tokens of one word: a word that occurs twice has far less than 1 in 100,000 of the target's.
+    texts = {k: " ".join(words(k % 7, 50, 15) + words(k, 30, 400)) for k in range(60)} | {60: "tick " * 300_000, 61: "rare twin", 62: "a rare twin", 63: "rare alone"}
+    texts |= {70: None, 71: "", 72: "unheard of", 73: "unheard of rare"}
+    target = [k for k in texts if k < 70 and (k >= 60 or k % 7 < 2)]
+    docs = documents(spark, texts).withColumn("good", F.col("doc_id").isin(target))
+    found = by_key(lm_scoring.score_documents(docs, "good", pair_share=pair_share, sent_share=sent_share))
+    expected = brute_scores(texts, target, 0.0, 1)
+    assert set(found) == set(expected)
+    for key, score in expected.items():
+        assert found[key].score == (None if score is None else pytest.approx(score, abs=2e-6)), key
+
+
 def test_scores_of_odd_rows(spark):
     docs = odd_documents(spark).withColumn("good", F.col("doc_id") == 9)
     assert lm_scoring.score_documents(docs, "good").count() == 11
