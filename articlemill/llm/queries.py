@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlemill.llm import bpe, decontamination, language_id, license_scan, line_dedup, lm_scoring, minhash, quality_classifier, quality_rules, token_files
+from articlemill.llm import bpe, decontamination, language_id, license_scan, line_dedup, lm_scoring, minhash, quality_classifier, quality_rules, token_files, tree_bpe
 from articlemill.llm.common import id_part, ready, stored
 from articlemill.llm.oracles import oracles  # noqa: F401
 from articlemill.llm.text_stats import with_statistics
@@ -93,7 +93,13 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf), words=2)
 
 
+def op11_tree_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return tree_bpe.round_trip_digests(documents(spark, sf), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {f.__name__: f for f in [
     op1_line_dedup, op2_quality_rules, op3_lm_scoring, op4_quality_classifier, op5_token_files, op6_license_scan,
-    op7_decontamination, op8_bpe, op9_language_id, op10_minhash,
+    op7_decontamination, op8_bpe, op9_language_id, op10_minhash, op11_tree_bpe,
 ]}
