@@ -57,6 +57,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discarded(df: DataFrame) -> None:
+    """Removes the files of a table that `stored` made, once nothing reads it any more."""
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs
+    for file in df.inputFiles():
+        folder = hadoop.Path(file).getParent()
+        system = folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf())
+        system.delete(folder, True)
+        return
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut so that each piece has about PIECE_BYTES of text, or one row."""
     for batch in batches:

@@ -89,5 +89,28 @@ def op10() -> str:
         FROM d JOIN reach ON a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 
+def op12(count: int = 40, rounds: int = 5, width: int = 64) -> str:
+    """Distances as sums of squares, anew in each round; a mean is a floor in whole numbers."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT rid, any_value(vec_id) AS vec_id, any_value(x) AS x, min(far * {count} + k) AS best
+            FROM (SELECT v.*, k, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::HUGEINT AS far
+                FROM kept AS v, c{r}) AS f GROUP BY rid)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT best % {count} AS k, j, sum(x[j])::HUGEINT AS s, count(*)::HUGEINT AS n
+                FROM a{r}, unnest(range(1, {width + 1})) AS t(j) GROUP BY ALL),
+            c{r + 1} AS MATERIALIZED (SELECT k, coalesce(any_value(y), any_value(c)) AS c FROM c{r} LEFT JOIN
+                (SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS y FROM m{r} GROUP BY k) AS z USING (k) GROUP BY k)""")
+    return f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id,
+            list_transform(embedding, lambda v: floor(256 * v::DOUBLE)::BIGINT) AS x
+            FROM embeddings WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda v: isfinite(v))) = {width}),
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, c) - 1 AS k, c
+            FROM (SELECT sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h, x AS c FROM kept ORDER BY h, c LIMIT {count}) AS f),
+        {", ".join(steps)},
+        placed AS (SELECT vec_id, (best % {count})::INTEGER AS cluster, (best // {count})::BIGINT AS distance FROM a{rounds})
+        SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+            sha256(array_to_string(c, ',')) AS centroid_sha256 FROM placed JOIN c{rounds} ON k = cluster"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op1_line_dedup": op1(), "op6_license_scan": op6(), "op7_decontamination": op7(), "op10_minhash": op10()}
+    return {"op1_line_dedup": op1(), "op6_license_scan": op6(), "op7_decontamination": op7(), "op10_minhash": op10(), "op12_centroid_clustering": op12()}

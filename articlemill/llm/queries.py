@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlemill.llm import bpe, conversation_repair, decontamination, language_id, license_scan, line_dedup, lm_scoring, minhash, quality_classifier, quality_rules, token_files, tree_bpe
+from articlemill.llm import bpe, centroid_clustering, conversation_repair, decontamination, language_id, license_scan, line_dedup, lm_scoring, minhash, quality_classifier, quality_rules, token_files, tree_bpe
 from articlemill.llm.common import id_part, ready, stored
 from articlemill.llm.oracles import oracles  # noqa: F401
 from articlemill.llm.text_stats import with_statistics
@@ -99,6 +99,10 @@ def op11_tree_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return tree_bpe.round_trip_digests(documents(spark, sf), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return centroid_clustering.cluster_report(read_table(ready(spark), sf, "embeddings"))
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """Rows dropped (marked `gone`), emptied, without sentence ends, repeated, or given to the user, by a hash of their key."""
     columns = [F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")]
@@ -118,5 +122,5 @@ def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in [
     op1_line_dedup, op2_quality_rules, op3_lm_scoring, op4_quality_classifier, op5_token_files, op6_license_scan,
     op7_decontamination, op8_bpe, op9_language_id, op10_minhash, op11_tree_bpe,
-    op13_conversation_repair,
+    op12_centroid_clustering, op13_conversation_repair,
 ]}
