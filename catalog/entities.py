@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from articlemill.functions.text import word_tokens
 from articlemill.operators import entities as E
 from articlemill.operators import relations as R
+from articlemill.operators import tagger
 from articlemill.sources.tables import read_table, spread
 from catalog.sql import WORD_RX, pattern_spans_sql, spans_sql, token_rows
 
@@ -98,6 +99,29 @@ def person_alias_merge(spark, sf):
     return E.merge_aliases(mentions(spark, sf), KEYS)
 
 
+def tagged_sentences(spark, sf):
+    return tagger.tagged_sentences(documents(spark, sf), KEYS, "text", gazetteer(spark, sf), bound=TERMS)
+
+
+def tag_transitions(spark, sf):
+    return tagger.transition_counts(tagged_sentences(spark, sf), KEYS)
+
+
+def tag_words(spark, sf):
+    return tagger.emission_counts(tagger.word_counts(tagged_sentences(spark, sf)))
+
+
+def token_tags_by_context(spark, sf):
+    """Learns from what the gazetteer tags, then tags every token by its sentence."""
+    model = tagger.fit_tagger(tagged_sentences(spark, sf), KEYS)
+    return tagger.tags_by_context(documents(spark, sf), KEYS, "text", model)
+
+
+def entity_probabilities(spark, sf):
+    model = tagger.fit_tagger(tagged_sentences(spark, sf), KEYS)
+    return tagger.entities_with_probability(documents(spark, sf), KEYS, "text", model)
+
+
 def relation_pairs(spark, sf):
     docs = documents(spark, sf)
     return R.relation_pairs(docs, KEYS, "text", dense_gazetteer(spark, sf), bound=TERMS)
@@ -118,7 +142,7 @@ QUERIES = {
         token_tags, entity_merge_adjacent, entity_spans, entity_text, gazetteer_spans,
         entities_by_type, entity_per_sentence, entity_ensemble, entity_compile,
         entity_gazetteer_match, person_alias_merge, relation_pairs, relations_filtered,
-        relation_strings,
+        relation_strings, tag_transitions, tag_words, token_tags_by_context, entity_probabilities,
     ]
 }
 
@@ -176,7 +200,22 @@ def oracles() -> dict[str, str]:
     )
     gazetteer_sql = f"""SELECT doc_id, g.type, begin, "end", text
         FROM ({spans_sql('documents', KEYS, 'text', WORD_RX)}) AS s JOIN {terms} AS g ON s.text = g.term"""
+    # Every token of every sentence with its gazetteer tag.
+    tagged = f"""SELECT doc_id, sent_id, pos, token, coalesce(g.type, 'O') AS tag
+        FROM ({sentence_words}) AS w LEFT JOIN {terms} AS g ON w.token = g.term"""
+    form = "regexp_replace(token, '\\p{Lu}+', 'A', 'g')"
+    for pattern, kind in (("[^\\p{N}\\P{L}A]+", "a"), ("\\p{N}+", "0"), ("[^Aa0]+", "-")):
+        form = f"regexp_replace({form}, '{pattern}', '{kind}', 'g')"
+    ending = "CASE WHEN length(token) > 4 AND regexp_matches(token, '^\\p{L}+$') THEN ' ' || lower(right(token, 2)) ELSE '' END"
     return {
+        "tag_transitions": f"""WITH t AS (SELECT tag, lag(tag, 1, '|') OVER s AS before, lead(pos) OVER s IS NULL AS last
+              FROM ({tagged}) AS t WINDOW s AS (PARTITION BY doc_id, sent_id ORDER BY pos))
+            SELECT tag, next, count(*) AS n FROM (SELECT before AS tag, tag AS next FROM t
+              UNION ALL SELECT tag, '|' FROM t WHERE last) AS steps GROUP BY ALL""",
+        "tag_words": f"""WITH t AS MATERIALIZED (SELECT tag, token FROM ({tagged}) AS t),
+            f AS (SELECT token FROM t GROUP BY token HAVING count(*) >= greatest(2, {tagger.WORD_SHARE} * (SELECT count(*) FROM t)))
+            SELECT tag, CASE WHEN token IN (SELECT token FROM f) THEN token ELSE ' ' || {form} || {ending} END AS word,
+              count(*) AS n FROM t GROUP BY ALL""",
         "token_tags": f"""SELECT doc_id, pos, token, coalesce(g.type, 'O') AS tag
             FROM ({words}) AS w LEFT JOIN {terms} AS g ON w.token = g.term""",
         "entity_merge_adjacent": mention,

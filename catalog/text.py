@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from articlemill.functions import text as X
 from articlemill.functions.stopwords import SHORT_STOPWORDS, english_stopwords, stopword_table
 from articlemill.operators import counts as C
-from articlemill.operators import spans
+from articlemill.operators import learned_tokens as L
+from articlemill.operators import sentence_ends, spans
 from articlemill.operators.lookup import keyed_join
 from articlemill.plans.articles import topic_dictionary_of_texts
 from articlemill.sources.tables import read_table, spread
@@ -132,6 +133,35 @@ def text_edges(spark, sf):
     )
 
 
+def is_taught():
+    """A tenth of the documents, by a seeded hash; the others are held out."""
+    return F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(10)) == 0
+
+
+def split_model(spark, sf):
+    taught = documents(spark, sf).select("doc_id", "text").filter(is_taught())
+    return L.fit_splits(taught, "text", X.word_tokens(F.col("text")))
+
+
+def tokens_learned(spark, sf):
+    """Learns from the rule tokeniser's tokens, then tokenises every document."""
+    return L.learned_tokens(documents(spark, sf), ["doc_id"], "text", split_model(spark, sf))
+
+
+def tokens_learned_agreement(spark, sf):
+    held = documents(spark, sf).select("doc_id", "text").filter(~is_taught())
+    return L.agreement(held, "text", X.word_tokens(F.col("text")), split_model(spark, sf))
+
+
+def word_end_statistics(spark, sf):
+    return sentence_ends.word_statistics(spread_documents(spark, sf), "text")
+
+
+def sentences_learned(spark, sf):
+    model = sentence_ends.fit_ends(word_end_statistics(spark, sf))
+    return sentence_ends.learned_sentences(documents(spark, sf), ["doc_id"], "text", model)
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -139,6 +169,7 @@ QUERIES = {
         tokens_unique, tokens_no_stop, tokens_case_preserving, token_spans, sentences,
         token_slices, token_ngrams, words_per_doc, article_count, merge_article_counts,
         dictionary_lines, base64_pair, text_edges,
+        tokens_learned, tokens_learned_agreement, word_end_statistics, sentences_learned,
     ]
 }
 
@@ -182,6 +213,15 @@ def oracles() -> dict[str, str]:
         "dictionary_lines": f"SELECT '(' || word || ',' || cnt || ')' AS value FROM ({top})",
         "base64_pair": """SELECT c_custkey, base64(encode(c_name || ':' || c_mktsegment)) AS login
             FROM customer""",
+        "word_end_statistics": """WITH h AS (SELECT unnest(regexp_extract_all(text, '[\\p{L}\\p{N}][\\p{L}\\p{N}.''-]*')) AS hit FROM documents),
+            f AS (SELECT hit, rtrim(hit, '.''-') AS form FROM h),
+            w AS (SELECT lower(form) AS word, count(*) AS n, count(*) FILTER (right(hit, 1) = '.' AND right(hit, 2) <> '..') AS k,
+              count(*) FILTER (left(form, 1) = lower(left(form, 1))) AS low FROM f GROUP BY lower(form)),
+            r AS (SELECT greatest(1e-9, least(1 - 1e-9, sum(k) / sum(n))) AS rate FROM w),
+            s AS (SELECT *, length(word) - length(replace(word, '.', '')) AS inside FROM w, r)
+            SELECT word, n, k AS n_period, low AS n_lower, CASE WHEN k > 0 THEN round(
+              2 * (k * (ln(0.99) - ln(rate)) + (n - k) * (ln(0.01) - ln(1 - rate)))
+              * exp(-(length(word) - inside)) * (inside + 1) * pow((length(word) - inside)::DOUBLE, (k - n)::DOUBLE), 6) + 0.0 END AS score FROM s""",
         "text_edges": """SELECT doc_id, length(text) AS n, left(text, 10) AS first_chars,
             reverse(right(text, 5)) AS last_chars FROM documents""",
     }
