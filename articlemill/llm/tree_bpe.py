@@ -5,9 +5,8 @@ leave alone rests on one fact. Call tokens x, y compatible if the merges of the
 again. A sequence of tokens is the encoding of its bytes exactly if all neighbours in it are compatible:
 up to the first merge across a boundary the merges run inside each token as they would alone, so that
 merge would happen in the two tokens beside the boundary as well. A join therefore encodes anew a
-window of tokens around the boundary, and is done on a side as soon as the window's outermost token comes
-out as it was, since that token's neighbour outside was compatible with it before; until then the window
-doubles on that side. The join is associative, with the empty sequence as its unit.
+window of tokens around the boundary, and is done on a side as soon as the window's outermost token is compatible with
+its neighbour outside, as it surely is if it came out as it was; until then the window doubles on that side. The join is associative, with the empty sequence as its unit.
 
 Decoding concatenates the bytes of tokens up the same kind of tree.
 """
@@ -29,8 +28,10 @@ from pyspark.sql import DataFrame
 from articlemill.llm.bpe import PRETOKEN, Encoder, unpack
 from articlemill.llm.common import extended, pieces, texts_of
 
-#: Words and pairs of tokens that a worker remembers; others are worked out each time they are met.
+#: Words that a worker remembers, and pairs of tokens, and parts of words; others are worked out each time they are met.
 WORD_MEMO, PAIR_MEMO = 300_000, 300_000
+#: Bytes of a part of a word up to which it is worth remembering.
+SHORT = 8
 #: Ids that are decoded in one leaf of the tree.
 LEAF_IDS = 4096
 
@@ -51,6 +52,7 @@ class Tree:
         self.ranks, self.memo = ranks, memo
         self.token = {rank: token for token, rank in ranks.items()}
         self.pairs: dict[tuple[int, int], list[int]] = {}
+        self.parts: dict[bytes, list[int]] = {}
         self.own: dict[int, bool] = {}
 
     def encode(self, match: bytes) -> list[int]:
@@ -60,10 +62,14 @@ class Tree:
 
     def reduced(self, part: bytes) -> list[int]:
         """What the merges make of `part`: the joined encodings of its halves."""
+        known = self.parts.get(part)
+        if known is not None:
+            return known
         token = self.ranks.get(part)
-        if token is not None and self.is_own(token):
-            return [token]
-        return self.halves(part) if part else []
+        found = [token] if token is not None and self.is_own(token) else self.halves(part) if part else []
+        if len(part) <= SHORT and len(self.parts) < self.memo:
+            self.parts[part] = found
+        return found
 
     def halves(self, part: bytes) -> list[int]:
         middle = len(part) // 2
@@ -82,14 +88,18 @@ class Tree:
         if not left or not right:
             return left or right
         a = b = 1
+        new = self.pair(left[-1], right[0])
         while True:
-            new = self.pair(left[-1], right[0]) if a == b == 1 else self.window([*left[-a:], *right[:b]])
-            more_left = new[0] != left[-a] and a < len(left)
-            more_right = new[-1] != right[b - 1] and b < len(right)
+            more_left = a < len(left) and new[0] != left[-a] and not self.compatible(left[-a - 1], new[0])
+            more_right = b < len(right) and new[-1] != right[b - 1] and not self.compatible(new[-1], right[b])
             if not more_left and not more_right:
                 return left[:-a] + new + right[b:]
             a = min(2 * a, len(left)) if more_left else a
             b = min(2 * b, len(right)) if more_right else b
+            new = self.window([*left[-a:], *right[:b]])
+
+    def compatible(self, left: int, right: int) -> bool:
+        return len(new := self.pair(left, right)) == 2 and new[0] == left
 
     def pair(self, left: int, right: int) -> list[int]:
         found = self.pairs.get((left, right))
