@@ -9,6 +9,7 @@ from articlemill.functions.text import raw_tokens, tokens
 from articlemill.operators import classify as K
 from articlemill.operators import counts as C
 from articlemill.operators import matrix as M
+from articlemill.operators import newton
 from articlemill.sources.tables import read_table, spread
 from catalog.sql import ALPHA, english_list, token_rows
 
@@ -136,14 +137,13 @@ def labelled_matrix(spark, sf):
 def multinomial_gradient(spark, sf):
     """What is left of the loss's gradient after the fit, which is nothing but rounding."""
     rows = labelled_matrix(spark, sf)
-    found = K.multinomial_gradient(K.train_multinomial(rows, "label"), rows, "label")
-    return found.withColumn("gradient", F.round("gradient", 4) + 0.0)
+    found = newton.loss_gradient(newton.fit_multinomial(rows, "label"), rows, "label")
+    return found.withColumn("gradient", F.round("gradient", 6) + 0.0)
 
 
 def multinomial_predict(spark, sf):
     rows = labelled_matrix(spark, sf)
-    model = K.train_multinomial(rows, "label")
-    found = K.predict_multinomial(model, rows, ["row_id", "label"])
+    found = newton.predictions(newton.fit_multinomial(rows, "label"), rows, ["row_id", "label"])
     return found.withColumn("prob", F.round("prob", 4))
 
 
