@@ -6,8 +6,11 @@ These cover elements that do not nest in themselves. General selectors run in
 
 from __future__ import annotations
 
+import functools
 import json
 import re
+import zlib
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -70,37 +73,46 @@ def paragraphs(html: Column) -> Column:
     return F.transform(opened, lambda p: F.regexp_replace(p, "(?is)</p[ \\t\\r\\n]*>.*", ""))
 
 
-def named_references() -> Column:
-    """Names to characters, as one constant of the plan; the list is the standard library's."""
-    return F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+#: Parts of the table of names. Spark scans a map from its start, so each part is kept small.
+NAME_PARTS = 512
+
+
+@functools.cache
+def _name_table() -> str:
+    parts: list[dict[str, str]] = [{} for _ in range(NAME_PARTS)]
+    for name, char in html5.items():
+        parts[zlib.crc32(name.encode()) % NAME_PARTS][name] = char
+    return json.dumps(parts)
+
+
+def named_references() -> Callable[[Column], Column]:
+    """A lookup of names, hashed into a constant of the plan; the list is the standard library's."""
+    table = F.from_json(F.lit(_name_table()), "array<map<string,string>>")
+    return lambda name: F.element_at(F.get(table, (F.crc32(name.cast("binary")) % NAME_PARTS).cast("int")), name)
+
+
+#: Numbers 128 to 159 mean characters of an old code page where it has them.
+OLD_PAGE = "".join(bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(0x80, 0xA0))
 
 
 def numbered_reference(reference: Column) -> Column:
     digits = F.regexp_extract(reference, "([0-9A-Fa-f]+);?$", 1)
     number = F.when(reference.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
-    # Numbers 128 to 159 mean characters of an old code page where it has them.
-    old = {}
-    for code in range(0x80, 0xA0):
-        try:
-            old[code] = bytes([code]).decode("cp1252")
-        except UnicodeDecodeError:
-            old[code] = chr(code)
     char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    table = F.create_map(*[F.lit(x) for pair in old.items() for x in pair])
     last = number.bitwiseAND(F.lit(0xFFFF))
     void = number.between(1, 8) | number.between(14, 31) | number.isin(11, 127) | number.between(0xFDD0, 0xFDEF) | (last >= 0xFFFE)
     bad = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
-    return F.when(bad, "\ufffd").when(number.between(0x80, 0x9F), F.element_at(table, number.cast("int"))).when(void, "").otherwise(char)
+    return F.when(bad, "\ufffd").when(number.between(0x80, 0x9F), F.substring(F.lit(OLD_PAGE), (number - 0x7F).cast("int"), F.lit(1))).when(void, "").otherwise(char)
 
 
-def named_reference(reference: Column, names: Column) -> Column:
+def named_reference(reference: Column, names: Callable[[Column], Column]) -> Column:
     """The whole name, else the longest start of it that stands without a semicolon, else the text itself."""
     name = F.substring(reference, F.lit(2), F.length(reference))
     starts = F.transform(F.sequence(F.lit(LONGEST_OPEN), F.lit(SHORTEST), F.lit(-1)), lambda n: F.left(name, n))
-    known = F.filter(starts, lambda s: F.element_at(names, s).isNotNull() & ~s.endswith(";"))
+    known = F.filter(starts, lambda s: names(s).isNotNull() & ~s.endswith(";"))
     start = F.get(known, F.lit(0))
-    cut = F.concat(F.element_at(names, start), F.substring(name, F.length(start) + 1, F.length(name)))
-    return F.coalesce(F.element_at(names, name), cut, reference)
+    cut = F.concat(names(start), F.substring(name, F.length(start) + 1, F.length(name)))
+    return F.coalesce(names(name), cut, reference)
 
 
 def decode_entities(text: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from articlemill.functions.text import WORD_OR_MARK, word_tokens
 from articlemill.operators.lookup import keyed_join
-from articlemill.operators.spans import match_arrays, numbered_sentences, pattern_spans
+from articlemill.operators.spans import match_arrays, numbered_sentences, pattern_spans, pattern_texts
 from articlemill.sources.tables import by_document, spread
 
 NO_TAG = "O"
@@ -185,8 +185,19 @@ def _known_pattern_spans(
     text: str,
     patterns: dict[str, str] | None,
 ) -> DataFrame:
-    needs = PATTERN_NEEDS if patterns is None else None
-    return pattern_spans(docs, keys, text, patterns or ENTITY_PATTERNS, needs)
+    wanted = patterns or ENTITY_PATTERNS
+    return pattern_spans(docs, keys, text, wanted, _needs(wanted))
+
+
+def _needs(patterns: dict[str, str]) -> dict[str, str]:
+    """Characters that a match needs, for those patterns that are the known ones."""
+    return {kind: PATTERN_NEEDS[kind] for kind, pattern in patterns.items() if ENTITY_PATTERNS.get(kind) == pattern}
+
+
+def entity_texts(docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str] | None = None) -> DataFrame:
+    """Rows `(keys, type, text)` of the pattern tagger, for uses that need no offsets."""
+    wanted = patterns or ENTITY_PATTERNS
+    return pattern_texts(spread(docs.select(*keys, text), *keys), keys, text, wanted, _needs(wanted))
 
 
 def combine_ranked(spans: DataFrame, keys: list[str], rank: Column, levels: int) -> DataFrame:

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_BUCKET = 2_000_000
-#: Quantiles that the first pass takes beside the count; enough up to that many buckets.
-FIRST_CUTS = 1_000
 BROADCAST_CELLS = 200_000
 
 
@@ -26,21 +24,26 @@ def with_row_index(
 ) -> DataFrame:
     """Numbers the rows from 0 in the order of a unique numeric column, rows without key last.
 
-    Quantiles of the key cut the rows into buckets of like size, more of them for a
-    larger table; each bucket is numbered on its own, and the sizes of the buckets before
+    A table of fewer rows than a bucket takes is numbered as it is. Else quantiles of the key cut the rows into buckets of like size,
+    more of them for a larger table; each bucket is numbered on its own, and the sizes of the buckets before
     it are added. No window runs over the whole table. The cuts are constants of the
     plan, so a task that runs again places its rows alike. Rows with a null key make a bucket of
     their own, in the order of a hash of the row.
     """
     numbered = df.withColumn("_number", F.coalesce(F.col(key).cast("double"), F.lit(float("nan"))))
+    tie = F.xxhash64(*[F.col(c) for c in hashable_columns(df)])
+    n_rows = numbered.agg(F.count(F.when(~F.isnan("_number"), 1))).head()[0]
+    if n_rows < rows_per_bucket:
+        within = Window.partitionBy(F.isnan("_number")).orderBy(key, tie)
+        index = F.when(F.isnan("_number"), F.lit(n_rows)).otherwise(F.lit(0)) + F.row_number().over(within) - 1
+        return numbered.select(index.cast("bigint").alias(name), *df.columns)
     # A bucketizer wants two buckets at least.
-    edges = [float("-inf"), *(_cuts(numbered, rows_per_bucket) or [0.0]), float("inf")]
+    edges = [float("-inf"), *(_cuts(numbered, n_rows // rows_per_bucket + 1) or [0.0]), float("inf")]
     bucketizer = Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket", handleInvalid="keep")
     placed = bucketizer.transform(numbered)
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    tie = F.xxhash64(*[F.col(c) for c in hashable_columns(df)])
     within = Window.partitionBy("_bucket").orderBy(key, tie)
     ranked = placed.withColumn("_within", F.row_number().over(within) - 1)
     # One row of offsets per bucket of millions of rows.
@@ -57,22 +60,11 @@ def hashable_columns(df: DataFrame) -> list[str]:
     ]
 
 
-def _cuts(numbered: DataFrame, rows_per_bucket: int) -> list[float]:
-    """The cuts between buckets; count and quantiles come from one pass unless the table is huge."""
-
-    def quantiles(n: int):
-        number = F.when(~F.isnan("_number"), F.col("_number"))
-        return F.percentile_approx(number, [i / n for i in range(1, n)], 10 * n)
-
-    n_rows, cuts = numbered.agg(F.count("_number"), quantiles(FIRST_CUTS)).head()
-    buckets = n_rows // rows_per_bucket + 1
-    if buckets < 2 or cuts is None:
-        return []
-    if buckets > FIRST_CUTS // 10:
-        cuts = numbered.agg(quantiles(buckets)).head()[0]
-    else:
-        cuts = [cuts[i * FIRST_CUTS // buckets - 1] for i in range(1, buckets)]
-    return sorted(set(cuts or []))
+def _cuts(numbered: DataFrame, buckets: int) -> list[float]:
+    """The cuts between so many buckets of like size."""
+    number = F.when(~F.isnan("_number"), F.col("_number"))
+    wanted = [i / buckets for i in range(1, buckets)]
+    return sorted(set(numbered.agg(F.percentile_approx(number, wanted, 10 * buckets)).head()[0] or [])) if wanted else []
 
 
 def shape(matrix: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Multinomial logistic regression by Newton's method.
 
 Each step is one pass over the rows: tasks add up the loss, its gradient and its Hessian at the current coefficients, the
-sums are added by their place in one shuffle, and the driver solves for the next coefficients. What crosses the
+sums are added by their place (in a shuffle, if there are many), and the driver solves for the next coefficients. What crosses the
 network is a vector of fixed size for each task. Meant for up to MOST_PARAMETERS coefficients in all; wider
 matrices take `classify.train_multinomial`, which needs no Hessian.
 """
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from articlemill.sources.tables import scan_splits
+
 # Tasks carry this module along, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -26,6 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MOST_PARAMETERS = 4000
 #: Numbers of a sum that travel as one row.
 CHUNK = 8192
+#: Sums of all tasks up to which the driver adds them up itself.
+DRIVER_BYTES = 64 << 20
 #: A step is halved at most so often before it is taken for rounding.
 HALVINGS = 20
 
@@ -101,10 +105,13 @@ def total_sums(rows: DataFrame, width: int, classes: list[int], coefficients: np
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["chunk", "sums"])
 
     schema = "chunk bigint, sums binary"
-    found = rows.mapInArrow(per_task, schema).repartition("chunk").mapInArrow(added, schema).collect()
+    parts = rows.mapInArrow(per_task, schema)
+    splits = scan_splits(rows)
+    if splits is None or splits * size * 8 > DRIVER_BYTES:
+        parts = parts.repartition("chunk").mapInArrow(added, schema)
     total = np.zeros(size)
-    for r in found:
-        total[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.sums)
+    for r in parts.collect():
+        total[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] += np.frombuffer(r.sums)
     return total
 
 
@@ -121,14 +128,15 @@ class Objective:
         # A shift of all intercepts changes nothing; holding their sum makes the solution one.
         at = np.arange(len(coefficients)) * coefficients.shape[1] + coefficients.shape[1] - 1
         self.hessian[np.ix_(at, at)] += 1.0
-        self.shape = coefficients.shape
+        self.shape, self.regular = coefficients.shape, reg_param > 0
 
     def step(self) -> np.ndarray:
-        return np.linalg.lstsq(self.hessian, -self.gradient.ravel(), rcond=None)[0].reshape(self.shape)
+        solve = np.linalg.solve if self.regular else lambda a, b: np.linalg.lstsq(a, b, rcond=None)[0]
+        return solve(self.hessian, -self.gradient.ravel()).reshape(self.shape)
 
 
 def fit_multinomial(
-    matrix: DataFrame, label: str, features: str = "features", reg_param: float = 0.01, tolerance: float = 1e-9, max_steps: int = 50,
+    matrix: DataFrame, label: str, features: str = "features", reg_param: float = 0.01, tolerance: float = 1e-7, max_steps: int = 50,
 ) -> MultinomialModel:
     """Fits rows `(features array<double>, label)`; those with a null label, or null or missing features, do not count.
 

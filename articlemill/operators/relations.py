@@ -84,20 +84,21 @@ def relation_pairs(
     max_between = max(len(rule[1].split(" ")) for rule in wanted)
     mentions = sentence_mentions(docs, keys, text, gazetteer, max_between, bound)
     place = [*keys, "sent_id"]
-    starts = F.sequence(F.col("last") + 1, F.col("last") + 1 + max_between)
-    left = mentions.select(
-        *place, F.col("text").alias("left_text"), F.col("type").alias("left_type"),
-        F.col("first").alias("left_first"), "last", "after", F.explode(starts).alias("right_first"),
-    )
-    right = mentions.select(
-        *place, F.col("text").alias("right_text"), F.col("type").alias("right_type"), F.col("first").alias("right_first")
+    # Each mention stands at its own place (step 0) and asks at the few places behind it; both meet in a grouping that finds its
+    # rows in place, so mentions are made once.
+    step = F.col("step")
+    asked = mentions.select(*place, "type", "text", "first", "last", "after", F.explode(F.sequence(F.lit(0), F.lit(max_between + 1))).alias("step"))
+    own = F.when(step == 0, F.struct(F.col("text").alias("right_text"), F.col("type").alias("right_type")))
+    asking = F.when(step > 0, F.struct(F.col("text").alias("left_text"), F.col("type").alias("left_type"), F.col("first").alias("left_first"), F.slice("after", F.lit(1), step - 1).alias("gap")))
+    met = (
+        asked.groupBy(*place, F.when(step == 0, F.col("first")).otherwise(F.col("last") + step).alias("right_first"))
+        .agg(F.collect_list(own).alias("own"), F.collect_list(asking).alias("asking"))
+        .filter((F.size("own") > 0) & (F.size("asking") > 0))
     )
-    gap = F.col("right_first") - F.col("last") - 1
-    between = F.lower(F.array_join(F.slice("after", F.lit(1), gap), " "))
-    pairs = left.join(right, [*place, "right_first"]).select(
-        *place, "left_text", "left_type", "right_text", "right_type", "left_first", "right_first",
-        between.alias("between"),
-    )
+    lefts = met.select(*place, "right_first", "own", F.inline("asking"))
+    pairs = lefts.select(
+        *place, "left_text", "left_type", F.inline("own"), "left_first", "right_first", F.lower(F.array_join("gap", " ")).alias("between"),
+    ).select(*place, "left_text", "left_type", "right_text", "right_type", "left_first", "right_first", "between")
     table = rule_table(docs.sparkSession, wanted)
     by_rule = ["left_type", "between", "right_type"]
     typed = keyed_join(pairs, table, by_rule, "left", bound=len(wanted))

@@ -76,6 +76,24 @@ def pattern_spans(
     for these is cheaper than to search for the pattern. Texts that can hold no match of
     any pattern leave first.
     """
+    matched = pattern_matches(docs, keys, text, patterns, needs)
+    arrays = located(matched, F.col("_found"), F.col("_between")).select(*keys, "type", "_hits", "_ends")
+    rows = arrays.select(*keys, "type", F.explode(F.arrays_zip("_hits", "_ends")).alias("_span"))
+    hit, end = F.col("_span._hits"), F.col("_span._ends")
+    return rows.select(*keys, "type", (end - F.length(hit)).alias("begin"), end.alias("end"), hit.alias("text"))
+
+
+def pattern_texts(
+    docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str], needs: dict[str, str] | None = None
+) -> DataFrame:
+    """Rows `(keys, type, text)` as `pattern_spans`, without offsets and the Python that finds them."""
+    return pattern_matches(docs, keys, text, patterns, needs, between=False).select(*keys, "type", F.explode("_found").alias("text"))
+
+
+def pattern_matches(
+    docs: DataFrame, keys: list[str], text: str, patterns: dict[str, str], needs: dict[str, str] | None, between: bool = True
+) -> DataFrame:
+    """Rows `(keys, type, _found, _between)`: the matches of each pattern in a text that has any, and the gaps if asked for."""
     possible = {}
     for kind, pattern in patterns.items():
         chars = (needs or {}).get(kind)
@@ -86,15 +104,11 @@ def pattern_spans(
         F.struct(
             F.lit(kind).alias("type"),
             F.when(possible[kind], F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("_found"),
-            F.when(possible[kind], F.split(text, pattern)).alias("_between"),
+            *([F.when(possible[kind], F.split(text, pattern)).alias("_between")] if between else []),
         )
         for kind, pattern in patterns.items()
     ])
-    matched = candidates.select(*keys, F.inline(each)).filter(F.size("_found") > 0)
-    arrays = located(matched, F.col("_found"), F.col("_between")).select(*keys, "type", "_hits", "_ends")
-    rows = arrays.select(*keys, "type", F.explode(F.arrays_zip("_hits", "_ends")).alias("_span"))
-    hit, end = F.col("_span._hits"), F.col("_span._ends")
-    return rows.select(*keys, "type", (end - F.length(hit)).alias("begin"), end.alias("end"), hit.alias("text"))
+    return candidates.select(*keys, F.inline(each)).filter(F.size("_found") > 0)
 
 
 def token_spans(docs: DataFrame, keys: list[str], text: str) -> DataFrame:

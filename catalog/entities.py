@@ -75,15 +75,16 @@ def entity_ensemble(spark, sf):
     docs = documents(spark, sf)
     patterns = E.entity_spans(docs, KEYS, "text").drop("prob")
     names = E.gazetteer_spans(docs, KEYS, "text", gazetteer(spark, sf), bound=TERMS)
-    numbers = F.col("type") == "NUMBER"
-    return E.combine_taggers([names, patterns.filter(~numbers), patterns.filter(numbers)], KEYS)
+    tagger_rank = F.when(F.col("named"), 0).when(F.col("type") != "NUMBER", 1).otherwise(2)
+    spans = names.withColumn("named", F.lit(True)).unionByName(patterns.withColumn("named", F.lit(False)))
+    return E.combine_ranked(spans, KEYS, tagger_rank, 3).drop("named")
 
 
 def entity_compile(spark, sf):
     """Names from the gazetteer, times and amounts of money from patterns."""
     articles = read_table(spark, sf, "documents")
-    patterns = E.entity_spans(documents(spark, sf), KEYS, "text", {k: E.ENTITY_PATTERNS[k] for k in ("TIME", "MONEY")})
-    found = mentions(spark, sf).select("doc_id", "type", "text").unionByName(patterns.select("doc_id", "type", "text"))
+    patterns = E.entity_texts(documents(spark, sf), KEYS, "text", {k: E.ENTITY_PATTERNS[k] for k in ("TIME", "MONEY")})
+    found = mentions(spark, sf).select("doc_id", "type", "text").unionByName(patterns)
     compiled = E.compiled_articles(articles, KEYS, "source", found)
     return E.compiled_json(compiled, KEYS)
 

@@ -33,7 +33,7 @@ def rows(n, seed=1, p=3, k=3):
 def test_coefficients_agree_with_a_plain_fit(spark):
     data = rows(200)
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    model = newton.fit_multinomial(df, "label", reg_param=0.02)
+    model = newton.fit_multinomial(df, "label", reg_param=0.02, tolerance=1e-9)
     assert model.classes == [0, 2, 4] and model.gradient < 1e-9 and model.steps < 20
     expected = plain_fit(np.array([r[1] for r in data]), np.array([r[2] // 2 for r in data]), 3, 0.02)
     assert model.coefficients[:, :-1] == pytest.approx(expected[:, :-1], abs=1e-7)
@@ -51,7 +51,8 @@ def test_sums_in_many_chunks_and_tasks_are_the_same(spark, monkeypatch):
     df = spark.createDataFrame(rows(90), SCHEMA)
     one = newton.fit_multinomial(df.coalesce(1), "label")
     monkeypatch.setattr(newton, "CHUNK", 7)
-    assert newton.fit_multinomial(df.repartition(9), "label").coefficients == pytest.approx(one.coefficients, abs=1e-9)
+    monkeypatch.setattr(newton, "DRIVER_BYTES", 0)
+    assert newton.fit_multinomial(df.repartition(9), "label").coefficients == pytest.approx(one.coefficients, abs=1e-6)
 
 
 def test_separable_and_unscaled_rows_converge(spark):
