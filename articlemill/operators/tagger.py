@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from articlemill.functions.text import word_tokens
 from articlemill.operators.lookup import keyed_join
-from articlemill.operators.spans import numbered_sentences
+from articlemill.operators.spans import numbered_sentences, sentence_spans
 
 # Tasks carry this module along, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -220,6 +220,16 @@ def tags_by_context(docs: DataFrame, keys: list[str], text: str, model: TagModel
     return each.select(*keys, "sent_id", "pos", F.col("_t.tokens").alias("token"), F.col("_t.tags").alias("tag"))
 
 
+def token_offsets(text: str, tokens: list[str]) -> list[int]:
+    """Where each token starts in its text."""
+    starts, at = [], 0
+    for token in tokens:
+        at = text.index(token, at)
+        starts.append(at)
+        at += len(token)
+    return starts
+
+
 def runs_of(tags: np.ndarray, none: int) -> list[tuple[int, int, int]]:
     """`(tag, first, last)` of each run of one tag but `none`."""
     edges = np.flatnonzero(np.diff(tags, prepend=-1, append=-1))
@@ -227,32 +237,35 @@ def runs_of(tags: np.ndarray, none: int) -> list[tuple[int, int, int]]:
 
 
 def entities_with_probability(docs: DataFrame, keys: list[str], text: str, model: TagModel) -> DataFrame:
-    """Rows `(keys, sent_id, type, first, last, text, prob, joint)`: runs of one tag in the likeliest sequences.
+    """Rows `(keys, type, begin, end, text, prob, joint)`: runs of one tag in the likeliest sequences, with their place in the text.
 
     `prob` is the mean over a run's tokens of the probability of its tag there, `joint` the probability that all of
     them bear it; both are over all sequences of tags of the sentence. No shuffle.
     """
-    rows = tokenised(docs, keys, text)
-    more = "type string, first int, last int, text string, prob double, joint double"
-    schema = T.StructType([*rows.schema.fields[:-2], *T.StructType.fromDDL(more).fields])
+    sentences = sentence_spans(docs, keys, text).select(*keys, F.col("begin").alias("_from"), F.col("text").alias("_whole"), word_tokens(F.col("text")).alias("tokens"))
+    rows = sentences.filter(F.size("tokens") > 0).withColumn("shapes", F.transform("tokens", shape))
+    more = "type string, begin int, end int, text string, prob double, joint double"
+    schema = T.StructType([*rows.schema.fields[: len(keys)], *T.StructType.fromDDL(more).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none, steps = model.tags.index(NO_TAG), model.steps
         for batch in batches:
-            tokens, shapes = batch.column(len(batch.columns) - 2).to_pylist(), batch.column(len(batch.columns) - 1).to_pylist()
+            at, whole_texts, tokens, shapes = (c.to_pylist() for c in batch.columns[len(keys) :])
             found: list[tuple] = []
             for some, block in blocks(tokens, shapes, model):
                 ahead, behind, chances, whole = block.marginals()
                 for i, tags in enumerate(block.best()):
-                    for tag, a, b in runs_of(tags, none):
+                    runs, row = runs_of(tags, none), some.start + i
+                    starts = token_offsets(whole_texts[row], tokens[row]) if runs else []
+                    for tag, a, b in runs:
                         each = np.exp(ahead[i][a : b + 1, tag] + behind[i][a : b + 1, tag] - whole[i])
                         joint = ahead[i][a, tag] + (b - a) * steps[tag, tag] + chances[i][a + 1 : b + 1, tag].sum() + behind[i][b, tag] - whole[i]
-                        words = " ".join(tokens[some.start + i][a : b + 1])
-                        found.append((some.start + i, model.tags[tag], a, b, words, float(min(each.mean(), 1)), float(min(np.exp(joint), 1))))
+                        begin, end = starts[a], starts[b] + len(tokens[row][b])
+                        prob, joint = (float(min(p, 1)) for p in (each.mean(), np.exp(joint)))
+                        found.append((row, model.tags[tag], at[row] + begin, at[row] + end, whole_texts[row][begin:end], prob, joint))
             columns = list(zip(*found, strict=True)) or [[]] * 7
-            at = pa.array(columns[0], pa.int64())
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64()]
-            kept = [c.take(at) for c in batch.columns[:-2]]
+            kept = [c.take(pa.array(columns[0], pa.int64())) for c in batch.columns[: len(keys)]]
             yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, k) for c, k in zip(columns[1:], kinds, strict=True)]], [f.name for f in schema])
 
     return rows.mapInArrow(run, schema)

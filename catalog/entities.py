@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from articlemill.functions.text import word_tokens
 from articlemill.operators import entities as E
 from articlemill.operators import relations as R
-from articlemill.operators import tagger
+from articlemill.operators import span_sets, tagger, term_trie
 from articlemill.sources.tables import read_table, spread
 from catalog.sql import WORD_RX, pattern_spans_sql, spans_sql, token_rows
 
@@ -74,12 +74,38 @@ def entity_ensemble(spark, sf):
     """Three taggers: known names, then patterns of fixed form, then bare numbers."""
     docs = documents(spark, sf)
     patterns = E.entity_spans(docs, KEYS, "text").drop("prob")
-    names = E.gazetteer_spans(docs, KEYS, "text", gazetteer(spark, sf), bound=TERMS)
+    names = term_trie.term_spans(docs, KEYS, "text", gazetteer(spark, sf), bound=TERMS)
     tagger_rank = F.when(F.col("named"), 0).when(F.col("type") != "NUMBER", 1).otherwise(2)
     spans = names.withColumn("named", F.lit(True)).unionByName(patterns.withColumn("named", F.lit(False)))
     return E.combine_ranked(spans, KEYS, tagger_rank, 3).drop("named")
 
 
+def phrases(spark, sf):
+    """Terms of one to eight words, cut from the benchmark's items: each first word, and growing starts of each item."""
+    words = read_table(spark, sf, "benchmark").select("item_id", word_tokens(F.col("text")).alias("w"))
+    starts = words.select("item_id", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("n"), "w").filter(F.size("w") >= F.col("n"))
+    kind = F.element_at(F.array(*[F.lit(t) for t in TYPES]), (F.col("n") % len(TYPES) + 1).cast("int"))
+    return starts.select(F.array_join(F.slice("w", F.lit(1), F.col("n")), " ").alias("term"), kind.alias("type")).distinct()
+
+
+def phrase_spans(spark, sf):
+    """Where phrases of several words stand, the longest from the left."""
+    return term_trie.term_spans(documents(spark, sf), KEYS, "text", phrases(spark, sf))
+
+
+def entity_ensemble_heaviest(spark, sf):
+    """Three taggers whose spans weigh their length times their probability; the heaviest set without overlap."""
+    docs, length = documents(spark, sf), F.col("end") - F.col("begin")
+    known = gazetteer(spark, sf)
+    model = tagger.fit_tagger(tagger.tagged_sentences(docs, KEYS, "text", known, bound=TERMS), KEYS)
+    taggers = [
+        (E.entity_spans(docs, KEYS, "text"), length),
+        (term_trie.term_spans(docs, KEYS, "text", known, bound=TERMS), length),
+        (tagger.entities_with_probability(docs, KEYS, "text", model), length * F.col("prob")),
+    ]
+    return span_sets.combine_by_weight(taggers, KEYS)
+
+
 def entity_compile(spark, sf):
     """Names from the gazetteer, times and amounts of money from patterns."""
     articles = read_table(spark, sf, "documents")
@@ -144,6 +170,7 @@ QUERIES = {
         entities_by_type, entity_per_sentence, entity_ensemble, entity_compile,
         entity_gazetteer_match, person_alias_merge, relation_pairs, relations_filtered,
         relation_strings, tag_transitions, tag_words, token_tags_by_context, entity_probabilities,
+        phrase_spans, entity_ensemble_heaviest,
     ]
 }
 
@@ -208,7 +235,24 @@ def oracles() -> dict[str, str]:
     for pattern, kind in (("[^\\p{N}\\P{L}A]+", "a"), ("\\p{N}+", "0"), ("[^Aa0]+", "-")):
         form = f"regexp_replace({form}, '{pattern}', '{kind}', 'g')"
     ending = "CASE WHEN length(token) > 4 AND regexp_matches(token, '^\\p{L}+$') THEN ' ' || lower(right(token, 2)) ELSE '' END"
+    # Longest phrases at each place; from the first of a document on, the next that begins where one ends or later.
+    phrase = f"""WITH RECURSIVE p AS (SELECT DISTINCT array_to_string(w[1:n], ' ') AS term,
+          CASE n % 3 WHEN 0 THEN '{TYPES[0]}' WHEN 1 THEN '{TYPES[1]}' ELSE '{TYPES[2]}' END AS type
+          FROM (SELECT regexp_extract_all(text, '{WORD_RX}') AS w FROM benchmark) AS b, range(1, 9) AS r(n) WHERE len(w) >= n),
+        d AS (SELECT doc_id, regexp_extract_all(text, '{WORD_RX}') AS w FROM documents),
+        g AS (SELECT doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') AS term
+          FROM d, unnest(range(1, len(w) + 1)) AS t(s), range(1, 9) AS r(n) WHERE s + n - 1 <= len(w)),
+        m AS MATERIALIZED (SELECT doc_id, s, max(n) AS n FROM g WHERE term IN (SELECT term FROM p) GROUP BY doc_id, s),
+        x AS MATERIALIZED (SELECT a.doc_id, a.s, a.n, b.s AS next_s FROM m AS a ASOF LEFT JOIN m AS b ON a.doc_id = b.doc_id AND a.s + a.n <= b.s),
+        f AS (SELECT doc_id, min(s) AS s FROM m GROUP BY doc_id UNION ALL
+          SELECT x.doc_id, x.next_s FROM f JOIN x ON f.doc_id = x.doc_id AND f.s = x.s WHERE x.next_s IS NOT NULL),
+        t AS MATERIALIZED ({spans_sql('documents', KEYS, 'text', WORD_RX)})
+        SELECT f.doc_id, p.type, a.begin, b."end", substring(o.text, a.begin + 1, b."end" - a.begin) AS text
+        FROM f JOIN m USING (doc_id, s) JOIN d USING (doc_id) JOIN documents AS o USING (doc_id)
+          JOIN p ON p.term = array_to_string(w[s : s + n - 1], ' ')
+          JOIN t AS a ON a.doc_id = f.doc_id AND a.pos = s - 1 JOIN t AS b ON b.doc_id = f.doc_id AND b.pos = s + n - 2"""
     return {
+        "phrase_spans": phrase,
         "tag_transitions": f"""WITH t AS (SELECT tag, lag(tag, 1, '|') OVER s AS before, lead(pos) OVER s IS NULL AS last
               FROM ({tagged}) AS t WINDOW s AS (PARTITION BY doc_id, sent_id ORDER BY pos))
             SELECT tag, next, count(*) AS n FROM (SELECT before AS tag, tag AS next FROM t

@@ -1,12 +1,15 @@
 import itertools
 import math
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from articlemill.functions.text import SENTENCE
 from articlemill.operators import tagger as G
 
+X = re.compile(SENTENCE)
 COUNTS = [("|", "O", 6), ("|", "P", 2), ("O", "O", 9), ("O", "P", 4), ("O", "L", 1), ("P", "P", 3), ("P", "O", 5), ("L", "O", 2), ("O", "|", 4), ("P", "|", 3), ("L", "|", 1)]
 WORDS = [("O", "the", 9), ("O", "saw", 3), ("P", "Ann", 4), ("P", " Aa", 5), ("L", " Aa", 2), ("O", " a", 7), ("O", " -", 3), ("P", "saw", 1)]
 TEXTS = {1: "the Ann saw the. Bob saw Ann Lee", 2: "", 3: None, 4: " \n", 5: "Xy the? Saw! the the the Zed", 6: "7 -- été"}
@@ -45,7 +48,7 @@ def test_tags_and_probabilities_agree_with_all_paths(spark, monkeypatch, piece):
     for r in G.tags_by_context(df, ["doc_id"], "text", model).orderBy("doc_id", "sent_id", "pos").collect():
         tags.setdefault((r.doc_id, r.sent_id), []).append((r.token, r.tag))
     for r in G.entities_with_probability(df, ["doc_id"], "text", model).collect():
-        spans[r.doc_id, r.sent_id, r.first, r.last] = r
+        spans[r.doc_id, r.begin, r.end] = r
     expected = sentences(spark, df)
     assert tags.keys() == expected.keys() and len(expected) == 6
     seen = 0
@@ -56,10 +59,12 @@ def test_tags_and_probabilities_agree_with_all_paths(spark, monkeypatch, piece):
         assert [w for w, _ in tags[key]] == tokens and paths[found] == pytest.approx(best)
         whole = math.log(sum(map(math.exp, paths.values())))
         for tag, first, last in G.runs_of(np.array(found), model.tags.index("O")):
-            r, seen = spans[(*key, first, last)], seen + 1
+            before = len("".join(X.findall(TEXTS[key[0]])[: key[1]]))
+            starts = G.token_offsets(X.findall(TEXTS[key[0]])[key[1]], tokens)
+            r, seen = spans[key[0], before + starts[first], before + starts[last] + len(tokens[last])], seen + 1
             both = [math.exp(s - whole) for p, s in paths.items() if set(p[first : last + 1]) == {tag}]
             each = [sum(math.exp(s - whole) for p, s in paths.items() if p[i] == tag) for i in range(first, last + 1)]
-            assert (r.type, r.text) == (model.tags[tag], " ".join(tokens[first : last + 1]))
+            assert r.type == model.tags[tag] and r.text == TEXTS[key[0]][r.begin : r.end]
             assert r.joint == pytest.approx(sum(both)) and r.prob == pytest.approx(sum(each) / len(each))
             assert 0 < r.joint <= 1 and r.joint <= r.prob + 1e-12
     assert seen == len(spans) > 2
