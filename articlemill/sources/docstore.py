@@ -63,5 +63,19 @@ def append_collection(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def inferred_schema(df: DataFrame, column: str) -> str:
+    """The schema of stored JSON objects as DDL, from all rows: the union of their fields, with types that hold every value.
+
+    One pass that sends a schema per task; `printSchema` shows it once applied. Null and broken texts do not count; with no object the schema is empty.
+    """
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
+    return found.replace("OBJECT<", "STRUCT<") if found and found.startswith("OBJECT<") else "STRUCT<>"
+
+
+def with_inferred_fields(df: DataFrame, column: str, name: str = "doc") -> DataFrame:
+    """Adds the objects of a JSON column as structs of the schema that all of them fit; null where a text is no such object."""
+    return df.withColumn(name, F.from_json(column, inferred_schema(df, column)))
+
+
 def render_header(title: Column) -> Column:
     return F.concat(F.lit("<h1>"), title, F.lit("</h1>"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from articlemill.operators.classify import training_union as union_of
 from articlemill.schemas import DEFAULT_LABEL, NEGATIVE_LABEL
 from articlemill.sources import docstore as D
 from articlemill.sources.articles import decode_tolerant, good_articles, rejected_articles
+from articlemill.sources.collections import read_collection, save_by_id
+from articlemill.sources.key_view import read_range, write_view
+from articlemill.sources.scratch import scratch_path
 from articlemill.sources.tables import read_table, spread
 from articlemill.sources.textfiles import page_frontier as frontier
 from articlemill.sources.textfiles import training_line
@@ -122,12 +126,37 @@ def training_union(spark, sf):
     return union_of(positive, docs.filter("toxic = 0").select("doc_id", "text"))
 
 
+def saved_by_id(spark, sf):
+    """All customers saved, then those in debt saved again under another segment, into the same collection."""
+    customers = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    path = scratch_path(spark, "customers")
+    save_by_id(customers, path, "c_custkey")
+    save_by_id(customers.filter("c_acctbal < 0").withColumn("c_mktsegment", F.lit("DEBT")), path, "c_custkey")
+    return read_collection(spark, path)
+
+
+def view_key_range(spark, sf):
+    """The view of orders by date, written once, of which some months are read."""
+    orders = read_table(spark, sf, "orders").select("o_orderdate", "o_orderkey", "o_orderpriority")
+    path = scratch_path(spark, "orders_by_date")
+    write_view(orders, path, "o_orderdate", files=16)
+    return read_range(spark, path, "o_orderdate", datetime(1995, 1, 1), datetime(1995, 3, 31))
+
+
+def inferred_documents(spark, sf):
+    """Stored JSON whose schema nobody gave: the properties of events, and pages as objects."""
+    pages = read_table(spark, sf, "pages").select(F.col("page_id").alias("id"), F.to_json(F.struct("url", F.length("html").alias("size"))).alias("json"))
+    events = read_table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("props").alias("json"))
+    return D.with_inferred_fields(events.unionByName(pages), "json").select("id", "doc.*")
+
+
 QUERIES = {
     f.__name__: f
     for f in [
         json_articles_tolerant, json_articles_rejected, docstore_all, docstore_metadata,
         view_by_kind, view_time_title, lookup_by_ids, scan_filter_type, select_sort_limit,
         rekey_project, page_frontier, doccat_train_lines, training_union,
+        saved_by_id, view_key_range, inferred_documents,
     ]
 }
 
@@ -156,6 +185,12 @@ def oracles() -> dict[str, str]:
         "select_sort_limit": """SELECT p_partkey, p_name, p_brand FROM part
             ORDER BY p_name DESC, p_partkey LIMIT 10""",
         "rekey_project": "SELECT 'my_' || c_custkey AS _id, c_name AS name FROM customer",
+        "saved_by_id": """SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment, c_acctbal
+            FROM customer""",
+        "view_key_range": """SELECT o_orderdate, o_orderkey, o_orderpriority FROM orders
+            WHERE o_orderdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1995-03-31'""",
+        "inferred_documents": """SELECT event_id AS id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS BIGINT) AS size, CAST(NULL AS VARCHAR) AS url
+            FROM events UNION ALL SELECT page_id, NULL, CAST(length(html) AS BIGINT), url FROM pages""",
         "page_frontier": f"""SELECT i AS page_index, '{BASE_URL}' || i AS url
             FROM (SELECT unnest(range(0, n + 1, 20)) AS i FROM
               (SELECT count(*) AS n FROM pages) AS c) AS r""",
