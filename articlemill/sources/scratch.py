@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -20,3 +20,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="articlemill-"))
         folder = spark.sparkContext.getCheckpointDir()
     return f"{folder.rstrip('/')}/articlemill/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to a scratch path and read again: later jobs start from the files, also after the loss of an executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

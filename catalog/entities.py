@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from articlemill.functions.text import word_tokens
 from articlemill.operators import entities as E
 from articlemill.operators import relations as R
-from articlemill.operators import span_sets, tagger, term_trie
+from articlemill.operators import relation_patterns, span_sets, tagger, term_trie
+from articlemill.sources.scratch import written
 from articlemill.sources.tables import read_table, spread
 from catalog.sql import WORD_RX, pattern_spans_sql, spans_sql, token_rows
 
@@ -163,6 +164,23 @@ def relation_strings(spark, sf):
     return relations_filtered(spark, sf).select("doc_id", "sent_id", text.alias("relation"))
 
 
+LEARNING_ROUNDS = 3
+
+
+def learned_relations(spark, sf):
+    """Learns from the pairs that the fixed rules type, over all pairs near each other."""
+    pairs = written(relation_pairs(spark, sf), "pairs")
+    return relation_patterns.learn_relations(pairs, R.related(pairs), rounds=LEARNING_ROUNDS)
+
+
+def relations_learned(spark, sf):
+    return learned_relations(spark, sf).relations
+
+
+def relation_patterns_learned(spark, sf):
+    return learned_relations(spark, sf).patterns
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -170,7 +188,7 @@ QUERIES = {
         entities_by_type, entity_per_sentence, entity_ensemble, entity_compile,
         entity_gazetteer_match, person_alias_merge, relation_pairs, relations_filtered,
         relation_strings, tag_transitions, tag_words, token_tags_by_context, entity_probabilities,
-        phrase_spans, entity_ensemble_heaviest,
+        phrase_spans, entity_ensemble_heaviest, relations_learned, relation_patterns_learned,
     ]
 }
 
@@ -235,6 +253,21 @@ def oracles() -> dict[str, str]:
     for pattern, kind in (("[^\\p{N}\\P{L}A]+", "a"), ("\\p{N}+", "0"), ("[^Aa0]+", "-")):
         form = f"regexp_replace({form}, '{pattern}', '{kind}', 'g')"
     ending = "CASE WHEN length(token) > 4 AND regexp_matches(token, '^\\p{L}+$') THEN ' ' || lower(right(token, 2)) ELSE '' END"
+    # Each round from its definition: patterns of what is known, then all pairs that occur in them.
+    least, share = relation_patterns.SUPPORT, relation_patterns.CONFIDENCE
+    learned = f"""WITH r AS MATERIALIZED ({pairs}),
+        o AS MATERIALIZED (SELECT DISTINCT left_text, right_text, left_type, between, right_type FROM r),
+        k0 AS MATERIALIZED (SELECT DISTINCT left_text, right_text, rel_type, CAST(1 AS DOUBLE) AS confidence FROM r WHERE rel_type <> '_NR')"""
+    for i in range(LEARNING_ROUNDS):
+        learned += f""",
+        p{i} AS MATERIALIZED (SELECT left_type, between, right_type, rel_type, count(*) FILTER (hit) AS support,
+            count(*) FILTER (hit) / count(*) AS confidence
+          FROM (SELECT o.*, l.rel_type, EXISTS (SELECT 1 FROM k{i} AS k WHERE k.left_text = o.left_text AND k.right_text = o.right_text
+              AND k.rel_type = l.rel_type) AS hit
+            FROM o JOIN (SELECT DISTINCT left_text, rel_type FROM k{i}) AS l ON l.left_text = o.left_text) AS c
+          GROUP BY ALL HAVING support >= {least} AND count(*) FILTER (hit) / count(*) >= {share}),
+        k{i + 1} AS MATERIALIZED (SELECT left_text, right_text, rel_type, max(confidence) AS confidence FROM (SELECT * FROM k{i}
+          UNION ALL SELECT left_text, right_text, rel_type, confidence FROM o JOIN p{i} USING (left_type, between, right_type)) AS u GROUP BY ALL)"""
     # Longest phrases at each place; from the first of a document on, the next that begins where one ends or later.
     phrase = f"""WITH RECURSIVE p AS (SELECT DISTINCT array_to_string(w[1:n], ' ') AS term,
           CASE n % 3 WHEN 0 THEN '{TYPES[0]}' WHEN 1 THEN '{TYPES[1]}' ELSE '{TYPES[2]}' END AS type
@@ -253,6 +286,8 @@ def oracles() -> dict[str, str]:
           JOIN t AS a ON a.doc_id = f.doc_id AND a.pos = s - 1 JOIN t AS b ON b.doc_id = f.doc_id AND b.pos = s + n - 2"""
     return {
         "phrase_spans": phrase,
+        "relations_learned": f"{learned} SELECT * FROM k{LEARNING_ROUNDS}",
+        "relation_patterns_learned": f"{learned} SELECT * FROM p{LEARNING_ROUNDS - 1}",
         "tag_transitions": f"""WITH t AS (SELECT tag, lag(tag, 1, '|') OVER s AS before, lead(pos) OVER s IS NULL AS last
               FROM ({tagged}) AS t WINDOW s AS (PARTITION BY doc_id, sent_id ORDER BY pos))
             SELECT tag, next, count(*) AS n FROM (SELECT before AS tag, tag AS next FROM t
