@@ -9,371 +9,319 @@ With c the counts of a model, N its tokens, V the vocabulary,
 A token's loss difference is log P_background - log P_target: negative where the target
 model expects it more. A document's score is the mean over its tokens, less is closer to the target.
 
-All counts are taken over all texts, and every pair counts. The vocabulary grows with the target, so only its frequent words
-(a fixed share of the target's tokens, so a bounded number) are sent to the tasks, which number them. Other words are named by
-63-bit hashes, below zero, and pairs with such a word by 62-bit hashes; what these words count is found in
-tables. A filter of bounded size tells the tasks most words that are unknown; those that it lets pass turn out
-to be unknown in the tables. A token's difference is that of its word alone plus a correction.
-A pair of sent words that is met once needs no row: its correction follows from the counts of its words, and is what a
-task assumes; a second filter spares most such pairs the join. Rows hold what must be added to that, `v0` outside the target and `v1` in it, and for other
-pairs all there is. Rows of frequent pairs (a fixed share of all tokens) are sent to the tasks; tokens of rarer pairs meet
-theirs in a join on the pair. Both ways give the same sum.
+All counts are taken over all texts, and every word and every pair counts, however rare. Nothing that grows with the texts goes to the driver or to
+every task. Texts are read once, into blocks of documents whose words are numbered within the block. A block then asks for
+what it needs and no more: the totals of its own words, and, once it knows which of them are unknown, the totals of its own pairs. What it asks for are sorted
+hashes with the block's counts, cut into buckets by hash; a bucket adds up what all blocks sent it and answers each block in the order it
+asked, so an answer needs no keys. A question and its answer are a row for each block and bucket, packed to a few bytes for each word or pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from articlemill.llm.common import bytes_of, pieces, stored
+from articlemill.llm.common import bytes_of, discarded, pieces, stored
 from articlemill.llm.minhash import LOWER
 
 #: Share of the target's tokens that a word needs, besides two occurrences, to be in the vocabulary.
 WORD_SHARE = 0.0
-#: Share of the target's tokens from which on a word is sent to the tasks: at most 1,000,000 words.
-SENT_SHARE = 1e-6
-#: Share of all tokens from which on a pair's row is sent to the tasks: at most 2,000,000 pairs.
-PAIR_SHARE = 5e-7
 #: Times that a model must have met a pair to count it.
 LEAST = 1
-#: Rows up to which a table of words is broadcast to the pairs; beyond, it is joined by shuffle.
-BROADCAST_ROWS = 500_000
-#: Rows of pairs that a task holds before it adds them up, and passes them on if more than half remain.
-HELD_PAIRS = 300_000
-#: Blocks of 64 bits of the filters of words and of pairs, at most.
-WORD_BLOCKS, PAIR_BLOCKS = 1 << 20, 1 << 21
-#: Hashes of pairs are below it; counts of single words stand between it and 0.
-HASHED = -(1 << 62)
+#: Tokens from which on a block is closed.
+BLOCK_TOKENS = 1 << 21
+#: Words or pairs that all blocks together ask a bucket for, about.
+BUCKET_KEYS = 1 << 20
 BIGRAM_WEIGHT = 0.6
-WORD_SPLIT = r"[ \t\n\x0B\f\r]+"
+#: Hashes of the unknown word and of the start of a text.
+UNKNOWN, START = 0, 1
 
 
-def scrambled(numbers: np.ndarray) -> np.ndarray:
-    x = numbers.view(np.uint64)
-    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        x = (x ^ (x >> np.uint64(33))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(33))
-
+def packed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """Numbers from 0 on, as planes of bytes without the empty ones, compressed; of ascending numbers the steps."""
+    numbers = values.astype(np.uint64)
+    if ascending:
+        numbers = np.diff(numbers, prepend=np.uint64(0))
+    width = (int(numbers.max(initial=0)).bit_length() + 7) // 8
+    planes = numbers.view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + len(numbers).to_bytes(8, "little") + zlib.compress(planes.tobytes(), 1)
 
-def places(numbers: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """The block of each number, and its four bits there."""
-    x = scrambled(numbers)
-    mask = np.zeros_like(x)
-    for shift in (0, 6, 12, 18):
-        mask |= np.uint64(1) << ((x >> np.uint64(shift)) & np.uint64(63))
-    return ((x >> np.uint64(24)) % np.uint64(blocks)).astype(np.int64), mask.view(np.int64)
 
+def unpacked(data: bytes, ascending: bool = False) -> np.ndarray:
+    width, count = data[0], int.from_bytes(data[1:9], "little")
+    planes = np.zeros((count, 8), np.uint8)
+    if width:
+        planes[:, :width] = np.frombuffer(zlib.decompress(data[9:]), np.uint8).reshape(width, count).T
+    numbers = planes.reshape(-1).view(np.uint64)
+    return np.cumsum(numbers, dtype=np.uint64) if ascending else numbers
 
-def bits_of(table: DataFrame, blocks: int) -> np.ndarray:
-    """A filter of the one column of numbers of `table`, of at most `blocks` blocks of 64 bits: it passes all of them, and few others unless they are many."""
-    blocks = min(blocks, max(1, table.count() // 4))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in places(batch.column(0).to_numpy(), blocks)], ["block", "bits"])
+def several(arrays: list[np.ndarray]) -> bytes:
+    return packed(np.concatenate(arrays))
 
-    found = table.mapInArrow(run, "block bigint, bits bigint").groupBy("block").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(blocks, np.int64)
-    bits[found.column("block").to_numpy()] = found.column("bits").to_numpy()
-    return bits
 
-
-def may_have(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    at, mask = places(numbers, len(bits))
-    return (bits[at] & mask) == mask
+def parted(data: bytes, count: int) -> list[np.ndarray]:
+    return [a.astype(np.int64) for a in np.split(unpacked(data), count)]
 
 
 def word_hash(word: bytes) -> int:
-    """A number below zero."""
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True) | -(1 << 63)
-
-
-class Words(dict):
-    """Sent words to their numbers, others to hashes."""
+    return max(int.from_bytes(blake2b(word, digest_size=8).digest(), "little"), START + 1)
 
-    def __missing__(self, word: bytes) -> int:
-        return word_hash(word)
 
-
-def frequent_words(docs: DataFrame, text: str, is_target: str, word_share: float, sent_share: float) -> tuple[dict[bytes, int], np.ndarray, float]:
-    """Numbers from 1 on of the words of the vocabulary that have `sent_share` of the target's tokens, a filter of its other words, and the count that it asks for."""
-    lowered = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = docs.filter(F.col(is_target)).select(F.explode(F.split(lowered, WORD_SPLIT)).alias("word")).filter("word <> ''")
-    counted = stored(words.groupBy("word").count(), "words")
-    total = counted.agg(F.sum("count")).first()[0] or 0
-    floor = max(2.0, word_share * total)
-    rows = counted.filter(F.col("count") >= max(floor, sent_share * total)).select("word").collect()
-    others = counted.filter((F.col("count") >= floor) & (F.col("count") < sent_share * total)).select("word")
+def mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A hash of two hashes."""
+    x = first * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(factor) + second
+    return x ^ (x >> np.uint64(29))
+
+
+class Block:
+    """Documents with their tokens as numbers of words, and the words' hashes in ascending order."""
+
+    def __init__(self, sizes: np.ndarray, flags: np.ndarray, tokens: np.ndarray, hashes: np.ndarray):
+        self.sizes, self.flags, self.tokens, self.hashes = sizes.astype(np.int64), flags.astype(bool), tokens.astype(np.int64), hashes
+        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.chosen = self.flags[self.owner]
+
+    def counted(self, numbers: np.ndarray, size: int) -> list[np.ndarray]:
+        """How often each number stands at the tokens, in all documents and in the target's."""
+        return [np.bincount(some, minlength=size) for some in (numbers, numbers[self.chosen])]
+
+    def word_counts(self) -> list[np.ndarray]:
+        """Of each word, as a word and as a history, in all documents and in the target's."""
+        size, solid = len(self.hashes), self.sizes > 0
+        last = self.tokens[np.cumsum(self.sizes)[solid] - 1]
+        ends = [np.bincount(some, minlength=size) for some in (last, last[self.flags[solid]])]
+        words = self.counted(self.tokens, size)
+        return [*words, words[0] - ends[0], words[1] - ends[1]]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each pair, in the order of its hash: history, word, hash; then the pair's number at each token. The start is the number after the last word."""
+        base = len(self.hashes) + 1
+        before = np.roll(self.tokens, 1)
+        before[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = base - 1
+        codes, at = np.unique(before * base + self.tokens, return_inverse=True)
+        history, word = codes // base, codes % base
+        both = np.append(self.hashes, np.uint64(START))
+        keys = mixed(both[history], both[word])
+        order = np.argsort(keys, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        return history[order], word[order], keys[order], place[at]
+
+
+def blocks_of(docs: DataFrame, key: str, text: str, is_target: str) -> DataFrame:
+    """A row for each block. Only its first columns are read for the sums over all blocks."""
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(F.col(is_target), F.lit(False)).alias("flag"))
+    sums = "block bigint, n bigint, n_target bigint, starts bigint, starts_target bigint, n_words bigint"
+    schema = T.StructType([*T.StructType.fromDDL(sums).fields, T.StructField("keys", T.ArrayType(rows.schema["key"].dataType)),
+                           *T.StructType.fromDDL("sizes binary, flags binary, tokens binary, words binary, totals binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(map(word_hash, bytes_of(batch, "word")), pa.int64())], ["id"])
-
-    passed = bits_of(others.mapInArrow(run, "id bigint"), WORD_BLOCKS)
-    return {word: i + 1 for i, word in enumerate(sorted(r.word.encode() for r in rows))}, passed, floor
+        task, made = TaskContext.get().partitionId(), 0
+        keys: list[pa.Array] = []
+        numbers: dict[bytes, int] = {}
+        tokens: list[np.ndarray] = []
+        flags: list[bool] = []
+
+        def block() -> pa.RecordBatch:
+            hashes = np.fromiter(map(word_hash, numbers), np.uint64, len(numbers))
+            order = np.argsort(hashes, kind="stable")
+            place = np.empty_like(order)
+            place[order] = np.arange(len(order))
+            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+            marked = np.array(flags, bool)
+            whole = place[np.concatenate([*tokens, np.empty(0, np.int32)])] if len(order) else np.empty(0, np.int64)
+            own = pa.concat_arrays(keys)
+            columns = [(task << 24) + made, sizes.sum(), sizes[marked].sum(), (sizes > 0).sum(), (sizes[marked] > 0).sum(), len(order)]
+            blobs = [packed(sizes), packed(marked), packed(whole), packed(hashes[order], True), None]
+            return pa.RecordBatch.from_arrays(
+                [*[pa.array([int(c)], pa.int64()) for c in columns], pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), *[pa.array([b], pa.binary()) for b in blobs]],
+                [f.name for f in schema],
+            )
 
+        held = 0
+        for piece in pieces(batches):
+            keys.append(piece.column(0))
+            flags += piece.column(2).to_pylist()
+            for t in bytes_of(piece):
+                words = t.translate(LOWER).split() if t else []
+                tokens.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words)))
+                held += len(words)
+            if held >= BLOCK_TOKENS:
+                yield block()
+                keys, tokens, flags, held, made = [], [], [], 0, made + 1
+                numbers.clear()
+        if keys:
+            yield block()
 
-def tokens_of(text: bytes | None, number) -> np.ndarray:
-    words = text.translate(LOWER).split() if text else []
-    return np.fromiter(map(number, words), np.int64, len(words))
+    return rows.mapInArrow(run, schema)
 
 
-def numbered(texts: list[bytes | None], number, passed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All tokens of the texts, 0 where the filter says that a word is unknown, and the number of tokens of each text."""
-    each = [tokens_of(t, number) for t in texts]
-    tokens = np.concatenate([*each, np.empty(0, np.int64)])
-    at = np.flatnonzero(tokens < 0)
-    tokens[at[~may_have(passed, tokens[at])]] = 0
-    return tokens, np.array([len(t) for t in each], np.int64)
+def read_block(row: dict) -> Block:
+    return Block(unpacked(row["sizes"]), unpacked(row["flags"]), unpacked(row["tokens"]), unpacked(row["words"], True))
 
 
-def histories_of(tokens: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
-    """The token before each; the first of a text follows the start, which is number base - 1."""
-    before = np.roll(tokens, 1)
-    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = base - 1
-    return before
+QUESTION = "bucket bigint, block bigint, keys binary, counts binary"
+#: Besides the answer, once for each bucket: how many words are known, and the counts of all others.
+ANSWER = "bucket bigint, block bigint, answer binary, known bigint, n bigint, n_target bigint, h bigint, h_target bigint"
 
 
-def pairs_of(h: np.ndarray, w: np.ndarray, base: int) -> np.ndarray:
-    """Pairs of sent words packed, others hashed to numbers below HASHED."""
-    x, y = h.view(np.uint64), w.view(np.uint64)
-    for factor in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
-        x = (x ^ (x >> np.uint64(31))) * np.uint64(factor) + y
-    mixed = (x ^ (x >> np.uint64(32))) & np.uint64((1 << 62) - 1)
-    return np.where((h >= 0) & (w >= 0), h * base + w, mixed.view(np.int64) + 2 * HASHED)
+def asked(blocks: DataFrame, buckets: int, what: Callable[[Block], tuple[np.ndarray, list[np.ndarray]]]) -> DataFrame:
+    """The questions of each block: ascending hashes and the counts beside them, by bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, counts = what(read_block(row))
+                bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                edges = np.flatnonzero(np.diff(bucket)) + 1
+                for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)], strict=True):
+                    if b > a:
+                        parts = [pa.array([int(bucket[a])], pa.int64()), pa.array([row["block"]], pa.int64()), pa.array([packed(keys[a:b], True)]), pa.array([several([c[a:b] for c in counts])])]
+                        yield pa.RecordBatch.from_arrays(parts, ["bucket", "block", "keys", "counts"])
+
+    return blocks.select("block", "sizes", "flags", "tokens", "words").mapInArrow(run, QUESTION)
+
+
+def answered(questions: DataFrame, counts: int, floor: float | None = None) -> DataFrame:
+    """The totals of what each block asked for. With a `floor`, words with fewer occurrences in the target are summed as unknown."""
+    def answers(rows: list[tuple[int, bytes, bytes]], bucket: int) -> Iterator[pa.RecordBatch]:
+        keys = [unpacked(k, True) for _, k, _ in rows]
+        ends = np.cumsum([len(k) for k in keys])
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        each = [parted(c, counts) for *_, c in rows]
+        totals = [np.bincount(at, np.concatenate([e[i] for e in each]), len(distinct)).astype(np.int64) for i in range(counts)]
+        summary: list = [None] * 5
+        if floor is not None:
+            known = totals[1] >= floor
+            summary = [int(known.sum()), *[int(t[~known].sum()) for t in totals]]
+        for i, (block, *_) in enumerate(rows):
+            some = at[ends[i] - len(keys[i]) : ends[i]]
+            row = [bucket, block, several([t[some] for t in totals]), *(summary if i == 0 else [None] * 5)]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
+
+    names = [part.split()[0] for part in ANSWER.split(", ")]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        now = None
+        for batch in batches:
+            for bucket, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if bucket != now and held:
+                    yield from answers(held, now)
+                    held = []
+                now = bucket
+                held.append(tuple(row))
+        if held:
+            yield from answers(held, now)
 
-def pair_counts(docs: DataFrame, text: str, is_target: str, words: dict[bytes, int], passed: np.ndarray) -> DataFrame:
-    """`(pair, h, w, n, n_target)` over all texts, with the words of hashed pairs.
+    return questions.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(run, ANSWER)
 
-    From -1 down, pairs count sent words: -1 - w, and histories: -1 - base - h. Tasks add up what they read, as far as they hold it.
-    """
-    base = len(words) + 2
-    sent = docs.sparkSession.sparkContext.broadcast((words, passed))
-    names = ["pair", "h", "w", "n", "n_target"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, known = Words(sent.value[0]).__getitem__, sent.value[1]
-        singles = np.zeros((2, 2 * base), np.int64)
-        held: list[list[np.ndarray]] = []
+def with_answers(blocks: DataFrame, answers: DataFrame, counts: int, made: Callable[[dict, list[np.ndarray]], pa.RecordBatch], schema: T.StructType | str) -> DataFrame:
+    """What `made` makes of each block and the totals that it asked for, in the order of its hashes."""
+    rows = blocks.withColumn("bucket", F.lit(-1).cast("bigint")).withColumn("answer", F.lit(None).cast("binary"))
+    both = rows.unionByName(answers.select("bucket", "block", "answer"), allowMissingColumns=True)
+    placed = both.repartition("block").sortWithinPartitions("block", "bucket")
 
-        def folded() -> list[np.ndarray]:
-            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-            keys, first, at = np.unique(columns[0], return_index=True, return_inverse=True)
-            return [keys, columns[1][first], columns[2][first], *(np.bincount(at, c, len(keys)).astype(np.int64) for c in columns[3:])]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, found = None, []
 
-        def rows() -> Iterator[pa.RecordBatch]:
-            columns = folded()
-            for start in range(0, len(columns[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[start : start + 100_000]) for c in columns], names)
+        def finished() -> Iterator[pa.RecordBatch]:
+            if block is not None:
+                # Answers come a bucket at a time, each with all its counts.
+                yield made(block, [np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(counts)])
 
-        for piece in pieces(batches):
-            flags = piece.column(1).to_pylist()
-            w, sizes = numbered(bytes_of(piece), number, known)
-            if not len(w):
-                continue
-            h = histories_of(w, sizes, base)
-            chosen = np.repeat(np.array(flags, bool), sizes)
-            for row, some in ((0, slice(None)), (1, chosen)):
-                ends, starts = w[some], h[some]
-                singles[row] += np.concatenate([np.bincount(x[x >= 0], minlength=base) for x in (ends, starts)])
-            pairs, first, at = np.unique(pairs_of(h, w, base), return_index=True, return_inverse=True)
-            hashed = pairs < 0
-            n, target = (np.bincount(x, minlength=len(pairs)) for x in (at, at[chosen]))
-            held.append([pairs, np.where(hashed, h[first], 0), np.where(hashed, w[first], 0), n, target])
-            if sum(len(columns[0]) for columns in held) > HELD_PAIRS:
-                held = [folded()]
-                if len(held[0][0]) > HELD_PAIRS // 2:
-                    yield from rows()
-                    held = []
-        if held:
-            yield from rows()
-        at = np.flatnonzero(singles[0])
-        none = np.zeros_like(at)
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (-1 - at, none, none, singles[0, at], singles[1, at])], names)
-
-    rows = docs.select(F.col(text).alias("text"), F.coalesce(F.col(is_target), F.lit(False)).alias("is_target"))
-    counted = rows.mapInArrow(count, "pair bigint, h bigint, w bigint, n bigint, n_target bigint")
-    return counted.groupBy("pair").agg(F.min("h").alias("h"), F.min("w").alias("w"), F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-
-
-def other_words(hashed: DataFrame) -> DataFrame:
-    """`(id, w0, w1, h0, h1)`: counts of the words that are not sent, as words and as histories, in all texts and in the target."""
-    zero = F.lit(0).cast("bigint")
-    as_word = F.struct(F.col("w").alias("id"), F.col("n").alias("w0"), F.col("n_target").alias("w1"), zero.alias("h0"), zero.alias("h1"))
-    as_history = F.struct(F.col("h").alias("id"), zero.alias("w0"), zero.alias("w1"), F.col("n").alias("h0"), F.col("n_target").alias("h1"))
-    rows = hashed.select(F.explode(F.array(as_word, as_history)).alias("x")).select("x.*").filter("id < 0")
-    return rows.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("w0", "w1", "h0", "h1")])
-
-
-class Singles:
-    """Counts of the sent and the unknown word in both models, and what follows from counts."""
-
-    def __init__(self, rows: list, base: int, unknown: list, others: int):
-        counts = np.zeros((2, 2 * base))
-        for pair, n, n_target in rows:
-            counts[:, -1 - pair] = n, n_target
-        self.base, self.words, self.histories = base, counts[:, :base], counts[:, base:]
-        self.words[:, 0] += unknown[:2]
-        self.histories[:, 0] += unknown[2:]
-        self.others = others
-
-    def with_totals(self, totals: list) -> Singles:
-        """Of all tokens, with those of the words that are not sent."""
-        self.totals, self.tokens = np.array(totals, float), float(totals[0])
-        self.word_difference = self.differences(self.words)
-        return self
-
-    def alone(self, k: int, words: np.ndarray) -> np.ndarray:
-        return (1 - BIGRAM_WEIGHT) * (words + 1) / (self.totals[k] + self.base - 1 + self.others)
-
-    def differences(self, words: np.ndarray) -> np.ndarray:
-        return np.log(self.alone(0, words[0])) - np.log(self.alone(1, words[1]))
-
-    def corrections(self, words: np.ndarray, histories: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Of pairs with counts `n`, given the counts of their words and histories; each has a row per model."""
-        both = [np.log(self.alone(k, words[k]) + BIGRAM_WEIGHT * n[k] / np.maximum(histories[k], 1)) for k in (0, 1)]
-        return both[0] - both[1] - self.differences(words)
-
-    def assumed(self, pairs: np.ndarray, least: int, target: bool) -> np.ndarray:
-        """Corrections of packed pairs if they are met once."""
-        h, w = pairs // self.base, pairs % self.base
-        n = np.zeros((2, len(pairs))) + [[least <= 1], [least <= 1 and target]]
-        return self.corrections(self.words[:, w], self.histories[:, h], n)
-
-
-def joined(rows: DataFrame, table: DataFrame, on, how: str) -> DataFrame:
-    return rows.join(F.broadcast(table) if table.count() <= BROADCAST_ROWS else table, on, how)
-
-
-def pairs_of_others(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Hashed pairs, and packed ones with the unknown word, with the words that count for them: `h` and `w` are 0 where unknown, `n_all` and `n_all_target` are the counts of what they then are."""
-    counts = pairs.withColumn("named", F.col("w") < 0)
-    for own, columns in (("h", ("h0", "h1")), ("w", ("w0", "w1"))):
-        side = known.select(F.col("id").alias(own), *columns, F.lit(True).alias("found"))
-        counts = joined(counts, side, own, "left")
-        counts = counts.withColumn(own, F.when((F.col(own) >= 0) | F.col("found"), F.col(own)).otherwise(F.lit(0).cast("bigint"))).drop("found")
-    whole = (F.col("h") != 0) & (F.col("w") != 0)
-    sums = counts.filter(~whole).groupBy("h", "w").agg(F.sum("n").alias("n_all"), F.sum("n_target").alias("n_all_target"))
-    unknown = joined(counts.filter(~whole), stored(sums, "unknown"), ["h", "w"], "inner")
-    kept = counts.filter(whole).withColumn("n_all", F.col("n")).withColumn("n_all_target", F.col("n_target"))
-    return kept.unionByName(unknown)
-
-
-def pair_values(counted: DataFrame, known: DataFrame, singles: Singles, least: int) -> DataFrame:
-    """`(pair, n, v0, v1)` of all pairs but packed ones that are met once; in either model a pair that occurs less than `least` times counts as unseen."""
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pair, n, target = (c.to_numpy() for c in batch.columns)
-            h, w = pair // singles.base, pair % singles.base
-            n = np.array([n, target])
-            value = singles.corrections(singles.words[:, w], singles.histories[:, h], np.where(n >= least, n, 0))
-            more = [value - singles.assumed(pair, least, t) for t in (False, True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, more)], names)
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(batch.schema.names)}
-            h, w = column["h"], column["w"]
-            words, histories = (
-                np.where(x < 0, np.nan_to_num(np.array([column[a], column[b]], float)), sent[:, np.maximum(x, 0)])
-                for x, a, b, sent in ((w, "w0", "w1", singles.words), (h, "h0", "h1", singles.histories))
-            )
-            n = np.array([column["n_all"], column["n_all_target"]])
-            value = singles.corrections(words, histories, np.where(n >= least, n, 0))
-            # A task knows the word's own difference only if the word is sent.
-            value += np.where(column["named"].astype(bool), singles.differences(words), 0)
-            pair, at = column["pair"], np.flatnonzero(column["pair"] >= 0)
-            more = [value, value.copy()]
-            for t in (0, 1):
-                more[t][at] -= singles.assumed(pair[at], least, bool(t))
-            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(column["n"]), *map(pa.array, more)], names)
-
-    names = ["pair", "n", "v0", "v1"]
-    schema = "pair bigint, n bigint, v0 double, v1 double"
-    base = F.lit(singles.base)
-    h, w = F.expr(f"pair div {singles.base}"), F.col("pair") % base
-    unknown = (F.col("pair") >= 0) & ((F.col("pair") < base) | (w == 0))
-    of_sent = counted.filter((F.col("pair") >= 0) & ~unknown & (F.col("n") >= 2)).select("pair", "n", "n_target").mapInArrow(packed, schema)
-    rest = counted.filter(unknown | (F.col("pair") < HASHED))
-    for own, part in (("h", h), ("w", w)):
-        rest = rest.withColumn(own, F.when(F.col("pair") >= 0, part.cast("bigint")).otherwise(F.col(own)))
-    return of_sent.unionByName(pairs_of_others(rest, known).mapInArrow(others, schema))
+            place = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            for i, bucket in enumerate(place["bucket"].to_pylist()):
+                if bucket == -1:
+                    yield from finished()
+                    block = {name: column[i].as_py() for name, column in place.items() if name not in ("keys", "answer")}
+                    block["keys"], found = place["keys"].slice(i, 1).flatten(), []
+                else:
+                    found.append(parted(place["answer"][i].as_py(), counts))
+        yield from finished()
+
+    return placed.mapInArrow(run, schema)
+
+
+def with_known_words(blocks: DataFrame, answers: DataFrame, floor: float) -> DataFrame:
+    """Blocks whose unknown words are one word, number 0, with the totals of the others."""
+    schema = blocks.schema
+
+    def made(row: dict, totals: list[np.ndarray]) -> pa.RecordBatch:
+        known = totals[1] >= floor
+        place = np.where(known, np.cumsum(known), 0)
+        tokens = place[unpacked(row["tokens"]).astype(np.int64)] if len(known) else np.empty(0, np.int64)
+        hashes = np.append(np.uint64(UNKNOWN), unpacked(row["words"], True)[known])
+        row |= {"tokens": packed(tokens), "words": packed(hashes, True), "totals": several([t[known] for t in totals])}
+        keys = pa.ListArray.from_arrays(pa.array([0, len(row["keys"])], pa.int32()), row["keys"])
+        kinds = {"binary": pa.binary(), "bigint": pa.int64()}
+        columns = [keys if f.name == "keys" else pa.array([row[f.name]], kinds[f.dataType.simpleString()]) for f in schema]
+        return pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
+
+    return with_answers(blocks, answers, 4, made, schema)
+
+
+def pair_questions(block: Block) -> tuple[np.ndarray, list[np.ndarray]]:
+    _, _, keys, at = block.pairs()
+    return keys, block.counted(at, len(keys))
+
+
+def scored(blocks: DataFrame, answers: DataFrame, unknown: list[int], starts: list[int], tokens: list[int], vocabulary: int, least: int) -> DataFrame:
+    """`(key, n_tokens, total)` of each row: the sum of the loss differences of its tokens."""
+    schema = T.StructType([T.StructField("key", blocks.schema["keys"].dataType.elementType), *T.StructType.fromDDL("n_tokens bigint, total double").fields])
+
+    def made(row: dict, pairs: list[np.ndarray]) -> pa.RecordBatch:
+        block = read_block(row)
+        history, word, _, at = block.pairs()
+        known = parted(row["totals"], 4)
+        losses = []
+        for k in (0, 1):
+            words = np.append(unknown[k], known[k]).astype(float)
+            histories = np.concatenate([[unknown[2 + k]], known[2 + k], [starts[k]]]).astype(float)
+            n = np.where(pairs[k] >= least, pairs[k], 0)
+            alone = (1 - BIGRAM_WEIGHT) * (words + 1) / (tokens[k] + vocabulary)
+            losses.append(np.log(BIGRAM_WEIGHT * n / np.maximum(histories[history], 1) + alone[word]))
+        sums = np.bincount(block.owner, (losses[0] - losses[1])[at], len(block.sizes)).astype(float)
+        return pa.RecordBatch.from_arrays([row["keys"], pa.array(block.sizes), pa.array(sums)], ["key", "n_tokens", "total"])
+
+    return with_answers(blocks, answers, 2, made, schema)
 
 
 def score_documents(
-    docs: DataFrame, is_target: str, key: str = "doc_id", text: str = "text",
-    word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE, least: int = LEAST, sent_share: float = SENT_SHARE,
+    docs: DataFrame, is_target: str, key: str = "doc_id", text: str = "text", word_share: float = WORD_SHARE, least: int = LEAST,
 ) -> DataFrame:
     """`(key, n_tokens, score)` per document; rows of one key are one document.
 
     `is_target` names a boolean column (null: no). A text without words, or a null one, has no
-    score. With no target text every word is unknown and every score is that of the unknown word.
+    score. With no target text every word is unknown and every score is that of the unknown word. Keys may be of any type that
+    can be grouped, null among them.
     """
-    words, passed, floor = frequent_words(docs, text, is_target, word_share, sent_share)
-    base = len(words) + 2
-    counted = stored(pair_counts(docs, text, is_target, words, passed), "pairs")
-    other = stored(other_words(counted.filter(F.col("pair") < HASHED)), "other_words")
-    known = other.filter(F.col("w1") >= floor)
-    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("w0", "w1", "h0", "h1")]
-    unknown = list(other.filter(F.col("w1") < floor).agg(*sums).first())
-    rest = known.agg(*sums[:2], F.count("*")).first()
-    singles = Singles(counted.filter((F.col("pair") < 0) & (F.col("pair") > HASHED)).select("pair", "n", "n_target").collect(), base, unknown, rest[2])
-    singles.with_totals([singles.words[k].sum() + rest[k] for k in (0, 1)])
-    model = pair_values(counted, known, singles, least)
-    limit = pair_share * singles.tokens
-    frequent = model.filter(F.col("n") >= limit).select("pair", "v0", "v1").toArrow()
-    order = np.argsort(frequent.column("pair").to_numpy())
-    sent_rows = tuple(frequent.column(c).to_numpy()[order] for c in ("pair", "v0", "v1"))
-    # Packed pairs that are met once have no row, unless they have the unknown word.
-    unknown_pair = (F.col("pair") < base) | (F.col("pair") % base == 0)
-    with_row = counted.filter((F.col("pair") >= 0) & (F.col("n") < limit) & ((F.col("n") >= 2) | unknown_pair)).select("pair")
-    sent = docs.sparkSession.sparkContext.broadcast((words, passed, singles, sent_rows, bits_of(with_row, PAIR_BLOCKS)))
-
-    def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, vocabulary, counts, (pairs_known, *more), rows_known = sent.value
-        number = Words(numbers).__getitem__
-        for piece in pieces(batches):
-            w, sizes = numbered(bytes_of(piece), number, vocabulary)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            h = histories_of(w, sizes, base)
-            flags = np.repeat(np.array(piece.column(2).to_pylist(), bool), sizes)
-            sums = np.bincount(owner, np.where(w >= 0, counts.word_difference[np.maximum(w, 0)], 0), len(sizes)).astype(float)
-            distinct, at = np.unique(pairs_of(h, w, base), return_inverse=True)
-            packed = distinct >= 0
-            value = np.zeros((2, len(distinct)))
-            for t in (0, 1):
-                value[t, packed] = counts.assumed(distinct[packed], least, bool(t))
-            found = np.zeros(len(distinct), bool)
-            if len(pairs_known):
-                place = np.minimum(np.searchsorted(pairs_known, distinct), len(pairs_known) - 1)
-                found = pairs_known[place] == distinct
-                value += [np.where(found, v[place], 0) for v in more]
-            sums += np.bincount(owner, np.where(flags, value[1, at], value[0, at]), len(sizes))
-            left = (~found & (~packed | may_have(rows_known, distinct)))[at]
-            keys = piece.column(0)
-            # These numbers are of no pair's row: such rows match nothing and, unlike nulls, spread over the join's tasks.
-            yield pa.RecordBatch.from_arrays([keys, pa.array(sizes), pa.array(sums), pa.array(-1 - np.arange(len(sizes))), piece.column(2)], names)
-            owners, rare, marks = owner[left], distinct[at[left]], flags[left]
-            for start in range(0, len(owners), 100_000):
-                some = slice(start, start + 100_000)
-                none = [pa.nulls(len(owners[some]), kind) for kind in (pa.int64(), pa.float64())]
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array(owners[some])), *none, pa.array(rare[some]), pa.array(marks[some])], names)
-
-    names = ["doc", "n_tokens", "sum", "pair", "in_target"]
-    marked = F.coalesce(F.col(is_target), F.lit(False)).alias("in_target")
-    rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"), marked)
-    made = rows.mapInArrow(lookup, "doc bigint, n_tokens bigint, sum double, pair bigint, in_target boolean")
-    rare = model.filter(F.col("n") < limit).select("pair", "v0", "v1")
-    # One scan feeds both kinds of rows: those without a pair hold sums, the others meet a row or are as assumed.
-    placed = made.join(rare, "pair", "left").withColumn("more", F.when(F.col("in_target"), F.col("v1")).otherwise(F.col("v0")))
-    placed = placed.select("doc", "n_tokens", F.coalesce("sum", "more").alias("value")).filter("value IS NOT NULL")
-    scored = placed.groupBy("doc").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("value").alias("total"))
+    blocks = stored(blocks_of(docs, key, text, is_target), "blocks")
+    columns = ("n", "n_target", "starts", "starts_target", "n_words")
+    n, n_target, *starts, n_words = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in columns]).first()
+    floor = max(2.0, word_share * n_target)
+    words = stored(answered(asked(blocks, 1 + n_words // BUCKET_KEYS, lambda b: (b.hashes, b.word_counts())), 4, floor), "words")
+    known, *unknown = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("known", "n", "n_target", "h", "h_target")]).first()
+    numbered = stored(with_known_words(blocks, words, floor), "numbered")
+    discarded(blocks)
+    discarded(words)
+    answers = answered(asked(numbered, 1 + n // BUCKET_KEYS, pair_questions), 2)
+    rows = scored(numbered, answers, unknown, starts, [n, n_target], known + 1, least)
+    sums = rows.groupBy("key").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("total").alias("total"))
     score = F.when(F.col("n_tokens") > 0, F.round(F.col("total") / F.col("n_tokens"), 6))
-    return scored.select(F.col("doc").alias(key), "n_tokens", score.alias("score"))
+    found = stored(sums.select(F.col("key").alias(key), "n_tokens", score.alias("score")), "scores")
+    discarded(numbered)
+    return found

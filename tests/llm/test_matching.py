@@ -293,30 +293,32 @@ def brute_scores(texts, target, share, least):
     return {k: round(sum(log(chance(models[0], h, w)) - log(chance(models[1], h, w)) for h, w in zip(["^", *ws], ws)) / len(ws), 6) if ws else None for k, ws in cut.items()}
 
 
-@pytest.mark.parametrize("pair_share", [5e-7, 0.004, 1.0])
-def test_scores_agree_with_brute_force(spark, pair_share):
+@pytest.mark.parametrize("block_tokens", [1, 300, 1 << 21])
+def test_scores_agree_with_brute_force(spark, monkeypatch, block_tokens):
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", block_tokens)
+    monkeypatch.setattr("articlemill.llm.common.PIECE_BYTES", 500)
     texts = {k: " ".join(words(k % 7, 50, 15) + words(k, 30, 40)).replace("w1", "W1") for k in range(60)} | {70: None, 71: "", 72: "unheard of"}
     target = [k for k in range(60) if k % 7 < 2]
     docs = documents(spark, texts).withColumn("good", F.when(F.col("doc_id") < 60, F.col("doc_id") % 7 < 2))
-    found = by_key(lm_scoring.score_documents(docs, "good", word_share=0.01, pair_share=pair_share))
+    found = by_key(lm_scoring.score_documents(docs, "good", word_share=0.01))
     expected = brute_scores(texts, target, 0.01, lm_scoring.LEAST)
     assert set(found) == set(expected)
     for key, score in expected.items():
         assert found[key].score == (None if score is None else pytest.approx(score, abs=2e-6)), key
 
 
-@pytest.mark.parametrize("sent_share,rows", [(0.0, 500_000), (0.004, 500_000), (0.004, 0), (2.0, 500_000)])
-@pytest.mark.parametrize("pair_share", [5e-7, 0.002])
-def test_rare_words_and_pairs_count(spark, monkeypatch, sent_share, rows, pair_share):
-    """Each word that the target has twice is its own, and each pair counts, whether or not the word is sent."""
-    monkeypatch.setattr(lm_scoring, "BROADCAST_ROWS", rows)
-    monkeypatch.setattr(lm_scoring, "HELD_PAIRS", 500)
+@pytest.mark.parametrize("block_tokens,bucket_keys", [(1 << 21, 1 << 20), (5000, 1 << 20), (5000, 700), (1, 100)])
+def test_rare_words_and_pairs_count(spark, monkeypatch, block_tokens, bucket_keys):
+    """Each word that the target has twice is its own, and each pair counts, however documents and hashes are parted."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", block_tokens)
+    monkeypatch.setattr(lm_scoring, "BUCKET_KEYS", bucket_keys)
+    monkeypatch.setattr("articlemill.llm.common.PIECE_BYTES", 5000)
     # 300,000 tokens of one word: a word that occurs twice has far less than 1 in 100,000 of the target's.
     texts = {k: " ".join(words(k % 7, 50, 15) + words(k, 30, 400)) for k in range(60)} | {60: "tick " * 300_000, 61: "rare twin", 62: "a rare twin", 63: "rare alone"}
     texts |= {70: None, 71: "", 72: "unheard of", 73: "unheard of rare"}
     target = [k for k in texts if k < 70 and (k >= 60 or k % 7 < 2)]
     docs = documents(spark, texts).withColumn("good", F.col("doc_id").isin(target))
-    found = by_key(lm_scoring.score_documents(docs, "good", pair_share=pair_share, sent_share=sent_share))
+    found = by_key(lm_scoring.score_documents(docs, "good"))
     expected = brute_scores(texts, target, 0.0, 1)
     assert set(found) == set(expected)
     for key, score in expected.items():
@@ -329,3 +331,14 @@ def test_scores_of_odd_rows(spark):
     none = lm_scoring.score_documents(docs.withColumn("good", F.lit(None).cast("boolean")), "good").collect()
     assert len(none) == 11
     assert lm_scoring.score_documents(no_documents(spark).withColumn("good", F.lit(True)), "good").count() == 0
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")).withColumnsRenamed({"lang": "block", "source": "n_tokens"})
+    assert sorted(map(repr, {r.doc_id: r.score for r in lm_scoring.score_documents(named, "good").collect()}.values())) == sorted(repr(r.score) for r in lm_scoring.score_documents(docs, "good").collect())
+
+
+def test_numbers_survive_packing():
+    import numpy as np
+
+    for values in ([], [0], [0, 0, 0], [5, 1 << 40, 3], [(1 << 64) - 1, 0]):
+        numbers = np.array(values, np.uint64)
+        assert lm_scoring.unpacked(lm_scoring.packed(numbers)).tolist() == values
+        assert lm_scoring.unpacked(lm_scoring.packed(np.sort(numbers), True), True).tolist() == sorted(values)
