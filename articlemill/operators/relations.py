@@ -73,7 +73,18 @@ def relation_pairs(
     rules: list[tuple[str, str, str, str]] | None = None,
     bound: int | None = None,
 ) -> DataFrame:
-    """Rows `(keys, sent_id, left_text, rel_type, right_text, ...)` of mentions near each other.
+    """Rows `(keys, sent_id, left_text, rel_type, right_text, ...)` of mentions near each other, found in texts. See `pairs_of_mentions`."""
+    wanted = rules or RELATION_RULES
+    mentions = sentence_mentions(docs, keys, text, gazetteer, most_between(wanted), bound)
+    return pairs_of_mentions(mentions, keys, wanted)
+
+
+def most_between(rules: list[tuple[str, str, str, str]]) -> int:
+    return max(len(rule[1].split(" ")) for rule in rules)
+
+
+def pairs_of_mentions(mentions: DataFrame, keys: list[str], rules: list[tuple[str, str, str, str]] | None = None) -> DataFrame:
+    """The pairs of rows of `sentence_mentions`, made with the tokens that follow each as far as the longest rule.
 
     A rule names the words between two mentions, so a pair has at most as many tokens between
     as the longest rule; mentions may stand between as well. Any other pair would get `_NR`,
@@ -81,8 +92,7 @@ def relation_pairs(
     so the pairs stay linear in the mentions.
     """
     wanted = rules or RELATION_RULES
-    max_between = max(len(rule[1].split(" ")) for rule in wanted)
-    mentions = sentence_mentions(docs, keys, text, gazetteer, max_between, bound)
+    max_between = most_between(wanted)
     place = [*keys, "sent_id"]
     # Each mention stands at its own place (step 0) and asks at the few places behind it; both meet in a grouping that finds its
     # rows in place, so mentions are made once.
@@ -99,7 +109,7 @@ def relation_pairs(
     pairs = lefts.select(
         *place, "left_text", "left_type", F.inline("own"), "left_first", "right_first", F.lower(F.array_join("gap", " ")).alias("between"),
     ).select(*place, "left_text", "left_type", "right_text", "right_type", "left_first", "right_first", "between")
-    table = rule_table(docs.sparkSession, wanted)
+    table = rule_table(mentions.sparkSession, wanted)
     by_rule = ["left_type", "between", "right_type"]
     typed = keyed_join(pairs, table, by_rule, "left", bound=len(wanted))
     return typed.withColumn("rel_type", F.coalesce("rel_type", F.lit(NO_RELATION)))

@@ -8,7 +8,8 @@ from articlemill.functions.text import word_tokens
 from articlemill.operators import entities as E
 from articlemill.operators import relations as R
 from articlemill.operators import relation_patterns, span_sets, tagger, term_trie
-from articlemill.sources.scratch import written
+from articlemill.sources.saved import save_by_key
+from articlemill.sources.scratch import scratch_path, written
 from articlemill.sources.tables import read_table, spread
 from catalog.sql import WORD_RX, pattern_spans_sql, spans_sql, token_rows
 
@@ -164,6 +165,23 @@ def relation_strings(spark, sf):
     return relations_filtered(spark, sf).select("doc_id", "sent_id", text.alias("relation"))
 
 
+def saved_mentions(spark, sf):
+    """Mentions by sentence, found once and saved by document."""
+    found = R.sentence_mentions(documents(spark, sf), KEYS, "text", dense_gazetteer(spark, sf), R.most_between(R.RELATION_RULES), TERMS)
+    path = scratch_path(spark, "mentions")
+    return save_by_key(found, path.rsplit("/", 1)[1].replace("-", "_"), KEYS, path)
+
+
+def relations_of_saved_mentions(spark, sf):
+    text = R.relation_text(F.col("left_text"), F.col("rel_type"), F.col("right_text"))
+    pairs = R.related(R.pairs_of_mentions(saved_mentions(spark, sf), KEYS))
+    return pairs.select("doc_id", "sent_id", text.alias("relation"))
+
+
+def aliases_of_saved_mentions(spark, sf):
+    return E.merge_aliases(saved_mentions(spark, sf), KEYS)
+
+
 LEARNING_ROUNDS = 3
 
 
@@ -189,6 +207,7 @@ QUERIES = {
         entity_gazetteer_match, person_alias_merge, relation_pairs, relations_filtered,
         relation_strings, tag_transitions, tag_words, token_tags_by_context, entity_probabilities,
         phrase_spans, entity_ensemble_heaviest, relations_learned, relation_patterns_learned,
+        relations_of_saved_mentions, aliases_of_saved_mentions,
     ]
 }
 
@@ -236,6 +255,14 @@ def oracles() -> dict[str, str]:
         FROM q LEFT JOIN (VALUES {rules}) AS r(left_type, between, right_type, rel_type)
           ON q.left_type = r.left_type AND q.between = r.between AND q.right_type = r.right_type"""
     related = f"SELECT * FROM ({pairs}) AS found WHERE rel_type <> '_NR'"
+    relation_strings = f"""SELECT doc_id, sent_id, left_text || ' ( ' || rel_type || ' ) ' || right_text AS relation
+        FROM ({related}) AS r"""
+    aliases = """{words}n AS (SELECT doc_id, text AS name, count(*) AS cnt,
+          string_split(text, ' ')[-1] AS last_word, len(string_split(text, ' ')) AS n_words
+        FROM ({mention}) AS m WHERE type = 'PERSON' GROUP BY doc_id, text)
+        SELECT doc_id, name, cnt, CASE WHEN n_words > 1 THEN name ELSE
+          first_value(name) OVER (PARTITION BY doc_id, last_word
+            ORDER BY n_words DESC, length(name) DESC, name) END AS canonical FROM n"""
 
     def overlap(a, b):
         return f"""{a}.doc_id = {b}.doc_id AND {a}.begin < {b}."end" AND {b}.begin < {a}."end\""""
@@ -321,15 +348,10 @@ def oracles() -> dict[str, str]:
         "entity_gazetteer_match": f"""SELECT doc_id, first, text FROM ({mention}) AS m
             WHERE type = 'LOCATION' AND text IN
               (SELECT unnest(regexp_extract_all(text, '{WORD_RX}')) FROM benchmark)""",
-        "person_alias_merge": f"""WITH n AS (SELECT doc_id, text AS name, count(*) AS cnt,
-              string_split(text, ' ')[-1] AS last_word, len(string_split(text, ' ')) AS n_words
-            FROM ({mention}) AS m WHERE type = 'PERSON' GROUP BY doc_id, text)
-            SELECT doc_id, name, cnt, CASE WHEN n_words > 1 THEN name ELSE
-              first_value(name) OVER (PARTITION BY doc_id, last_word
-                ORDER BY n_words DESC, length(name) DESC, name) END AS canonical FROM n""",
+        "person_alias_merge": aliases.format(mention=mention, words="WITH "),
         "relation_pairs": pairs,
         "relations_filtered": related,
-        "relation_strings": f"""SELECT doc_id, sent_id,
-            left_text || ' ( ' || rel_type || ' ) ' || right_text AS relation
-            FROM ({related}) AS r""",
+        "relations_of_saved_mentions": relation_strings,
+        "aliases_of_saved_mentions": aliases.format(mention=merged(known("SELECT * FROM w", "doc_id, sent_id"), "doc_id, sent_id"), words=f"WITH w AS MATERIALIZED ({sentence_words}), "),
+        "relation_strings": relation_strings,
     }
