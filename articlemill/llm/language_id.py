@@ -23,7 +23,12 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.5
 STEEP = 6.0  #: of the logistic loss, per unit of mean log-ratio
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and numerals that are no decimal digits, which are none.
+MAYBE_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    return any(found[0].isalpha() for found in MAYBE_LETTER.finditer(text))
 
 
 def gram_buckets(text: str) -> np.ndarray:
@@ -72,7 +77,7 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """`(language, score, ambiguous)` of each text."""
-        named = np.array([bool(self.languages) and t is not None and LETTER.search(t) is not None for t in texts], bool)
+        named = np.array([bool(self.languages) and t is not None and has_letter(t) for t in texts], bool)
         found, scores, open_ = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         if not named.any():
             return found, scores, open_

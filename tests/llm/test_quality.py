@@ -132,6 +132,11 @@ def test_language_of_odd_rows(spark):
     assert language_id.with_language(no_documents(spark), model).count() == 0
 
 
+def test_numerals_are_no_letters():
+    assert not any(map(language_id.has_letter, ["", "½ ² ①", "Ⅷ", "12_3 !?", "٣"]))
+    assert all(map(language_id.has_letter, ["a", "½ é", "你", "ʰ", "Ⅷth"]))
+
+
 def test_code_words_differ():
     for n in (1, 2, 4, 7, 8, 30):
         words_of = language_id.code_words(n)
