@@ -314,5 +314,6 @@ def without_near_duplicates(
     if twice.isEmpty():
         return kept
     first = W.partitionBy(f"`{key}`").orderBy(F.xxhash64(F.col(text)))
-    once = listed(twice, "left_semi", kept).withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
+    place = max(docs.columns, key=len) + "_place"  # a name that no column has
+    once = listed(twice, "left_semi", kept).withColumn(place, F.row_number().over(first)).filter(F.col(f"`{place}`") == 1).drop(place)
     return listed(twice, "left_anti", kept).unionByName(once)
