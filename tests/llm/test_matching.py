@@ -164,6 +164,8 @@ def test_one_of_each_group_stays(spark):
     odd = odd_documents(spark)
     assert sorted((r.doc_id or 0) for r in minhash.without_near_duplicates(odd).collect()) == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10]
     assert minhash.near_duplicates(odd).count() == odd.count()
+    clashing = odd.withColumnsRenamed({"lang": "_place", "source": "_decided", "n_chars": "kept"})
+    assert minhash.without_near_duplicates(clashing).count() == minhash.without_near_duplicates(odd).count()
     assert minhash.without_near_duplicates(no_documents(spark)).count() == 0
 
 
@@ -197,8 +199,11 @@ def brute_contamination(text, items, width=10):
     return len(found), len(hit), sorted(ids)
 
 
-@pytest.mark.parametrize("block", [250_000, 11])
-def test_contamination_agrees_with_brute_force(spark, block):
+@pytest.mark.parametrize("blocks,memo,rows", [(1 << 20, 200_000, 200_000), (2, 0, 0)])
+def test_contamination_agrees_with_brute_force(spark, monkeypatch, blocks, memo, rows):
+    monkeypatch.setattr(decontamination, "FILTER_BLOCKS", blocks)
+    monkeypatch.setattr(decontamination, "MEMO", memo)
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", rows)
     items = [(i, " ".join(words(i, 25, 30))) for i in range(12)] + [(20, "three word item"), (21, None), (22, "..."), (None, "Keyless, item"), (3, "a second text of item three")]
     draw, texts = random.Random(8), {}
     for key in range(40):
@@ -208,14 +213,15 @@ def test_contamination_agrees_with_brute_force(spark, block):
             start = draw.randrange(max(1, len(cut) - 12))
             parts += cut[start : start + draw.choice([9, 10, 12, 30])]
         texts[key] = ", ".join(parts) if key % 2 else " ".join(parts).upper()
-    texts |= {50: None, 51: "", 52: "THREE-word; item", 53: LONG}
+    texts |= {50: None, 51: "", 52: "THREE-word; item", 53: LONG, 54: texts[1], 55: "of the of the of the of the of the of the"}
+    items += [(30, "of the of the"), (31, "the of the of the of the of the of"), (32, "of")]
     table = spark.createDataFrame(items, "item_id bigint, text string")
     docs = documents(spark, texts).withColumnRenamed("lang", "hits")
-    found = by_key(decontamination.find_contamination(docs, table, block=block))
+    found = by_key(decontamination.find_contamination(docs, table))
     for key, text in texts.items():
         r = found[key]
         assert (r.n_words, sum(h.end - h.begin for h in r.hits), r["items"]) == brute_contamination(text, items), key
-    clean = decontamination.without_contaminated(docs, table, block=block)
+    clean = decontamination.without_contaminated(docs, table)
     assert clean.schema == docs.schema
     assert sorted(by_key(clean)) == [k for k in texts if not found[k].hits]
 
