@@ -38,10 +38,13 @@ TEMPLATES = [
     ("gpl-3.0", """gnu general public license <<opt>>as published by the free software foundation<</opt>>
         <<opt>>either<</opt>> <<opt>>version<</opt>> <<opt>>v<</opt>> 3"""),
     ("gpl-or-later", """gnu general public license <<var;max=12>> or <<opt>>at your option<</opt>> any later version"""),
+    ("apache-2.0", "apache license v2"),
+    ("gpl-2.0", "gnu general public license <<opt>>version<</opt>> v2"),
+    ("gpl-3.0", "gnu general public license <<opt>>version<</opt>> v3"),
     ("cc-by-4.0", "cc by 4 0"),
     ("cc-by-nc-4.0", "cc by nc 4 0"),
     ("cc-by-sa-4.0", "cc by sa 4 0"),
-    ("mit-grant", """released under the mit license"""),
+    ("mit-reference", "released under the mit license"),
     ("mit-grant", """permission is hereby granted free of charge to any person obtaining a copy of
         <<opt>>this software and associated documentation files<</opt>> <<var;max=4>> to deal in
         <<var;max=3>> without restriction"""),
@@ -52,6 +55,50 @@ TEMPLATES = [
     ("all-rights-reserved", "copyright c <<var;max=8>> all rights reserved"),
 ]
 
+BSD_START = """redistribution and use in source and binary forms with or without modification are permitted provided that the
+    following conditions are met <<var;max=1>> redistributions of source code must retain the above copyright notice this list of
+    conditions and the following disclaimer <<var;max=1>> redistributions in binary form must reproduce the above copyright notice this
+    list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution """
+BSD_NAMES = """<<var;max=1>> neither the name of <<var;max=12>> nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission """
+BSD_END = """this software is provided by <<var;max=12>> as is and any express or implied warranties including but not limited to the
+    implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<var;max=12>> be liable for
+    any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute
+    goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in
+    contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if
+    advised of the possibility of such damage"""
+
+#: Whole notices, conditions and disclaimers included, with their names of holders and numbers of clauses left open.
+NOTICES = [
+    ("mit-notice", """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files the software to deal in the software without restriction including without limitation the rights to use copy
+        modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is
+        furnished to do so subject to the following conditions the above copyright notice and this permission notice
+        <<opt>>including the next paragraph<</opt>> shall be included in all copies or substantial portions of the software the software
+        is provided as is without warranty of any kind express or implied including but not limited to the warranties of
+        merchantability fitness for a particular purpose and noninfringement in no event shall <<var;max=12>> be liable for any claim
+        damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the
+        software or the use or other dealings in the software"""),
+    ("isc-notice", """permission to use copy modify and <<opt>>or<</opt>> distribute this software for any purpose with or without fee is
+        hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided
+        as is and <<var;max=6>> all warranties with regard to this software including all implied warranties of merchantability and
+        fitness in no event shall <<var;max=12>> be liable for any special direct indirect or consequential damages or any damages
+        whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action
+        arising out of or in connection with the use or performance of this software"""),
+    ("bsd-2-notice", BSD_START + BSD_END),
+    ("bsd-3-notice", BSD_START + BSD_NAMES + BSD_END),
+    ("apache-2.0-notice", """licensed under the apache license version 2 0 the license you may not use this file except in compliance
+        with the license you may obtain a copy of the license at <<var;max=1>> www apache org licenses license 2 0 <<opt>>txt<</opt>>
+        unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is
+        basis without warranties or conditions of any kind either express or implied see the license for the specific language governing
+        permissions and limitations under the license"""),
+    ("gpl-notice", """this program is free software you can redistribute it and or modify it under the terms of the gnu general public
+        license as published by the free software foundation either version <<var;max=1>> of the license or at your option any later
+        version this program is distributed in the hope that it will be useful but without any warranty without even the implied
+        warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details"""),
+]
+TEMPLATES += NOTICES
+
 MARK = re.compile(r"<<(opt)>>|<<(/opt)>>|<<var;max=(\d+)>>|([^<]+)")
 
 

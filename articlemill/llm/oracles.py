@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import re
+
+from articlemill.llm.license_scan import NOTICES
+
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACE_WORDS = f"list_filter(regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 PLAIN_WORDS = f"list_filter(regexp_split_to_array(coalesce({LOWER}, ''), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
 #: Labels of the license templates as expressions over words parted by single blanks.
 LICENSES = [
-    ("apache-2.0", " apache license( version)? 2 0 | you may not use( this)?( [^ ]+){0,2} except in compliance with the( apache)? license "),
-    ("gpl-2.0", " gnu general public license( as published by the free software foundation)?( either)?( version)?( v)? 2 "),
-    ("gpl-3.0", " gnu general public license( as published by the free software foundation)?( either)?( version)?( v)? 3 "),
+    ("apache-2.0", " apache license v2 | apache license( version)? 2 0 | you may not use( this)?( [^ ]+){0,2} except in compliance with the( apache)? license "),
+    ("gpl-2.0", " gnu general public license( as published by the free software foundation)?( either)?( version)?( v)? 2 | gnu general public license( version)? v2 "),
+    ("gpl-3.0", " gnu general public license( as published by the free software foundation)?( either)?( version)?( v)? 3 | gnu general public license( version)? v3 "),
     ("gpl-or-later", " gnu general public license( [^ ]+){0,12} or( at your option)? any later version "),
     ("cc-by-4.0", " cc by 4 0 "),
     ("cc-by-nc-4.0", " cc by nc 4 0 "),
     ("cc-by-sa-4.0", " cc by sa 4 0 "),
-    ("mit-grant", " released under the mit license | permission is hereby granted free of charge to any person obtaining a copy of"
+    ("mit-reference", " released under the mit license "),
+    ("mit-grant", " permission is hereby granted free of charge to any person obtaining a copy of"
      "( this software and associated documentation files)?( [^ ]+){0,4} to deal in( [^ ]+){0,3} without restriction "),
     ("bsd", " redistribution and use in source and binary forms with or without modification( are permitted)? provided that the following conditions are met "),
     ("isc", " permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted "),
@@ -23,6 +28,14 @@ LICENSES = [
 ]
 
 
+def expression(markup: str) -> str:
+    """A template's markup as an expression over words parted by single blanks."""
+    for mark, rx in (("<<opt>>", " ( "), ("<</opt>>", " )? "), (r"<<var;max=(\d+)>>", r" ( [^ ]+){0,\1} ")):
+        markup = re.sub(mark, rx, markup)
+    parts = [p if p[0] in "()[" or p.startswith(("]", "+")) else " " + p for p in re.sub(r"\( \[\^ \]\+\)", "(@)", markup).split()]
+    return "".join(parts).replace("(@)", "( [^ ]+)") + " "
+
+
 def op1() -> str:
     """A line goes if an equal one, or one that a single edit away, stands earlier. One edit leaves one half as it was."""
     one_edit = """len(list_filter(range(1, y.n + 1), lambda i: left(x.line, i - 1) = left(y.line, i - 1)
@@ -48,7 +61,7 @@ def op6() -> str:
         f"list_filter(range(1, len(w) + 1), lambda i: w[i : i + {len(p.split()) - 1}] = {p.split()!r}) AS p{k}" for k, (p, _) in enumerate(phrases)
     )
     base = ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(phrases))
-    more = ", ".join(f"CASE WHEN regexp_matches(joined, '{rx}') THEN '{label}' END" for label, rx in LICENSES)
+    more = ", ".join(f"CASE WHEN regexp_matches(joined, '{rx}') THEN '{label}' END" for label, rx in [*LICENSES, *((name, expression(text)) for name, text in NOTICES)])
     return f"""WITH a AS (SELECT doc_id, {PLAIN_WORDS} AS w FROM documents),
         b AS (SELECT doc_id, len(w) AS n_words, ' ' || array_to_string(w, ' ') || ' ' AS joined, {places} FROM a),
         c AS (SELECT doc_id, n_words, p0 || p1 || p2 || p3 AS p,

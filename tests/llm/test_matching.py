@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -249,6 +250,8 @@ associated documentation files (the "Software"), to deal in the Software without
     ("GNU General Public License, version 3, or (at your option) any later version", "gpl,gpl-3.0,gpl-or-later"),
     ("CC BY-NC 4.0 and CC-BY 4.0", "cc-by,cc-by-4.0,cc-by-nc-4.0"),
     (NOTICE, "mit-grant"), (NOTICE.replace("charge", "cost"), ""), (NOTICE.replace("the Software", "all of this very large Software"), ""),
+    ("GNU General Public License v3.0", "gpl,gpl-3.0"), ("GNU General Public License, Version v2", "gpl,gpl-2.0"), ("Apache License v2.0", "apache,apache-2.0"),
+    ("released under the MIT license, not really", "mit,mit-reference"),
     ("Copyright (c) 2020 Some One. All rights reserved.", "all-rights-reserved"),
     ("Copyright (c) " + "x " * 9 + "All rights reserved.", ""), ("apache licenses", ""), ("", ""), (None, ""),
 ])
@@ -258,6 +261,58 @@ def test_templates(text, labels):
     assert found.score == (1.0 if set(found.labels) - set(license_scan.PHRASES.values()) else 0.5 if labels else 0.0)
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def labels_of(text):
+    return license_scan.scan_text(text.encode(), license_scan.PHRASES, tuple(license_scan.TEMPLATES)).labels
+
+
+def filled(markup, optional, names):
+    """A notice with its regions filled in or left out."""
+    text = re.sub("<<opt>>(.*?)<</opt>>", r"\1" if optional else "", markup, flags=re.S)
+    return re.sub("<<var;max=(\\d+)>>", lambda m: names if int(m[1]) > 1 else "", text)
+
+
+def test_whole_notices_are_accepted_and_altered_ones_refused():
+    assert "mit-notice" in labels_of("Copyright 2020 A. Person\n\n" + MIT + "\nAnd more.")
+    assert "mit-notice" in labels_of(MIT.replace("THE AUTHORS OR COPYRIGHT HOLDERS", "Acme Inc."))
+    draw = random.Random(3)
+    for label, markup in license_scan.NOTICES:
+        for optional in (False, True):
+            words_of = filled(markup, optional, "the owners and friends").split()
+            assert label in labels_of("x " + " ".join(words_of).title() + ". y"), label
+            fixed = set(filled(markup, False, "").split())
+            for _ in range(25):
+                at = draw.randrange(len(words_of))
+                if words_of[at] not in {"the", "owners", "and", "friends", "or", "including", "next", "paragraph", "txt"} & (fixed | {"owners", "friends"}):
+                    assert label not in labels_of(" ".join([*words_of[:at], "qqq", *words_of[at + 1 :]])), (label, at)
+            assert label not in labels_of(" ".join(words_of[:-1]))
+
+
+def test_notices_as_expressions_and_as_automata_agree():
+    from articlemill.llm.oracles import expression
+
+    draw = random.Random(4)
+    for label, markup in license_scan.NOTICES:
+        for _ in range(30):
+            words_of = filled(markup, draw.random() < 0.5, " ".join(["some"] * draw.randint(0, 14))).split()
+            if draw.random() < 0.5:
+                del words_of[draw.randrange(len(words_of))]
+            text = " ".join(["a", *words_of, "b"])
+            assert (label in labels_of(text)) == bool(re.search(expression(markup), f" {text} ")), text
+
+
 def test_phrase_places_and_odd_rows(spark):
     found = license_scan.scan_text(b"CC BY CC by! apache License cc", license_scan.PHRASES, ())
     assert (found.n_words, found.n_base, found.first_word, found.last_word) == (7, 3, 0, 4)
