@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from articlemill.operators.counts import dictionary_scores, labelled_dictionary
 from articlemill.operators.lookup import keyed_join
 from articlemill.schemas import DEFAULT_LABEL, NEGATIVE_LABEL
+from articlemill.sources.scratch import written
 from articlemill.sources.tables import by_document
 
 
@@ -46,15 +47,20 @@ def classify_by_dictionary(
     return scores.withColumn("label", label)
 
 
+#: Share of all words of the training texts from which on a word is common: at most 100,000 words.
+COMMON_SHARE = 1e-5
+
+
 @dataclass(frozen=True)
 class WordModel:
     """Multinomial naive Bayes as tables.
 
-    `words` has a row `(word, counts)` per word of the training texts, `counts` by category;
-    the other fields have an entry per category.
+    `words` has a row `(word, likelihood)` per word of the training texts, an entry per category; `common` has those of
+    them that have COMMON_SHARE of all words, so a bounded number. The other fields have an entry per category.
     """
 
     words: DataFrame
+    common: DataFrame
     categories: list[float]
     priors: list[float]
     totals: list[float]
@@ -69,29 +75,46 @@ def train_document_categoriser(training: DataFrame, smoothing: float = 1.0) -> W
     categories = [float(r["category"]) for r in sizes]
     each = training.select("category", F.explode("tokens").alias("word")).filter("word <> ''")
     per_category = [F.count(F.when(F.col("category") == c, 1)).cast("double") for c in categories]
-    words = each.groupBy("word").agg(F.array(*per_category).alias("counts"))
+    # Counted once, for the sums here and for the joins of the prediction.
+    words = written(each.groupBy("word").agg(F.array(*per_category).alias("counts")), "words")
     sums = [F.coalesce(F.sum(F.get("counts", F.lit(i))), F.lit(0.0)) for i in range(len(categories))]
     row = words.agg(F.count(F.lit(1)), *sums).head()
     documents = sum(r["count"] for r in sizes) + smoothing * len(sizes)
     priors = [math.log(r["count"] + smoothing) - math.log(documents) for r in sizes]
     totals = [math.log(row[i + 1] + smoothing * row[0]) if row[0] else 0.0 for i in range(len(sizes))]
-    likelihood = F.transform("counts", lambda n: F.log(n + F.lit(smoothing)))
-    return WordModel(words.select("word", likelihood.alias("likelihood")), categories, priors, totals)
+    likelihood = F.transform("counts", lambda n: F.log(n + F.lit(smoothing))).alias("likelihood")
+    often = F.aggregate("counts", F.lit(0.0), lambda a, n: a + n) >= COMMON_SHARE * sum(row[1:])
+    return WordModel(words.select("word", likelihood), words.filter(often).select("word", likelihood), categories, priors, totals)
 
 
 def predict_categories(model: WordModel, docs: DataFrame, keys: list[str]) -> DataFrame:
     """Rows `(keys, category, prob)` for documents `(keys, tokens)`.
 
-    Words that the training texts lack are left out of the sum. Words are counted per
-    document, then meet the model in one join; a document without known words gets the priors.
+    Words that the training texts lack are left out of the sum. Words are counted per document where it is; common words meet
+    the model there, and only the others are shuffled to the rest of it. A document without known words gets the priors.
     """
     n = len(model.categories)
     placed = by_document(docs, *keys).select(*keys, F.explode_outer("tokens").alias("word"))
     words = placed.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("_n"))
-    known = keyed_join(words, model.words, ["word"], "left")
-    sums = [F.coalesce(F.sum(F.col("_n") * F.get("likelihood", F.lit(i))), F.lit(0.0)) for i in range(n)]
-    matched = F.coalesce(F.sum(F.when(F.col("likelihood").isNotNull(), F.col("_n"))), F.lit(0))
-    totals = known.groupBy(*keys).agg(matched.alias("_matched"), F.array(*sums).alias("_sums"))
+
+    def summed(rows: DataFrame, *more: Column) -> DataFrame:
+        """Adds what known words give to `_matched` and `_s0`, `_s1`, ... of each document."""
+        known = F.when(F.col("likelihood").isNotNull(), F.col("_n"))
+        sums = [F.coalesce(F.sum(F.col("_n") * F.get("likelihood", F.lit(i))), F.lit(0.0)).alias(f"_s{i}") for i in range(n)]
+        return rows.groupBy(*keys).agg(F.coalesce(F.sum(known), F.lit(0)).alias("_matched"), *sums, *more)
+
+    met = words.join(F.broadcast(model.common), "word", "left")
+    left_over = F.collect_list(F.when(F.col("likelihood").isNull() & F.col("word").isNotNull(), F.struct("word", "_n")))
+    first = summed(met, left_over.alias("_rest"))
+    sums = ["_matched", *[f"_s{i}" for i in range(n)]]
+    each = first.select(*keys, *[F.col(c).alias(f"_first{c}") for c in sums], F.posexplode_outer("_rest").alias("_pos", "_w"))
+    once = [F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col(f"_first{c}")).alias(f"_first{c}") for c in sums]
+    # Documents without other words carry a word of their own that no text has, so that they do not meet in one task.
+    word = F.coalesce("_w.word", F.concat(F.lit("\0"), F.xxhash64(*keys).cast("string")))
+    rest = each.select(*keys, *once, word.alias("word"), F.col("_w._n").alias("_n"))
+    known = keyed_join(rest, model.words, ["word"], "left")
+    both = summed(known, *[F.sum(f"_first{c}").alias(f"_first{c}") for c in sums])
+    totals = both.select(*keys, (F.col("_matched") + F.col("_first_matched")).alias("_matched"), F.array(*[F.col(c) + F.col(f"_first{c}") for c in sums[1:]]).alias("_sums"))
     scores = F.array(*[
         F.lit(model.priors[i]) + F.get("_sums", F.lit(i)) - F.col("_matched") * F.lit(model.totals[i]) for i in range(n)
     ])
