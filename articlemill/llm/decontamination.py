@@ -9,7 +9,8 @@ Documents send the places of words that may be keys, each with the words around
 key's place in its window fixes where the window would begin, and begin and length must lie within the document. The words that stand there are then
 compared with whole windows in a join on these words, so a frequent key meets only windows that are there.
 
-Tables of any size meet in joins. Tasks are sent only a filter of fixed size that most words fail which no window needs.
+Tables of any size meet in joins. Tasks are sent only a filter of fixed size that most words fail which no window needs, or the
+needed words themselves if they are few.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from articlemill.llm.common import bytes_of, extended, pieces, stored
 from articlemill.llm.plain_words import plain_words
 
 WIDTH = 10
+#: Words up to which they are sent to the tasks; of more a filter is.
+SET_WORDS = 200_000
 #: Blocks of 64 bits in a filter of words, at most: 8 MB.
 FILTER_BLOCKS = 1 << 20
 #: Words of which a task remembers whether they pass the filter.
@@ -78,12 +81,21 @@ def word_filter(words: DataFrame) -> np.ndarray:
 
 
 class Passing(dict):
-    """Whether words pass a filter, remembered up to a bound."""
+    """The words that pass a filter, used like a set; verdicts are remembered up to a bound."""
 
     def __init__(self, bits: np.ndarray):
         super().__init__()
         self.bits = bits.view(np.uint64)
 
+    def __contains__(self, word: bytes) -> bool:
+        return self[word]
+
+    def isdisjoint(self, words: list[bytes]) -> bool:
+        return not any(map(self.__getitem__, words))
+
+    def intersection(self, words: list[bytes]) -> set[bytes]:
+        return {w for w in set(words) if self[w]}
+
     def __missing__(self, word: bytes) -> bool:
         block, mask = place_in_filter(word, len(self.bits))
         passes = int(self.bits[block]) & mask == mask
@@ -92,15 +104,26 @@ class Passing(dict):
         return passes
 
 
+def sent_words(words: DataFrame) -> frozenset[bytes] | np.ndarray:
+    """What tasks are sent of the distinct words: few of them as they are, else a filter."""
+    if words.limit(SET_WORDS + 1).count() > SET_WORDS:
+        return word_filter(words)
+    return frozenset(bytes_of(words.toArrow(), "word"))
+
+
+def received(sent: frozenset[bytes] | np.ndarray) -> frozenset[bytes] | Passing:
+    return sent if isinstance(sent, frozenset) else Passing(sent)
+
+
 def document_frequency(docs: DataFrame, words: DataFrame, text: str = "text") -> DataFrame:
     """`(word, n)`: in how many documents each of the distinct words occurs. Tasks add up what they read."""
-    bits = docs.sparkSession.sparkContext.broadcast(word_filter(words))
+    sent = docs.sparkSession.sparkContext.broadcast(sent_words(words))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, passing = Counter(), Passing(bits.value)
+        total, known = Counter(), received(sent.value)
         for piece in pieces(batches):
             for t in bytes_of(piece):
-                total.update(w for w in set(plain_words(t)) if passing[w])
+                total.update(known.intersection(plain_words(t)))
         yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in total], pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -117,7 +140,7 @@ def keyed_windows(windows: DataFrame, docs: DataFrame, text: str = "text") -> Da
 
 def key_places(docs: DataFrame, keyed: DataFrame, text: str, width: int) -> DataFrame:
     """`(digest, at, start, word, around)` of each place of a word that may be a key: the digest of the text, and the words from `start` on that a window with it can reach."""
-    bits = docs.sparkSession.sparkContext.broadcast(word_filter(keyed.select("word").distinct()))
+    sent = docs.sparkSession.sparkContext.broadcast(sent_words(keyed.select("word").distinct()))
     names = ["digest", "at", "start", "word", "around"]
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -125,11 +148,11 @@ def key_places(docs: DataFrame, keyed: DataFrame, text: str, width: int) -> Data
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passing, rows = Passing(bits.value).__getitem__, []
+        known, rows = received(sent.value), []
         for piece in pieces(batches):
             for t in bytes_of(piece):
                 words = plain_words(t)
-                places = [at for at, passes in enumerate(map(passing, words)) if passes]
+                places = [] if known.isdisjoint(words) else [at for at, w in enumerate(words) if w in known]
                 digest = hashlib.md5(t).hexdigest() if places else ""
                 for at in places:
                     start = max(0, at - width + 1)

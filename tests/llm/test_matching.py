@@ -200,8 +200,9 @@ def brute_contamination(text, items, width=10):
     return len(found), len(hit), sorted(ids)
 
 
-@pytest.mark.parametrize("blocks,memo,rows", [(1 << 20, 200_000, 200_000), (2, 0, 0)])
-def test_contamination_agrees_with_brute_force(spark, monkeypatch, blocks, memo, rows):
+@pytest.mark.parametrize("few,blocks,memo,rows", [(200_000, 1, 0, 200_000), (0, 1 << 20, 200_000, 200_000), (0, 2, 0, 0)])
+def test_contamination_agrees_with_brute_force(spark, monkeypatch, few, blocks, memo, rows):
+    monkeypatch.setattr(decontamination, "SET_WORDS", few)
     monkeypatch.setattr(decontamination, "FILTER_BLOCKS", blocks)
     monkeypatch.setattr(decontamination, "MEMO", memo)
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", rows)
