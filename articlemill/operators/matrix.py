@@ -143,10 +143,13 @@ CELLS = "row_id bigint, col_id int, value double"
 
 def _dimensions(matrix: DataFrame, side: str) -> tuple[int, int]:
     size = F.size("features")
-    n, distinct, low, high, short, long = matrix.agg(
-        F.count(F.lit(1)), F.count_distinct("row_id"), F.min("row_id"), F.max("row_id"), F.min(size), F.max(size)
+    # Numbers 0 to n - 1, once each, have this sum and this sum of hashes; no row number is shuffled to find out.
+    hashes = F.sum(F.xxhash64(F.col("row_id").cast("bigint")).cast("decimal(38,0)"))
+    n, keyed, low, high, short, long, total = matrix.agg(
+        F.count(F.lit(1)), F.count("row_id"), F.min("row_id"), F.max("row_id"), F.min(size), F.max(size), hashes
     ).head()
-    if n and (distinct != n or low != 0 or high != n - 1 or short != long):
+    expected = matrix.sparkSession.range(n).select(F.col("id").alias("row_id")).agg(hashes).head()[0] if n else None
+    if n and (keyed != n or low != 0 or high != n - 1 or short != long or total != expected):
         raise ValueError(f"cannot multiply: the {side} side lacks rows or its rows differ in length")
     return n, long or 0
 
