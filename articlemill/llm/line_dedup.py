@@ -56,7 +56,7 @@ def line_classes(lines: DataFrame, min_chars: int) -> DataFrame:
     """
     long = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
     hashed = long.select(
-        F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"),
+        F.xxhash64("line").alias("h1"), F.xxhash64(F.reverse("line")).alias("h2"),
         F.struct(*PLACE).alias("first"), half_keys(F.col("line"), F.col("n"))["half_hash"].alias("halves"),
     )
     return hashed.groupBy("h1", "h2", "halves").agg(F.min("first").alias("first"))
