@@ -46,6 +46,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/articlemill/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark gives it, so that tasks that open files themselves reach the same file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet to the shared folder, and read again.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlemill.llm.bpe import Encoder, byte_letters, is_byte_level
-from articlemill.llm.common import new_folder, pieces, texts_of
+from articlemill.llm.common import new_folder, pieces, qualified, texts_of
 from articlemill.sources.tables import UNKNOWN_SIZE
 
 #: Bytes of text for which one file is made.
@@ -138,7 +138,7 @@ def write_token_files(
     it to its files. A null text is empty, a null key comes first (and stays null), rows of equal
     keys go by a hash of the text. An empty table gives a folder without documents.
     """
-    folder = folder or new_folder(df.sparkSession, "tokens")
+    folder = qualified(df.sparkSession, folder or new_folder(df.sparkSession, "tokens"))
     files, root = open_folder(folder)
     files.create_dir(root, recursive=True)
     width = id_bytes(path, end_id)
@@ -165,7 +165,7 @@ def read_token_files(spark: SparkSession, folder: str, path: str, end_id: int |
 
     The bases of the parts are prefix sums over the manifest, which has one row per file.
     """
-    width = id_bytes(path, end_id)
+    folder, width = qualified(spark, folder), id_bytes(path, end_id)
     manifest = spark.read.parquet(f"{folder}/manifest")
     rows = sorted(manifest.select("part", "n_ids").collect())
     bases = np.concatenate([[0], np.cumsum([n for _, n in rows], dtype="i8")])[:-1] if rows else []

@@ -91,6 +91,21 @@ def test_token_files(spark, library, tmp_path):
     assert len(ids) == sum(n for _, n, _ in found.values())
 
 
+def test_folders_without_a_scheme_are_those_of_spark(spark, tmp_path):
+    from articlemill.llm.common import qualified
+
+    assert qualified(spark, str(tmp_path / "x")) == f"file:{tmp_path}/x" == qualified(spark, f"file:{tmp_path}/x")
+    before = spark.conf.get("spark.hadoop.fs.defaultFS", None)
+    spark._jsparkSession.sessionState().conf().setConfString("fs.defaultFS", "viewfs://elsewhere/")
+    spark._jsparkSession.sessionState().conf().setConfString("fs.viewfs.mounttable.elsewhere.link./x", f"file://{tmp_path}")
+    try:
+        assert qualified(spark, "/x/y") == "viewfs://elsewhere/x/y"
+    finally:
+        spark._jsparkSession.sessionState().conf().unsetConf("fs.defaultFS")
+        spark._jsparkSession.sessionState().conf().unsetConf("fs.viewfs.mounttable.elsewhere.link./x")
+    assert before is None
+
+
 def test_token_files_of_odd_rows(spark, tmp_path):
     df = odd_documents(spark)
     folder = token_files.write_token_files(df, PATH, 2, str(tmp_path / "t"))
