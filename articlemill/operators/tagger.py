@@ -74,21 +74,25 @@ def word_counts(tagged: DataFrame) -> DataFrame:
 def emission_counts(words: DataFrame, share: float = WORD_SHARE, least: int = 2) -> DataFrame:
     """`(tag, word, n)`: words that have `share` of all tokens and at least `least`, and the shapes that stand for the others.
 
-    The shape of every rare word counts under the word's tag, as its word will count when it is tagged.
+    The shape of every rare word counts under the word's tag, as its word will count when it is tagged. Shapes that do not
+    have the share themselves count as one, SHAPE alone, so there are at most 2 / `share` words and shapes.
     """
     # One row: all tokens.
-    total = words.agg(F.sum("n").alias("total"))
+    total = F.broadcast(words.agg(F.sum("n").alias("total")))
     each = words.groupBy("token").agg(F.sum("n").alias("all"))
-    frequent = each.join(F.broadcast(total), F.col("all") >= F.greatest(F.lit(float(least)), F.lit(share) * F.col("total"))).select("token", F.lit(True).alias("_own"))
-    named = words.join(frequent, "token", "left")
-    word = F.when(F.col("_own"), F.col("token")).otherwise(shape(F.col("token")))
-    return named.groupBy("tag", word.alias("word")).agg(F.sum("n").alias("n"))
+    enough = F.col("all") >= F.greatest(F.lit(float(least)), F.lit(share) * F.col("total"))
+    frequent = each.join(total, enough).select("token", F.lit(True).alias("_own"))
+    named = words.join(frequent, "token", "left").withColumn("word", F.coalesce(F.when(F.col("_own"), F.col("token")), shape(F.col("token"))))
+    counts = named.groupBy("tag", "word").agg(F.sum("n").alias("n"))
+    rare = counts.groupBy("word").agg(F.sum("n").alias("all")).join(total, F.col("all") < F.lit(share) * F.col("total")).select("word", F.lit(True).alias("_rare"))
+    merged = counts.join(rare, "word", "left").withColumn("word", F.when(F.col("_rare"), F.lit(SHAPE)).otherwise(F.col("word")))
+    return merged.groupBy("tag", "word").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
 class TagModel:
     """Logarithms of probabilities. `steps[i, j]`: tag j after tag i, where the last row and column stand for the edge; `words`: a row of `chances` for each
-    word and shape, the last row for shapes never seen."""
+    word and shape, the last row for shapes never seen where there are no rare ones."""
 
     tags: list[str]
     steps: np.ndarray
@@ -113,7 +117,7 @@ def model_of(transitions: list[tuple[str, str, int]], emissions: list[tuple[str,
 
 
 def fit_tagger(tagged: DataFrame, keys: list[str], share: float = WORD_SHARE, smoothing: float = SMOOTHING) -> TagModel:
-    """Counts the model from rows `(keys, sent_id, pos, token, tag)`. Its size is bounded: `1 / share` words, and shapes."""
+    """Counts the model from rows `(keys, sent_id, pos, token, tag)`. Its size is bounded by the share."""
     transitions = [tuple(r) for r in transition_counts(tagged, keys).collect()]
     emissions = [tuple(r) for r in emission_counts(word_counts(tagged), share).collect()]
     return model_of(transitions, emissions, smoothing)
@@ -127,7 +131,7 @@ class Block:
         self.order = np.argsort(-self.sizes, kind="stable")
         self.longest = int(self.sizes.max(initial=0))
         self.alive = [int((self.sizes > k).sum()) for k in range(self.longest)]
-        words = np.full((len(rows), self.longest), len(model.words), np.int64)
+        words = np.zeros((len(rows), self.longest), np.int64)
         for i, r in enumerate(self.order):
             words[i, : self.sizes[r]] = rows[r]
         self.words, self.model, self.tags = words, model, len(model.tags)
@@ -183,7 +187,8 @@ class Block:
 
 def blocks(tokens: list[list[str]], shapes: list[list[str]], model: TagModel) -> Iterator[tuple[range, Block]]:
     """The sentences by about PIECE places each, tokens as rows of the model."""
-    number, unseen = model.words.get, len(model.words)
+    number = model.words.get
+    unseen = number(SHAPE, len(model.words))
     rows = [np.array([number(t, number(s, unseen)) for t, s in zip(ts, ss, strict=True)], np.int64) for ts, ss in zip(tokens, shapes, strict=True)]
     start, longest = 0, 0
     for i, row in enumerate(rows):

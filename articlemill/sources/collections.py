@@ -7,7 +7,7 @@ job that fails changes nothing. Saves to one collection must follow each other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKETS = 64
@@ -54,8 +54,10 @@ def read_by_ids(spark: SparkSession, path: str, id_column: str, ids: list) -> Da
 def latest(df: DataFrame, id_column: str, order: str | None) -> DataFrame:
     """One row per id: the last by `order`, or by a hash of the row where there is none or it is equal."""
     tie = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()])
-    last = Window.partitionBy(id_column).orderBy(*([F.desc(order)] if order else []), tie)
-    return df.withColumn("_last", F.row_number().over(last)).filter("_last = 1").drop("_last")
+    place = F.struct(*([F.col(order)] if order else []), tie.alias("_tie"))
+    # An aggregate, so that many rows of one id combine before their shuffle.
+    last = df.groupBy(id_column).agg(F.max_by(F.struct(*df.columns), place).alias("_last"))
+    return last.select("_last.*")
 
 
 def save_by_id(df: DataFrame, path: str, id_column: str = "_id", order: str | None = None, buckets: int = BUCKETS) -> list[int]:

@@ -320,9 +320,10 @@ def oracles() -> dict[str, str]:
             SELECT tag, next, count(*) AS n FROM (SELECT before AS tag, tag AS next FROM t
               UNION ALL SELECT tag, '|' FROM t WHERE last) AS steps GROUP BY ALL""",
         "tag_words": f"""WITH t AS MATERIALIZED (SELECT tag, token FROM ({tagged}) AS t),
-            f AS (SELECT token FROM t GROUP BY token HAVING count(*) >= greatest(2, {tagger.WORD_SHARE} * (SELECT count(*) FROM t)))
-            SELECT tag, CASE WHEN token IN (SELECT token FROM f) THEN token ELSE ' ' || {form} || {ending} END AS word,
-              count(*) AS n FROM t GROUP BY ALL""",
+            f AS (SELECT token FROM t GROUP BY token HAVING count(*) >= greatest(2, {tagger.WORD_SHARE} * (SELECT count(*) FROM t))),
+            w AS MATERIALIZED (SELECT tag, CASE WHEN token IN (SELECT token FROM f) THEN token ELSE ' ' || {form} || {ending} END AS word FROM t),
+            r AS (SELECT word FROM w GROUP BY word HAVING count(*) < {tagger.WORD_SHARE} * (SELECT count(*) FROM t))
+            SELECT tag, CASE WHEN word IN (SELECT word FROM r) THEN ' ' ELSE word END AS word, count(*) AS n FROM w GROUP BY ALL""",
         "token_tags": f"""SELECT doc_id, pos, token, coalesce(g.type, 'O') AS tag
             FROM ({words}) AS w LEFT JOIN {terms} AS g ON w.token = g.term""",
         "entity_merge_adjacent": mention,

@@ -84,6 +84,10 @@ def test_counts_and_fit(spark):
     assert steps == {("|", "PERSON"): 3, ("PERSON", "O"): 3, ("O", "O"): 6, ("O", "LOCATION"): 1, ("LOCATION", "O"): 1, ("O", "|"): 3}
     words = {(r.tag, r.word): r.n for r in G.emission_counts(G.word_counts(tagged), 0.0).collect()}
     assert words == {("PERSON", "Ann"): 2, ("PERSON", " Aa"): 1, ("O", "went"): 3, ("O", "to"): 2, ("O", "."): 3, ("LOCATION", " Aa"): 1, ("O", " a"): 1, ("O", " Aa"): 1}
+    few = {(r.tag, r.word): r.n for r in G.emission_counts(G.word_counts(tagged), 0.15).collect()}
+    assert few == {("O", "went"): 3, ("O", "."): 3, ("PERSON", " Aa"): 3, ("LOCATION", " Aa"): 1, ("O", " Aa"): 1, ("O", " a"): 3}
+    rarer = {(r.tag, r.word): r.n for r in G.emission_counts(G.word_counts(tagged), 0.3).collect()}
+    assert rarer == {("PERSON", " Aa"): 3, ("LOCATION", " Aa"): 1, ("O", " Aa"): 1, ("O", " a"): 6, ("O", " "): 3}
     model = G.fit_tagger(tagged, ["doc_id"], 0.0)
     assert np.exp(model.steps).sum(axis=1) == pytest.approx([1] * 4) and np.exp(model.chances).sum(axis=0) == pytest.approx([1] * 3)
     # A name that no list has, at the place where names stand.
