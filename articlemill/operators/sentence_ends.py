@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from articlemill.operators.batches import sliced
 from articlemill.sources.tables import spread
 
 # Tasks carry this module along, so executors need no copy of the package.
@@ -127,7 +128,7 @@ def learned_sentences(docs: DataFrame, keys: list[str], text: str, model: EndMod
     schema = T.StructType([*[docs.schema[k] for k in keys], *T.StructType.fromDDL(more).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in sliced(b, b.num_columns - 1)):
             found: list[tuple] = []
             for row, whole in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 place = 0
