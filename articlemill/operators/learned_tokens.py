@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from articlemill.operators.batches import sliced
 from articlemill.sources.tables import spread
 
 # Tasks carry this module along, so executors need no copy of the package.
@@ -142,8 +143,8 @@ def split_counts(docs: DataFrame, text: str, tokens: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, CONTEXTS), np.int64)
-        for batch in batches:
-            texts, lists = (c.to_pylist() for c in batch.columns)
+        for part in (p for batch in batches for p in sliced(batch, 0)):
+            texts, lists = (c.to_pylist() for c in part.columns)
             for some, whole in joined_pieces(texts):
                 points = code_points(whole)
                 starts, offset = np.zeros(len(points) + 1, bool), 0
@@ -209,7 +210,7 @@ def learned_tokens(docs: DataFrame, keys: list[str], text: str, model: SplitMode
     names = [*keys, "pos", "token", "prob"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for whole in batches for p in sliced(whole, whole.num_columns - 1)):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for some, whole in joined_pieces(texts):
                 starts, ends, prob = tokenised(code_points(whole), model)
