@@ -51,17 +51,11 @@ def sentence_mentions(
     ]
     zipped = F.arrays_zip(F.col("_words"), *shifts)
     following = F.array(*[F.col(f"_token.next{i}") for i in range(1, max_between + 1)])
-    rows = tokenised.select(
-        *keys, "sent_id", F.posexplode(zipped).alias("pos", "_token")
-    ).select(
-        *keys,
-        "sent_id",
-        "pos",
-        F.col("_token._words").alias("token"),
-        F.array_compact(following).alias("after"),
-    )
+    rows = tokenised.select(*keys, "sent_id", F.posexplode(zipped).alias("pos", "_token"))
     terms = gazetteer.select(F.col("term").alias("token"), F.col("type").alias("tag"))
-    known = keyed_join(rows, terms, ["token"], "inner", bound=bound)
+    # What follows is put together for known tokens alone.
+    found = keyed_join(rows.withColumn("token", F.col("_token._words")), terms, ["token"], "inner", bound=bound)
+    known = found.select(*keys, "sent_id", "pos", "token", "tag", F.array_compact(following).alias("after"))
     return merge_adjacent(known, keys + ["sent_id"], "after")
 
 
