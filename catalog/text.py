@@ -11,7 +11,7 @@ from articlemill.operators import learned_tokens as L
 from articlemill.operators import sentence_ends, spans
 from articlemill.operators.lookup import keyed_join
 from articlemill.plans.articles import topic_dictionary_of_texts
-from articlemill.sources.tables import read_table, spread
+from articlemill.sources.tables import by_document, read_table, spread
 from articlemill.sources.textfiles import dictionary_line
 from catalog.sql import (
     ALNUM, ALPHA, SENTENCE_RX, SPACE_RX, WORD_RX, english_list, short_list, spans_sql, token_rows,
@@ -95,7 +95,9 @@ def token_slices(spark, sf):
 
 
 def token_ngrams(spark, sf):
-    return C.ngram_counts(spread_documents(spark, sf), X.tokens(F.col("text")), 3)
+    # Most grams are rare, so a task's counts are as large as its texts: parts are bounded.
+    docs = by_document(documents(spark, sf).select("doc_id", "text"), "doc_id")
+    return C.ngram_counts(docs, X.tokens(F.col("text")), 3)
 
 
 def words_per_doc(spark, sf):

@@ -7,6 +7,7 @@ from articlemill.functions.text import raw_tokens, tokens
 from articlemill.operators import classify, counts, relations
 from articlemill.operators import tagger as G
 from articlemill.sources import tables
+from catalog import text as catalog_text
 
 
 @pytest.fixture
@@ -41,5 +42,6 @@ def test_documents_are_placed_by_stored_bytes(spark, folder):
         classify.predict_categories(model, docs.select("doc_id", tokens(F.col("text")).alias("tokens")), ["doc_id"]),
         relations.relation_pairs(docs, ["doc_id"], "text", gazetteer, bound=1),
         G.tagged_sentences(docs, ["doc_id"], "text", gazetteer, bound=1),
+        catalog_text.token_ngrams(spark, folder),
     ]:
         assert parts in placed_in(frame)
