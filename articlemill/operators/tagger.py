@@ -8,6 +8,7 @@ size is bounded by the share and goes to the tasks; sentences are decoded where
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from articlemill.functions.text import word_tokens
 from articlemill.operators.lookup import keyed_join
 from articlemill.operators.spans import numbered_sentences, sentence_spans
+from articlemill.sources.scratch import written
 
 # Tasks carry this module along, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -48,6 +50,19 @@ def shape(token: Column) -> Column:
     return F.concat(F.lit(SHAPE), kinds, F.coalesce(F.concat(F.lit(SHAPE), ending), F.lit("")))
 
 
+def ascii_shape(token: str) -> str:
+    """The same as `shape` for a token of ASCII characters."""
+    kinds = token
+    for pattern, kind in (("[A-Z]+", "A"), ("[a-z]+", "a"), ("[0-9]+", "0"), ("[^Aa0]+", "-")):
+        kinds = re.sub(pattern, kind, kinds)
+    return SHAPE + kinds + (SHAPE + token[-2:].lower() if len(token) > 4 and token.isalpha() else "")
+
+
+def other_shapes(tokens: Column) -> Column:
+    """The shapes of tokens with other characters than ASCII, whose classes Java knows; null for the others, whose shapes few words need."""
+    return F.transform(tokens, lambda t: F.when(F.octet_length(t) > F.length(t), shape(t)))
+
+
 def tagged_sentences(docs: DataFrame, keys: list[str], text: str, gazetteer: DataFrame, bound: int | None = None) -> DataFrame:
     """Rows `(keys, sent_id, pos, token, tag)` of every token of every sentence, tagged by a gazetteer `(term, type)`."""
     rows = numbered_sentences(docs, keys, text)  # placed by document, for the windows of transition_counts
@@ -119,7 +134,8 @@ def model_of(transitions: list[tuple[str, str, int]], emissions: list[tuple[str,
 def fit_tagger(tagged: DataFrame, keys: list[str], share: float = WORD_SHARE, smoothing: float = SMOOTHING) -> TagModel:
     """Counts the model from rows `(keys, sent_id, pos, token, tag)`. Its size is bounded by the share."""
     transitions = [tuple(r) for r in transition_counts(tagged, keys).collect()]
-    emissions = [tuple(r) for r in emission_counts(word_counts(tagged), share).collect()]
+    # The counts are read several times: the texts are tokenised once for them.
+    emissions = [tuple(r) for r in emission_counts(written(word_counts(tagged), "tag_words"), share).collect()]
     return model_of(transitions, emissions, smoothing)
 
 
@@ -185,19 +201,31 @@ class Block:
         return self.placed(ahead), self.placed(behind), self.placed(chances), whole
 
 
-def blocks(tokens: list[list[str]], shapes: list[list[str]], model: TagModel) -> Iterator[tuple[range, Block]]:
-    """The sentences by about PIECE places each, tokens as rows of the model."""
+def model_rows(tokens: pa.ListArray, shapes: pa.ListArray, model: TagModel) -> list[np.ndarray]:
+    """The tokens of each sentence as rows of the model, looked up once for each token of a batch. `shapes` as `other_shapes` gives them."""
     number = model.words.get
     unseen = number(SHAPE, len(model.words))
-    rows = [np.array([number(t, number(s, unseen)) for t, s in zip(ts, ss, strict=True)], np.int64) for ts, ss in zip(tokens, shapes, strict=True)]
-    start, longest = 0, 0
-    for i, row in enumerate(rows):
-        longest = max(longest, len(row))
-        if i > start and longest * (i + 1 - start) > PIECE:
-            yield range(start, i), Block(model, rows[start:i])
-            start, longest = i, len(row)
-    if start < len(rows):
-        yield range(start, len(rows)), Block(model, rows[start:])
+    flat, forms = tokens.flatten().dictionary_encode(), shapes.flatten()
+    places = flat.indices.to_numpy(zero_copy_only=False)
+    first = np.zeros(len(flat.dictionary), np.int64)
+    first[places[::-1]] = np.arange(len(places))[::-1]
+    distinct = zip(flat.dictionary.to_pylist(), forms.take(pa.array(first)).to_pylist(), strict=True)
+    rows = [r if (r := number(t)) is not None else number(s if s is not None else ascii_shape(t), unseen) for t, s in distinct]
+    sizes = tokens.value_lengths().to_numpy(zero_copy_only=False)
+    return np.split(np.array(rows, np.int64)[places], np.cumsum(sizes)[:-1])
+
+
+def blocks(rows: list[np.ndarray], model: TagModel) -> Iterator[tuple[list[int], Block]]:
+    """The sentences that have tokens by about PIECE places each, those of like length together, so that few places are empty."""
+    order = sorted((i for i, row in enumerate(rows) if len(row)), key=lambda i: len(rows[i]))
+    some: list[int] = []
+    for i in order:
+        if some and len(rows[i]) * (len(some) + 1) > PIECE:
+            yield some, Block(model, [rows[k] for k in some])
+            some = []
+        some.append(i)
+    if some:
+        yield some, Block(model, [rows[k] for k in some])
 
 
 def tokenised(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -208,17 +236,22 @@ def tokenised(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 def tags_by_context(docs: DataFrame, keys: list[str], text: str, model: TagModel) -> DataFrame:
     """Rows `(keys, sent_id, pos, token, tag)` of every token: the likeliest sequence of tags of each sentence. No shuffle; a null or blank text has no rows."""
-    rows = tokenised(docs, keys, text)
+    sentences = numbered_sentences(docs, keys, text, placed=False).select(*keys, "sent_id", word_tokens(F.col("text")).alias("tokens"))
+    rows = sentences.withColumn("shapes", other_shapes(F.col("tokens")))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("tags", T.ArrayType(T.StringType()))])
     names = [f.name for f in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        tags = pa.array(model.tags, pa.string())
+        for batch in (b for b in batches if b.num_rows):
             *kept, shapes = batch.columns
-            tags: list[list[str]] = []
-            for _, block in blocks(kept[-1].to_pylist(), shapes.to_pylist(), model):
-                tags += [[model.tags[t] for t in found.tolist()] for found in block.best()]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(tags, pa.list_(pa.string()))], names)
+            found = model_rows(kept[-1], shapes, model)
+            sizes = [len(r) for r in found]
+            for some, block in blocks(found, model):
+                for i, best in zip(some, block.best(), strict=True):
+                    found[i] = best
+            flat = tags.take(pa.array(np.concatenate(found), pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), flat)], names)
 
     tagged = rows.mapInArrow(run, schema)
     each = tagged.select(*keys, "sent_id", F.posexplode(F.arrays_zip("tokens", "tags")).alias("pos", "_t"))
@@ -248,26 +281,31 @@ def entities_with_probability(docs: DataFrame, keys: list[str], text: str, model
     them bear it; both are over all sequences of tags of the sentence. No shuffle.
     """
     sentences = sentence_spans(docs, keys, text).select(*keys, F.col("begin").alias("_from"), F.col("text").alias("_whole"), word_tokens(F.col("text")).alias("tokens"))
-    rows = sentences.filter(F.size("tokens") > 0).withColumn("shapes", F.transform("tokens", shape))
+    rows = sentences.withColumn("shapes", other_shapes(F.col("tokens")))
     more = "type string, begin int, end int, text string, prob double, joint double"
     schema = T.StructType([*rows.schema.fields[: len(keys)], *T.StructType.fromDDL(more).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none, steps = model.tags.index(NO_TAG), model.steps
-        for batch in batches:
-            at, whole_texts, tokens, shapes = (c.to_pylist() for c in batch.columns[len(keys) :])
+        for batch in (b for b in batches if b.num_rows):
+            at, whole_texts, tokens, shapes = batch.columns[len(keys) :]
+            numbers = model_rows(tokens, shapes, model)
             found: list[tuple] = []
-            for some, block in blocks(tokens, shapes, model):
-                ahead, behind, chances, whole = block.marginals()
-                for i, tags in enumerate(block.best()):
-                    runs, row = runs_of(tags, none), some.start + i
-                    starts = token_offsets(whole_texts[row], tokens[row]) if runs else []
-                    for tag, a, b in runs:
+            for some, block in blocks(numbers, model):
+                # Probabilities are needed of the few sentences with a run.
+                tagged = [(i, tags) for i, tags in zip(some, block.best(), strict=True) if (tags != none).any()]
+                if not tagged:
+                    continue
+                ahead, behind, chances, whole = Block(model, [numbers[i] for i, _ in tagged]).marginals()
+                for i, (row, tags) in enumerate(tagged):
+                    sentence, words, start = whole_texts[row].as_py(), tokens[row].as_py(), at[row].as_py()
+                    starts = token_offsets(sentence, words)
+                    for tag, a, b in runs_of(tags, none):
                         each = np.exp(ahead[i][a : b + 1, tag] + behind[i][a : b + 1, tag] - whole[i])
                         joint = ahead[i][a, tag] + (b - a) * steps[tag, tag] + chances[i][a + 1 : b + 1, tag].sum() + behind[i][b, tag] - whole[i]
-                        begin, end = starts[a], starts[b] + len(tokens[row][b])
+                        begin, end = starts[a], starts[b] + len(words[b])
                         prob, joint = (float(min(p, 1)) for p in (each.mean(), np.exp(joint)))
-                        found.append((row, model.tags[tag], at[row] + begin, at[row] + end, whole_texts[row][begin:end], prob, joint))
+                        found.append((row, model.tags[tag], start + begin, start + end, sentence[begin:end], prob, joint))
             columns = list(zip(*found, strict=True)) or [[]] * 7
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64()]
             kept = [c.take(pa.array(columns[0], pa.int64())) for c in batch.columns[: len(keys)]]

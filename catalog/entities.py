@@ -98,8 +98,8 @@ def phrase_spans(spark, sf):
 def entity_ensemble_heaviest(spark, sf):
     """Three taggers whose spans weigh their length times their probability; the heaviest set without overlap."""
     docs, length = documents(spark, sf), F.col("end") - F.col("begin")
-    known = gazetteer(spark, sf)
-    model = tagger.fit_tagger(tagger.tagged_sentences(docs, KEYS, "text", known, bound=TERMS), KEYS)
+    known = written(gazetteer(spark, sf), "gazetteer")
+    model = fitted_tagger(spark, sf, known)
     taggers = [
         (E.entity_spans(docs, KEYS, "text"), length),
         (term_trie.term_spans(docs, KEYS, "text", known, bound=TERMS), length),
@@ -132,6 +132,10 @@ def tagged_sentences(spark, sf):
     return tagger.tagged_sentences(documents(spark, sf), KEYS, "text", gazetteer(spark, sf), bound=TERMS)
 
 
+def fitted_tagger(spark, sf, known):
+    return tagger.fit_tagger(tagger.tagged_sentences(documents(spark, sf), KEYS, "text", known, bound=TERMS), KEYS)
+
+
 def tag_transitions(spark, sf):
     return tagger.transition_counts(tagged_sentences(spark, sf), KEYS)
 
@@ -142,12 +146,12 @@ def tag_words(spark, sf):
 
 def token_tags_by_context(spark, sf):
     """Learns from what the gazetteer tags, then tags every token by its sentence."""
-    model = tagger.fit_tagger(tagged_sentences(spark, sf), KEYS)
+    model = fitted_tagger(spark, sf, written(gazetteer(spark, sf), "gazetteer"))
     return tagger.tags_by_context(documents(spark, sf), KEYS, "text", model)
 
 
 def entity_probabilities(spark, sf):
-    model = tagger.fit_tagger(tagged_sentences(spark, sf), KEYS)
+    model = fitted_tagger(spark, sf, written(gazetteer(spark, sf), "gazetteer"))
     return tagger.entities_with_probability(documents(spark, sf), KEYS, "text", model)
 
 
