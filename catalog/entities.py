@@ -8,9 +8,9 @@ from articlemill.functions.text import word_tokens
 from articlemill.operators import entities as E
 from articlemill.operators import relations as R
 from articlemill.operators import relation_patterns, span_sets, tagger, term_trie
-from articlemill.sources.saved import save_by_key
+from articlemill.sources.saved import BUCKETS, save_by_key
 from articlemill.sources.scratch import scratch_path, written
-from articlemill.sources.tables import read_table, spread
+from articlemill.sources.tables import read_table, scan_parts, spread
 from catalog.sql import WORD_RX, pattern_spans_sql, spans_sql, token_rows
 
 TYPES = ["PERSON", "ORGANIZATION", "LOCATION"]
@@ -171,9 +171,10 @@ def relation_strings(spark, sf):
 
 def saved_mentions(spark, sf):
     """Mentions by sentence, found once and saved by document."""
-    found = R.sentence_mentions(documents(spark, sf), KEYS, "text", dense_gazetteer(spark, sf), R.most_between(R.RELATION_RULES), TERMS)
+    docs = documents(spark, sf)
+    found = R.sentence_mentions(docs, KEYS, "text", dense_gazetteer(spark, sf), R.most_between(R.RELATION_RULES), TERMS)
     path = scratch_path(spark, "mentions")
-    return save_by_key(found, path.rsplit("/", 1)[1].replace("-", "_"), KEYS, path)
+    return save_by_key(found, path.rsplit("/", 1)[1].replace("-", "_"), KEYS, path, max(BUCKETS, scan_parts(docs)))
 
 
 def relations_of_saved_mentions(spark, sf):

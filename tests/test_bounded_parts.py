@@ -7,6 +7,7 @@ from articlemill.functions.text import raw_tokens, tokens
 from articlemill.operators import classify, counts, relations
 from articlemill.operators import tagger as G
 from articlemill.sources import tables
+from catalog import entities
 from catalog import text as catalog_text
 
 
@@ -45,3 +46,11 @@ def test_documents_are_placed_by_stored_bytes(spark, folder):
         catalog_text.token_ngrams(spark, folder),
     ]:
         assert parts in placed_in(frame)
+
+
+def test_saved_mentions_have_buckets_by_stored_bytes(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "PART_BYTES", tables.PART_BYTES // 20)
+    asked = []
+    monkeypatch.setattr(entities, "save_by_key", lambda df, table, keys, path, buckets=64: asked.append(buckets) or df)
+    entities.saved_mentions(spark, folder)
+    assert asked == [tables.scan_parts(entities.documents(spark, folder))] and asked[0] >= 200
