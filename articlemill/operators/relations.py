@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from articlemill.functions.text import word_tokens
@@ -59,6 +59,20 @@ def sentence_mentions(
     return merge_adjacent(known, keys + ["sent_id"], "after")
 
 
+def mentions_with_rest(docs: DataFrame, keys: list[str], text: str, gazetteer: DataFrame, bound: int | None = None) -> DataFrame:
+    """Mentions of each sentence, each with all tokens that follow it, in lower case and joined by blanks."""
+    sentences = numbered_sentences(docs, keys, text)
+    tokenised = sentences.select(*keys, "sent_id", word_tokens(F.col("text")).alias("_words"))
+    said = tokenised.select(*keys, "sent_id", "_words", F.lower(F.array_join("_words", " ")).alias("_said"), F.size("_words").alias("_size"))
+    rows = said.select(*keys, "sent_id", "_said", "_size", F.posexplode("_words").alias("pos", "token"))
+    terms = gazetteer.select(F.col("term").alias("token"), F.col("type").alias("tag"))
+    found = keyed_join(rows, terms, ["token"], "inner", bound=bound)
+    # No token holds a blank, so counting blanks from the end finds what follows. Case is lowered once a sentence: it does not reach across blanks.
+    rest = F.call_function("substring_index", F.col("_said"), F.lit(" "), F.col("pos") + 1 - F.col("_size"))
+    known = found.select(*keys, "sent_id", "pos", "token", "tag", rest.alias("rest"))
+    return merge_adjacent(known, keys + ["sent_id"], "rest")
+
+
 def relation_pairs(
     docs: DataFrame,
     keys: list[str],
@@ -66,9 +80,15 @@ def relation_pairs(
     gazetteer: DataFrame,
     rules: list[tuple[str, str, str, str]] | None = None,
     bound: int | None = None,
+    far: bool = False,
 ) -> DataFrame:
-    """Rows `(keys, sent_id, left_text, rel_type, right_text, ...)` of mentions near each other, found in texts. See `pairs_of_mentions`."""
+    """Rows `(keys, sent_id, left_text, rel_type, right_text, ...)` of mentions in one sentence, found in texts.
+
+    With `far` these are all pairs, see `all_pairs`; else those near enough for a rule, see `pairs_of_mentions`.
+    """
     wanted = rules or RELATION_RULES
+    if far:
+        return all_pairs(mentions_with_rest(docs, keys, text, gazetteer, bound), keys, wanted)
     mentions = sentence_mentions(docs, keys, text, gazetteer, most_between(wanted), bound)
     return pairs_of_mentions(mentions, keys, wanted)
 
@@ -82,7 +102,7 @@ def pairs_of_mentions(mentions: DataFrame, keys: list[str], rules: list[tuple[st
 
     A rule names the words between two mentions, so a pair has at most as many tokens between
     as the longest rule; mentions may stand between as well. Any other pair would get `_NR`,
-    which `related` drops. Each mention looks for mentions that start at one of the few places behind it,
+    which `related` drops; `all_pairs` makes those too. Each mention looks for mentions that start at one of the few places behind it,
     so the pairs stay linear in the mentions.
     """
     wanted = rules or RELATION_RULES
@@ -103,9 +123,29 @@ def pairs_of_mentions(mentions: DataFrame, keys: list[str], rules: list[tuple[st
     pairs = lefts.select(
         *place, "left_text", "left_type", F.inline("own"), "left_first", "right_first", F.lower(F.array_join("gap", " ")).alias("between"),
     ).select(*place, "left_text", "left_type", "right_text", "right_type", "left_first", "right_first", "between")
-    table = rule_table(mentions.sparkSession, wanted)
+    return typed_pairs(pairs, wanted)
+
+
+def all_pairs(mentions: DataFrame, keys: list[str], rules: list[tuple[str, str, str, str]] | None = None) -> DataFrame:
+    """Every mention of `mentions_with_rest` with every one of its sentence that starts behind it, `_NR` where no rule holds.
+
+    There are as many pairs as a sentence has, each with all words between. A mention meets the names and places of its sentence, not their texts,
+    and its pairs leave one by one: a task holds the mentions of a sentence, not its pairs.
+    """
+    place = [*keys, "sent_id"]
+    others = F.collect_list(F.struct(F.col("text").alias("right_text"), F.col("type").alias("right_type"), F.col("first").alias("right_first")))
+    met = mentions.withColumn("_others", others.over(Window.partitionBy(*place)))
+    behind = F.filter("_others", lambda other: other["right_first"] > F.col("last"))
+    lefts = met.select(*place, F.col("text").alias("left_text"), F.col("type").alias("left_type"), F.col("first").alias("left_first"), "last", "rest", F.inline(behind))
+    between = F.call_function("substring_index", F.col("rest"), F.lit(" "), F.col("right_first") - F.col("last") - 1)
+    pairs = lefts.select(*place, "left_text", "left_type", "right_text", "right_type", "left_first", "right_first", between.alias("between"))
+    return typed_pairs(pairs, rules or RELATION_RULES)
+
+
+def typed_pairs(pairs: DataFrame, rules: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Adds the type that a rule gives, else `_NR`."""
     by_rule = ["left_type", "between", "right_type"]
-    typed = keyed_join(pairs, table, by_rule, "left", bound=len(wanted))
+    typed = keyed_join(pairs, rule_table(pairs.sparkSession, rules), by_rule, "left", bound=len(rules))
     return typed.withColumn("rel_type", F.coalesce("rel_type", F.lit(NO_RELATION)))
 
 

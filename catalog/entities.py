@@ -156,12 +156,19 @@ def entity_probabilities(spark, sf):
 
 
 def relation_pairs(spark, sf):
+    """All pairs of mentions of a sentence, however far apart."""
+    docs = documents(spark, sf)
+    return R.relation_pairs(docs, KEYS, "text", dense_gazetteer(spark, sf), bound=TERMS, far=True)
+
+
+def near_pairs(spark, sf):
+    """The pairs near enough for a rule: all that can be related."""
     docs = documents(spark, sf)
     return R.relation_pairs(docs, KEYS, "text", dense_gazetteer(spark, sf), bound=TERMS)
 
 
 def relations_filtered(spark, sf):
-    return R.related(relation_pairs(spark, sf))
+    return R.related(near_pairs(spark, sf))
 
 
 def relation_strings(spark, sf):
@@ -192,7 +199,7 @@ LEARNING_ROUNDS = 3
 
 def learned_relations(spark, sf):
     """Learns from the pairs that the fixed rules type, over all pairs near each other."""
-    pairs = written(relation_pairs(spark, sf), "pairs")
+    pairs = written(near_pairs(spark, sf), "pairs")
     return relation_patterns.learn_relations(pairs, R.related(pairs), rounds=LEARNING_ROUNDS)
 
 
@@ -247,18 +254,22 @@ def oracles() -> dict[str, str]:
         f"regexp_extract_all(text, '{WORD_RX}')", f"({sentences})", "doc_id, sent_id"
     )
     rules = ", ".join(str(rule) for rule in R.RELATION_RULES)
-    # Pairs from their definition: a mention, and any that starts with at most two tokens between.
-    pairs = f"""WITH w AS MATERIALIZED ({sentence_words}),
+    # Pairs from their definition: a mention, and any of its sentence that starts behind it.
+    def paired(behind):
+        return f"""WITH w AS MATERIALIZED ({sentence_words}),
         m AS MATERIALIZED ({merged(known("SELECT * FROM w", "doc_id, sent_id"), "doc_id, sent_id")}),
         q AS (SELECT l.doc_id, l.sent_id, l.text AS left_text, l.type AS left_type, r.text AS right_text,
             r.type AS right_type, l.first AS left_first, r.first AS right_first,
             (SELECT lower(coalesce(string_agg(w.token, ' ' ORDER BY w.pos), '')) FROM w
               WHERE w.doc_id = l.doc_id AND w.sent_id = l.sent_id AND w.pos > l.last AND w.pos < r.first) AS between
           FROM m AS l JOIN m AS r ON l.doc_id = r.doc_id AND l.sent_id = r.sent_id
-            AND r.first - l.last BETWEEN 1 AND 3)
+            AND {behind})
         SELECT q.*, coalesce(r.rel_type, '_NR') AS rel_type
         FROM q LEFT JOIN (VALUES {rules}) AS r(left_type, between, right_type, rel_type)
           ON q.left_type = r.left_type AND q.between = r.between AND q.right_type = r.right_type"""
+
+    # At most two tokens between, as far as a rule reaches.
+    pairs = paired("r.first - l.last BETWEEN 1 AND 3")
     related = f"SELECT * FROM ({pairs}) AS found WHERE rel_type <> '_NR'"
     relation_strings = f"""SELECT doc_id, sent_id, left_text || ' ( ' || rel_type || ' ) ' || right_text AS relation
         FROM ({related}) AS r"""
@@ -355,7 +366,7 @@ def oracles() -> dict[str, str]:
             WHERE type = 'LOCATION' AND text IN
               (SELECT unnest(regexp_extract_all(text, '{WORD_RX}')) FROM benchmark)""",
         "person_alias_merge": aliases.format(mention=mention, words="WITH "),
-        "relation_pairs": pairs,
+        "relation_pairs": paired("r.first > l.last"),
         "relations_filtered": related,
         "relations_of_saved_mentions": relation_strings,
         "aliases_of_saved_mentions": aliases.format(mention=merged(known("SELECT * FROM w", "doc_id, sent_id"), "doc_id, sent_id"), words=f"WITH w AS MATERIALIZED ({sentence_words}), "),

@@ -1,10 +1,12 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from articlemill.operators import entities as E
 from articlemill.operators import relations as R
 from articlemill.operators import spans as S
+from catalog import entities as catalog
 
 KEYS = ["doc_id"]
 SPAN = "doc_id bigint, type string, begin int, end int, text string"
@@ -190,6 +192,44 @@ def test_a_mention_of_two_types_has_both_relations(spark):
     ]
 
 
+def test_all_pairs_of_a_sentence_against_brute_force(spark):
+    draw, kinds = random.Random(3), {"Ann": "PERSON", "Bob": "PERSON", "Rome": "LOCATION", "Acme": "ORGANIZATION"}
+    words = [*kinds, "in", "of", ",", "Met", "\u00a0", "\u0130X", "so"]
+    texts = {i: ". ".join(" ".join(draw.choices(words, k=draw.randrange(25))) for _ in range(3)) for i in range(18)} | {20: "", 21: None, None: "Ann met all of them in Rome."}
+    expected = []
+    for key, text in texts.items():
+        for n, sentence in enumerate(re.findall("[^.!?]+[.!?]*|[.!?]+", text or "")):
+            tokens, found = re.findall("[^\\W_]+|[^\\w \\t\\r\\n]", sentence), []
+            for pos, token in enumerate(tokens):
+                if token in kinds and found and found[-1][0] == kinds[token] and found[-1][2] == pos - 1:
+                    found[-1][2], found[-1][3] = pos, f"{found[-1][3]} {token}"
+                elif token in kinds:
+                    found.append([kinds[token], pos, pos, token])
+            for i, (kind, first, last, name) in enumerate(found):
+                for other, place, _, other_name in found[i + 1 :]:
+                    between = " ".join(tokens[last + 1 : place]).lower()
+                    rel = next((r for a, b, c, r in R.RELATION_RULES if (a, b, c) == (kind, between, other)), R.NO_RELATION)
+                    expected.append((key, n, name, kind, other_name, other, first, place, between, rel))
+    rows = list(texts.items()) + list(texts.items())[:4]  # a repeated row is one document
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    gazetteer = spark.createDataFrame(list(kinds.items()), "term string, type string")
+    columns = ["doc_id", "sent_id", "left_text", "left_type", "right_text", "right_type", "left_first", "right_first", "between", "rel_type"]
+    pairs = R.relation_pairs(docs, KEYS, "text", gazetteer, far=True).select(columns)
+    assert sorted(map(repr, map(tuple, pairs.collect()))) == sorted(map(repr, expected)) and len(expected) > 300
+    near = R.relation_pairs(docs, KEYS, "text", gazetteer).select(columns)
+    assert 0 < near.count() < len(expected) and near.exceptAll(pairs).isEmpty()
+    assert R.related(pairs).exceptAll(R.related(near)).isEmpty()
+
+
+def test_registered_pairs_have_any_distance(spark, tmp_path):
+    docs_of(spark, "Anna saw so much of it all in Rome", "Anna Rome").write.parquet(str(tmp_path / "documents.parquet"))
+    # Words of four letters or more are the terms.
+    found = {(r["left_text"], r["between"], r["right_text"], r["rel_type"]) for r in catalog.relation_pairs(spark, str(tmp_path)).filter("doc_id = 0").collect()}
+    assert found == {
+        ("Anna", "saw so", "much", "_NR"), ("Anna", "saw so much of it all in", "Rome", "_NR"), ("much", "of it all in", "Rome", "_NR"),
+    }
+
+
 def test_types_in_no_list_come_last(spark):
     rows = [(1, "A", 0, 5, "x"), (1, "Z", 3, 8, "x"), (1, "Z", 9, 12, "x")]
     kept = E.combine_types(spark.createDataFrame(rows, SPAN), KEYS, [["A"]]).collect()
